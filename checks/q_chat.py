@@ -216,7 +216,7 @@ def template_rejects(t: Tables):
     ),
 )
 def tokenize_regex(t: Tables):
-    docs = t.documents.select("doc_id", v.TOK.encode(F.col("text")).alias("ids"))
+    docs = t.texts().select("doc_id", v.TOK.encode(F.col("text")).alias("ids"))
     return docs.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest(F.col("ids")).alias("ids_md5")
     )
@@ -231,7 +231,7 @@ def tokenize_regex(t: Tables):
     ),
 )
 def tokenize_truncate(t: Tables):
-    cut = examples.text_examples(t.documents, ["doc_id"], v.TOK, 64)
+    cut = examples.text_examples(t.texts(), ["doc_id"], v.TOK, 64)
     return cut.select(
         "doc_id",
         F.size("input_ids").cast("bigint").alias("n_tokens"),
@@ -242,7 +242,7 @@ def tokenize_truncate(t: Tables):
 @query("tokenize_bpe")
 def tokenize_bpe(t: Tables):
     bpe = BpeTokenizer.public()
-    docs = t.documents.select("doc_id", bpe.encode(F.col("text")).alias("ids"))
+    docs = t.texts().select("doc_id", bpe.encode(F.col("text")).alias("ids"))
     return docs.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest(F.col("ids")).alias("ids_md5")
     )
@@ -254,7 +254,7 @@ def tokenize_bpe(t: Tables):
 )
 def decode_bpe(t: Tables):
     bpe = BpeTokenizer.public()
-    back = t.documents.select("doc_id", bpe.decode(bpe.encode(F.col("text"))).alias("text"))
+    back = t.texts().select("doc_id", bpe.decode(bpe.encode(F.col("text"))).alias("text"))
     return back.select(
         "doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("n_chars")
     )
@@ -273,8 +273,8 @@ def decode_bpe(t: Tables):
     ),
 )
 def decode_roundtrip(t: Tables):
-    docs = t.documents.select("doc_id", v.TOK.encode(F.col("text")).alias("ids"))
-    vocab = vocabulary(t.documents, F.col("text"), v.TOK)
+    docs = t.texts().select("doc_id", v.TOK.encode(F.col("text")).alias("ids"))
+    vocab = vocabulary(t.texts(), F.col("text"), v.TOK)
     back = inspect.decode_ids(docs, ["doc_id"], "ids", vocab)
     return back.select(
         "doc_id",
@@ -495,7 +495,7 @@ _DOC_PACK = {
 
 def _doc_chunks(t: Tables) -> DataFrame:
     rows = examples.text_examples(
-        t.documents.withColumn("split", F.lit("train")), ["doc_id", "split"], v.TOK, PACK_LENGTH
+        t.texts().withColumn("split", F.lit("train")), ["doc_id", "split"], v.TOK, PACK_LENGTH
     )
     indexed = indexing.dense_index(rows, ["doc_id"], groups=("split",), total="total")
     return indexing.assign_chunks(indexed, SHARDS, CHUNK_ROWS)
@@ -571,7 +571,7 @@ def packed_length_check(t: Tables):
 )
 def pad_batches(t: Tables):
     rows = examples.text_examples(
-        t.documents.withColumn("split", F.lit("train")), ["doc_id", "split"], v.TOK, PACK_LENGTH
+        t.texts().withColumn("split", F.lit("train")), ["doc_id", "split"], v.TOK, PACK_LENGTH
     )
     indexed = indexing.dense_index(rows, ["doc_id"], groups=("split",))
     padded = packing.pad_batches(indexed, 16, v.PAD_ID)

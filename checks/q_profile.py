@@ -35,7 +35,7 @@ RECOMMEND_SQL = " UNION ALL ".join(
 
 
 def histogram(t: Tables):
-    return text_length_histogram(t.documents, ["doc_id"], v.TOK)
+    return text_length_histogram(t.texts(), ["doc_id"], v.TOK)
 
 
 def rounded(df, *names):

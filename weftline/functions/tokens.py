@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from weftline.params import SPECIALS, SpecialTokens
 
-# Letters, digits, or one other visible character.
-WORD_PATTERN = r"\p{L}+|\p{N}+|[^ \t\n\x0B\f\r\p{L}\p{N}]"
+WORDS = r"\p{L}+|\p{N}+"
+OTHER = r"[^ \t\n\x0B\f\r\p{L}\p{N}]"  # one visible character
 
 # Ordinary ids are seven hex digits of an md5; specials are numbered above them.
 FIRST_SPECIAL_ID = 1 << 28
@@ -33,8 +33,12 @@ class RegexTokenizer:
 
     @property
     def pattern(self) -> str:
-        atoms = sorted(self.specials, key=lambda s: (-len(s), s))
-        return "|".join([*(re.escape(s) for s in atoms), WORD_PATTERN])
+        atoms = [re.escape(s) for s in sorted(self.specials, key=lambda s: (-len(s), s))]
+        # Specials only compete with words where one starts like a word; most
+        # pieces are words, so otherwise words are tried first.
+        if any(s[0].isalnum() for s in self.specials):
+            return "|".join([*atoms, WORDS, OTHER])
+        return "|".join([WORDS, *atoms, OTHER])
 
     def special_id(self, token: str) -> int:
         return FIRST_SPECIAL_ID + self.specials.index(token)

@@ -96,6 +96,54 @@ def joined_mask(encoded: Column) -> Column:
     )
 
 
+def usable_chats(
+    df: DataFrame,
+    tokenizer: Tokenizer,
+    template: str = "simple",
+    column: str = "messages",
+    options: RenderOptions | None = None,
+) -> DataFrame:
+    """Chats that have messages, render without error, and have a token.
+
+    The last is decided on the text, so nothing is encoded to count rows.
+    """
+    shown = rendered(df.where(has_messages(F.col(column))), template, column, options)
+    kept = shown.where(F.col("error").isNull()).where(
+        tokenizer.has_token(segments_text(F.col("segments")))
+    )
+    return kept.select(*df.columns)
+
+
+def encode_chats(
+    df: DataFrame,
+    keep: list[str],
+    tokenizer: Tokenizer,
+    max_length: int,
+    template: str = "simple",
+    column: str = "messages",
+    options: RenderOptions | None = None,
+) -> DataFrame:
+    """(keep, input_ids, attention_mask, labels) of usable chats, row by row."""
+    chat = _template_input(df, template, column)
+    encoded = df.select(
+        *keep, encode_segments(segments(chat, template, options), tokenizer).alias("_e")
+    )
+    return with_mask(
+        encoded.select(
+            *keep,
+            truncate(joined_ids(F.col("_e")), max_length).alias("input_ids"),
+            truncate(joined_labels(F.col("_e")), max_length).alias("labels"),
+        )
+    )
+
+
+def with_mask(df: DataFrame) -> DataFrame:
+    """Add the all-ones attention mask of unpadded rows."""
+    rest = [c for c in df.columns if c not in ("input_ids", "labels")]
+    mask = ones_like(F.col("input_ids")).alias("attention_mask")
+    return df.select(*rest, "input_ids", mask, "labels")
+
+
 def instruction_examples(
     df: DataFrame,
     keys: list[str],
@@ -111,19 +159,8 @@ def instruction_examples(
     without a token are left out. A chat whose trainable tokens are all cut off
     stays, with every label ignored.
     """
-    shown = rendered(df.where(has_messages(F.col(column))), template, column, options)
-    shown = shown.where(F.col("error").isNull())
-    # Decided on the text, so counting rows later does not encode anything.
-    shown = shown.where(tokenizer.has_token(segments_text(F.col("segments"))))
-    encoded = shown.withColumn("_e", encode_segments(F.col("segments"), tokenizer))
-    cut = encoded.select(
-        *keys,
-        truncate(joined_ids(F.col("_e")), max_length).alias("input_ids"),
-        truncate(joined_labels(F.col("_e")), max_length).alias("labels"),
-    )
-    return cut.select(
-        *keys, "input_ids", ones_like(F.col("input_ids")).alias("attention_mask"), "labels"
-    )
+    kept = usable_chats(df, tokenizer, template, column, options)
+    return encode_chats(kept, keys, tokenizer, max_length, template, column, options)
 
 
 def assistant_masks(
@@ -144,6 +181,22 @@ def assistant_masks(
     )
 
 
+def usable_texts(df: DataFrame, tokenizer: Tokenizer, column: str = "text") -> DataFrame:
+    """Rows whose text is not blank and has a token; nothing is encoded."""
+    text = F.col(column)
+    return df.where(is_nonblank(text) & tokenizer.has_token(text))
+
+
+def encode_texts(
+    df: DataFrame, keep: list[str], tokenizer: Tokenizer, max_length: int, column: str = "text"
+) -> DataFrame:
+    """(keep, input_ids, attention_mask, labels); labels equal the ids."""
+    cut = df.select(
+        *keep, truncate(tokenizer.encode(F.col(column)), max_length).alias("input_ids")
+    )
+    return with_mask(cut.withColumn("labels", F.col("input_ids")))
+
+
 def text_examples(
     df: DataFrame,
     keys: list[str],
@@ -151,15 +204,9 @@ def text_examples(
     max_length: int,
     column: str = "text",
 ) -> DataFrame:
-    """Examples from raw text: labels equal the ids, blank text is left out."""
-    text = F.col(column)
-    kept = df.where(is_nonblank(text)).where(tokenizer.has_token(text))
-    cut = kept.select(*keys, truncate(tokenizer.encode(text), max_length).alias("input_ids"))
-    return cut.select(
-        *keys,
-        "input_ids",
-        ones_like(F.col("input_ids")).alias("attention_mask"),
-        F.col("input_ids").alias("labels"),
+    """Examples from raw text; blank text is left out."""
+    return encode_texts(
+        usable_texts(df, tokenizer, column), keys, tokenizer, max_length, column
     )
 
 
@@ -240,6 +287,4 @@ def examples_from_log(
             "labels"
         ),
     )
-    return whole.select(
-        "conv_id", "input_ids", ones_like(F.col("input_ids")).alias("attention_mask"), "labels"
-    )
+    return with_mask(whole)

@@ -55,18 +55,21 @@ def dense_index(
     groups: tuple[str, ...] = (),
     out: str = "idx",
     total: str | None = None,
+    population: DataFrame | None = None,
     digits: int = HEX_DIGITS,
 ) -> DataFrame:
     """Number rows 0..n-1 in seeded order, per group if ``groups`` is given.
 
     ``keys`` must be unique within a group. The numbering window and the join
     with the bucket offsets share one hash partitioning, so the rows move once.
+    ``population`` may give the same keys from a cheaper source to count them.
     """
     groups = list(groups)
     keyed = with_order_key(df, keys, seed, digits)
     inside = Window.partitionBy(*groups, BUCKET).orderBy(KEY, *keys)
     numbered = keyed.withColumn("_rn", F.row_number().over(inside))
-    offsets = bucket_counts(with_order_key(df, keys, seed, digits), groups).drop("n")
+    counted = with_order_key(df if population is None else population, keys, seed, digits)
+    offsets = bucket_counts(counted, groups).drop("n")
     joined = numbered.join(offsets, [*groups, BUCKET])
     extra = [F.col("total").alias(total)] if total else []
     return joined.select(

@@ -152,18 +152,19 @@ def _pack_batches(limit: int, pad_id: int):
     return run
 
 
-def _by_chunk(df: DataFrame) -> DataFrame:
-    return df.repartition(*PLACE).sortWithinPartitions(*PLACE, "idx")
+def arrange_chunks(df: DataFrame) -> DataFrame:
+    """Bring every chunk's rows into one task, in order: the packing shuffle.
 
+    Row-by-row work on the result keeps the arrangement, so rows can be moved
+    as text and encoded afterwards.
+    """
+    return df.repartition(*PLACE).sortWithinPartitions(*PLACE, "idx")
 
-def pack_sequences(df: DataFrame, max_length: int, pad_id: int) -> DataFrame:
-    """Pack (split, shard, chunk, idx, input_ids, labels) into rows of ``max_length``.
 
-    Longer rows are cut to ``max_length`` first. Padding carries the pad id,
-    mask 0 and the ignored label.
-    """
-    rows = _by_chunk(df.select(*PLACE, "idx", "input_ids", "labels"))
-    packed = rows.mapInArrow(_pack_batches(max_length, pad_id), PACKED)
+def pack_arranged(rows: DataFrame, max_length: int, pad_id: int) -> DataFrame:
+    """:func:`pack_sequences` of rows that :func:`arrange_chunks` has placed."""
+    wanted = rows.select(*PLACE, "input_ids", "labels")
+    packed = wanted.mapInArrow(_pack_batches(max_length, pad_id), PACKED)
     n = F.col("n_tokens").cast("int")
     mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), max_length - n))
     return packed.select(
@@ -172,6 +173,16 @@ def pack_sequences(df: DataFrame, max_length: int, pad_id: int) -> DataFrame:
     )
 
 
+def pack_sequences(df: DataFrame, max_length: int, pad_id: int) -> DataFrame:
+    """Pack (split, shard, chunk, idx, input_ids, labels) into rows of ``max_length``.
+
+    Longer rows are cut to ``max_length`` first. Padding carries the pad id,
+    mask 0 and the ignored label.
+    """
+    rows = arrange_chunks(df.select(*PLACE, "idx", "input_ids", "labels"))
+    return pack_arranged(rows, max_length, pad_id)
+
+
 def _assign_batches(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, number, used = None, 0, 0
@@ -212,7 +223,7 @@ def assign_bins(df: DataFrame, max_length: int) -> DataFrame:
     enough to size a packing before doing it.
     """
     sized = df.select(*PLACE, "idx", F.col("n_tokens").cast("bigint").alias("n_tokens"))
-    return _by_chunk(sized).mapInArrow(_assign_batches(max_length), BINS)
+    return arrange_chunks(sized).mapInArrow(_assign_batches(max_length), BINS)
 
 
 def padded_size(longest: Column, multiple: int) -> Column:

@@ -56,55 +56,12 @@ def _draws(df: DataFrame, targets: dict[str, int]) -> DataFrame:
     return reduce(DataFrame.unionAll, frames)
 
 
-def upsample(df: DataFrame, keys: list[str], targets: dict[str, int], seed: int = 42) -> DataFrame:
-    """Draw classes that are below their target up to it, with replacement.
-
-    Adds ``draw``. Classes at or above the target, and classes without a
-    target, come back whole with a null ``draw``; an empty class stays empty.
-    """
-    sizes = df.groupBy("task").agg(F.count("*").alias("class_size"))
-    wanted = F.create_map(*[F.lit(x) for kv in targets.items() for x in kv])
-    target = F.try_element_at(wanted, F.col("task"))
-    short = F.coalesce(F.col("class_size") < target, F.lit(False))
-    # One row per task that occurs: the policy and the token list bound it.
-    short_sizes = F.broadcast(sizes.where(short))
-    whole_tasks = F.broadcast(sizes.where(~short).select("task"))
-
-    pool = df.join(short_sizes.select("task"), "task")
-    indexed = dense_index(pool, ["task", *keys], seed, groups=("task",))
-    drawn = (
-        _draws(df, targets)
-        .join(short_sizes, "task")
-        .withColumn("idx", hash_draw(seed, F.col("class_size"), F.col("task"), F.col("draw")))
-        .select("task", "draw", "idx")
-    )
-    repeated = gather(drawn, indexed, groups=("task",)).select(*df.columns, "draw")
-    whole = df.join(whole_tasks, "task").select(
-        *df.columns, F.lit(None).cast("bigint").alias("draw")
-    )
-    return whole.unionByName(repeated)
-
-
-def downsample(df: DataFrame, keys: list[str], targets: dict[str, int], seed: int = 42) -> DataFrame:
-    """Cut classes above their target down to it, without replacement.
-
-    Rows are kept or dropped by comparing their key with the class's cutoff, so
-    the kept rows do not move.
-    """
-    wanted = F.create_map(*[F.lit(x) for kv in targets.items() for x in kv])
-    capped = df.where(F.col("task").isin(*targets))
-    # One row per capped task, so at most len(targets) rows are broadcast.
-    cut = cutoffs(
-        capped,
-        ["task", *keys],
-        seed,
-        lambda n: F.try_element_at(wanted, F.col("task")),
-        groups=("task",),
-    )
-    judged = df.join(F.broadcast(cut), "task", "left")
-    free = ~F.col("task").isin(*targets)
-    keep = free | (order_key(seed, "task", *keys) <= F.col("cutoff"))
-    return judged.where(F.coalesce(keep, F.lit(False))).select(*df.columns)
+def _wanted(targets: dict[str, int]) -> Column:
+    """The target of a row's task; null where there is none."""
+    if not targets:
+        return F.lit(None).cast("int")
+    table = F.create_map(*[F.lit(x) for kv in targets.items() for x in kv])
+    return F.try_element_at(table, F.col("task"))
 
 
 def balance(
@@ -112,21 +69,80 @@ def balance(
     keys: list[str],
     policy: dict[str, TaskLimit] | None = None,
     seed: int = 42,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
     """Apply a policy to rows classified by ``task``; adds ``draw``.
 
-    A null ``draw`` marks a row taken once, a number the draw that chose it.
+    Classes above ``max_rows`` are cut down without replacement, by comparing
+    each row's key with the class's cutoff: kept rows do not move. Classes
+    below ``min_rows`` are drawn up to it with replacement; an empty class
+    stays empty. Others come back whole. A null ``draw`` marks a row taken
+    once, a number the draw that chose it.
+
+    ``marks`` may hold just the keys and tasks of ``df``, already written
+    somewhere; classes are then counted and ranked there and ``df`` itself is
+    read once per kind of result only.
     """
     policy = BALANCE_POLICY if policy is None else policy
     most = {t: p.max_rows for t, p in policy.items() if p.max_rows is not None}
     least = {t: p.min_rows for t, p in policy.items() if p.min_rows is not None}
-    cut = downsample(df, keys, most, seed) if most else df
+    marks = (df if marks is None else marks).select(*keys, "task")
+
+    # One row per task that occurs: the token list bounds it.
+    sizes = marks.groupBy("task").agg(F.count("*").alias("class_size"))
+    short = F.coalesce(F.col("class_size") < _wanted(least), F.lit(False))
+    rules = sizes.withColumn("_short", short)
+    if most:
+        cut = cutoffs(
+            marks.where(F.col("task").isin(*most)),
+            ["task", *keys],
+            seed,
+            lambda n: _wanted(most),
+            groups=("task",),
+        )
+        rules = rules.join(cut, "task", "left")
+    else:
+        rules = rules.withColumn("cutoff", F.lit(None).cast("string"))
+    uncapped = ~F.col("task").isin(*most) if most else F.lit(True)
+    within = F.coalesce(order_key(seed, "task", *keys) <= F.col("cutoff"), F.lit(False))
+    once = (
+        df.join(F.broadcast(rules.where(~F.col("_short"))), "task")
+        .where(uncapped | within)
+        .select(*df.columns, F.lit(None).cast("bigint").alias("draw"))
+    )
     if not least:
-        return cut.withColumn("draw", F.lit(None).cast("bigint"))
-    free = cut.where(~F.col("task").isin(*least)).withColumn(
-        "draw", F.lit(None).cast("bigint")
+        return once
+
+    few = F.broadcast(sizes.where(short))
+    in_least = F.col("task").isin(*least)
+    pool = df.where(in_least).join(few.select("task"), "task")
+    indexed = dense_index(
+        pool,
+        ["task", *keys],
+        seed,
+        groups=("task",),
+        population=marks.where(in_least).join(few.select("task"), "task"),
     )
-    return free.unionByName(upsample(df.where(F.col("task").isin(*least)), keys, least, seed))
+    drawn = (
+        _draws(df, least)
+        .join(few, "task")
+        .withColumn("idx", hash_draw(seed, F.col("class_size"), F.col("task"), F.col("draw")))
+        .select("task", "draw", "idx")
+    )
+    return once.unionByName(
+        gather(drawn, indexed, groups=("task",)).select(*df.columns, "draw")
+    )
+
+
+def upsample(df: DataFrame, keys: list[str], targets: dict[str, int], seed: int = 42) -> DataFrame:
+    """Draw classes that are below their target up to it, with replacement."""
+    return balance(df, keys, {t: TaskLimit(min_rows=n) for t, n in targets.items()}, seed)
+
+
+def downsample(df: DataFrame, keys: list[str], targets: dict[str, int], seed: int = 42) -> DataFrame:
+    """Cut classes above their target down to it, without replacement."""
+    policy = {t: TaskLimit(max_rows=n) for t, n in targets.items()}
+    return balance(df, keys, policy, seed).drop("draw")
 
 
 def upsample_ratio(n: Column, target: Column) -> Column:

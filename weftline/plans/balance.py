@@ -9,6 +9,7 @@ from weftline.operators.indexing import seeded_shuffle
 from weftline.operators.sampling import balance
 from weftline.operators.setops import union_drifted
 from weftline.params import TaskLimit
+from weftline.session import staged
 
 
 def balanced_dataset(
@@ -17,14 +18,18 @@ def balanced_dataset(
     policy: dict[str, TaskLimit] | None = None,
     seed: int = 42,
     ordered: bool = True,
+    stage: bool = True,
 ) -> DataFrame:
     """Union, validate, classify and sample to the policy's sizes.
 
     ``keys`` identify a chat across the frames. A row of the result is
-    identified by ``keys``, ``task`` and ``draw``.
+    identified by ``keys``, ``task`` and ``draw``. With ``stage`` the keys and
+    tasks, a sliver of the chats, are written to the shared folder first, so
+    the chats are not read again for every count.
     """
-    chats = valid_chats(union_drifted(frames, keys))
-    mixed = balance(classify_tasks(chats), keys, policy, seed)
+    classified = classify_tasks(valid_chats(union_drifted(frames, keys)))
+    marks = staged(classified.select(*keys, "task"), "marks") if stage else None
+    mixed = balance(classified, keys, policy, seed, marks)
     return seeded_shuffle(mixed, [*keys, "task", "draw"], seed) if ordered else mixed
 
 

@@ -2,32 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from weftline.functions.templates import RenderOptions
 from weftline.operators.examples import (
     Tokenizer,
+    encode_chats,
+    encode_texts,
     examples_from_log,
-    instruction_examples,
-    text_examples,
+    usable_chats,
+    usable_texts,
 )
 from weftline.operators.indexing import assign_chunks, dense_index
-from weftline.operators.packing import pack_sequences, pad_batches
+from weftline.operators.packing import PLACE, arrange_chunks, pack_arranged, pad_batches
 from weftline.operators.sampling import split_train_eval
 from weftline.params import DataParams
 from weftline.sources.splits import resolve_splits
 
 
 def packed_or_padded(
-    examples: DataFrame, keys: list[str], tokenizer: Tokenizer, params: DataParams
+    rows: DataFrame,
+    keys: list[str],
+    tokenizer: Tokenizer,
+    params: DataParams,
+    encode: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
-    """Put the examples of each split in seeded order, then pack or pad them."""
-    indexed = dense_index(examples, keys, params.seed, groups=("split",), total="total")
+    """Put the rows of each split in seeded order, then pack or pad them.
+
+    Rows move as they come, as text or messages, and ``encode`` turns them into
+    ids after the last shuffle: text is smaller than its ids, mask and labels.
+    """
+    encode = encode or (lambda df, keep: df)
+    indexed = dense_index(rows, keys, params.seed, groups=("split",), total="total")
     if params.use_packing:
         chunks = assign_chunks(indexed, params.num_shards, params.chunk_rows)
-        return pack_sequences(chunks, params.max_seq_length, tokenizer.pad_id)
+        placed = arrange_chunks(chunks.drop("total"))
+        return pack_arranged(
+            encode(placed, PLACE), params.max_seq_length, tokenizer.pad_id
+        )
     return pad_batches(
-        indexed.drop("total"), params.batch_rows, tokenizer.pad_id, params.pad_to_multiple_of
+        encode(indexed, [*keys, "split", "idx"]),
+        params.batch_rows,
+        tokenizer.pad_id,
+        params.pad_to_multiple_of,
     )
 
 
@@ -41,10 +60,16 @@ def prepare_instruction(
 ) -> DataFrame:
     """Split, render, encode, label and pack (or pad) chats."""
     split = resolve_splits(chats, keys, params.validation_split, params.seed)
-    examples = instruction_examples(
-        split, [*keys, "split"], tokenizer, params.max_seq_length, template, options=options
+    kept = usable_chats(split, tokenizer, template, options=options)
+
+    def encode(df: DataFrame, keep: list[str]) -> DataFrame:
+        return encode_chats(
+            df, keep, tokenizer, params.max_seq_length, template, options=options
+        )
+
+    return packed_or_padded(
+        kept.select(*keys, "split", "messages"), keys, tokenizer, params, encode
     )
-    return packed_or_padded(examples, keys, tokenizer, params)
 
 
 def prepare_instruction_log(
@@ -71,11 +96,14 @@ def prepare_pretrain(
     texts: DataFrame, keys: list[str], tokenizer: Tokenizer, params: DataParams
 ) -> DataFrame:
     """Split, encode and pack (or pad) raw text."""
+    column = params.text_column
     split = resolve_splits(texts, keys, params.validation_split, params.seed)
-    examples = text_examples(
-        split, [*keys, "split"], tokenizer, params.max_seq_length, params.text_column
-    )
-    return packed_or_padded(examples, keys, tokenizer, params)
+    kept = usable_texts(split, tokenizer, column).select(*keys, "split", column)
+
+    def encode(df: DataFrame, keep: list[str]) -> DataFrame:
+        return encode_texts(df, keep, tokenizer, params.max_seq_length, column)
+
+    return packed_or_padded(kept, keys, tokenizer, params, encode)
 
 
 def prepare_dataset(

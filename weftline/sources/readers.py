@@ -43,6 +43,17 @@ def read_params(spark: SparkSession, params: DataParams) -> DataFrame:
     raise ValueError("either dataset_name or dataset_path is needed")
 
 
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Give a costly per-row stage at least one task per core.
+
+    A file can only be split at its row groups, so a small table may come as
+    one task. A table with as many input splits as there are cores, which any
+    large one has, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(2 * cores, *keys)
+
+
 @dataclass
 class LoadedSources:
     """What could be read, by source name, and why the rest could not."""
