@@ -15,6 +15,7 @@ from weftline.functions.tokens import BpeTokenizer, RegexTokenizer, vocabulary
 from weftline.operators import examples, indexing, inspect, packing, profile
 from weftline.params import DataParams
 from weftline.plans import prepare
+from weftline.session import staged
 from weftline.plans.verify import verify_dataset as verify_plan
 
 SYSTEM = "You are a helpful tutor."
@@ -274,7 +275,7 @@ def decode_bpe(t: Tables):
 )
 def decode_roundtrip(t: Tables):
     docs = t.texts().select("doc_id", v.TOK.encode(F.col("text")).alias("ids"))
-    vocab = vocabulary(t.texts(), F.col("text"), v.TOK)
+    vocab = staged(vocabulary(t.texts(), F.col("text"), v.TOK), "vocabulary")
     back = inspect.decode_ids(docs, ["doc_id"], "ids", vocab)
     return back.select(
         "doc_id",

@@ -209,7 +209,7 @@ def rich_chats(t: Tables, faulty: bool = False) -> DataFrame:
             )
             .otherwise(parts)
         )
-    ordered = F.array_sort(F.collect_list(F.struct("turn", parts.alias("parts"))))
+    ordered = F.sort_array(F.collect_list(F.struct("turn", parts.alias("parts"))))
     return (
         t.conversations.groupBy("conv_id")
         .agg(F.flatten(F.transform(ordered, lambda x: x["parts"])).alias("messages"))

@@ -173,8 +173,11 @@ def vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) -> DataFr
     of the ``n_pieces``. Counts combine before each shuffle, so a very frequent
     piece costs one row per task.
     """
+    # The outer form: the inner one makes the optimizer add a filter on the
+    # array's size, which would tokenize every text again.
     pieces = (
-        df.select(F.explode(tokenizer.pieces(text)).alias("piece"))
+        df.select(F.explode_outer(tokenizer.pieces(text)).alias("piece"))
+        .where(F.col("piece").isNotNull())
         .groupBy("piece")
         .agg(F.count("*").alias("n"))
     )

@@ -7,7 +7,7 @@ label never spills into the next turn.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.arrays import ones_like, truncate
@@ -216,75 +216,90 @@ def examples_from_log(
     max_length: int,
     template: str = "simple",
     options: RenderOptions | None = None,
-    block_turns: int = 256,
+    fan_in: int = 4096,
 ) -> DataFrame:
     """Examples straight from a message log (conv_id, turn, role, text).
 
     Equal to gathering each chat and calling :func:`instruction_examples`, but
-    no task gathers a whole chat. Turns are encoded in blocks of
-    ``block_turns``, whose ids are cut to ``max_length``; a running token count
-    over the blocks then drops every block that starts past ``max_length``, so
-    at most ``max_length`` tokens of a chat are brought together. For templates
-    that look at one message at a time.
+    nothing gathers more than ``fan_in`` turns. Joining two parts of a chat and
+    cutting the result to ``max_length`` is associative, so chats are joined as
+    a tree: blocks of ``fan_in`` turns are encoded and cut, then ``fan_in``
+    blocks are joined and cut, and so on. The longest chat, measured first,
+    sets the number of levels; logs whose chats have fewer than ``fan_in``
+    turns need one. For templates that look at one message at a time.
     """
     o = options or RenderOptions()
     t = TEMPLATES[template]
     if t.rich:
         raise ValueError(f"template {template!r} checks whole chats")
+    last_turn = log.agg(F.max("turn")).first()[0] or 0
+    levels = 1
+    while fan_in**levels <= last_turn:
+        levels += 1
+
+    def cut(ids: Column) -> Column:
+        return truncate(ids, max_length)
+
+    def body(turns: Column, first: bool) -> Column:
+        shift = 0 if first else 1
+        parts = F.flatten(F.transform(turns, lambda m, i: t.message(m, i + shift, o)))
+        return F.concat(t.head(turns, o), parts) if first else parts
+
+    def block(column: str) -> Column:
+        return F.floor(F.col(column) / fan_in).alias("block")
+
     turn = F.struct("turn", "role", F.col("text").alias("content"))
-    blocks = (
-        log.withColumn("block", F.floor(F.col("turn") / block_turns))
-        .groupBy("conv_id", "block")
-        .agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    )
-    # The chat's first and last block carry what stands before and after it:
-    # one small row per chat, combined before the shuffle.
-    ends = log.groupBy("conv_id").agg(
-        F.floor(F.min("turn") / block_turns).alias("first_block"),
-        F.floor(F.max("turn") / block_turns).alias("last_block"),
-    )
-    placed = blocks.join(ends, "conv_id")
-    is_first = F.col("block") == F.col("first_block")
-    is_last = F.col("block") == F.col("last_block")
-    nothing = F.array().cast("array<struct<text:string,trainable:boolean>>")
-    body = F.flatten(
-        F.transform(
-            "turns",
-            lambda m, i: t.message(m, F.when(is_first, i).otherwise(i + 1), o),
+    group = ["conv_id"] if levels == 1 else ["conv_id", block("turn")]
+    turns = log.groupBy(*group).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    if levels == 1:
+        segs = F.concat(body(F.col("turns"), True), t.tail(o))
+        encoded = turns.select("conv_id", encode_segments(segs, tokenizer).alias("_e"))
+        whole = encoded.select(
+            "conv_id",
+            cut(joined_ids(F.col("_e"))).alias("input_ids"),
+            cut(joined_labels(F.col("_e"))).alias("labels"),
         )
-    )
-    segs = F.concat(
-        F.when(is_first, t.head(F.col("turns"), o)).otherwise(nothing),
-        body,
-        F.when(is_last, t.tail(o)).otherwise(nothing),
-    )
-    encoded = placed.select("conv_id", "block", segs.alias("segments")).withColumn(
-        "_e", encode_segments(F.col("segments"), tokenizer)
-    )
-    cut = encoded.select(
+        return with_mask(whole.where(F.size("input_ids") > 0))
+
+    # Which block opens a chat is only known at the end, so a block is encoded
+    # both ways: as the opening one and as a later one.
+    encoded = turns.select(
         "conv_id",
         "block",
-        truncate(joined_ids(F.col("_e")), max_length).alias("ids"),
-        truncate(joined_labels(F.col("_e")), max_length).alias("labs"),
-    ).where(F.size("ids") > 0)
-    earlier = (
-        Window.partitionBy("conv_id")
-        .orderBy("block")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        encode_segments(body(F.col("turns"), True), tokenizer).alias("_a"),
+        encode_segments(body(F.col("turns"), False), tokenizer).alias("_b"),
     )
-    starts = cut.withColumn("_start", F.coalesce(F.sum(F.size("ids")).over(earlier), F.lit(0)))
-    kept = (
-        starts.where(F.col("_start") < max_length)
-        .groupBy("conv_id")
-        .agg(F.array_sort(F.collect_list(F.struct("block", "ids", "labs"))).alias("parts"))
+    parts = encoded.select(
+        "conv_id",
+        "block",
+        cut(joined_ids(F.col("_a"))).alias("open_ids"),
+        cut(joined_labels(F.col("_a"))).alias("open_labels"),
+        cut(joined_ids(F.col("_b"))).alias("ids"),
+        cut(joined_labels(F.col("_b"))).alias("labels"),
     )
-    whole = kept.select(
+    for level in range(1, levels):
+        last = level == levels - 1
+        group = ["conv_id"] if last else ["conv_id", block("block")]
+        part = F.struct("block", "open_ids", "open_labels", "ids", "labels")
+        joined = parts.groupBy(*group).agg(F.sort_array(F.collect_list(part)).alias("p"))
+
+        def tree(opening: str, later: str) -> Column:
+            pieces = F.transform(
+                "p", lambda x, i: F.when((i == 0) & F.lit(opening != later), x[opening]).otherwise(x[later])
+            )
+            return cut(F.flatten(pieces))
+
+        parts = joined.select(
+            *(["conv_id"] if last else ["conv_id", "block"]),
+            tree("open_ids", "ids").alias("open_ids"),
+            tree("open_labels", "labels").alias("open_labels"),
+            tree("ids", "ids").alias("ids"),
+            tree("labels", "labels").alias("labels"),
+        )
+    tail = encode_segments(t.tail(o), tokenizer)
+    whole = parts.select(
         "conv_id",
-        truncate(F.flatten(F.transform("parts", lambda p: p["ids"])), max_length).alias(
-            "input_ids"
-        ),
-        truncate(F.flatten(F.transform("parts", lambda p: p["labs"])), max_length).alias(
-            "labels"
-        ),
+        cut(F.concat("open_ids", joined_ids(tail))).alias("input_ids"),
+        cut(F.concat("open_labels", joined_labels(tail))).alias("labels"),
     )
-    return with_mask(whole)
+    return with_mask(whole.where(F.size("input_ids") > 0))

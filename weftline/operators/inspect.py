@@ -50,8 +50,8 @@ def token_report(
             ),
         )
     )
-    rows = df.select(*keys, F.posexplode(pieces).alias("index", "t"))
-    return rows.select(
+    rows = df.select(*keys, F.posexplode_outer(pieces).alias("index", "t"))
+    return rows.where(F.col("index").isNotNull()).select(
         *keys,
         F.col("index").cast("bigint").alias("index"),
         tokenizer.piece_id(F.col("t.piece")).cast("bigint").alias("token_id"),
@@ -83,7 +83,7 @@ def special_roundtrip(df: DataFrame, text: Column, tokenizer: RegexTokenizer) ->
         *[F.lit(x) for s in tokenizer.specials for x in (tokenizer.special_id(s), s)]
     )
     pieces = (
-        df.select(F.explode(tokenizer.pieces(text)).alias("token"))
+        df.select(F.explode_outer(tokenizer.pieces(text)).alias("token"))
         .where(F.col("token").isin(*tokenizer.specials))
         .groupBy("token")
         .agg(F.count("*").alias("n_single"))
@@ -101,6 +101,8 @@ def decode_ids(
 ) -> DataFrame:
     """(keys, pieces): token ids back to their pieces through a vocabulary table.
 
+    ``vocab`` is read three times, so it should be a stored table.
+
     Ids that make up more than ``hot_share`` of all tokens are looked up in a
     broadcast table; there can be no more than ``1 / hot_share`` of them. The
     others are joined by id, where no id holds more than that share, so a very
@@ -110,7 +112,11 @@ def decode_ids(
     flagged = vocab.withColumn("_hot", F.col("n") > total * hot_share)
     hot = flagged.where("_hot").select("token_id", "piece")
     cold = flagged.where(~F.col("_hot")).select("token_id", "piece")
-    tokens = df.select(*keys, F.posexplode(ids).alias("pos", "token_id"))
+    # The outer form: the inner one makes the optimizer compute the ids again to
+    # filter on their number.
+    tokens = df.select(*keys, F.posexplode_outer(ids).alias("pos", "token_id")).where(
+        F.col("pos").isNotNull()
+    )
     looked_up = tokens.join(
         F.broadcast(hot.withColumnRenamed("piece", "_hot_piece")), "token_id", "left"
     )
@@ -119,10 +125,10 @@ def decode_ids(
     )
     rest = (
         looked_up.where(F.col("_hot_piece").isNull())
-        .join(cold, "token_id")
+        .join(cold.hint("merge"), "token_id")
         .select(*keys, "pos", "piece")
     )
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "piece")))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "piece")))
     return (
         frequent.unionByName(rest)
         .groupBy(*keys)

@@ -70,7 +70,9 @@ def unpivot_tasks(
         )
     if not cells:
         raise ValueError(f"none of the task columns {list(columns)} in {df.columns}")
-    rows = df.select(*keys, F.inline(F.array_compact(F.array(*cells))))
+    rows = df.select(*keys, F.inline_outer(F.array_compact(F.array(*cells)))).where(
+        F.col("column_idx").isNotNull()
+    )
     return rows if keep_empty else rows.where(has_messages(F.col("messages")))
 
 

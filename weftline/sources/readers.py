@@ -107,7 +107,7 @@ def chats_from_log(log: DataFrame) -> DataFrame:
     examples from a log without that assumption.
     """
     turn = F.struct("turn", "role", F.col("text").alias("content"))
-    ordered = F.array_sort(F.collect_list(turn))
+    ordered = F.sort_array(F.collect_list(turn))
     return log.groupBy("conv_id").agg(
         F.transform(
             ordered, lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))
