@@ -112,7 +112,7 @@ def test_log_examples_equal_chat_examples(spark, tables, template, fan_in):
     from checks import views
 
     options = RenderOptions(default_system="Be kind.")
-    for limit in (7, 60, 5000):
+    for limit in (60, 5000):
         want = examples.instruction_examples(
             views.chats(tables), ["conv_id"], TOK, limit, template, options=options
         )

@@ -25,7 +25,8 @@ def union_all(frames: list[DataFrame], strict: bool = True) -> DataFrame:
         raise ValueError("nothing to union")
     if strict:
         require_same_columns(frames)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=not strict), frames)
+    rows = [f.select("*") for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=not strict), rows)
 
 
 def union_drifted(frames: list[DataFrame], keep: list[str] | None = None) -> DataFrame:

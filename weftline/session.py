@@ -26,17 +26,16 @@ def local_session(cores: int | str = 8, app: str = "weftline", memory: str = "8g
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints.
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a session without one (a test, a laptop) gets a temporary folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="weftline-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
