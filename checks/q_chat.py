@@ -661,8 +661,8 @@ _VERIFY = {
     "counts": (
         ("facts",),
         f"""SELECT count_if(contains(text, '[INST]')) AS opens, count_if(c > 0) AS closes,
-      sum(c) AS occurrences, count_if(trainable) AS trained
-    FROM (SELECT *, len([p FOR p IN {v.pieces('text')} IF p = '[/INST]']) AS c FROM facts)""",
+      sum(c) AS occurrences, count_if(trainable) AS trained, count_if(prompt) AS prompted
+    FROM (SELECT *, list_contains({v.pieces('text')}, '[SYSTEM_PROMPT]') AS prompt, len([p FOR p IN {v.pieces('text')} IF p = '[/INST]']) AS c FROM facts)""",
     ),
 }
 
@@ -675,6 +675,7 @@ _VERIFY = {
   UNION ALL SELECT 'text_has_marker', opens::BIGINT FROM counts
   UNION ALL SELECT 'ids_have_marker', closes::BIGINT FROM counts
   UNION ALL SELECT 'marker_occurrences', occurrences::BIGINT FROM counts
+  UNION ALL SELECT 'ids_have_system_prompt', prompted::BIGINT FROM counts
   UNION ALL SELECT 'has_trainable', trained::BIGINT FROM counts
   UNION ALL SELECT 'ids_and_mask_differ', 0 FROM counts""",
         **_VERIFY,

@@ -151,6 +151,16 @@ def test_bpe_keeps_markers_whole_and_round_trips(spark, tables):
     assert bad.count() == 0
 
 
+def test_second_bos_on_request(spark):
+    df = spark.createDataFrame([(1, [("user", "a"), ("assistant", "b")])], CHAT)
+    row = examples.encode_chats(df, ["conv_id"], TOK, 100, add_bos=True).first()
+    bos = TOK.special_id("<s>")
+    assert row["input_ids"][:2] == [bos, bos] and row["labels"][0] == -100
+    assert len(row["input_ids"]) == len(row["labels"]) == len(row["attention_mask"])
+    texts = spark.createDataFrame([("x",)], "text string")
+    assert examples.encode_texts(texts, [], TOK, 9, add_bos=True).first()["labels"][0] == bos
+
+
 def test_rendered_text_equals_plain_python(spark, tables):
     from checks import views
 

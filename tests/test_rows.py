@@ -245,6 +245,12 @@ def test_packing_equals_plain_python(spark, batch):
         ids = place[b["chunk"], b["idx"]]
         body = bodies[b["chunk"], b["bin"]]
         assert body[b["bin_start"] : b["bin_start"] + b["n_tokens"]] == ids
+    # Without labels of their own, rows are labelled with their ids.
+    plain = packing.pack_sequences(df.drop("labels"), limit, -1).collect()
+    assert sorted((r["chunk"], r["bin"], r["input_ids"], r["n_tokens"]) for r in plain) == got
+    for r in plain:
+        n = r["n_tokens"]
+        assert r["labels"] == r["input_ids"][:n] + [-100] * (limit - n)
     check = packing.length_check(packing.pack_sequences(df, limit, -1), limit).first()
     assert check["stackable"] and check["min_size"] == check["max_size"] == limit
 

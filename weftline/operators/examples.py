@@ -17,7 +17,6 @@ from weftline.functions.templates import (
     render_error,
     rich_messages,
     segments,
-    segments_text,
 )
 from weftline.functions.text import is_nonblank
 from weftline.functions.tokens import BpeTokenizer, RegexTokenizer
@@ -109,7 +108,7 @@ def usable_chats(
     """
     shown = rendered(df.where(has_messages(F.col(column))), template, column, options)
     kept = shown.where(F.col("error").isNull()).where(
-        tokenizer.has_token(segments_text(F.col("segments")))
+        F.exists("segments", lambda s: tokenizer.has_token(s["text"]))
     )
     return kept.select(*df.columns)
 
@@ -122,8 +121,14 @@ def encode_chats(
     template: str = "simple",
     column: str = "messages",
     options: RenderOptions | None = None,
+    add_bos: bool = False,
 ) -> DataFrame:
-    """(keep, input_ids, attention_mask, labels) of usable chats, row by row."""
+    """(keep, input_ids, attention_mask, labels) of usable chats, row by row.
+
+    ``add_bos`` puts a BOS before the text's own, as tokenizers that add
+    special tokens by themselves do.
+    """
+    extra = [tokenizer.special_id(tokenizer.markers.bos)] if add_bos else []
     chat = _template_input(df, template, column)
     encoded = df.select(
         *keep, encode_segments(segments(chat, template, options), tokenizer).alias("_e")
@@ -131,12 +136,18 @@ def encode_chats(
     return with_mask(
         encoded.select(
             *keep,
-            truncate(joined_ids(F.col("_e")), max_length).alias("input_ids"),
-            truncate(joined_labels(F.col("_e")), max_length).alias("labels"),
+            truncate(_led(joined_ids(F.col("_e")), extra), max_length).alias("input_ids"),
+            truncate(
+                _led(joined_labels(F.col("_e")), [IGNORE_INDEX] * len(extra)), max_length
+            ).alias("labels"),
         )
     )
 
 
+def _led(ids: Column, lead: list[int]) -> Column:
+    return F.concat(F.array(*map(F.lit, lead)), ids) if lead else ids
+
+
 def with_mask(df: DataFrame) -> DataFrame:
     """Add the all-ones attention mask of unpadded rows."""
     rest = [c for c in df.columns if c not in ("input_ids", "labels")]
@@ -188,12 +199,17 @@ def usable_texts(df: DataFrame, tokenizer: Tokenizer, column: str = "text") -> D
 
 
 def encode_texts(
-    df: DataFrame, keep: list[str], tokenizer: Tokenizer, max_length: int, column: str = "text"
+    df: DataFrame,
+    keep: list[str],
+    tokenizer: Tokenizer,
+    max_length: int,
+    column: str = "text",
+    add_bos: bool = False,
 ) -> DataFrame:
     """(keep, input_ids, attention_mask, labels); labels equal the ids."""
-    cut = df.select(
-        *keep, truncate(tokenizer.encode(F.col(column)), max_length).alias("input_ids")
-    )
+    lead = [tokenizer.special_id(tokenizer.markers.bos)] if add_bos else []
+    ids = _led(tokenizer.encode(F.col(column)), lead)
+    cut = df.select(*keep, truncate(ids, max_length).alias("input_ids"))
     return with_mask(cut.withColumn("labels", F.col("input_ids")))
 
 

@@ -21,7 +21,7 @@ from weftline.params import IGNORE_INDEX
 
 PACKED = (
     "split string, shard bigint, chunk bigint, bin bigint, n_rows bigint, n_tokens bigint, "
-    "input_ids array<int>, labels array<int>"
+    "input_ids array<int>"
 )
 BINS = (
     "split string, shard bigint, chunk bigint, idx bigint, bin bigint, "
@@ -75,34 +75,37 @@ def _group_edges(*keys: np.ndarray) -> np.ndarray:
 class _OpenBin:
     """The bin that the next row of the same chunk may still join."""
 
-    def __init__(self, key, number=0):
+    def __init__(self, key, n_lists, number=0):
         self.key, self.number, self.rows = key, number, 0
-        self.ids = np.empty(0, dtype=np.int32)
-        self.labels = np.empty(0, dtype=np.int32)
+        self.lists = [np.empty(0, dtype=np.int32)] * n_lists
 
+    def __len__(self):
+        return len(self.lists[0])
+
+
+def _pack_batches(limit: int, pads: dict[str, int]):
+    """Packer of the list columns in ``pads``, each filled up with its value."""
+    names = list(pads)
 
-def _pack_batches(limit: int, pad_id: int):
     def closed(bins: list[_OpenBin]) -> pa.RecordBatch:
         n = len(bins)
-        ids = np.full((n, limit), pad_id, dtype=np.int32)
-        labels = np.full((n, limit), IGNORE_INDEX, dtype=np.int32)
-        for k, b in enumerate(bins):
-            ids[k, : len(b.ids)] = b.ids
-            labels[k, : len(b.labels)] = b.labels
         edges = pa.array(np.arange(0, (n + 1) * limit, limit, dtype=np.int32))
+        filled = []
+        for j, name in enumerate(names):
+            out = np.full((n, limit), pads[name], dtype=np.int32)
+            for k, b in enumerate(bins):
+                out[k, : len(b)] = b.lists[j]
+            filled.append(pa.ListArray.from_arrays(edges, pa.array(out.ravel())))
         columns = [
             pa.array([b.key[0] for b in bins], pa.string()),
             pa.array([b.key[1] for b in bins], pa.int64()),
             pa.array([b.key[2] for b in bins], pa.int64()),
             pa.array([b.number for b in bins], pa.int64()),
             pa.array([b.rows for b in bins], pa.int64()),
-            pa.array([len(b.ids) for b in bins], pa.int64()),
-            pa.ListArray.from_arrays(edges, pa.array(ids.ravel())),
-            pa.ListArray.from_arrays(edges, pa.array(labels.ravel())),
+            pa.array([len(b) for b in bins], pa.int64()),
         ]
         return pa.RecordBatch.from_arrays(
-            columns,
-            names=[*PLACE, "bin", "n_rows", "n_tokens", "input_ids", "labels"],
+            [*columns, *filled], names=[*PLACE, "bin", "n_rows", "n_tokens", *names]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,33 +116,31 @@ def _pack_batches(limit: int, pad_id: int):
             if batch.num_rows == 0:
                 continue
             places = _places(batch)
-            all_ids, id_offsets = _flat(batch.column("input_ids"))
-            all_labels, label_offsets = _flat(batch.column("labels"))
-            all_ids, offsets = _truncate(all_ids, id_offsets, limit)
-            all_labels, _ = _truncate(all_labels, label_offsets, limit)
+            lists, offsets = [], None
+            for name in names:
+                values, offsets = _truncate(*_flat(batch.column(name)), limit)
+                lists.append(values)
             edges = _group_edges(*places)
             for a, z in zip(edges[:-1], edges[1:]):
                 key = tuple(p[a] for p in places)
                 if current is None or current.key != key:
                     if current is not None:
                         done.append(current)
-                    current = _OpenBin(key)
+                    current = _OpenBin(key, len(names))
                 # The open bin takes part as if it were the first row.
-                carried = len(current.ids)
-                lengths = np.concatenate(([carried], np.diff(offsets[a : z + 1])))
+                lengths = np.concatenate(([len(current)], np.diff(offsets[a : z + 1])))
                 starts = next_fit(lengths, limit)
                 bounds = np.append(starts, len(lengths)) - 1  # row 0 is the open bin
                 for k in range(len(starts)):
                     first, last = max(int(bounds[k]), 0), int(bounds[k + 1])
+                    lo, hi = offsets[a + first], offsets[a + last]
                     if k:
                         done.append(current)
-                        current = _OpenBin(key, current.number + 1)
-                    lo, hi = offsets[a + first], offsets[a + last]
-                    if carried and k == 0:
-                        current.ids = np.concatenate((current.ids, all_ids[lo:hi]))
-                        current.labels = np.concatenate((current.labels, all_labels[lo:hi]))
-                    else:
-                        current.ids, current.labels = all_ids[lo:hi], all_labels[lo:hi]
+                        current = _OpenBin(key, len(names), current.number + 1)
+                    current.lists = [
+                        np.concatenate((held, values[lo:hi])) if len(held) else values[lo:hi]
+                        for held, values in zip(current.lists, lists)
+                    ]
                     current.rows += last - first
                     if len(done) >= most:
                         yield closed(done)
@@ -162,24 +163,37 @@ def arrange_chunks(df: DataFrame) -> DataFrame:
 
 
 def pack_arranged(rows: DataFrame, max_length: int, pad_id: int) -> DataFrame:
-    """:func:`pack_sequences` of rows that :func:`arrange_chunks` has placed."""
-    wanted = rows.select(*PLACE, "input_ids", "labels")
-    packed = wanted.mapInArrow(_pack_batches(max_length, pad_id), PACKED)
+    """:func:`pack_sequences` of rows that :func:`arrange_chunks` has placed.
+
+    Rows without ``labels`` get their ids as labels; only the ids are packed
+    then, and the labels are made from them.
+    """
+    own_labels = "labels" in rows.columns
+    pads = {"input_ids": pad_id, **({"labels": IGNORE_INDEX} if own_labels else {})}
+    schema = PACKED + (", labels array<int>" if own_labels else "")
+    packed = rows.select(*PLACE, *pads).mapInArrow(_pack_batches(max_length, pads), schema)
     n = F.col("n_tokens").cast("int")
-    mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), max_length - n))
-    return packed.select(
-        *PLACE, "bin", "n_rows", "n_tokens", "input_ids",
-        mask.alias("attention_mask"), "labels",
+
+    def filled(body: Column, value: int) -> Column:
+        return F.concat(body, F.array_repeat(F.lit(value), max_length - n))
+
+    labels = (
+        F.col("labels")
+        if own_labels
+        else filled(F.slice("input_ids", F.lit(1), n), IGNORE_INDEX).alias("labels")
     )
+    mask = filled(F.array_repeat(F.lit(1), n), 0).alias("attention_mask")
+    return packed.select(*PLACE, "bin", "n_rows", "n_tokens", "input_ids", mask, labels)
 
 
 def pack_sequences(df: DataFrame, max_length: int, pad_id: int) -> DataFrame:
-    """Pack (split, shard, chunk, idx, input_ids, labels) into rows of ``max_length``.
+    """Pack (split, shard, chunk, idx, input_ids[, labels]) into rows of ``max_length``.
 
     Longer rows are cut to ``max_length`` first. Padding carries the pad id,
     mask 0 and the ignored label.
     """
-    rows = arrange_chunks(df.select(*PLACE, "idx", "input_ids", "labels"))
+    lists = [c for c in ("input_ids", "labels") if c in df.columns]
+    rows = arrange_chunks(df.select(*PLACE, "idx", *lists))
     return pack_arranged(rows, max_length, pad_id)
 
 

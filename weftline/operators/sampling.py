@@ -88,10 +88,11 @@ def balance(
     least = {t: p.min_rows for t, p in policy.items() if p.min_rows is not None}
     marks = (df if marks is None else marks).select(*keys, "task")
 
-    # One row per task that occurs: the token list bounds it.
-    sizes = marks.groupBy("task").agg(F.count("*").alias("class_size"))
+    # At most one row per task of the policy, whatever other tasks there are.
+    ruled = F.col("task").isin(*policy)
+    sizes = marks.where(ruled).groupBy("task").agg(F.count("*").alias("class_size"))
     short = F.coalesce(F.col("class_size") < _wanted(least), F.lit(False))
-    rules = sizes.withColumn("_short", short)
+    rules = sizes.select("task", short.alias("_short"))
     if most:
         cut = cutoffs(
             marks.where(F.col("task").isin(*most)),
@@ -106,8 +107,8 @@ def balance(
     uncapped = ~F.col("task").isin(*most) if most else F.lit(True)
     within = F.coalesce(order_key(seed, "task", *keys) <= F.col("cutoff"), F.lit(False))
     once = (
-        df.join(F.broadcast(rules.where(~F.col("_short"))), "task")
-        .where(uncapped | within)
+        df.join(F.broadcast(rules), "task", "left")
+        .where(~F.coalesce("_short", F.lit(False)) & (uncapped | within))
         .select(*df.columns, F.lit(None).cast("bigint").alias("draw"))
     )
     if not least:

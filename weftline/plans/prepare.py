@@ -101,7 +101,8 @@ def prepare_pretrain(
     kept = usable_texts(split, tokenizer, column).select(*keys, "split", column)
 
     def encode(df: DataFrame, keep: list[str]) -> DataFrame:
-        return encode_texts(df, keep, tokenizer, params.max_seq_length, column)
+        rows = encode_texts(df, keep, tokenizer, params.max_seq_length, column)
+        return rows.drop("labels") if params.use_packing else rows
 
     return packed_or_padded(kept, keys, tokenizer, params, encode)
 

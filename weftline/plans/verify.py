@@ -22,8 +22,8 @@ def verify_dataset(
     """(check, n) over every row, in one scan.
 
     Counts rows, rows that do not render, rows whose text holds the opening
-    marker, rows whose ids hold the closing one and how often, rows with a
-    trainable token, and rows where ids and mask differ in size.
+    marker, rows whose ids hold the closing one and how often, rows whose ids
+    hold a system prompt, rows with a trainable token, and rows where ids and mask differ in size.
     """
     shown = rendered(chat_column(df), template)
     encoded = shown.withColumn("_e", encode_segments(F.col("segments"), tokenizer))
@@ -33,6 +33,9 @@ def verify_dataset(
         F.size(
             positions_of(joined_ids(F.col("_e")), tokenizer.special_id(id_marker))
         ).alias("closes"),
+        F.array_contains(
+            joined_ids(F.col("_e")), tokenizer.special_id("[SYSTEM_PROMPT]")
+        ).alias("prompted"),
         F.array_contains(joined_mask(F.col("_e")), 1).alias("trainable"),
         (F.size(joined_ids(F.col("_e"))) == F.size(joined_mask(F.col("_e")))).alias("aligned"),
     )
@@ -44,6 +47,7 @@ def verify_dataset(
         "marker_occurrences": F.coalesce(
             F.sum(F.when(F.col("closes") > 0, F.col("closes"))), F.lit(0)
         ),
+        "ids_have_system_prompt": F.count_if("prompted"),
         "has_trainable": F.count_if("trainable"),
         "ids_and_mask_differ": F.count_if(~F.col("aligned")),
     }
