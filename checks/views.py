@@ -236,11 +236,29 @@ def pieces(text: str) -> str:
     return f"regexp_extract_all({text}, {PATTERN})"
 
 
+def _crc_table() -> str:
+    """The 256 remainders of the CRC-32 polynomial, as an SQL list."""
+    table = []
+    for k in range(256):
+        for _ in range(8):
+            k = (k >> 1) ^ (0xEDB88320 if k & 1 else 0)
+        table.append(k)
+    return "[" + ", ".join(map(str, table)) + "]::BIGINT[]"
+
+
+CRC_TABLE = _crc_table()
+
+
 def piece_id(p: str) -> str:
     slot = f"coalesce(list_position({SPECIAL_LIST}, {p}), 0)"
+    octets = f"[('0x' || substr(hex({p}), 2 * o + 1, 2))::BIGINT FOR o IN range(length(hex({p})) // 2)]"
+    crc = (
+        f"xor(list_reduce({octets}, lambda c, b: "
+        f"xor(c >> 8, ({CRC_TABLE})[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+    )
     return (
         f"CASE WHEN {slot} > 0 THEN {FIRST_SPECIAL_ID - 1} + {slot} "
-        f"ELSE ('0x' || substr(md5({p}), 1, 7))::BIGINT END"
+        f"ELSE {crc} & {FIRST_SPECIAL_ID - 1} END"
     )
 
 

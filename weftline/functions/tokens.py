@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,8 +23,9 @@ from weftline.params import SPECIALS, SpecialTokens
 WORDS = r"\p{L}+|\p{N}+"
 OTHER = r"[^ \t\n\x0B\f\r\p{L}\p{N}]"  # one visible character
 
-# Ordinary ids are seven hex digits of an md5; specials are numbered above them.
-FIRST_SPECIAL_ID = 1 << 28
+# An ordinary id is the low 30 bits of its piece's CRC-32, so no vocabulary has
+# to be built or joined to encode; specials are numbered above them.
+FIRST_SPECIAL_ID = 1 << 30
 
 
 @dataclass(frozen=True)
@@ -51,15 +53,16 @@ class RegexTokenizer:
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
 
     def piece_id(self, piece: Column) -> Column:
-        hashed = F.conv(F.substring(F.md5(piece), 1, 7), 16, 10).cast("int")
+        hashed = F.crc32(piece).bitwiseAND(F.lit(FIRST_SPECIAL_ID - 1)).cast("int")
         if not self.specials:
             return hashed
         # Only pieces that start like a special are looked up.
         starts = sorted({s[0] for s in self.specials})
+        like_special = reduce(or_, [F.startswith(piece, F.lit(c)) for c in starts])
         table = F.array(*[F.lit(s) for s in self.specials])
         slot = F.array_position(table, piece).cast("int")
         special = F.when(slot > 0, F.lit(FIRST_SPECIAL_ID - 1) + slot).otherwise(hashed)
-        return F.when(F.substring(piece, 1, 1).isin(*starts), special).otherwise(hashed)
+        return F.when(like_special, special).otherwise(hashed)
 
     def encode(self, text: Column) -> Column:
         return F.transform(self.pieces(text), self.piece_id)
@@ -168,7 +171,7 @@ class BpeTokenizer:
 def vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) -> DataFrame:
     """(token_id, piece, n, n_pieces): the pieces that occur, by id.
 
-    ``n`` counts all occurrences of the id. Ids are 28-bit hashes, so a large
+    ``n`` counts all occurrences of the id. Ids are 30-bit hashes, so a large
     vocabulary has pieces that share one; ``piece`` is then the most frequent
     of the ``n_pieces``. Counts combine before each shuffle, so a very frequent
     piece costs one row per task.
