@@ -192,6 +192,16 @@ def test_chunks(spark, n, shards, rows):
     assert got == want
 
 
+@pytest.mark.parametrize("most", [0, 1_000_000])
+@pytest.mark.parametrize("shards, rows", [(1, 1), (4, 7), (64, 1000)])
+def test_chunks_from_bounds_equal_chunks_from_the_index(spark, most, shards, rows):
+    df = spark.range(500).withColumn("split", F.when(F.col("id") % 9 == 0, "validation").otherwise("train"))
+    indexed = indexing.dense_index(df, ["id"], groups=("split",), total="total")
+    want = indexing.assign_chunks(indexed, shards, rows).select("id", "split", "shard", "chunk")
+    got = indexing.place_in_chunks(df, ["id"], 42, shards, rows, ("split",), most_broadcast=most)
+    assert sorted(got.select("id", "split", "shard", "chunk").collect()) == sorted(want.collect())
+
+
 # ------------------------------------------------------------ packing, padding
 
 

@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.session import staged
+
 KEY = "_order_key"
 BUCKET = "_bucket"
 HEX_DIGITS = 4  # 65,536 buckets: about 1.5 GB each when 100 TB are numbered
@@ -36,7 +38,11 @@ def bucket_counts(keyed: DataFrame, groups: list[str]) -> DataFrame:
     At most 16**digits rows per group, whatever the table's size; the counts
     combine inside each task before they are shuffled.
     """
-    counts = keyed.groupBy(*groups, BUCKET).agg(F.count("*").alias("n"))
+    return running_counts(keyed.groupBy(*groups, BUCKET).agg(F.count("*").alias("n")), groups)
+
+
+def running_counts(counts: DataFrame, groups: list[str]) -> DataFrame:
+    """Add ``before`` and ``total`` to (groups, bucket, n)."""
     whole = Window.partitionBy(*groups) if groups else Window.partitionBy()
     earlier = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
@@ -126,10 +132,87 @@ def assign_chunks(
         larger + F.floor((i - edge) / F.greatest(small, F.lit(1)))
     )
     with_shard = indexed.withColumn("shard", shard.cast("bigint"))
-    s = F.col("shard")
-    start = s * small + F.least(s, larger)
     return with_shard.withColumn(
-        "chunk", F.floor((i - start) / chunk_rows).cast("bigint")
+        "chunk", F.floor(_place_in_shard(i, n, num_shards) / chunk_rows).cast("bigint")
+    )
+
+
+def _place_in_shard(i: Column, n: Column, num_shards: int) -> Column:
+    s = F.col("shard")
+    return i - (s * F.floor(n / num_shards) + F.least(s, n % num_shards))
+
+
+def chunk_bounds(
+    df: DataFrame,
+    keys: list[str],
+    seed: int,
+    num_shards: int,
+    chunk_rows: int,
+    groups: tuple[str, ...] = (),
+    digits: int = HEX_DIGITS,
+) -> DataFrame:
+    """(groups, bucket, bounds): the order keys at which chunks begin.
+
+    Only order keys are shuffled and ranked, not the rows. ``bounds`` lists a
+    bucket's first key and the first key of every chunk that begins in it, with
+    shard and chunk: one entry per ``chunk_rows`` rows, and one per bucket.
+    """
+    groups = list(groups)
+    light = with_order_key(df, keys, seed, digits).select(*groups, KEY, BUCKET)
+    inside = Window.partitionBy(*groups, BUCKET)
+    ranked = light.select(
+        "*",
+        F.row_number().over(inside.orderBy(KEY)).alias("_rn"),
+        F.count("*").over(inside).alias("_n"),
+    )
+    # Read off the ranked keys, so both sides share one exchange.
+    sizes = ranked.where(F.col("_rn") == F.col("_n")).select(
+        *groups, BUCKET, F.col("_n").alias("n")
+    )
+    joined = ranked.join(running_counts(sizes, groups).drop("n"), [*groups, BUCKET])
+    placed = assign_chunks(
+        joined.withColumn("idx", F.col("before") + F.col("_rn") - 1), num_shards, chunk_rows
+    )
+    begins = (
+        _place_in_shard(F.col("idx"), F.col("total"), num_shards) % chunk_rows == 0
+    ) | (F.col("_rn") == 1)
+    bound = F.struct(F.col(KEY).alias("key"), "shard", "chunk")
+    return (
+        placed.where(begins)
+        .groupBy(*groups, BUCKET)
+        .agg(F.sort_array(F.collect_list(bound)).alias("bounds"))
+    )
+
+
+def place_in_chunks(
+    df: DataFrame,
+    keys: list[str],
+    seed: int,
+    num_shards: int,
+    chunk_rows: int,
+    groups: tuple[str, ...] = (),
+    most_broadcast: int = 1_000_000,
+) -> DataFrame:
+    """Add ``shard``, ``chunk`` and the order key, without moving the rows.
+
+    Gives the chunks of :func:`dense_index` and :func:`assign_chunks`, but a
+    row finds its chunk by comparing its key with the written chunk bounds.
+    These are counted first: up to ``most_broadcast`` of them (some 60 MB, so
+    ten billion rows in chunks of 10,000) are broadcast; beyond that the rows
+    are joined with them by bucket.
+    """
+    bounds = staged(
+        chunk_bounds(df, keys, seed, num_shards, chunk_rows, groups), "bounds"
+    )
+    n_bounds = bounds.agg(F.sum(F.size("bounds"))).first()[0] or 0
+    if n_bounds <= most_broadcast:
+        bounds = F.broadcast(bounds)
+    last = F.element_at(F.filter("bounds", lambda b: b["key"] <= F.col(KEY)), -1)
+    return (
+        with_order_key(df, keys, seed)
+        .join(bounds, [*groups, BUCKET])
+        .withColumn("_at", last)
+        .select(*df.columns, KEY, F.col("_at.shard").alias("shard"), F.col("_at.chunk").alias("chunk"))
     )
 
 

@@ -153,13 +153,13 @@ def _pack_batches(limit: int, pads: dict[str, int]):
     return run
 
 
-def arrange_chunks(df: DataFrame) -> DataFrame:
+def arrange_chunks(df: DataFrame, order: str = "idx") -> DataFrame:
     """Bring every chunk's rows into one task, in order: the packing shuffle.
 
     Row-by-row work on the result keeps the arrangement, so rows can be moved
     as text and encoded afterwards.
     """
-    return df.repartition(*PLACE).sortWithinPartitions(*PLACE, "idx")
+    return df.repartition(*PLACE).sortWithinPartitions(*PLACE, order)
 
 
 def pack_arranged(rows: DataFrame, max_length: int, pad_id: int) -> DataFrame:

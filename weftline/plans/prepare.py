@@ -15,10 +15,11 @@ from weftline.operators.examples import (
     usable_chats,
     usable_texts,
 )
-from weftline.operators.indexing import assign_chunks, dense_index
+from weftline.operators.indexing import KEY, dense_index, place_in_chunks
 from weftline.operators.packing import PLACE, arrange_chunks, pack_arranged, pad_batches
 from weftline.operators.sampling import split_train_eval
 from weftline.params import DataParams
+from weftline.session import staged
 from weftline.sources.splits import resolve_splits
 
 
@@ -31,17 +32,20 @@ def packed_or_padded(
 ) -> DataFrame:
     """Put the rows of each split in seeded order, then pack or pad them.
 
-    Rows move as they come, as text or messages, and ``encode`` turns them into
-    ids after the last shuffle: text is smaller than its ids, mask and labels.
+    For packing the rows move once, as they come, as text or messages;
+    ``encode`` turns them into ids after that shuffle, since text is smaller
+    than its ids, mask and labels.
     """
     encode = encode or (lambda df, keep: df)
-    indexed = dense_index(rows, keys, params.seed, groups=("split",), total="total")
     if params.use_packing:
-        chunks = assign_chunks(indexed, params.num_shards, params.chunk_rows)
-        placed = arrange_chunks(chunks.drop("total"))
+        chunks = place_in_chunks(
+            rows, keys, params.seed, params.num_shards, params.chunk_rows, groups=("split",)
+        )
+        placed = arrange_chunks(chunks, order=KEY)
         return pack_arranged(
             encode(placed, PLACE), params.max_seq_length, tokenizer.pad_id
         )
+    indexed = dense_index(rows, keys, params.seed, groups=("split",))
     return pad_batches(
         encode(indexed, [*keys, "split", "idx"]),
         params.batch_rows,
@@ -80,7 +84,10 @@ def prepare_instruction_log(
     options: RenderOptions | None = None,
 ) -> DataFrame:
     """:func:`prepare_instruction` from a message log, never gathering a whole
-    chat: only what the sequence length keeps of it is brought together."""
+    chat: only what the sequence length keeps of it is brought together.
+
+    The examples are written once, because numbering and packing both read them.
+    """
     chat_ids = log.select("conv_id").distinct()
     examples = split_train_eval(
         examples_from_log(log, tokenizer, params.max_seq_length, template, options),
@@ -89,7 +96,7 @@ def prepare_instruction_log(
         params.seed,
         population=chat_ids,
     )
-    return packed_or_padded(examples, ["conv_id"], tokenizer, params)
+    return packed_or_padded(staged(examples, "examples"), ["conv_id"], tokenizer, params)
 
 
 def prepare_pretrain(
