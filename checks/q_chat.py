@@ -306,7 +306,7 @@ _PIECE_COUNTS = (
 @query(
     "special_vocab",
     v.with_views(
-        f"SELECT token, {v.FIRST_SPECIAL_ID - 1} + list_position({v.SPECIAL_LIST}, token) AS token_id, "
+        f"SELECT token, ({v.FIRST_SPECIAL_ID - 1} + list_position({v.SPECIAL_LIST}, token))::BIGINT AS token_id, "
         f"coalesce(n, 0) AS n FROM (SELECT unnest({v.SPECIAL_LIST}) AS token) "
         "LEFT JOIN piece_counts ON piece = token",
         tagged_text=_TAGGED_TEXT,

@@ -83,11 +83,19 @@ def dense_index(
     )
 
 
-def seeded_shuffle(df: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:
-    """A reproducible permutation: a range-partitioned sort by the order key."""
-    return (
-        df.withColumn(KEY, order_key(seed, *keys)).orderBy(KEY, *keys).drop(KEY)
-    )
+def seeded_shuffle(
+    df: DataFrame, keys: list[str], seed: int = 42, partitions: int | None = None
+) -> DataFrame:
+    """A reproducible permutation: partitions and rows in order-key order.
+
+    Order keys are uniform, so a row's partition follows from its key. A sort
+    would first read all rows once more to sample its ranges.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = with_order_key(df, keys, seed)
+    bucket = F.conv(BUCKET, 16, 10).cast("bigint")
+    target = F.floor(bucket * n / 16**HEX_DIGITS).cast("int")
+    return keyed.repartitionById(n, target).sortWithinPartitions(KEY, *keys).select(*df.columns)
 
 
 def head_rows(df: DataFrame, order: list[str], k: int) -> DataFrame:
