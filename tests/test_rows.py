@@ -128,6 +128,8 @@ def test_index_split_and_shuffle_do_not_depend_on_partitions(spark, parts):
 @pytest.mark.parametrize("n, share", [(21, 0.05), (1, 0.05), (100, 0.05), (10, 0.0), (7, 1.0), (0, 0.5)])
 def test_split_sizes(spark, n, share):
     got = sampling.split_train_eval(spark.range(n), ["id"], share)
+    fixed = sampling.split_train_eval(spark.range(n), ["id"], share, fixed=True)
+    assert sorted(fixed.collect()) == sorted(got.collect())
     assert got.where("split = 'validation'").count() == math.ceil(share * n)
     assert got.count() == n
 

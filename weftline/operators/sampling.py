@@ -33,13 +33,25 @@ def split_train_eval(
     test_size: float = 0.05,
     seed: int = 42,
     population: DataFrame | None = None,
+    fixed: bool = False,
 ) -> DataFrame:
     """Add ``split``: exactly ``ceil(test_size * n)`` rows are ``validation``.
 
     ``population`` holds the keys to split when ``df`` is a part of them or has
-    several rows per key.
+    several rows per key. ``fixed`` finds the one cutoff key now, so that
+    several jobs over the result do not each look for it.
     """
-    cut = cutoffs(df if population is None else population, keys, seed, lambda n: F.ceil(n * F.lit(float(test_size)))).scalar()
+    found = cutoffs(
+        df if population is None else population,
+        keys,
+        seed,
+        lambda n: F.ceil(n * F.lit(float(test_size))),
+    )
+    if fixed:
+        row = found.first()
+        cut = F.lit(row["cutoff"] if row else None).cast("string")
+    else:
+        cut = found.scalar()
     is_eval = F.coalesce(order_key(seed, *keys) <= cut, F.lit(False))
     return df.withColumn(
         "split", F.when(is_eval, F.lit("validation")).otherwise(F.lit("train"))

@@ -63,7 +63,7 @@ def prepare_instruction(
     options: RenderOptions | None = None,
 ) -> DataFrame:
     """Split, render, encode, label and pack (or pad) chats."""
-    split = resolve_splits(chats, keys, params.validation_split, params.seed)
+    split = resolve_splits(chats, keys, params.validation_split, params.seed, fixed=True)
     kept = usable_chats(split, tokenizer, template, options=options)
 
     def encode(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -95,6 +95,7 @@ def prepare_instruction_log(
         params.validation_split,
         params.seed,
         population=chat_ids,
+        fixed=True,
     )
     return packed_or_padded(staged(examples, "examples"), ["conv_id"], tokenizer, params)
 
@@ -104,7 +105,7 @@ def prepare_pretrain(
 ) -> DataFrame:
     """Split, encode and pack (or pad) raw text."""
     column = params.text_column
-    split = resolve_splits(texts, keys, params.validation_split, params.seed)
+    split = resolve_splits(texts, keys, params.validation_split, params.seed, fixed=True)
     kept = usable_texts(split, tokenizer, column).select(*keys, "split", column)
 
     def encode(df: DataFrame, keep: list[str]) -> DataFrame:

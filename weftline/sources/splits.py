@@ -9,7 +9,11 @@ from weftline.operators.sampling import split_train_eval
 
 
 def resolve_splits(
-    df: DataFrame, keys: list[str], test_size: float = 0.05, seed: int = 42
+    df: DataFrame,
+    keys: list[str],
+    test_size: float = 0.05,
+    seed: int = 42,
+    fixed: bool = False,
 ) -> DataFrame:
     """Rows of the train and evaluation split, as ``train`` and ``validation``.
 
@@ -17,7 +21,7 @@ def resolve_splits(
     ``train``, or no split at all, an exact share is split off.
     """
     if "split" not in df.columns:
-        return split_train_eval(df, keys, test_size, seed)
+        return split_train_eval(df, keys, test_size, seed, fixed=fixed)
     # One row, whatever the table's size; only the split column is read.
     seen = df.agg(
         *[F.coalesce(F.bool_or(F.col("split") == s), F.lit(False)).alias(s)
@@ -28,6 +32,6 @@ def resolve_splits(
     held_out = next((s for s in ("validation", "test") if seen[s]), None)
     if held_out is None:
         train = df.where(F.col("split") == "train").drop("split")
-        return split_train_eval(train, keys, test_size, seed)
+        return split_train_eval(train, keys, test_size, seed, fixed=fixed)
     named = F.when(F.col("split") == "train", F.lit("train")).otherwise(F.lit("validation"))
     return df.where(F.col("split").isin("train", held_out)).withColumn("split", named)
