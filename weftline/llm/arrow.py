@@ -38,13 +38,14 @@ def add_columns(
     both = df.select(*[F.col(f"`{k}`") for k in keep], *[c.alias(n) for n, c in names.items()])
     k = len(keep)
     fields = T.StructType.fromDDL(added)
+    inputs, outputs = list(read), [*keep, *fields.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in slices(batches, rows):
-            got = {n[len("_read_") :]: batch.column(k + i) for i, n in enumerate(names)}
+            got = {name: batch.column(k + i) for i, name in enumerate(inputs)}
             columns = [batch.column(i) for i in range(k)] + list(work(got))
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *fields.names])
+            yield pa.RecordBatch.from_arrays(columns, names=outputs)
 
     schema = T.StructType([*both.schema.fields[:k], *fields.fields])
     return both.mapInArrow(run, schema)
