@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import byte_bpe
+from weftline.llm import byte_bpe, jaccard_join, language_id, line_dedup, packing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,122 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Of every document the words, A-Z lowered.
+WORDS_SQL = rf"""
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents"""
+
+
+@query(
+    "op1_jaccard_join",
+    f"""
+    WITH RECURSIVE words AS ({WORDS_SQL}),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+            ELSE list_distinct([w[i : i + 4] FOR i IN range(1, len(w) - 3)]) END AS s FROM words),
+    parts AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+    shared AS (
+        SELECT a.doc_id AS p, b.doc_id AS q, a.n AS n, b.n AS m, count(*) AS k
+        FROM parts a JOIN parts b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT p, q FROM shared WHERE 100 * k >= 80 * (n + m - k)),
+    reach(doc_id, v) AS (
+        SELECT doc_id, doc_id FROM sets
+        UNION SELECT r.doc_id, l.q FROM reach r JOIN links l ON l.p = r.v)
+    SELECT doc_id, any_value(len(s))::BIGINT AS n_shingles, min(v) AS component_id
+    FROM reach JOIN sets USING (doc_id) GROUP BY doc_id""",
+)
+def op1(spark: SparkSession, root: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, root, "documents"))
+
+
+# Lines with their place and key, and the keys that only one document keeps.
+LINES_SQL = f"""
+    lines AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+            generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+    keyed AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            '{UPPER}', '{LOWER}') AS k FROM lines),
+    repeated AS (
+        SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40
+        GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+    marked AS (
+        SELECT doc_id, i, line, keeper IS NOT NULL AND keeper <> doc_id AS gone
+        FROM keyed LEFT JOIN repeated USING (k))"""
+
+
+@query(
+    "op2_line_dedup",
+    f"""
+    WITH {LINES_SQL}
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id""",
+)
+def op2(spark: SparkSession, root: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, root, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, root: str) -> DataFrame:
+    """Learn from four folds of five, then predict every document; SQL has no such model."""
+    documents = table(spark, root, "documents")
+    fold = language_id.held_out(F.col("doc_id"))
+    model = language_id.learn(documents.where(~fold))
+    return language_id.identify(documents.withColumn("held_out", fold), ["doc_id", "held_out"], model)
+
+
+RULES_SQL = r"""
+    docs AS (
+        SELECT doc_id, coalesce(source, '') AS host, text AS copy, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS n FROM (
+            SELECT doc_id, generate_subscripts(threes, 1) AS i, unnest(threes) AS three FROM (
+                SELECT doc_id, [w[i : i + 2] FOR i IN range(1, len(w) - 1)] AS threes FROM docs))),
+    repeats AS (
+        SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+        FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n >= 2) GROUP BY doc_id),
+    raw AS (
+        SELECT doc_id, host, copy, line FROM docs, unnest(string_split(t, chr(10))) AS u(line)
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    dups AS (
+        SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM raw GROUP BY doc_id),
+    norm AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k,
+            len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM raw),
+    common AS (
+        SELECT host, k, min(doc_id) AS keeper FROM norm GROUP BY host, k
+        HAVING count(DISTINCT copy) > 100),
+    losses AS (
+        SELECT doc_id, sum(n)::BIGINT AS n_removed FROM norm JOIN common USING (host, k)
+        WHERE doc_id <> keeper GROUP BY doc_id),
+    judged AS (
+        SELECT doc_id, len(w)::BIGINT AS n_words,
+            length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+            coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+            coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+            coalesce(n_removed, 0)::BIGINT AS n_removed
+        FROM docs LEFT JOIN repeats USING (doc_id) LEFT JOIN dups USING (doc_id)
+        LEFT JOIN losses USING (doc_id)),
+    rules AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+            AND 100 * (n_words - n_removed) >= 30 * n_words AS kept FROM judged)"""
+
+
+@query("op5_quality_rules", f"WITH {RULES_SQL} SELECT * FROM rules")
+def op5(spark: SparkSession, root: str) -> DataFrame:
+    return quality_rules.judge_documents(table(spark, root, "documents"), ["doc_id"])
+
+
 @query("op8_byte_bpe")
 def op8(spark: SparkSession, root: str) -> DataFrame:
     """Encode every document, then decode its ids; SQL cannot merge byte pairs."""
@@ -40,3 +156,10 @@ def op8(spark: SparkSession, root: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, root: str) -> DataFrame:
+    """Cut and pack all documents; SQL knows no tokenizer."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, root, "documents"), "doc_id", path)
