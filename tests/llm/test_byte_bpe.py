@@ -43,7 +43,7 @@ def test_very_long_pre_tokens(bpe, wanted, text):
 
 
 def test_cache_overflow_changes_nothing(bpe, wanted, monkeypatch):
-    monkeypatch.setattr("weftline.llm.byte_bpe.MOST_CACHED", 3)
+    monkeypatch.setattr("weftline.llm.arrow.MOST_SEEN", 3)
     text = "one two three, four five six seven. One two three"
     assert ByteBpe(PATH, PATTERN).encode(text).tolist() == wanted.encode_ordinary(text)
 

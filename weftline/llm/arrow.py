@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MOST_SEEN = 400_000
+LONGEST_SEEN = 64
 ROWS = 1000  # rows worked on at a time, so that a task holds few texts and results
 
 
@@ -72,3 +75,24 @@ def int_lists(column: pa.ListArray) -> list[list[int]]:
     return [
         values[a:b].tolist() if ok else [] for a, b, ok in zip(offsets, offsets[1:], valid)
     ]
+
+
+def forget(seen: dict) -> None:
+    """Halve a full cache; what came first is most frequent, and stays."""
+    if len(seen) > MOST_SEEN:
+        for key in list(islice(reversed(seen), MOST_SEEN // 2)):
+            del seen[key]
+
+
+class Seen(dict):
+    """Results of ``make`` for short keys, kept up to a fixed number."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.make(key)
+        if len(key) <= LONGEST_SEEN:
+            forget(self)
+            self[key] = made
+        return made

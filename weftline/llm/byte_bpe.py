@@ -5,19 +5,19 @@ keeps one bucket of linked-list positions per merge rank, and two levels of
 256-bit words that say which buckets hold something: find-first-set on each
 level gives the next rank in constant time, however long the pre-token. When a
 merge changes a pair, its old entry stays in its bucket and is skipped as stale
-once it is popped; so a pre-token of n bytes costs at most 3 n entries.
+once its bucket is drained; so a pre-token of n bytes costs at most 3 n entries.
 
-Pre-tokens repeat, so each task keeps the ids of short ones it has seen, up to a
-fixed number.
+Many pre-tokens share one queue: they are laid out one after another with a gap
+between them that no merge crosses. Pre-tokens repeat, so each task keeps the
+ids of those it has seen, up to a fixed number, and queues only new ones.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+from collections.abc import Callable, Iterable
 from functools import lru_cache
-from heapq import heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import add_columns, int_lists, list_array, texts
+from weftline.llm.arrow import LONGEST_SEEN, add_columns, forget, int_lists, list_array, texts
 
 # White space as Unicode defines it, which is what the split pattern's \s means;
 # Python's own class also holds U+001C to U+001F.
@@ -35,23 +35,29 @@ UNEVEN = re.compile(f"[{SPACE}][{SPACE}]|^ | $")
 WORD = 8  # a bitmap word has 256 bits, so 65,536 ranks take two levels
 LOW = (1 << WORD) - 1
 BIT = [1 << i for i in range(1 << WORD)]
-MOST_CACHED = 400_000
-LONGEST_CACHED = 64
 
 
-class Seen(dict):
-    """Results of ``make`` for short keys, kept up to a fixed number."""
+class Known(dict):
+    """Ids, as bytes, of texts seen so far; new ones are made many at a time."""
 
-    def __init__(self, make):
+    def __init__(self, make: Callable[[list[str]], Iterable[bytes]]):
         self.make = make
 
-    def __missing__(self, key: str) -> bytes:
-        made = self.make(key)
-        if len(key) <= LONGEST_CACHED:
-            if len(self) >= MOST_CACHED:
-                self.clear()
-            self[key] = made
-        return made
+    def join(self, rows: list[list[str]]) -> list[bytes]:
+        """For each row its texts' ids, one after another."""
+        forget(self)
+        found = [list(map(self.get, row)) for row in rows]
+        open_rows = [i for i, f in enumerate(found) if None in f]
+        new = list({t for i in open_rows for t, f in zip(rows[i], found[i]) if f is None})
+        if new:
+            self.update(zip(new, self.make(new)))
+            for i in open_rows:
+                found[i] = map(self.__getitem__, rows[i])
+        joined = [b"".join(f) for f in found]
+        for text in new:
+            if len(text) > LONGEST_SEEN:
+                del self[text]
+        return joined
 
 
 class ByteBpe:
@@ -66,95 +72,137 @@ class ByteBpe:
         self.split = regex.compile(pattern.replace(r"\s", f"[{SPACE}]").replace(
             rf"[^[{SPACE}]", f"[^{SPACE}").replace(r"(?!\S)", f"(?![^{SPACE}])"))
         self.longest = max(map(len, self.ranks))
-        self.n_ranks = max(self.ranks.values()) + 1
-        if self.n_ranks > 1 << 2 * WORD:
-            raise ValueError(f"{path}: more than {1 << 2 * WORD} ranks")
-        # The queue; it is empty whenever no pre-token is being merged.
-        self.words = [0] * ((self.n_ranks >> WORD) + 1)
-        self.buckets: dict[int, list[int]] = {}
+        if max(self.ranks.values()) >> 2 * WORD:
+            raise ValueError(f"{path}: a rank is over {(1 << 2 * WORD) - 1}")
         self.table = {rank: token for token, rank in self.ranks.items()}
         two = range(256)
-        self.of_two = [self.ranks.get(bytes((a, b)), -1) for a in two for b in two]
-        self.seen = Seen(self.chunk_ids)
-        self.spaced = Seen(lambda part: self.chunk_ids(" " + part))
-        self.merged = Seen(lambda piece: np.array(self.merge(piece.encode()), np.int32).tobytes())
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
+        self.of_two = np.array([self.ranks.get(bytes((a, b)), -1) for a in two for b in two])
+        self.pieces = Known(self.merge)
+        self.chunks = Known(self.split_all)
+        # Chunks by the word that follows a space, as most are.
+        self.spaced = Known(lambda words: self.split_all([" " + w for w in words]))
+
+    def merge(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each pre-token, as bytes of 32-bit numbers."""
+        data = [p.encode() for p in pieces]
+        get, longest = self.ranks.get, self.longest
+        done = [get(d) if len(d) <= longest else None for d in data]
+        open_data = [d for d, rank in zip(data, done) if rank is None]
+        merged = iter(self.merge_bytes(open_data) if open_data else ())
+        return [
+            np.array(next(merged) if rank is None else [rank], np.int32).tobytes() for rank in done
+        ]
+
+    def merge_bytes(self, pieces: list[bytes]) -> list[list[int]]:
         get, longest = self.ranks.get, self.longest
-        n = len(piece)
-        if n <= longest and (whole := get(piece)) is not None:
-            return [whole]
-        words, buckets, top = self.words, self.buckets, 0
-        # A part is named by where it begins; ``after`` is where the next one
-        # does. ``pair`` is the rank of a part with the next, -1 without one.
-        after, before = list(range(1, n + 2)), list(range(-1, n + 1))
-        of_two = self.of_two
-        pair = [of_two[a << 8 | b] for a, b in zip(piece, piece[1:])]
-        pair += (-1, -1)
-        for i, rank in enumerate(pair):
-            if rank >= 0:
-                if rank in buckets:
-                    buckets[rank].append(i)  # ascending, so a heap
-                else:
-                    buckets[rank] = [i]
-                    words[rank >> WORD] |= BIT[rank & LOW]
-                    top |= BIT[rank >> WORD]
+        # Every pre-token is followed by a gap of one position.
+        text = b"\0".join(pieces) + b"\0"
+        n = len(text)
+        ends = np.cumsum([len(p) + 1 for p in pieces]) - 1
+        codes = np.frombuffer(text, np.uint8).astype(np.int64)
+        ranks = np.full(n, -1)
+        ranks[:-1] = self.of_two[codes[:-1] << 8 | codes[1:]]
+        ranks[ends] = ranks[ends - 1] = -1
+        gap = np.zeros(n + 1, np.uint8)
+        gap[ends] = gap[-1] = 1  # before[0] is -1, so the last is a gap as well
+        gap = gap.tobytes()
+        # A part is named by where it begins; ``after`` is where it ends, and
+        # ``pair`` the rank of it with the next part, -1 if they do not merge.
+        pair, after, before = ranks.tolist(), list(range(1, n + 2)), list(range(-1, n))
+        order = np.argsort(ranks, kind="stable")
+        order = order[np.searchsorted(ranks[order], 0) :]
+        present, begins = np.unique(ranks[order], return_index=True)
+        buckets = dict(zip(present.tolist(), (x.tolist() for x in np.split(order, begins[1:]))))
+        words, top = [0] * (1 << WORD), 0
+        for rank in buckets:
+            words[rank >> WORD] |= BIT[rank & LOW]
+            top |= BIT[rank >> WORD]
         while top:
             # x & -x keeps the lowest set bit: first the word, then the rank.
             w = (top & -top).bit_length() - 1
             bits = words[w]
             first = bits & -bits
             rank = w << WORD | first.bit_length() - 1
-            bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
-                del buckets[rank]
-                bits = words[w] = bits ^ first
-                if not bits:
-                    top ^= BIT[w]
-            if pair[i] != rank:
-                continue  # stale: a neighbour has changed since
-            gone = after[i]
-            end = after[i] = after[gone]
-            before[end] = i
-            pair[gone] = -1
-            at, stop = i, after[end] if end < n else n + longest
-            for _ in (0, 1):  # the new part with the next one, then the one before with it
-                rank = get(piece[at:stop], -1) if stop - at <= longest else -1
-                pair[at] = rank
-                if rank >= 0:
-                    if rank in buckets:
-                        heappush(buckets[rank], at)
-                    else:
-                        buckets[rank] = [at]
-                        words[rank >> WORD] |= BIT[rank & LOW]
-                        top |= BIT[rank >> WORD]
-                at, stop = before[i], end
-                if at < 0:
+            bits = words[w] = bits ^ first
+            if not bits:
+                top ^= BIT[w]
+            bucket = buckets.pop(rank)
+            bucket.sort()  # leftmost first
+            lower = False
+            for k, i in enumerate(bucket):
+                if pair[i] != rank:
+                    continue  # stale: a neighbour has changed since
+                gone = after[i]
+                end = after[i] = after[gone]
+                before[end] = i
+                pair[gone] = -1
+                new = -1
+                if not gap[end]:
+                    stop = after[end]
+                    if stop - i <= longest:
+                        new = get(text[i:stop], -1)
+                        if new >= 0:
+                            if new in buckets:
+                                buckets[new].append(i)
+                            else:
+                                buckets[new] = [i]
+                                words[new >> WORD] |= BIT[new & LOW]
+                                top |= BIT[new >> WORD]
+                            lower = new < rank
+                pair[i] = new
+                at = before[i]
+                if not gap[at]:
+                    new = get(text[at:end], -1) if end - at <= longest else -1
+                    pair[at] = new
+                    if new >= 0:
+                        if new in buckets:
+                            buckets[new].append(at)
+                        else:
+                            buckets[new] = [at]
+                            words[new >> WORD] |= BIT[new & LOW]
+                            top |= BIT[new >> WORD]
+                        lower = lower or new < rank
+                if lower and k + 1 < len(bucket):
+                    # A lower rank has appeared, so it is next; the rest waits.
+                    buckets[rank] = bucket[k + 1 :]
+                    words[w] |= first
+                    top |= BIT[w]
                     break
-        ids, i = [], 0
-        while i < n:
-            ids.append(self.ranks[piece[i : after[i]]])
-            i = after[i]
+        ids, begin = [], 0
+        of = self.ranks
+        for end in ends.tolist():
+            own = []
+            while begin < end:
+                own.append(of[text[begin : after[begin]]])
+                begin = after[begin]
+            ids.append(own)
+            begin += 1
         return ids
 
-    def chunk_ids(self, chunk: str) -> bytes:
-        return b"".join(map(self.merged.__getitem__, self.split.findall(chunk)))
+    def split_all(self, chunks: list[str]) -> list[bytes]:
+        return self.pieces.join([self.split.findall(c) for c in chunks])
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text.
+    def encode_all(self, documents: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts.
 
-        No pre-token runs on from visible characters into white space, so the
-        text falls into chunks of a space and a word, or of white space alone,
-        that are split further each for itself.
+        No pre-token runs on from visible characters into white space, so a text
+        falls into chunks of a space and a word, or of white space alone, that
+        are split further each for itself.
         """
-        if UNEVEN.search(text):
-            found = map(self.seen.__getitem__, CHUNK.findall(text))
-        else:  # single white space only: cutting at spaces gives whole chunks
-            first, *rest = text.split(" ")
-            found = chain([self.seen[first]], map(self.spaced.__getitem__, rest))
-        return np.frombuffer(b"".join(found), np.int32)
+        plain, spaced = [], []
+        for text in documents:
+            if UNEVEN.search(text):
+                plain.append(CHUNK.findall(text))
+                spaced.append([])
+            else:  # single white space only: cutting at spaces gives whole chunks
+                first, *rest = text.split(" ")
+                plain.append([first])
+                spaced.append(rest)
+        both = zip(self.chunks.join(plain), self.spaced.join(spaced))
+        return [np.frombuffer(a + b, np.int32) for a, b in both]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of the ids; an id outside the vocabulary gives U+FFFD."""
@@ -185,7 +233,7 @@ def encode_documents(
         bpe = codec(path, pattern)
 
         def work(columns):
-            return [list_array([bpe.encode(t) for t in texts(columns["text"])], pa.int32())]
+            return [list_array(bpe.encode_all(texts(columns["text"])), pa.int32())]
 
         return work
 

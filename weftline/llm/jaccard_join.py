@@ -32,8 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import list_array, slices
-from weftline.llm.byte_bpe import Seen
+from weftline.llm.arrow import Seen, list_array, slices
 from weftline.llm.components import components
 from weftline.llm.filters import seen_filters
 from weftline.session import staged

@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import add_columns
-from weftline.llm.byte_bpe import Seen
+from weftline.llm.arrow import Seen, add_columns
 from weftline.session import staged
 
 LETTERS = re.compile(r"[^\W\d_]+")

@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.arrow import list_array, slices, texts
-from weftline.llm.byte_bpe import Seen
+from weftline.llm.arrow import Seen, list_array, slices, texts
 from weftline.operators.indexing import dense_index
 from weftline.session import staged
 
