@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -77,22 +77,45 @@ def int_lists(column: pa.ListArray) -> list[list[int]]:
     ]
 
 
-def forget(seen: dict) -> None:
+def forget(seen: dict, most: int) -> None:
     """Halve a full cache; what came first is most frequent, and stays."""
-    if len(seen) > MOST_SEEN:
-        for key in list(islice(reversed(seen), MOST_SEEN // 2)):
+    if len(seen) > most:
+        for key in list(islice(reversed(seen), most // 2)):
             del seen[key]
 
 
 class Seen(dict):
     """Results of ``make`` for short keys, kept up to a fixed number."""
 
-    def __init__(self, make):
+    def __init__(self, make: Callable[[str], bytes]):
         self.make = make
 
     def __missing__(self, key: str) -> bytes:
         made = self.make(key)
         if len(key) <= LONGEST_SEEN:
-            forget(self)
+            forget(self, MOST_SEEN)
             self[key] = made
         return made
+
+
+class Known(dict):
+    """Ids, as bytes, of texts seen so far; new ones are made many at a time."""
+
+    def __init__(self, make: Callable[[list[str]], Iterable[bytes]], most: int | None = None):
+        self.make, self.most = make, most
+
+    def join(self, rows: list[list[str]]) -> list[bytes]:
+        """For each row its texts' ids, one after another."""
+        forget(self, self.most or MOST_SEEN)
+        found = [list(map(self.get, row)) for row in rows]
+        open_rows = [i for i, f in enumerate(found) if None in f]
+        new = list({t for i in open_rows for t, f in zip(rows[i], found[i]) if f is None})
+        if new:
+            self.update(zip(new, self.make(new)))
+            for i in open_rows:
+                found[i] = map(self.__getitem__, rows[i])
+        joined = [b"".join(f) for f in found]
+        for text in new:
+            if len(text) > LONGEST_SEEN:
+                del self[text]
+        return joined

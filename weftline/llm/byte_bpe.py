@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -25,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import LONGEST_SEEN, add_columns, forget, int_lists, list_array, texts
+from weftline.llm.arrow import Known, add_columns, int_lists, list_array, texts
 
 # White space as Unicode defines it, which is what the split pattern's \s means;
 # Python's own class also holds U+001C to U+001F.
@@ -37,29 +36,6 @@ LOW = (1 << WORD) - 1
 BIT = [1 << i for i in range(1 << WORD)]
 
 
-class Known(dict):
-    """Ids, as bytes, of texts seen so far; new ones are made many at a time."""
-
-    def __init__(self, make: Callable[[list[str]], Iterable[bytes]]):
-        self.make = make
-
-    def join(self, rows: list[list[str]]) -> list[bytes]:
-        """For each row its texts' ids, one after another."""
-        forget(self)
-        found = [list(map(self.get, row)) for row in rows]
-        open_rows = [i for i, f in enumerate(found) if None in f]
-        new = list({t for i in open_rows for t, f in zip(rows[i], found[i]) if f is None})
-        if new:
-            self.update(zip(new, self.make(new)))
-            for i in open_rows:
-                found[i] = map(self.__getitem__, rows[i])
-        joined = [b"".join(f) for f in found]
-        for text in new:
-            if len(text) > LONGEST_SEEN:
-                del self[text]
-        return joined
-
-
 class ByteBpe:
     """Encoder and decoder of one rank file and split pattern."""
 

@@ -14,6 +14,7 @@ filled at most once for every length that still fits it.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.arrow import Seen, list_array, slices, texts
+from weftline.llm.arrow import Known, list_array, slices, texts
 from weftline.operators.indexing import dense_index
 from weftline.session import staged
 
@@ -34,6 +35,7 @@ from weftline.session import staged
 # characters that Python's split takes for white space but that pattern does not.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 ODD_SPACE = regex.compile("[\x1c-\x1f\x85]")
+MOST_WORDS = 600_000  # that a task remembers
 PLAN = "length int, first long, last long, first_sequence long, offset long"
 
 
@@ -45,29 +47,38 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings are ordinary text
-        self.parts = Seen(self.encode_whole)
-        self.words = Seen(self.encode_word)
-
-    def encode_whole(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def encode_word(self, word: str) -> bytes:
-        # The file's own steps: compose, then lower each character for itself.
-        lower = normalize("NFC", word).replace("Σ", "σ").lower()
-        if not is_normalized("NFC", lower):  # the parts would be composed once more
-            return self.encode_whole(word)
-        return b"".join(map(self.parts.__getitem__, SPLIT.findall(lower)))
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        if ODD_SPACE.search(text):
-            return self.encode_whole(text)
-        return b"".join(map(self.words.__getitem__, text.split()))
+        self.parts = Known(self.encode_whole, MOST_WORDS)
+        self.words = Known(self.encode_words, MOST_WORDS)
+
+    def encode_whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        split = []
+        for word in words:
+            # The file's own steps: compose, then lower each character for itself.
+            lower = word if word.isascii() else normalize("NFC", word).replace("Σ", "σ")
+            lower = lower.lower()
+            if lower.isascii() or is_normalized("NFC", lower):
+                split.append(SPLIT.findall(lower))
+            else:  # the parts would be composed once more
+                split.append(None)
+        joined = iter(self.parts.join([s for s in split if s is not None]))
+        whole = iter(self.encode_whole([w for w, s in zip(words, split) if s is None]))
+        return [next(whole if s is None else joined) for s in split]
+
+    def encode_all(self, documents: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        odd = [ODD_SPACE.search(t) is not None for t in documents]
+        whole = iter(self.encode_whole([t for t, x in zip(documents, odd) if x]))
+        joined = iter(self.words.join([t.split() for t, x in zip(documents, odd) if not x]))
+        return [next(whole if x else joined) for x in odd]
 
 
 @lru_cache(maxsize=2)
@@ -99,11 +110,11 @@ def cut_documents(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode
+        encode = tokenizer(path).encode_all
         for batch in slices(batches):
             rows, pieces, starts, lengths, sums, ids = [], [], [], [], [], []
-            for row, document in enumerate(texts(batch.column(n_keep))):
-                data = encode(document) + end
+            for row, data in enumerate(encode(texts(batch.column(n_keep)))):
+                data += end
                 for piece, at in enumerate(range(0, len(data), 4 * limit)):
                     part = data[at : at + 4 * limit]
                     rows.append(row)

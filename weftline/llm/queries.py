@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import byte_bpe, jaccard_join, language_id, line_dedup, packing, quality_rules
+from weftline.llm import (
+    byte_bpe,
+    chat_format,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,6 +100,24 @@ def op2(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_topk_search",
+    """
+    WITH v AS (
+        SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+        WHERE embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+        FROM scored) WHERE rank <= 20""",
+)
+def op3(spark: SparkSession, root: str) -> DataFrame:
+    return topk.top_k(table(spark, root, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op4_language_id")
 def op4(spark: SparkSession, root: str) -> DataFrame:
     """Learn from four folds of five, then predict every document; SQL has no such model."""
@@ -144,6 +173,42 @@ def op5(spark: SparkSession, root: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, root, "documents"), ["doc_id"])
 
 
+SAID = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op6_chat_format",
+    rf"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '{SAID}' UNION ALL SELECT -1, 1, 'assistant', '{SAID}'),
+    said AS (
+        SELECT conv_id, coalesce(string_agg(text, '' ORDER BY turn, role, text)
+            FILTER (role = 'assistant'), '') AS loss,
+            string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+            count(*) AS n_turns,
+            sum(length('<|start|><|text|><|end|>') + 1
+                + length(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'))
+                + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')))::BIGINT AS formatted_chars
+        FROM turns GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+        sha256(loss) AS loss_sha256, formatted_chars FROM said""",
+)
+def op6(spark: SparkSession, root: str) -> DataFrame:
+    rows = table(spark, root, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", SAID), (-1, 1, "assistant", SAID)], rows.schema)
+    return chat_format.read_back(chat_format.format_chats(rows.union(more)))
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, root: str) -> DataFrame:
+    """Tokens of every line of source and text; SQL knows no tokenizer."""
+    rules = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return token_counts.count_tokens(
+        table(spark, root, "documents"), ["doc_id"], ["source", "text"], *rules
+    )
+
+
 @query("op8_byte_bpe")
 def op8(spark: SparkSession, root: str) -> DataFrame:
     """Encode every document, then decode its ids; SQL cannot merge byte pairs."""
@@ -163,3 +228,9 @@ def op9(spark: SparkSession, root: str) -> DataFrame:
     """Cut and pack all documents; SQL knows no tokenizer."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, root, "documents"), "doc_id", path)
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, root: str) -> DataFrame:
+    """Label, fit and score all documents; SQL has no such model."""
+    return quality_classifier.classify(table(spark, root, "documents"), ["doc_id"])
