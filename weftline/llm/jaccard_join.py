@@ -224,7 +224,7 @@ def postings(
 
     level = F.shiftrightunsigned("key", KEY_BITS)
     parts = F.pow(F.lit(2.0), (level - HOT_LEVEL) / 2).cast("bigint")
-    salt = F.when(level > HOT_LEVEL, F.pmod("s1", parts)).otherwise(F.lit(0))
+    salt = F.when(level > HOT_LEVEL, F.pmod("s1", parts) + 1).otherwise(F.lit(0))
     return documents.select("text").mapInArrow(run, "key long, s1 long").withColumn("salt", salt)
 
 

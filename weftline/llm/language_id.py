@@ -133,7 +133,7 @@ class Model:
 
     def _logs(self, counts: dict[str, dict[str, int]], totals: dict[str, int]) -> dict[str, bytes]:
         """Entry to the bytes of its log frequency in every language."""
-        all_of = np.array([max(1, totals.get(x, 0)) for x in self.languages], float)
+        all_of = np.array([totals.get(x, 0) + 0.5 * len(counts) for x in self.languages])
         place = {x: i for i, x in enumerate(self.languages)}
         logs = {}
         for entry, by_language in counts.items():

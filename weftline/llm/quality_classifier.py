@@ -194,8 +194,9 @@ def classify(
         weights = train(rows, np.array(goal)).astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()])], names=["weights"])
 
-    (found,) = drawn.mapInArrow(fit, "weights binary").collect()
-    shared = df.sparkSession.sparkContext.broadcast((np.frombuffer(found["weights"]), good))
+    found = drawn.mapInArrow(fit, "weights binary").collect()  # one row, none of no rows
+    fitted = np.frombuffer(found[0]["weights"]) if found else train([], np.zeros(0))
+    shared = df.sparkSession.sparkContext.broadcast((fitted, good))
 
     def score():
         weights, labels = shared.value
