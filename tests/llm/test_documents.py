@@ -107,7 +107,7 @@ def test_quality_rules(spark, documents):
     line = "every page of this host ends with this very line of text"
     rows = documents + [(10_000 + i, f"word{i} a\n{line}", "h") for i in range(9)]
     long = " ".join(f"w{k}" for k in range(60))
-    rows += [(20_000 + i, f"{long} {i}\n{long}", "h") for i in range(9)] + [(20_100, f"{long} 3\n{long}", "h")]
+    rows += [(20_000 + i, f"{long}\nown {i}", "h") for i in range(9)] + [(20_100, f"{long}\nown 3", "h")]
     rows += [(30_000, None, None), (30_001, "a b c a b c\n\n \n" * 30, None), (30_002, "#*$%&|<> é漢", None)]
     want = brute.judge([(d, s, t) for d, t, s in rows], max_docs=5)
     got = quality_rules.judge_documents(frame(spark, rows), ["doc_id"], max_docs=5).collect()

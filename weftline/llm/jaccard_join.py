@@ -29,7 +29,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.arrow import Seen, list_array, slices
@@ -39,7 +39,8 @@ from weftline.session import staged
 
 BINS = 20  # the sketch counts shingles by this many leading bits of their hash
 SKETCH_BLOCK = 1 << 14
-KEY_BITS = 58  # of a posted key; above them stands the level of its bin
+KEY_BITS = 57  # of a posted key; above them one bit for pairs, then the bin's level
+PAIR = np.uint64(1 << KEY_BITS)
 HOT_LEVEL = 2 * 17  # bins with more than 2**17 sets have their keys salted
 LARGEST_LIGHT = 64  # pairs of larger sets are never enumerated
 COMPARE = 8  # cost of comparing two sets, in posted keys
@@ -182,14 +183,14 @@ def posted_keys(h: np.ndarray, levels: np.ndarray, boundary: int, percent: int)
     """The keys under which a set is found, of both kinds."""
     n, low = len(h), np.uint64((1 << KEY_BITS) - 1)
     level = levels[h >> np.uint64(64 - BINS)]
-    order = np.sort(level << np.uint64(KEY_BITS) | h & low)
+    order = np.sort(level << np.uint64(KEY_BITS + 1) | h & low)
     c = least_overlap(n, percent)
     keys = []
     if n <= boundary and c >= 2:
         i, j = np.triu_indices(n - c + 2, 1)
         # The rarer shingle bounds how often a pair occurs, and it comes first.
         pair = mixed(order[i] * MULTIPLIERS[43] + order[j], 44) & low
-        keys.append(order[i] & ~low | pair)
+        keys.append(order[i] & ~low | PAIR | pair)
     if n >= least_overlap(boundary + 1, percent):
         keys.append(order[: n - c + 1])
     return np.concatenate(keys) if keys else order[:0]
@@ -222,7 +223,7 @@ def postings(
                     names=["key", "s1"],
                 )
 
-    level = F.shiftrightunsigned("key", KEY_BITS)
+    level = F.shiftrightunsigned("key", KEY_BITS + 1)
     parts = F.pow(F.lit(2.0), (level - HOT_LEVEL) / 2).cast("bigint")
     salt = F.when(level > HOT_LEVEL, F.pmod("s1", parts) + 1).otherwise(F.lit(0))
     return documents.select("text").mapInArrow(run, "key long, s1 long").withColumn("salt", salt)
@@ -260,8 +261,8 @@ def shared_postings(posted: DataFrame) -> DataFrame:
 def sets_of(documents: DataFrame, vertices: DataFrame, width: int, bits: int) -> DataFrame:
     """(v, n, h array<long>): the shingles of the vertices' texts.
 
-    A filter of the vertices, of a fixed size, spares other texts the work;
-    the join then drops what it let through.
+    A filter of the vertices, of a fixed size, spares other texts the work; the
+    few that it lets through are joined by nothing.
     """
 
     def id_hashes(ids: np.ndarray) -> np.ndarray:
@@ -285,12 +286,13 @@ def sets_of(documents: DataFrame, vertices: DataFrame, width: int, bits: int) ->
                 names=["v", "n", "h"],
             )
 
-    all_sets = documents.where("doc_id is not null").mapInArrow(run, "v long, n int, h array<long>")
-    return all_sets.join(vertices, "v", "left_semi")
+    return documents.where("doc_id is not null").mapInArrow(run, "v long, n int, h array<long>")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, documents: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
+    vertices = pairs.select(F.explode(F.array("a", "b")).alias("v"))
+    sets = staged(sets_of(documents, vertices, width, bits), "sets")
 
     def side(name: str) -> DataFrame:
         return sets.select(
@@ -306,8 +308,28 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def comparable(n: Column, m: Column, percent: int) -> Column:
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def likely(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of those (key, x, y) meetings that can still be links.
+
+    The set whose posted shingles end first in the order shares, beyond them,
+    no more than the ``c - 1`` shingles it has left. So the two must meet in as
+    many keys as are then missing from the intersection that both sizes ask
+    for. Pairs of shingles, which only light sets post, are always followed up.
+    """
+    first, second = F.least("x", "y"), F.greatest("x", "y")
+    pair = F.shiftrightunsigned("key", KEY_BITS).bitwiseAND(F.lit(1)).cast("int")
+    n, m = F.col("first.n"), F.col("second.n")
+    # The sizes as whole numbers: ceil(a / b) is -floor(-a / b).
+    asked = -F.floor(-percent * (n + m) / (100 + percent) + 1e-9)
+    left = -F.floor(-percent * F.greatest(n, m) / 100 + 1e-9) - 1
+    return (
+        met.select("key", first.alias("first"), second.alias("second"), pair.alias("pair"))
+        .where((F.col("first.v") != F.col("second.v")) & (100 * F.least(n, m) >= percent * F.greatest(n, m)))
+        .groupBy("first", "second")
+        .agg(F.sum(1 - F.col("pair")).alias("keys"), F.max("pair").alias("pair"))
+        .where((F.col("pair") > 0) | (F.col("keys") >= asked - left))
+        .select(F.col("first.v").alias("a"), F.col("second.v").alias("b"))
+    )
 
 
 def jaccard_components(
@@ -342,37 +364,28 @@ def jaccard_components(
         shared_postings(posted).join(copies.where("v is not null"), "s1").select("key", "v", "n").distinct(),
         "meeting",
     )
-    sets = staged(sets_of(documents, meeting.select("v").distinct(), width, bits), "sets")
-
-    head = [
-        F.min(F.struct(F.xxhash64("v", F.lit(k)), "v", "n")).alias(f"head{k}") for k in range(HEADS)
-    ]
-    heads = meeting.groupBy("key").agg(*head)
-    tried = staged(
-        meeting.join(heads, "key")
-        .select("v", "n", F.explode(F.array(*[f"head{k}" for k in range(HEADS)])).alias("head"))
-        .where((F.col("v") != F.col("head.v")) & comparable(F.col("n"), F.col("head.n"), percent))
-        .select(F.least("v", "head.v").alias("a"), F.greatest("v", "head.v").alias("b"))
-        .distinct(),
-        "tried",
+    set_of = F.struct("v", "n")
+    heads = meeting.groupBy("key").agg(
+        *[F.min(F.struct(F.xxhash64("v", F.lit(k)), "v", "n")).alias(f"head{k}") for k in range(HEADS)]
     )
-    roots = staged(components(linked(tried, sets, percent)), "components")
+    chosen = F.array_distinct(F.array(*[F.struct(f"head{k}.v", f"head{k}.n") for k in range(HEADS)]))
+    # Two heads of one key meet twice; then they are followed up the sooner.
+    met = meeting.join(heads, "key").select("key", set_of.alias("x"), F.explode(chosen).alias("y"))
+    tried = staged(likely(met, percent), "tried")
+    roots = staged(components(linked(tried, documents, width, percent, bits)), "components")
 
     placed = meeting.join(roots, "v", "left").select(
-        "key", "v", "n", F.coalesce("component", "v").alias("c")
+        "key", set_of.alias("x"), F.coalesce("component", "v").alias("c")
     )
     open_keys = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     open_rows = staged(placed.join(open_keys.select("key"), "key"), "open")
-    a, b = open_rows.alias("x"), open_rows.alias("y")
-    rest = (
-        a.join(b, "key")
-        .where((F.col("x.v") < F.col("y.v")) & (F.col("x.c") != F.col("y.c")))
-        .where(comparable(F.col("x.n"), F.col("y.n"), percent))
-        .select(F.col("x.v").alias("a"), F.col("y.v").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
+    others = open_rows.select("key", F.col("x").alias("y"), F.col("c").alias("d"))
+    apart = open_rows.join(others, "key").where(
+        (F.col("x.v") < F.col("y.v")) & (F.col("c") != F.col("d"))
+        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
     )
-    bridges = linked(rest, sets, percent)
+    rest = staged(likely(apart.select("key", "x", "y"), percent).join(tried, ["a", "b"], "left_anti"), "rest")
+    bridges = linked(rest, documents, width, percent, bits)
     # Links between components, by the components' names.
     for side in ("a", "b"):
         named = roots.select(F.col("v").alias(side), F.col("component").alias("_c"))
