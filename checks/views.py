@@ -271,7 +271,8 @@ def digest_sql(items: str) -> str:
 
 
 def key_sql(*keys: str, seed: int = 42) -> str:
-    return f"md5('{seed}:' || " + " || ':' || ".join(keys) + ")"
+    told = [f"coalesce(':' || length({k}::VARCHAR) || '=' || {k}::VARCHAR, ':')" for k in keys]
+    return f"md5('{seed}' || " + " || ".join(told) + ")"
 
 
 def chat_sql(messages: str) -> str:

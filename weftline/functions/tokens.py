@@ -1,22 +1,18 @@
-"""Two tokenizers behind one interface.
+"""A tokenizer that is a column expression and stays in the JVM.
 
-``RegexTokenizer`` is a column expression and stays in the JVM. ``BpeTokenizer``
-runs an installed byte-pair codec in Arrow batches. Both treat every registered
-special token as one atomic id, which is what makes segment-wise encoding equal
-to encoding a whole rendered chat.
+Every registered special token is one atomic id, which is what makes
+segment-wise encoding equal to encoding a whole rendered chat.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import reduce
 from operator import or_
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weftline.params import SPECIALS, SpecialTokens
 
@@ -78,96 +74,6 @@ class RegexTokenizer:
         return F.coalesce(text.rlike(self.pattern), F.lit(False))
 
 
-@lru_cache(maxsize=4)
-def _codec(path: str, split_pattern: str, specials: tuple[str, ...]):
-    """Load a rank file once per Python worker."""
-    import base64
-
-    import tiktoken
-
-    with open(path, "rb") as lines:
-        ranks = {
-            base64.b64decode(token): int(rank)
-            for token, rank in (line.split() for line in lines if line.strip())
-        }
-    first = max(ranks.values()) + 1
-    return tiktoken.Encoding(
-        "ranks",
-        pat_str=split_pattern,
-        mergeable_ranks=ranks,
-        special_tokens={s: first + k for k, s in enumerate(specials)},
-    )
-
-
-@dataclass(frozen=True)
-class BpeTokenizer:
-    """Byte-pair codec read from a rank file that every worker can open."""
-
-    path: str
-    split_pattern: str
-    specials: tuple[str, ...] = SPECIALS
-    markers: SpecialTokens = SpecialTokens()
-
-    @classmethod
-    def public(cls, name: str = "byte_bpe_multi_50k.tiktoken", **kwargs) -> "BpeTokenizer":
-        """One of the installed public vocabularies."""
-        import public_tokenizers
-
-        return cls(public_tokenizers.path(name), public_tokenizers.PATTERN, **kwargs)
-
-    def codec(self):
-        return _codec(self.path, self.split_pattern, self.specials)
-
-    def special_id(self, token: str) -> int:
-        return self.codec().encode_single_token(token)
-
-    @property
-    def pad_id(self) -> int:
-        return self.special_id(self.markers.pad_token)
-
-    def encode(self, text: Column) -> Column:
-        args = (self.path, self.split_pattern, self.specials)
-
-        @F.pandas_udf(T.ArrayType(T.IntegerType()))
-        def run(texts: pd.Series) -> pd.Series:
-            codec = _codec(*args)
-            return texts.map(
-                lambda t: None if t is None else codec.encode(t, allowed_special="all")
-            )
-
-        return run(text)
-
-    def encode_many(self, texts: Column) -> Column:
-        args = (self.path, self.split_pattern, self.specials)
-
-        @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
-        def run(rows: pd.Series) -> pd.Series:
-            codec = _codec(*args)
-            return rows.map(
-                lambda row: None
-                if row is None
-                else [codec.encode(t, allowed_special="all") for t in row]
-            )
-
-        return run(texts)
-
-    def decode(self, ids: Column) -> Column:
-        args = (self.path, self.split_pattern, self.specials)
-
-        @F.pandas_udf(T.StringType())
-        def run(rows: pd.Series) -> pd.Series:
-            codec = _codec(*args)
-            return rows.map(lambda row: None if row is None else codec.decode(list(row)))
-
-        return run(ids)
-
-    def count(self, text: Column) -> Column:
-        return F.size(self.encode(text))
-
-    def has_token(self, text: Column) -> Column:
-        return F.coalesce(F.length(text) > 0, F.lit(False))
-
-
 def vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) -> DataFrame:
     """(token_id, piece, n, n_pieces): the pieces that occur, by id.
 

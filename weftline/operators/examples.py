@@ -19,11 +19,11 @@ from weftline.functions.templates import (
     segments,
 )
 from weftline.functions.text import is_nonblank
-from weftline.functions.tokens import BpeTokenizer, RegexTokenizer
+from weftline.functions.tokens import RegexTokenizer
 from weftline.operators.filters import has_messages
 from weftline.params import IGNORE_INDEX
 
-Tokenizer = RegexTokenizer | BpeTokenizer
+Tokenizer = RegexTokenizer
 
 
 def _template_input(df: DataFrame, template: str, column: str) -> Column:
@@ -265,20 +265,11 @@ def examples_from_log(
         return F.floor(F.col(column) / fan_in).alias("block")
 
     turn = F.struct("turn", "role", F.col("text").alias("content"))
-    group = ["conv_id"] if levels == 1 else ["conv_id", block("turn")]
-    turns = log.groupBy(*group).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    if levels == 1:
-        segs = F.concat(body(F.col("turns"), True), t.tail(o))
-        encoded = turns.select("conv_id", encode_segments(segs, tokenizer).alias("_e"))
-        whole = encoded.select(
-            "conv_id",
-            cut(joined_ids(F.col("_e"))).alias("input_ids"),
-            cut(joined_labels(F.col("_e"))).alias("labels"),
-        )
-        return with_mask(whole.where(F.size("input_ids") > 0))
-
+    first = F.floor(F.greatest("turn", F.lit(0)) / fan_in).alias("block")
+    turns = log.groupBy("conv_id", first).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     # Which block opens a chat is only known at the end, so a block is encoded
-    # both ways: as the opening one and as a later one.
+    # both ways: as the opening one and as a later one. With a single level
+    # nothing uses the second, and the optimizer drops it.
     encoded = turns.select(
         "conv_id",
         "block",

@@ -22,9 +22,14 @@ HEX_DIGITS = 4  # 65,536 buckets: about 1.5 GB each when 100 TB are numbered
 
 
 def order_key(seed: int | str, *keys: str) -> Column:
-    """Text that sorts like a seeded random permutation of the rows."""
-    parts = [F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)]
-    return F.md5(F.concat_ws(":", *parts))
+    """Text that sorts like a seeded random permutation of the rows.
+
+    Each key part carries its length, and a null part is told from an empty
+    one, so different keys never have the same text before it is hashed.
+    """
+    parts = [F.col(k).cast("string") for k in keys]
+    told = [F.concat(F.lit(":"), F.length(p).cast("string"), F.lit("="), p) for p in parts]
+    return F.md5(F.concat(F.lit(str(seed)), *[F.coalesce(x, F.lit(":")) for x in told]))
 
 
 def with_order_key(df: DataFrame, keys: list[str], seed: int, digits: int = HEX_DIGITS) -> DataFrame:
@@ -89,7 +94,9 @@ def seeded_shuffle(
     """A reproducible permutation: partitions and rows in order-key order.
 
     Order keys are uniform, so a row's partition follows from its key. A sort
-    would first read all rows once more to sample its ranges.
+    would first read all rows once more to sample its ranges. The adaptive
+    planner does not change their number, so ``partitions``, or the session's
+    shuffle partitions, must suit the table: 128 to 256 MB in each are right.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = with_order_key(df, keys, seed)
@@ -199,22 +206,17 @@ def place_in_chunks(
     num_shards: int,
     chunk_rows: int,
     groups: tuple[str, ...] = (),
-    most_broadcast: int = 1_000_000,
 ) -> DataFrame:
     """Add ``shard``, ``chunk`` and the order key, without moving the rows.
 
     Gives the chunks of :func:`dense_index` and :func:`assign_chunks`, but a
-    row finds its chunk by comparing its key with the written chunk bounds.
-    These are counted first: up to ``most_broadcast`` of them (some 60 MB, so
-    ten billion rows in chunks of 10,000) are broadcast; beyond that the rows
-    are joined with them by bucket.
+    row finds its chunk by comparing its key with the written chunk bounds, one
+    row per bucket. The planner knows the size of that table, and joins it by
+    broadcasting it or by shuffling, as it does with any other.
     """
     bounds = staged(
         chunk_bounds(df, keys, seed, num_shards, chunk_rows, groups), "bounds"
     )
-    n_bounds = bounds.agg(F.sum(F.size("bounds"))).first()[0] or 0
-    if n_bounds <= most_broadcast:
-        bounds = F.broadcast(bounds)
     last = F.element_at(F.filter("bounds", lambda b: b["key"] <= F.col(KEY)), -1)
     return (
         with_order_key(df, keys, seed)
@@ -237,7 +239,8 @@ def cutoffs(
     ``size`` maps a group's row count to ``k``. Only the one bucket that the
     cut falls into is ranked; every other row is judged by its key alone, so
     taking an exact number of rows needs no shuffle of the rows. At most one
-    row per group comes out, and none where ``k`` is zero.
+    row per group comes out, and none where ``k`` is zero. If several rows have
+    the key at the cut, no number of them is exact: the job fails and says so.
     """
     groups = list(groups)
     keyed = with_order_key(df, keys, seed, digits).select(*groups, KEY, BUCKET)
@@ -247,9 +250,11 @@ def cutoffs(
         *groups, BUCKET, (k - F.col("before")).alias("_need")
     )
     inside = Window.partitionBy(*groups, BUCKET).orderBy(KEY)
-    ranked = keyed.join(F.broadcast(edge), [*groups, BUCKET]).withColumn(
-        "_rn", F.row_number().over(inside)
+    same = Window.partitionBy(*groups, BUCKET, KEY)
+    ranked = keyed.join(F.broadcast(edge), [*groups, BUCKET]).select(
+        "*", F.row_number().over(inside).alias("_rn"), F.count("*").over(same).alias("_same")
     )
+    repeated = F.raise_error(F.concat(F.lit("several rows have one key, among "), F.lit(str(keys))))
     return ranked.where(F.col("_rn") == F.col("_need")).select(
-        *groups, F.col(KEY).alias("cutoff")
+        *groups, F.when(F.col("_same") > 1, repeated).otherwise(F.col(KEY)).alias("cutoff")
     )

@@ -28,12 +28,15 @@ def local_session(cores: int | str = 8, app: str = "weftline", memory: str = "8g
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without one (a test, a laptop) gets a temporary folder.
+    Only a local session without one (a test, a laptop) gets a temporary
+    folder: executors on other machines would each write to their own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="weftline-"))
     return spark.sparkContext.getCheckpointDir()
 
