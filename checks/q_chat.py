@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,11 +13,12 @@ from checks.q_rows import CHUNK_ROWS, SHARDS
 from checks.registry import Tables, digest, query
 from weftline.functions.arrays import total
 from weftline.functions.templates import RenderOptions, rich_messages, segments, segments_text
-from weftline.functions.tokens import RegexTokenizer, vocabulary
+from weftline.functions.tokens import RegexTokenizer, stored_vocabulary
 from weftline.operators import examples, indexing, inspect, packing, profile
 from weftline.params import DataParams
 from weftline.plans import prepare
-from weftline.session import staged
+from weftline.session import scratch_path, staged
+from weftline.sources.readers import chat_column
 from weftline.plans.verify import verify_dataset as verify_plan
 
 SYSTEM = "You are a helpful tutor."
@@ -158,6 +161,29 @@ def render_full(t: Tables):
     return _rendered(v.rich_chats(t), "full")
 
 
+@query(
+    "render_full_nested_calls",
+    v.with_views(_rendered_sql("segs"), segs=(("rich",), full_segments("rich"))),
+)
+def render_full_nested_calls(t: Tables):
+    """The same chats with fields in another order and calls under ``function``."""
+
+    def nested(m):
+        calls = F.transform(
+            m["tool_calls"],
+            lambda c: F.struct(
+                F.lit("call").alias("id"),
+                F.struct(c["arguments"].alias("arguments"), c["name"].alias("name")).alias("function"),
+            ),
+        )
+        blocks = F.transform(m["blocks"], lambda b: F.struct(b["text"].alias("text"), b["type"].alias("type")))
+        return F.struct(
+            calls.alias("tool_calls"), blocks.alias("blocks"), m["text"].alias("text"), m["role"].alias("role")
+        )
+
+    return _rendered(v.rich_chats(t).withColumn("messages", F.transform("messages", nested)), "full")
+
+
 @query(
     "render_full_default_system",
     v.with_views(_rendered_sql("segs"), segs=(("rich",), full_segments("rich", SYSTEM, True))),
@@ -240,22 +266,41 @@ def tokenize_truncate(t: Tables):
     )
 
 
+_PIECES_MD5 = v.digest_sql("p")
+
+
 @query(
     "decode_roundtrip",
+    f"""SELECT doc_id, len(p) AS n_pieces, {_PIECES_MD5} AS pieces_md5
+  FROM (SELECT doc_id, {v.pieces("text")} AS p FROM documents)""",
+)
+def decode_roundtrip(t: Tables):
+    return _decoded(t.texts(), t.texts())
+
+
+@query(
+    "decode_known",
     v.with_views(
-        f"""SELECT doc_id, count(*) AS n_pieces, {v.digest_sql('list(known ORDER BY i)')} AS pieces_md5
-  FROM (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM doc_tokens)
-  JOIN (SELECT {v.piece_id('piece')} AS id, first(piece ORDER BY n DESC, piece DESC) AS known
-    FROM (SELECT piece, count(*) AS n FROM (SELECT unnest({v.pieces('text')}) AS piece
-      FROM documents) GROUP BY piece) GROUP BY 1) USING (id)
-  GROUP BY doc_id""",
-        "doc_tokens",
+        f"""SELECT doc_id, len(p) AS n_pieces, {_PIECES_MD5} AS pieces_md5
+  FROM (SELECT doc_id, coalesce(list(CASE WHEN known.piece IS NULL THEN '<unk>' ELSE x END ORDER BY i)
+      FILTER (x IS NOT NULL), []) AS p
+    FROM (SELECT doc_id, NULL AS x, 0 AS i FROM blanked_docs UNION ALL
+      SELECT doc_id, unnest({v.pieces("text")}), generate_subscripts({v.pieces("text")}, 1)
+      FROM blanked_docs)
+    LEFT JOIN (SELECT DISTINCT unnest({v.pieces("text")}) AS piece FROM documents
+      WHERE doc_id % 2 = 0) known ON known.piece = x GROUP BY doc_id)""",
+        "blanked_docs",
     ),
 )
-def decode_roundtrip(t: Tables):
-    docs = t.texts().select("doc_id", v.TOK.encode(F.col("text")).alias("ids"))
-    vocab = staged(vocabulary(t.texts(), F.col("text"), v.TOK), "vocabulary")
-    back = inspect.decode_ids(docs, ["doc_id"], "ids", vocab)
+def decode_known(t: Tables):
+    """A vocabulary of half the documents: unknown pieces and empty rows show."""
+    return _decoded(v.blanked_docs(t), t.texts().where(F.col("doc_id") % 2 == 0))
+
+
+def _decoded(docs: DataFrame, source: DataFrame) -> DataFrame:
+    vocab = staged(stored_vocabulary(source, F.col("text"), v.TOK), "vocabulary")
+    ids = inspect.encode_stored(docs, ["doc_id"], F.col("text"), v.TOK, vocab)
+    back = inspect.decode_ids(ids, ["doc_id"], "ids", vocab)
     return back.select(
         "doc_id",
         F.size("pieces").cast("bigint").alias("n_pieces"),
@@ -299,8 +344,9 @@ def special_vocab(t: Tables):
 @query(
     "special_roundtrip",
     v.with_views(
-        f"SELECT piece AS token, n AS n_single, n AS n_same FROM piece_counts "
-        f"WHERE list_contains({v.SPECIAL_LIST}, piece)",
+        f"""SELECT token, coalesce(n, 0) AS n_single, CASE WHEN
+    {v.SPECIAL_LIST}[{v.piece_id("token")} - {v.FIRST_SPECIAL_ID - 1}] = token THEN coalesce(n, 0) ELSE 0 END
+    AS n_same FROM (SELECT unnest({v.SPECIAL_LIST}) AS token) LEFT JOIN piece_counts ON piece = token""",
         tagged_text=_TAGGED_TEXT,
         piece_counts=_PIECE_COUNTS,
     ),
@@ -473,14 +519,27 @@ _DOC_PACK = {
 }
 
 
-def _doc_chunks(t: Tables) -> DataFrame:
-    rows = examples.text_examples(
-        t.texts().withColumn("split", F.lit("train")), ["doc_id", "split"], v.TOK, PACK_LENGTH
-    )
+def _doc_rows(t: Tables) -> DataFrame:
+    return examples.usable_texts(t.texts().withColumn("split", F.lit("train")), v.TOK)
+
+
+def _doc_sizes(t: Tables) -> DataFrame:
+    """Lengths and places of the documents; no array of tokens moves."""
+    size = F.least(v.TOK.count(F.col("text")), F.lit(PACK_LENGTH))
+    rows = _doc_rows(t).select("doc_id", "split", size.alias("n_tokens"))
     indexed = indexing.dense_index(rows, ["doc_id"], groups=("split",), total="total")
     return indexing.assign_chunks(indexed, SHARDS, CHUNK_ROWS)
 
 
+def _doc_packed(t: Tables) -> DataFrame:
+    """Documents move once, as text, and are encoded where they are packed."""
+    rows = _doc_rows(t)
+    chunks = indexing.place_in_chunks(rows, ["doc_id"], 42, SHARDS, CHUNK_ROWS, groups=("split",))
+    placed = packing.arrange_chunks(chunks, order=indexing.KEY)
+    encoded = examples.encode_texts(placed, packing.PLACE, v.TOK, PACK_LENGTH)
+    return packing.pack_arranged(encoded.drop("labels"), PACK_LENGTH, v.PAD_ID)
+
+
 def _packed_digests(packed: DataFrame) -> DataFrame:
     return packed.select(
         "split", "shard", "chunk", "bin", "n_rows", "n_tokens",
@@ -499,13 +558,12 @@ def _packed_digests(packed: DataFrame) -> DataFrame:
     ),
 )
 def pack_bins(t: Tables):
-    sized = _doc_chunks(t).withColumn("n_tokens", F.size("input_ids"))
-    return packing.assign_bins(sized, PACK_LENGTH)
+    return packing.assign_bins(_doc_sizes(t), PACK_LENGTH)
 
 
 @query("pack_sequences", v.with_views(v.packed_sql(PACK_LENGTH), recursive=True, **_DOC_PACK))
 def pack_sequences(t: Tables):
-    return _packed_digests(packing.pack_sequences(_doc_chunks(t), PACK_LENGTH, v.PAD_ID))
+    return _packed_digests(_doc_packed(t))
 
 
 @query(
@@ -519,7 +577,7 @@ def pack_sequences(t: Tables):
     ),
 )
 def pack_stats(t: Tables):
-    packed = packing.pack_sequences(_doc_chunks(t), PACK_LENGTH, v.PAD_ID)
+    packed = _doc_packed(t)
     return rounded(profile.pack_stats(packed, PACK_LENGTH), "ratio", "fill")
 
 
@@ -533,7 +591,7 @@ def pack_stats(t: Tables):
     ),
 )
 def packed_length_check(t: Tables):
-    packed = packing.pack_sequences(_doc_chunks(t), PACK_LENGTH, v.PAD_ID)
+    packed = _doc_packed(t)
     return packing.length_check(packed, PACK_LENGTH)
 
 
@@ -553,7 +611,8 @@ def pad_batches(t: Tables):
     rows = examples.text_examples(
         t.texts().withColumn("split", F.lit("train")), ["doc_id", "split"], v.TOK, PACK_LENGTH
     )
-    indexed = indexing.dense_index(rows, ["doc_id"], groups=("split",))
+    lean = rows.drop("attention_mask", "labels")  # made again from the ids
+    indexed = indexing.dense_index(lean, ["doc_id"], groups=("split",))
     padded = packing.pad_batches(indexed, 16, v.PAD_ID)
     return padded.select(
         "doc_id",
@@ -567,6 +626,29 @@ def pad_batches(t: Tables):
 
 # ---------------------------------------------------------- prepared datasets
 
+
+@query(
+    "prepare_without_key",
+    f"""SELECT count(*) AS n_rows, sum(len(ids)) AS n_tokens
+  FROM (SELECT {v.ids("text")}[1:{PACK_LENGTH}] AS ids FROM documents) WHERE len(ids) > 0""",
+)
+def prepare_without_key(t: Tables):
+    """A table of text alone, its rows keyed by their place in the files."""
+    path = scratch_path(t.spark, "texts")
+    t.documents.select("text").write.parquet(path)
+    packed = prepare.prepare_job(t.spark, v.TOK, replace(PRETRAIN, dataset_path=path))
+    return packed.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_tokens").alias("n_tokens"))
+
+
+@query(
+    "conversations_column",
+    v.with_views(_rendered_sql("simple_segments"), "simple_segments"),
+)
+def conversations_column(t: Tables):
+    """Chats whose column is called ``conversations``."""
+    return _rendered(chat_column(v.chats(t).withColumnRenamed("messages", "conversations")), "simple")
+
+
 _PRETRAIN_PACK = {
     "parted": (("blanked_docs",), v.split_cte("blanked_docs", "doc_id")),
     "examples": (

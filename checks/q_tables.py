@@ -69,6 +69,44 @@ def multi_source_load(t: Tables):
     return loaded.union()
 
 
+@query(
+    "sources_report",
+    """SELECT 'documents' AS source, true AS loaded, count(*) AS n FROM documents
+  UNION ALL SELECT 'benchmark', true, count(*) FROM benchmark
+  UNION ALL SELECT unnest(['absent', 'region']), false, 0""",
+)
+def sources_report(t: Tables):
+    """What could be read, as rows, with the rows of each."""
+
+    def prepare(df, name):
+        return df.select(F.lit(name).alias("source"), text_md5())
+
+    names = ("documents", "absent", "benchmark", "region")
+    loaded = readers.load_sources(t.spark, {n: t.path(n) for n in names}, prepare)
+    counts = loaded.union().groupBy("source").agg(F.count("*").alias("n"))
+    report = loaded.report(t.spark).select("source", "loaded")
+    return report.join(counts, "source", "left").select("source", "loaded", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query(
+    "keyed_documents",
+    "SELECT doc_id, 1::BIGINT AS n FROM documents",
+)
+def keyed_documents(t: Tables):
+    """Every document with the number of rows that its stored key names."""
+    keyed = readers.with_row_key(t.documents).select("doc_id", "row_key")
+    rows = keyed.repartition(7, "doc_id").groupBy("row_key").agg(F.count("*").alias("n"))
+    return keyed.join(rows, "row_key").select("doc_id", "n")
+
+
+@query(
+    "train_wrap",
+    f"SELECT 'train' AS split, doc_id, {TEXT_MD5} FROM documents",
+)
+def train_wrap(t: Tables):
+    return sinks.with_train_split(t.documents).select("split", "doc_id", text_md5())
+
+
 @query(
     "sink_roundtrip",
     v.with_views(f"SELECT doc_id, {TEXT_MD5}, split FROM split_docs", "split_docs"),
@@ -88,7 +126,27 @@ _WIDE_SQL = (
 
 @query("unpivot_tasks", v.with_views(_WIDE_SQL, "wide_rows"))
 def unpivot_tasks(t: Tables):
-    rows = project.unpivot_tasks(v.wide(t), ["row_id"], inject=False)
+    return _unpivoted(v.wide(t))
+
+
+@query("unpivot_field_order", v.with_views(_WIDE_SQL, "wide_rows"))
+def unpivot_field_order(t: Tables):
+    """The same rows from structs whose fields come in another order."""
+
+    def turned(name):
+        cell = F.col(f"`{name}`")
+        messages = F.transform(
+            cell["messages"],
+            lambda m: F.struct(m["content"].alias("content"), F.lit(1).alias("n"), m["role"].alias("role")),
+        )
+        meta = F.to_json(cell["meta"]).alias("meta")
+        return F.when(cell.isNotNull(), F.struct(meta, messages.alias("messages"))).alias(name)
+
+    return _unpivoted(v.wide(t).select("row_id", *[turned(n) for n in TASK_COLUMNS]))
+
+
+def _unpivoted(wide):
+    rows = project.unpivot_tasks(wide, ["row_id"], inject=False)
     return rows.select(
         "row_id",
         "column_idx",
@@ -155,6 +213,8 @@ def _probe_sql() -> str:
         ("doc_id", "bigint", "other", "doc_id IS NOT NULL"),
         ("text", "string", "text", "length(text) > 0"),
         ("lang", "string", "text", "length(lang) > 0"),
+        ("source", "string", "text", "length(source) > 0"),
+        ("n_chars", "bigint", "other", "n_chars IS NOT NULL"),
         ("input_ids", "array<int>", "tokens", f"len({v.pieces('text')}) > 0"),
     ]
     selects = [
@@ -167,7 +227,7 @@ def _probe_sql() -> str:
 
 @query("schema_probe", _probe_sql())
 def schema_probe(t: Tables):
-    docs = v.blanked_docs(t).select("doc_id", "text", "lang")
+    docs = v.blanked_docs(t)
     return project.schema_probe(docs.withColumn("input_ids", v.TOK.encode(F.col("text"))))
 
 

@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.sources.readers import spread
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,8 +21,8 @@ class Tables:
         return f"{self.root}/{name}.parquet"
 
     def texts(self) -> DataFrame:
-        """Documents, with enough tasks for work on every token."""
-        return spread(self.documents.select("doc_id", "text"), ["doc_id"])
+        """Documents as (doc_id, text)."""
+        return self.documents.select("doc_id", "text")
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.functions.tokens import RegexTokenizer, vocabulary
+from weftline.functions.tokens import RegexTokenizer, stored_vocabulary, vocabulary
 from weftline.operators import inspect
+from weftline.session import staged
 
 TOK, BARE = RegexTokenizer(), RegexTokenizer(specials=())
 
@@ -27,12 +28,20 @@ def test_marker_positions(spark):
 def test_decode_with_frequent_and_rare_tokens(spark):
     texts = ["de " * 500 + f"w{i} x" for i in range(20)]
     df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
-    ids = df.select("k", TOK.encode(F.col("t")).alias("ids"))
-    vocab = vocabulary(df, F.col("t"), TOK)
-    for share in (0.0, 0.001, 0.2, 1.0):
-        back = inspect.decode_ids(ids, ["k"], "ids", vocab, share)
-        want = dict(df.select("k", TOK.pieces(F.col("t"))).collect())
-        assert dict(back.collect()) == want
+    vocab = staged(stored_vocabulary(df, F.col("t"), TOK), "vocabulary")
+    assert vocab.select("token_id").distinct().count() == vocab.count() == 22
+    ids = inspect.encode_stored(df, ["k"], F.col("t"), TOK, vocab)
+    back = inspect.decode_ids(ids, ["k"], "ids", vocab)
+    want = dict(df.select("k", TOK.pieces(F.col("t"))).collect())
+    assert dict(back.collect()) == want
+
+
+def test_unknown_ids_and_empty_rows_stay(spark):
+    df = spark.createDataFrame([(1, "aa cc"), (2, ""), (3, None), (None, "bb aa")], "k long, t string")
+    vocab = staged(stored_vocabulary(df.where("k is null"), F.col("t"), TOK), "vocabulary")
+    ids = inspect.encode_stored(df, ["k"], F.col("t"), TOK, vocab)
+    got = dict(inspect.decode_ids(ids, ["k"], "ids", vocab).collect())
+    assert got == {1: ["aa", "<unk>"], 2: [], 3: [], None: ["bb", "aa"]}
 
 
 def test_vocabulary_names_the_most_frequent_piece(spark):
@@ -61,8 +70,9 @@ def test_specials(spark):
     assert len(vocab) == len(TOK.specials)
     assert vocab["[INST]"] == (TOK.special_id("[INST]"), 1) and vocab["<pad>"][1] == 0
     trip = inspect.special_roundtrip(df, F.col("t"), TOK).collect()
-    assert {r["token"] for r in trip} == {"<s>", "[INST]", "[/INST]", "</s>", "<|task-2-bow|>"}
-    assert all(r["n_single"] == r["n_same"] == 1 for r in trip)
+    assert {r["token"] for r in trip} == set(TOK.specials) and len(trip) == 26
+    seen = {"<s>", "[INST]", "[/INST]", "</s>", "<|task-2-bow|>"}
+    assert all(r["n_single"] == r["n_same"] == int(r["token"] in seen) for r in trip)
 
 
 def test_specials_that_start_like_words(spark):

@@ -153,3 +153,20 @@ def test_rich_messages_of_both_content_types(spark):
 )
 def test_template_of_a_model_family(model, template):
     assert template_for_model(model) == template
+
+
+def test_missing_and_nested_fields(spark):
+    from weftline.errors import SourceError
+
+    df = spark.createDataFrame([([("x",)],)], "messages array<struct<content:string>>")
+    with pytest.raises(SourceError):
+        rich_messages(df)
+    kind = "messages array<struct<content:string,role:string,tool_calls:string>>"
+    calls = '[{"function": {"arguments": {"x": 1}, "name": "look"}}, {"arguments": "", "name": "b"}]'
+    rows = [([('[{"type": "text", "text": "hi"}]', "user", None), ("plain", "assistant", calls)],)]
+    df = spark.createDataFrame(rows, kind)
+    first, second = df.select(rich_messages(df, json_blocks=True).alias("m")).first()["m"]
+    assert first["text"] is None and [tuple(b) for b in first["blocks"]] == [("text", "hi")]
+    assert second["text"] == "plain" and second["role"] == "assistant"
+    assert [tuple(c) for c in second["tool_calls"]] == [("look", '{"x":1}'), ("b", "")]
+    assert df.select(rich_messages(df).alias("m")).first()["m"][0]["blocks"] is None

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.errors import SourceError
 from weftline.functions.text import strip
 from weftline.params import BOS, EOS
 
@@ -365,25 +366,88 @@ def render(messages: Column, template: str = "simple", options: RenderOptions |
     )
 
 
-def rich_messages(df: DataFrame, column: str = "messages") -> Column:
-    """Bring ``column`` to the rich message type, whatever its content type is."""
-    element = df.schema[column].dataType.elementType
-    fields = {f.name: f.dataType for f in element.fields}
+def _fields(kind: T.DataType) -> dict[str, T.DataType]:
+    """Field types of a list's items, by name."""
+    item = kind.elementType if isinstance(kind, T.ArrayType) else None
+    return {f.name: f.dataType for f in item.fields} if isinstance(item, T.StructType) else {}
+
+
+def _blocks(content: Column, kind: T.DataType) -> Column:
+    names = _fields(kind)
+    if "type" not in names:
+        raise SourceError(f"content blocks lack a type: {kind.simpleString()}")
+    return F.transform(
+        content,
+        lambda b: F.struct(
+            b["type"].cast("string").alias("type"),
+            (b["text"] if "text" in names else F.lit(None)).cast("string").alias("text"),
+        ),
+    )
+
+
+def _as_text(value: Column, kind: T.DataType) -> Column:
+    return value if isinstance(kind, T.StringType) else F.to_json(value)
+
+
+def _tool_calls(calls: Column, kind: T.DataType) -> Column:
+    """Calls as (name, arguments): flat or under ``function``, typed or JSON text."""
+    if isinstance(kind, T.NullType):
+        return calls.cast(TOOL_CALLS)
+    if isinstance(kind, T.StringType):
+        # A text field takes any JSON value, as text.
+        one = "name:string,arguments:string"
+        parsed = f"array<struct<{one},function:struct<{one}>>>"
+        calls, kind = F.from_json(calls, parsed), T.StructType.fromDDL(f"x {parsed}")["x"].dataType
+    fields = _fields(kind)
+    nested = fields.get("function")
+    inner = {f.name: f.dataType for f in nested.fields} if nested is not None else {}
+    if "name" not in fields and "name" not in inner:
+        raise SourceError(f"tool calls lack a name: {kind.simpleString()}")
+
+    def part(call: Column, name: str) -> Column:
+        found = []
+        if name in inner:
+            found.append(_as_text(call["function"][name], inner[name]))
+        if name in fields:
+            found.append(_as_text(call[name], fields[name]))
+        return F.coalesce(*found, F.lit(None).cast("string")).alias(name)
+
+    return F.transform(calls, lambda c: F.struct(part(c, "name"), part(c, "arguments")))
+
+
+def rich_messages(df: DataFrame, column: str = "messages", json_blocks: bool = False) -> Column:
+    """Bring ``column`` to the rich message type, whatever its content type is.
+
+    Fields are matched by name, in messages, blocks and tool calls. With
+    ``json_blocks``, text content that is a JSON list of objects is read as
+    blocks, so a column may mix texts and lists row by row.
+    """
+    fields = _fields(df.schema[column].dataType)
+    if "role" not in fields:
+        raise SourceError(f"messages lack a role: {df.schema[column].dataType.simpleString()}")
 
     def convert(m: Column) -> Column:
         content = fields.get("content")
+        nothing = F.lit(None)
         if content is None:
-            text, blocks = m["text"], m["blocks"]
+            text = m["text"] if "text" in fields else nothing
+            blocks = _blocks(m["blocks"], fields["blocks"]) if "blocks" in fields else nothing
         elif isinstance(content, T.StringType):
-            text, blocks = m["content"], F.lit(None)
+            text, blocks = m["content"], nothing
+            if json_blocks:
+                listed = m["content"].rlike(r"^\s*\[\s*\{")
+                blocks = F.when(listed, F.from_json(m["content"], BLOCKS))
+                text = F.when(blocks.isNull(), m["content"])
         else:
-            text, blocks = F.lit(None), m["content"]
-        calls = m["tool_calls"] if "tool_calls" in fields else F.lit(None)
+            text, blocks = nothing, _blocks(m["content"], content)
+        calls = nothing.cast(TOOL_CALLS)
+        if "tool_calls" in fields:
+            calls = _tool_calls(m["tool_calls"], fields["tool_calls"])
         return F.struct(
-            m["role"].alias("role"),
+            m["role"].cast("string").alias("role"),
             text.cast("string").alias("text"),
             blocks.cast(BLOCKS).alias("blocks"),
-            calls.cast(TOOL_CALLS).alias("tool_calls"),
+            calls.alias("tool_calls"),
         )
 
     return F.transform(F.col(column), convert)

@@ -14,6 +14,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.indexing import dense_index
 from weftline.params import SPECIALS, SpecialTokens
 
 WORDS = r"\p{L}+|\p{N}+"
@@ -22,6 +23,7 @@ OTHER = r"[^ \t\n\x0B\f\r\p{L}\p{N}]"  # one visible character
 # An ordinary id is the low 30 bits of its piece's CRC-32, so no vocabulary has
 # to be built or joined to encode; specials are numbered above them.
 FIRST_SPECIAL_ID = 1 << 30
+UNKNOWN_ID, UNKNOWN_PIECE = -1, "<unk>"
 
 
 @dataclass(frozen=True)
@@ -98,3 +100,19 @@ def vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) -> DataFr
             F.count("*").alias("n_pieces"),
         )
     )
+
+
+def stored_vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) -> DataFrame:
+    """(token_id, piece): an id of its own, from 0 on, for every piece that occurs.
+
+    Unlike hashed ids these never collide, so decoding by the vocabulary is
+    exact; white space is no piece and does not come back. Write the table
+    before use: ids hold for the vocabulary that they came from.
+    """
+    pieces = (
+        df.select(F.explode_outer(tokenizer.pieces(text)).alias("piece"))
+        .where(F.col("piece").isNotNull())
+        .groupBy("piece")
+        .agg(F.count("*").alias("n"))
+    )
+    return dense_index(pieces.select("piece"), ["piece"], out="token_id", digits=2)

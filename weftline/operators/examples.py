@@ -233,6 +233,7 @@ def examples_from_log(
     template: str = "simple",
     options: RenderOptions | None = None,
     fan_in: int = 4096,
+    add_bos: bool = False,
 ) -> DataFrame:
     """Examples straight from a message log (conv_id, turn, role, text).
 
@@ -304,9 +305,10 @@ def examples_from_log(
             tree("labels", "labels").alias("labels"),
         )
     tail = encode_segments(t.tail(o), tokenizer)
+    lead = [tokenizer.special_id(tokenizer.markers.bos)] if add_bos else []
     whole = parts.select(
         "conv_id",
-        cut(F.concat("open_ids", joined_ids(tail))).alias("input_ids"),
-        cut(F.concat("open_labels", joined_labels(tail))).alias("labels"),
+        cut(_led(F.concat("open_ids", joined_ids(tail)), lead)).alias("input_ids"),
+        cut(_led(F.concat("open_labels", joined_labels(tail)), [IGNORE_INDEX] * len(lead))).alias("labels"),
     )
     return with_mask(whole.where(F.size("input_ids") > 0))

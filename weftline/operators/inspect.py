@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from weftline.functions.arrays import positions_of
 from weftline.functions.text import escape_newlines
-from weftline.functions.tokens import FIRST_SPECIAL_ID, RegexTokenizer, vocabulary
+from weftline.functions.tokens import (
+    FIRST_SPECIAL_ID,
+    UNKNOWN_ID,
+    UNKNOWN_PIECE,
+    RegexTokenizer,
+    vocabulary,
+)
 
 
 def marker_positions(
@@ -77,61 +83,61 @@ def special_vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) -
 
 
 def special_roundtrip(df: DataFrame, text: Column, tokenizer: RegexTokenizer) -> DataFrame:
-    """(token, n_single, n_same): for every special, how often its text stays a
+    """(token, n_single, n_same) of every special: how often its text stays a
     single piece in the data, and how often that piece's id leads back to it."""
     back = F.create_map(
         *[F.lit(x) for s in tokenizer.specials for x in (tokenizer.special_id(s), s)]
     )
+    known = df.sparkSession.createDataFrame([(s,) for s in tokenizer.specials], "token string")
     pieces = (
         df.select(F.explode_outer(tokenizer.pieces(text)).alias("token"))
         .where(F.col("token").isin(*tokenizer.specials))
         .groupBy("token")
-        .agg(F.count("*").alias("n_single"))
+        .agg(F.count("*").alias("n"))
     )
     decoded = F.try_element_at(back, tokenizer.piece_id(F.col("token")))
-    return pieces.select(
+    # Both sides have one row per registered special.
+    n = F.coalesce("n", F.lit(0))
+    return known.join(pieces, "token", "left").select(
         "token",
-        "n_single",
-        F.when(decoded == F.col("token"), F.col("n_single")).otherwise(0).alias("n_same"),
+        n.alias("n_single"),
+        F.when(decoded == F.col("token"), n).otherwise(0).alias("n_same"),
     )
 
 
-def decode_ids(
-    df: DataFrame, keys: list[str], ids: str, vocab: DataFrame, hot_share: float = 0.001
+def look_up(
+    df: DataFrame, keys: list[str], values: Column, table: DataFrame, unknown: Column, out: str
 ) -> DataFrame:
-    """(keys, pieces): token ids back to their pieces through a vocabulary table.
-
-    ``vocab`` is read three times, so it should be a stored table.
+    """(keys, out): an array's items replaced through ``table`` (from, to).
 
-    Ids that make up more than ``hot_share`` of all tokens are looked up in a
-    broadcast table; there can be no more than ``1 / hot_share`` of them. The
-    others are joined by id, where no id holds more than that share, so a very
-    frequent token never gathers in one task.
+    Items are combined to one row per distinct item and its positions before
+    anything is shuffled. Items that the table lacks become ``unknown``; rows
+    whose array is null or empty keep an empty one. ``keys`` tell rows apart.
     """
-    total = vocab.agg(F.sum("n")).scalar()
-    flagged = vocab.withColumn("_hot", F.col("n") > total * hot_share)
-    hot = flagged.where("_hot").select("token_id", "piece")
-    cold = flagged.where(~F.col("_hot")).select("token_id", "piece")
-    # The outer form: the inner one makes the optimizer compute the ids again to
-    # filter on their number.
-    tokens = df.select(*keys, F.posexplode_outer(ids).alias("pos", "token_id")).where(
-        F.col("pos").isNotNull()
-    )
-    looked_up = tokens.join(
-        F.broadcast(hot.withColumnRenamed("piece", "_hot_piece")), "token_id", "left"
+    items = df.select(*keys, F.posexplode_outer(values).alias("_at", "_item"))
+    distinct = items.groupBy(*keys, "_item").agg(F.collect_list("_at").alias("_at"))
+    found = distinct.join(
+        table.select(F.col("from").alias("_item"), F.col("to").alias("_to")), "_item", "left"
     )
-    frequent = looked_up.where(F.col("_hot_piece").isNotNull()).select(
-        *keys, "pos", F.col("_hot_piece").alias("piece")
+    placed = F.transform(
+        "_at", lambda i: F.struct(i.alias("i"), F.coalesce("_to", unknown).alias("x"))
     )
-    rest = (
-        looked_up.where(F.col("_hot_piece").isNull())
-        .join(cold.hint("merge"), "token_id")
-        .select(*keys, "pos", "piece")
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "piece")))
     return (
-        frequent.unionByName(rest)
-        .groupBy(*keys)
-        .agg(ordered.alias("_o"))
-        .select(*keys, F.transform("_o", lambda x: x["piece"]).alias("pieces"))
+        found.groupBy(*keys)
+        .agg(F.sort_array(F.flatten(F.collect_list(placed))).alias("_placed"))
+        .select(*keys, F.transform("_placed", lambda p: p["x"]).alias(out))
     )
+
+
+def encode_stored(
+    df: DataFrame, keys: list[str], text: Column, tokenizer: RegexTokenizer, vocab: DataFrame
+) -> DataFrame:
+    """(keys, ids): texts by a stored vocabulary; ``UNKNOWN_ID`` for new pieces."""
+    table = vocab.select(F.col("piece").alias("from"), F.col("token_id").alias("to"))
+    return look_up(df, keys, tokenizer.pieces(text), table, F.lit(UNKNOWN_ID), "ids")
+
+
+def decode_ids(df: DataFrame, keys: list[str], ids: str, vocab: DataFrame) -> DataFrame:
+    """(keys, pieces): ids back to pieces; ``UNKNOWN_PIECE`` for ids not in ``vocab``."""
+    table = vocab.select(F.col("token_id").alias("from"), F.col("piece").alias("to"))
+    return look_up(df, keys, F.col(ids), table, F.lit(UNKNOWN_PIECE), "pieces")

@@ -249,7 +249,10 @@ def pad_batches(
 ) -> DataFrame:
     """Pad consecutive batches of a split to their longest row, rounded up to
     ``multiple``. A batch has ``batch_rows`` rows at most, so the window is small.
+    Rows without ``labels`` get their ids as labels, made after they have moved.
     """
+    labels = "labels" if "labels" in indexed.columns else "input_ids"
+    indexed = indexed.drop("attention_mask")
     batched = indexed.withColumn(
         "batch", F.floor(F.col("idx") / batch_rows).cast("bigint")
     ).withColumn(
@@ -262,7 +265,7 @@ def pad_batches(
         "batch",
         pad_right(F.col("input_ids"), pad_id, to).alias("input_ids"),
         pad_right(ones_like(F.col("input_ids")), 0, to).alias("attention_mask"),
-        pad_right(F.col("labels"), IGNORE_INDEX, to).alias("labels"),
+        pad_right(F.col(labels), IGNORE_INDEX, to).alias("labels"),
     )
 
 

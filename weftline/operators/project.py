@@ -6,12 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.errors import SourceError
 from weftline.functions.text import json_text
-from weftline.functions.text import preview as preview_text
 from weftline.operators.filters import has_messages
 from weftline.params import COLUMN_TOKENS, TASK_COLUMNS
 
-MESSAGES = "array<struct<role:string,content:string>>"
+
+
+def named_messages(messages: Column, kind: T.DataType) -> Column:
+    """Messages as ``array<struct<role, content>>``, fields matched by name."""
+    names = kind.elementType.fieldNames() if isinstance(kind, T.ArrayType) else []
+    missing = {"role", "content"} - set(names)
+    if missing:
+        raise SourceError(f"messages lack {sorted(missing)}: {kind.simpleString()}")
+    return F.transform(
+        messages,
+        lambda m: F.struct(
+            m["role"].cast("string").alias("role"), m["content"].cast("string").alias("content")
+        ),
+    )
+
+
+def metadata_text(meta: Column, kind: T.DataType) -> Column:
+    """Metadata as JSON text; text is taken to be that already."""
+    if isinstance(kind, T.StringType):
+        return F.coalesce(meta, F.lit("{}"))
+    return json_text(meta)
 
 
 def token_for_column(name: str) -> str:
@@ -52,11 +72,13 @@ def unpivot_tasks(
         if name not in df.columns:
             continue
         cell = F.col(f"`{name}`")
-        messages = F.coalesce(cell["messages"], F.array()).cast(MESSAGES)
+        kinds = {f.name: f.dataType for f in df.schema[name].dataType.fields}
+        if "messages" not in kinds:
+            raise SourceError(f"column {name} has no field messages")
+        messages = named_messages(F.coalesce(cell["messages"], F.array()), kinds["messages"])
         if inject:
             messages = prefix_first(messages, token_for_column(name))
-        fields = df.schema[name].dataType.fieldNames()
-        meta = json_text(cell["meta"]) if "meta" in fields else F.lit("{}")
+        meta = metadata_text(cell["meta"], kinds["meta"]) if "meta" in kinds else F.lit("{}")
         cells.append(
             F.when(
                 cell.isNotNull(),
@@ -69,7 +91,7 @@ def unpivot_tasks(
             )
         )
     if not cells:
-        raise ValueError(f"none of the task columns {list(columns)} in {df.columns}")
+        raise SourceError(f"none of the task columns {list(columns)} in {df.columns}")
     rows = df.select(*keys, F.inline_outer(F.array_compact(F.array(*cells)))).where(
         F.col("column_idx").isNotNull()
     )
@@ -78,27 +100,12 @@ def unpivot_tasks(
 
 def align_chats(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Project to (``messages``, JSON ``metadata``) and the columns in ``keep``."""
-    if "metadata" not in df.columns:
-        metadata = F.lit("{}")
-    elif isinstance(df.schema["metadata"].dataType, T.StringType):
-        metadata = F.coalesce(F.col("metadata"), F.lit("{}"))
-    else:
-        metadata = json_text(F.col("metadata"))
+    metadata = F.lit("{}")
+    if "metadata" in df.columns:
+        metadata = metadata_text(F.col("metadata"), df.schema["metadata"].dataType)
     return df.select(*(keep or []), "messages", metadata.alias("metadata"))
 
 
-def preview_rows(df: DataFrame, keys: list[str], n: int = 200, **how) -> DataFrame:
-    """Every string column cut to ``n`` characters."""
-    shown = [
-        preview_text(F.col(f.name), n, **how).alias(f.name)
-        if isinstance(f.dataType, T.StringType)
-        else F.col(f.name)
-        for f in df.schema.fields
-        if f.name not in keys
-    ]
-    return df.select(*keys, *shown)
-
-
 def column_kind(data_type: T.DataType) -> str:
     """``tokens`` for integer lists, ``text`` for strings, else ``other``."""
     if isinstance(data_type, T.ArrayType) and isinstance(

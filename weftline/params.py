@@ -111,6 +111,8 @@ class DataParams:
     chunk_rows: int = 10_000
     batch_rows: int = 16
     pad_to_multiple_of: int = 64
+    add_bos: bool = False
+    model_name: str | None = None
 
 
 @dataclass(frozen=True)

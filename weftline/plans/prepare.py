@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from weftline.functions.templates import RenderOptions
+from weftline.functions.templates import RenderOptions, template_for_model
 from weftline.operators.examples import (
     Tokenizer,
     encode_chats,
@@ -20,6 +20,7 @@ from weftline.operators.packing import PLACE, arrange_chunks, pack_arranged, pad
 from weftline.operators.sampling import split_train_eval
 from weftline.params import DataParams
 from weftline.session import staged
+from weftline.sources.readers import chat_column, read_params, with_row_key
 from weftline.sources.splits import resolve_splits
 
 
@@ -68,7 +69,8 @@ def prepare_instruction(
 
     def encode(df: DataFrame, keep: list[str]) -> DataFrame:
         return encode_chats(
-            df, keep, tokenizer, params.max_seq_length, template, options=options
+            df, keep, tokenizer, params.max_seq_length, template, options=options,
+            add_bos=params.add_bos,
         )
 
     return packed_or_padded(
@@ -90,7 +92,9 @@ def prepare_instruction_log(
     """
     chat_ids = log.select("conv_id").distinct()
     examples = split_train_eval(
-        examples_from_log(log, tokenizer, params.max_seq_length, template, options),
+        examples_from_log(
+            log, tokenizer, params.max_seq_length, template, options, add_bos=params.add_bos
+        ).drop("attention_mask"),
         ["conv_id"],
         params.validation_split,
         params.seed,
@@ -109,8 +113,8 @@ def prepare_pretrain(
     kept = usable_texts(split, tokenizer, column).select(*keys, "split", column)
 
     def encode(df: DataFrame, keep: list[str]) -> DataFrame:
-        rows = encode_texts(df, keep, tokenizer, params.max_seq_length, column)
-        return rows.drop("labels") if params.use_packing else rows
+        rows = encode_texts(df, keep, tokenizer, params.max_seq_length, column, params.add_bos)
+        return rows.drop("labels")
 
     return packed_or_padded(kept, keys, tokenizer, params, encode)
 
@@ -118,7 +122,23 @@ def prepare_pretrain(
 def prepare_dataset(
     df: DataFrame, keys: list[str], tokenizer: Tokenizer, params: DataParams, **how
 ) -> DataFrame:
-    """Raw text or chats, as the parameters say."""
+    """Raw text or chats, as the parameters say.
+
+    A model named in ``params`` chooses the template, unless one is given.
+    """
     if params.is_continue_pretrain:
         return prepare_pretrain(df, keys, tokenizer, params)
-    return prepare_instruction(df, keys, tokenizer, params, **how)
+    if params.model_name is not None:
+        how.setdefault("template", template_for_model(params.model_name))
+    return prepare_instruction(chat_column(df), keys, tokenizer, params, **how)
+
+
+def prepare_job(
+    spark: SparkSession, tokenizer: Tokenizer, params: DataParams, keys: list[str] | None = None, **how
+) -> DataFrame:
+    """Read what ``params`` names and prepare it; stored rows are keyed by their
+    place where ``keys`` names no columns that do."""
+    df = read_params(spark, params)
+    if keys is None:
+        df, keys = with_row_key(df), ["row_key"]
+    return prepare_dataset(df, keys, tokenizer, params, **how)

@@ -6,9 +6,11 @@ import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.errors import SourceError
 from weftline.operators.setops import union_all
 from weftline.params import DataParams
 
@@ -35,23 +37,26 @@ def read_params(spark: SparkSession, params: DataParams) -> DataFrame:
         df = spark.read.parquet(os.path.join(*parts))
         wanted = {"revision": params.dataset_revision, "split": params.dataset_split}
         for name, value in wanted.items():
-            if value is not None and name in df.columns:
-                df = df.where(F.col(name) == value)
+            # A dataset without splits is its train split.
+            if value is None or (name == "split" and value == "train" and name not in df.columns):
+                continue
+            if name not in df.columns:
+                raise SourceError(f"{params.dataset_name} has no {name}, so none called {value!r}")
+            df = df.where(F.col(name) == value)
         return df
     if params.dataset_path:
         return spark.read.parquet(params.dataset_path)
     raise ValueError("either dataset_name or dataset_path is needed")
 
 
-def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Give a costly per-row stage at least one task per core.
+def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
+    """Add a key to a table as read from parquet: each row's file and its place there.
 
-    A file can only be split at its row groups, so a small table may come as
-    one task. A table with as many input splits as there are cores, which any
-    large one has, is returned as it is.
+    It names the stored row, so it is the same under any partitioning and in any
+    retry, as long as the files stay. Use it before anything but reading.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(2 * cores, *keys)
+    place = [F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")]
+    return df.select("*", F.concat_ws("#", *place).alias(name))
 
 
 @dataclass
@@ -61,6 +66,12 @@ class LoadedSources:
     frames: dict[str, DataFrame] = field(default_factory=dict)
     skipped: dict[str, str] = field(default_factory=dict)
 
+    def report(self, spark: SparkSession) -> DataFrame:
+        """(source, loaded, reason), one row per source."""
+        rows = [(name, True, None) for name in self.frames]
+        rows += [(name, False, reason) for name, reason in self.skipped.items()]
+        return spark.createDataFrame(rows, "source string, loaded boolean, reason string")
+
     def union(self, strict: bool = True) -> DataFrame:
         return union_all(list(self.frames.values()), strict=strict)
 
@@ -73,7 +84,8 @@ def load_sources(
     """Read every source that can be read; raise only if none can.
 
     A source fails here when its files or columns are missing: reading its
-    schema and planning ``prepare`` touch no rows.
+    schema and planning ``prepare`` touch no rows. Other errors are faults of
+    the code, and are raised.
     """
     loaded = LoadedSources()
     for name, path in paths.items():
@@ -83,10 +95,10 @@ def load_sources(
                 df = prepare(df, name)
             df.schema  # noqa: B018 - resolves the plan, so a bad source fails now
             loaded.frames[name] = df
-        except Exception as problem:  # any failure of one source spares the others
+        except (AnalysisException, SourceError) as problem:
             loaded.skipped[name] = str(problem).splitlines()[0]
     if not loaded.frames:
-        raise ValueError(f"no source could be read: {loaded.skipped}")
+        raise SourceError(f"no source could be read: {loaded.skipped}")
     return loaded
 
 
@@ -96,7 +108,7 @@ def chat_column(df: DataFrame) -> DataFrame:
         return df
     if "conversations" in df.columns:
         return df.withColumnRenamed("conversations", "messages")
-    raise ValueError(f"no chat column in {df.columns}")
+    raise SourceError(f"no chat column in {df.columns}")
 
 
 def chats_from_log(log: DataFrame) -> DataFrame:
