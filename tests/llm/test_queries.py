@@ -1,0 +1,13 @@
+"""Every query of the operators that SQL can express, against that SQL."""
+
+import pytest
+
+from checks.compare import compare, connect
+from weftline.llm.queries import ORACLES, QUERIES
+
+ROOT = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, name):
+    assert compare(spark, connect(ROOT), name, ROOT, QUERIES, ORACLES) is None

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.session import staged
+
 FIRST = 256  # candidates of a batch that are evaluated before the first stop
 GROUP = 256  # queries worked on together
 BATCH = 8192  # candidates worked on together
@@ -141,7 +143,7 @@ def top_k(
     how much is skipped, never what is found. At most ``block`` queries are on
     the driver or broadcast at a time.
     """
-    vectors = (
+    vectors = staged(
         df.select(
             F.col(f"`{key}`").cast("bigint").alias("id"),
             whole_numbers(F.col(f"`{vector}`"), scale).alias("x"),
@@ -149,7 +151,8 @@ def top_k(
         )
         .dropna(subset=["id", "x"])
         .groupBy("id")
-        .agg(F.min("x").alias("x"), F.bool_or("asks").alias("asks"))
+        .agg(F.min("x").alias("x"), F.bool_or("asks").alias("asks")),
+        "vectors",
     )
     spark = df.sparkSession
     width = vectors.agg(F.max(F.size("x"))).first()[0] or 0
