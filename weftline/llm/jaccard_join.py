@@ -29,22 +29,25 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.arrow import Seen, list_array, slices
 from weftline.llm.components import components
 from weftline.llm.filters import seen_filters
+from weftline.llm.quality_rules import let
 from weftline.session import staged
 
 BINS = 20  # the sketch counts shingles by this many leading bits of their hash
 SKETCH_BLOCK = 1 << 14
-KEY_BITS = 57  # of a posted key; above them one bit for pairs, then the bin's level
+KEY_BITS = 53  # of a posted key; above them one bit for pairs, then the bin's level
+STEPS = 16  # levels per doubling of a count: a bin's own noise is then visible
 PAIR = np.uint64(1 << KEY_BITS)
-HOT_LEVEL = 2 * 17  # bins with more than 2**17 sets have their keys salted
+HOT_LEVEL = STEPS * 17  # bins with more than 2**17 sets have their keys salted
 LARGEST_LIGHT = 64  # pairs of larger sets are never enumerated
 COMPARE = 8  # cost of comparing two sets, in posted keys
 HEADS = 3
+MOST_ROUNDS = 3
 
 
 def _odd(seed: int) -> np.uint64:
@@ -175,8 +178,8 @@ def light_size(sizes: dict[int, int], sketch: np.ndarray, percent: int) -> int:
 
 
 def levels_of(sketch: np.ndarray) -> np.ndarray:
-    """Two levels per doubling of the count."""
-    return np.floor(2 * np.log2(np.maximum(sketch, 1))).astype(np.uint64)
+    """``STEPS`` levels per doubling of the count."""
+    return np.floor(STEPS * np.log2(np.maximum(sketch, 1))).astype(np.uint64)
 
 
 def posted_keys(h: np.ndarray, levels: np.ndarray, boundary: int, percent: int) -> np.ndarray:
@@ -224,7 +227,7 @@ def postings(
                 )
 
     level = F.shiftrightunsigned("key", KEY_BITS + 1)
-    parts = F.pow(F.lit(2.0), (level - HOT_LEVEL) / 2).cast("bigint")
+    parts = F.pow(F.lit(2.0), (level - HOT_LEVEL) / STEPS).cast("bigint")
     salt = F.when(level > HOT_LEVEL, F.pmod("s1", parts) + 1).otherwise(F.lit(0))
     return documents.select("text").mapInArrow(run, "key long, s1 long").withColumn("salt", salt)
 
@@ -291,7 +294,7 @@ def sets_of(documents: DataFrame, vertices: DataFrame, width: int, bits: int) ->
 
 def linked(pairs: DataFrame, documents: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
-    vertices = pairs.select(F.explode(F.array("a", "b")).alias("v"))
+    vertices = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
     sets = staged(sets_of(documents, vertices, width, bits), "sets")
 
     def side(name: str) -> DataFrame:
@@ -317,21 +320,109 @@ def likely(met: DataFrame, percent: int) -> DataFrame:
     for. Pairs of shingles, which only light sets post, are always followed up.
     """
     first, second = F.least("x", "y"), F.greatest("x", "y")
-    pair = F.shiftrightunsigned("key", KEY_BITS).bitwiseAND(F.lit(1)).cast("int")
     n, m = F.col("first.n"), F.col("second.n")
-    # The sizes as whole numbers: ceil(a / b) is -floor(-a / b).
-    asked = -F.floor(-percent * (n + m) / (100 + percent) + 1e-9)
-    left = -F.floor(-percent * F.greatest(n, m) / 100 + 1e-9) - 1
     return (
-        met.select("key", first.alias("first"), second.alias("second"), pair.alias("pair"))
-        .where((F.col("first.v") != F.col("second.v")) & (100 * F.least(n, m) >= percent * F.greatest(n, m)))
+        met.select("key", first.alias("first"), second.alias("second"), _of_pair(F.col("key")).alias("pair"))
+        .where((F.col("first.v") != F.col("second.v")) & _comparable(n, m, percent))
         .groupBy("first", "second")
         .agg(F.sum(1 - F.col("pair")).alias("keys"), F.max("pair").alias("pair"))
-        .where((F.col("pair") > 0) | (F.col("keys") >= asked - left))
+        .where((F.col("pair") > 0) | (F.col("keys") >= _keys_needed(n, m, percent)))
         .select(F.col("first.v").alias("a"), F.col("second.v").alias("b"))
     )
 
 
+def _of_pair(key: Column) -> Column:
+    """1 for the key of a pair of shingles, else 0."""
+    return F.shiftrightunsigned(key, KEY_BITS).bitwiseAND(F.lit(1)).cast("int")
+
+
+def _comparable(n: Column, m: Column, percent: int) -> Column:
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def _keys_needed(n: Column, m: Column, percent: int) -> Column:
+    # The sizes as whole numbers: ceil(a / b) is -floor(-a / b).
+    asked = -F.floor(-percent * (n + m) / (100 + percent) + 1e-9)
+    return asked + F.floor(-percent * F.greatest(n, m) / 100 + 1e-9) + 1
+
+
+def still_apart(open_rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets in different components that can still be links.
+
+    Sets carry all their keys, so a pair comes out once, at the least key that
+    both have, and only if it meets often enough (see :func:`likely`).
+    """
+    keys = open_rows.groupBy("x").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    rows = open_rows.join(keys, "x")
+    others = rows.select("key", *[F.col(n).alias(f"{n}2") for n in ("x", "c", "keys")])
+
+    def both(common: Column) -> Column:
+        often = F.size(common) >= _keys_needed(F.col("x.n"), F.col("x2.n"), percent)
+        return (F.array_min(common) == F.col("key")) & (often | F.exists(common, lambda k: _of_pair(k) > 0))
+
+    apart = (F.col("x.v") < F.col("x2.v")) & (F.col("c") != F.col("c2"))
+    apart &= _comparable(F.col("x.n"), F.col("x2.n"), percent)
+    return (
+        rows.join(others, "key")
+        .where(apart & let(F.array_intersect("keys", "keys2"), both))
+        .select(F.col("x.v").alias("a"), F.col("x2.v").alias("b"))
+    )
+
+
+def _open_rows(meeting: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(key, x, c): the sets, with components, of keys that join several of these."""
+    placed = meeting.select("key", "v", F.struct("v", "n").alias("x"))
+    if roots is None:
+        return placed.select("key", "x", F.col("v").alias("c"))
+    placed = placed.join(roots, "v", "left").select("key", "x", F.coalesce("component", "v").alias("c"))
+    several = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    return placed.join(several.select("key"), "key")
+
+
+def _close_groups(
+    meeting: DataFrame, documents: DataFrame, width: int, percent: int, bits: int
+) -> tuple[DataFrame, DataFrame]:
+    """Compare sets with the heads of their keys: (pairs compared, components).
+
+    A key's heads are its sets with the smallest hashes, others in each round.
+    Only sets outside a head's component meet it, so a round costs a few pairs
+    per posting, and a group of near copies falls into few components after a
+    few rounds. They end when the pairs that are still apart are no more than
+    the postings, or a round links nothing new.
+    """
+    tried = links = roots = None
+    rows, size = _open_rows(meeting, None), meeting.count()
+    for turn in range(MOST_ROUNDS):
+        seeds = range(turn * HEADS, (turn + 1) * HEADS)
+        heads = rows.groupBy("key").agg(
+            *[F.min(F.struct(F.xxhash64("x.v", F.lit(k)), "x", "c")).alias(f"head{k}") for k in seeds]
+        )
+        chosen = F.array_distinct(F.array(*[F.struct(f"head{k}.x", f"head{k}.c") for k in seeds]))
+        # Two heads of one key meet twice; then they are followed up the sooner.
+        met = rows.join(heads, "key").select("key", "x", "c", F.explode(chosen).alias("head"))
+        met = met.where(F.col("c") != F.col("head.c")).select("key", "x", F.col("head.x").alias("y"))
+        new = likely(met, percent)
+        if tried is not None:
+            new = new.join(tried, ["a", "b"], "left_anti")
+        new = staged(new, "tried")
+        found = staged(linked(new, documents, width, percent, bits), "found")
+        tried = new if tried is None else tried.union(new)
+        links = found if links is None else links.union(found)
+        if not found.head(1):
+            break
+        roots = staged(components(links), "components")
+        rows = staged(_open_rows(meeting, roots), "open")
+        # Pairs apart in a key: all pairs without those inside a component.
+        inside = rows.groupBy("key", "c").count()
+        n = F.col("count").cast("double")
+        apart = inside.groupBy("key").agg((F.sum("count") ** 2 - F.sum(n * n)).alias("p"))
+        if (apart.agg(F.sum("p")).first()[0] or 0) / 2 <= size:
+            break
+    if roots is None:
+        roots = staged(components(links), "components")
+    return tried, roots
+
+
 def jaccard_components(
     df: DataFrame,
     key: str = "doc_id",
@@ -364,27 +455,10 @@ def jaccard_components(
         shared_postings(posted).join(copies.where("v is not null"), "s1").select("key", "v", "n").distinct(),
         "meeting",
     )
-    set_of = F.struct("v", "n")
-    heads = meeting.groupBy("key").agg(
-        *[F.min(F.struct(F.xxhash64("v", F.lit(k)), "v", "n")).alias(f"head{k}") for k in range(HEADS)]
-    )
-    chosen = F.array_distinct(F.array(*[F.struct(f"head{k}.v", f"head{k}.n") for k in range(HEADS)]))
-    # Two heads of one key meet twice; then they are followed up the sooner.
-    met = meeting.join(heads, "key").select("key", set_of.alias("x"), F.explode(chosen).alias("y"))
-    tried = staged(likely(met, percent), "tried")
-    roots = staged(components(linked(tried, documents, width, percent, bits)), "components")
-
-    placed = meeting.join(roots, "v", "left").select(
-        "key", set_of.alias("x"), F.coalesce("component", "v").alias("c")
-    )
-    open_keys = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-    open_rows = staged(placed.join(open_keys.select("key"), "key"), "open")
-    others = open_rows.select("key", F.col("x").alias("y"), F.col("c").alias("d"))
-    apart = open_rows.join(others, "key").where(
-        (F.col("x.v") < F.col("y.v")) & (F.col("c") != F.col("d"))
-        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-    )
-    rest = staged(likely(apart.select("key", "x", "y"), percent).join(tried, ["a", "b"], "left_anti"), "rest")
+    tried, roots = _close_groups(meeting, documents, width, percent, bits)
+
+    open_rows = _open_rows(meeting, roots)
+    rest = staged(still_apart(open_rows, percent).join(tried, ["a", "b"], "left_anti"), "rest")
     bridges = linked(rest, documents, width, percent, bits)
     # Links between components, by the components' names.
     for side in ("a", "b"):
