@@ -12,7 +12,13 @@ from checks.q_profile import rounded
 from checks.q_rows import CHUNK_ROWS, SHARDS
 from checks.registry import Tables, digest, query
 from weftline.functions.arrays import total
-from weftline.functions.templates import RenderOptions, rich_messages, segments, segments_text
+from weftline.functions.templates import (
+    RenderOptions,
+    rich_messages,
+    segments,
+    segments_text,
+    template_for_model,
+)
 from weftline.functions.tokens import RegexTokenizer, stored_vocabulary
 from weftline.operators import examples, indexing, inspect, packing, profile
 from weftline.params import DataParams
@@ -61,6 +67,25 @@ def render_role_tags(t: Tables):
     return _rendered(v.chats(t), "role_tags")
 
 
+@query(
+    "render_by_family",
+    v.with_views(
+        f"""SELECT 'mistral' AS family, * FROM ({_rendered_sql('simple_segments')})
+  UNION ALL SELECT 'phi-3', * FROM ({_rendered_sql('role_tag_segments')})""",
+        "simple_segments",
+        "role_tag_segments",
+    ),
+)
+def render_by_family(t: Tables):
+    """Templates chosen by model names."""
+    models = {"mistral": "Org/Mistral-7B-v0.3", "phi-3": "org/Phi-3-mini"}
+    frames = [
+        _rendered(v.chats(t), template_for_model(model)).withColumn("family", F.lit(family))
+        for family, model in models.items()
+    ]
+    return frames[0].unionByName(frames[1])
+
+
 @query("render_spans", v.with_views(_rendered_sql("marked_segments"), "marked_segments"))
 def render_spans(t: Tables):
     return _rendered(v.chats(t), "marked")
@@ -269,6 +294,26 @@ def tokenize_truncate(t: Tables):
 _PIECES_MD5 = v.digest_sql("p")
 
 
+BOS_ID = v.TOK.special_id(v.TOK.markers.bos)
+
+
+@query(
+    "encode_with_bos",
+    v.with_views(
+        f"SELECT doc_id, len(a) AS n_tokens, {v.digest_sql('a')} AS ids_md5 "
+        f"FROM (SELECT doc_id, ([{BOS_ID}] || ids)[1:64] AS a FROM doc_tokens)",
+        "doc_tokens",
+    ),
+)
+def encode_with_bos(t: Tables):
+    rows = examples.encode_texts(t.texts(), ["doc_id"], v.TOK, 64, add_bos=True)
+    return rows.select(
+        "doc_id",
+        F.size("input_ids").cast("bigint").alias("n_tokens"),
+        digest(F.col("input_ids")).alias("ids_md5"),
+    )
+
+
 @query(
     "decode_roundtrip",
     f"""SELECT doc_id, len(p) AS n_pieces, {_PIECES_MD5} AS pieces_md5

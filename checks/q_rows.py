@@ -124,6 +124,21 @@ def balanced_mix(t: Tables):
     return sampling.balance(rows, ["conv_id"], v.POLICY).select("conv_id", "task", "draw")
 
 
+@query(
+    "upsample_ratio",
+    v.with_views(
+        """SELECT task, count(*) AS n, round(15000 / count(*)::DOUBLE, 6) AS ratio FROM classified
+  WHERE task IN ('task_4_1', 'task_4_2') GROUP BY task""",
+        "classified",
+    ),
+)
+def upsample_ratio(t: Tables):
+    rows = filters.classify_tasks(v.tagged(t)).where(F.col("task").isin("task_4_1", "task_4_2"))
+    sizes = rows.groupBy("task").agg(F.count("*").alias("n"))
+    ratio = sampling.upsample_ratio(F.col("n"), F.lit(15_000))
+    return sizes.select("task", "n", F.round(ratio, 6).alias("ratio"))
+
+
 @query(
     "train_eval_split",
     v.with_views(
