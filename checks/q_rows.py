@@ -214,7 +214,7 @@ _MERGED_CLASSES = (
 )
 def balanced_dataset(t: Tables):
     mixed = balance_plan.balanced_dataset(
-        [v.new_rows(t), v.old_rows(t)], ["conv_id"], v.POLICY, ordered=True
+        [v.new_rows(t), v.old_rows(t)], ["conv_id"], v.POLICY, ordered=True, stage_chats=True
     )
     return mixed.select("conv_id", "task", "draw", "metadata", chat_md5())
 
@@ -232,6 +232,6 @@ def balanced_dataset(t: Tables):
 )
 def balance_audit(t: Tables):
     mixed = balance_plan.balanced_dataset(
-        [v.new_rows(t), v.old_rows(t)], ["conv_id"], v.POLICY, ordered=False
+        [v.new_rows(t), v.old_rows(t)], ["conv_id"], v.POLICY, ordered=False, stage_chats=True
     )
     return balance_plan.balance_audit(mixed)

@@ -176,7 +176,7 @@ def test_balance_with_and_without_staged_marks(spark, tables):
     frames = [views.new_rows(tables), views.old_rows(tables)]
     policy = {"task_2": TaskLimit(max_rows=3), "task_4_1": TaskLimit(min_rows=50)}
     a, b = (
-        balance_plan.balanced_dataset(frames, ["conv_id"], policy, stage=stage).collect()
+        balance_plan.balanced_dataset(frames, ["conv_id"], policy, stage=stage, stage_chats=stage).collect()
         for stage in (True, False)
     )
     assert a == b and len(a) > 50

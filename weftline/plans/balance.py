@@ -19,15 +19,20 @@ def balanced_dataset(
     seed: int = 42,
     ordered: bool = True,
     stage: bool = True,
+    stage_chats: bool = False,
 ) -> DataFrame:
     """Union, validate, classify and sample to the policy's sizes.
 
     ``keys`` identify a chat across the frames. A row of the result is
     identified by ``keys``, ``task`` and ``draw``. With ``stage`` the keys and
     tasks, a sliver of the chats, are written to the shared folder first, so
-    the chats are not read again for every count.
+    the chats are not read again for every count. ``stage_chats`` writes the
+    chats as well: for frames that are costly to make, such as chats gathered
+    from a log, and not for tables as they are stored.
     """
     classified = classify_tasks(valid_chats(union_drifted(frames, keys)))
+    if stage_chats:
+        classified = staged(classified, "chats")
     marks = staged(classified.select(*keys, "task"), "marks") if stage else None
     mixed = balance(classified, keys, policy, seed, marks)
     return seeded_shuffle(mixed, [*keys, "task", "draw"], seed) if ordered else mixed
