@@ -107,14 +107,10 @@ class Known(dict):
     def join(self, rows: list[list[str]]) -> list[bytes]:
         """For each row its texts' ids, one after another."""
         forget(self, self.most or MOST_SEEN)
-        found = [list(map(self.get, row)) for row in rows]
-        open_rows = [i for i, f in enumerate(found) if None in f]
-        new = list({t for i in open_rows for t, f in zip(rows[i], found[i]) if f is None})
+        new = list(set().union(*rows).difference(self))
         if new:
             self.update(zip(new, self.make(new)))
-            for i in open_rows:
-                found[i] = map(self.__getitem__, rows[i])
-        joined = [b"".join(f) for f in found]
+        joined = [b"".join(map(self.__getitem__, row)) for row in rows]
         for text in new:
             if len(text) > LONGEST_SEEN:
                 del self[text]

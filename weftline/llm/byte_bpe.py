@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -66,7 +67,7 @@ class ByteBpe:
         open_data = [d for d, rank in zip(data, done) if rank is None]
         merged = iter(self.merge_bytes(open_data) if open_data else ())
         return [
-            np.array(next(merged) if rank is None else [rank], np.int32).tobytes() for rank in done
+            array("i", next(merged) if rank is None else (rank,)).tobytes() for rank in done
         ]
 
     def merge_bytes(self, pieces: list[bytes]) -> list[list[int]]:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from unicodedata import is_normalized, normalize
@@ -35,7 +36,7 @@ from weftline.session import staged
 # characters that Python's split takes for white space but that pattern does not.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 ODD_SPACE = regex.compile("[\x1c-\x1f\x85]")
-MOST_WORDS = 600_000  # that a task remembers
+MOST_WORDS = 700_000  # that a task remembers
 PLAN = "length int, first long, last long, first_sequence long, offset long"
 
 
@@ -57,7 +58,7 @@ class WordTokenizer:
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
+        return [array("I", f.ids).tobytes() for f in found]
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         split = []
@@ -74,7 +75,7 @@ class WordTokenizer:
         return [next(whole if s is None else joined) for s in split]
 
     def encode_all(self, documents: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        """Ids of each text as little-endian unsigned 32-bit numbers (on the usual machines)."""
         odd = [ODD_SPACE.search(t) is not None for t in documents]
         whole = iter(self.encode_whole([t for t, x in zip(documents, odd) if x]))
         joined = iter(self.words.join([t.split() for t, x in zip(documents, odd) if not x]))
