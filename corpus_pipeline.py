@@ -38,8 +38,11 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not depleted."""
-    return quality_rules.judge_documents(docs, COLUMNS).where("kept").select(*COLUMNS)
+    """Documents that pass the base rules and are not depleted, without their host's common lines."""
+    others = ["doc_id", "lang", "source"]
+    judged = quality_rules.judge_documents(docs, others, cleaned=True).where("kept")
+    text = F.col("cleaned")
+    return judged.withColumns({"text": text, "n_chars": F.length(text).cast("bigint")}).select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

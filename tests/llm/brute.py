@@ -98,3 +98,21 @@ def judge(docs, max_docs, min_left=30):
         failed = s[0] < 50 or 100 * s[4] > 50 * s[0]
         out[d] = s, gone, failed, not failed and 100 * (s[0] - gone) >= min_left * s[0]
     return out
+
+
+def cleaned(docs, max_docs):
+    """Rows of (doc_id, source, text) to doc_id: the text without its host's common lines."""
+    copies, first = defaultdict(set), {}
+    key = lambda host, line: (host or "", low(line.strip(BLANKS)))
+    for d, host, t in docs:
+        for line in (t or "").split("\n"):
+            if words(line):
+                k = key(host, line)
+                copies[k].add(t)
+                first[k] = min(first.get(k, d), d)
+
+    def stays(d, host, line):
+        k = key(host, line)
+        return not words(line) or len(copies[k]) <= max_docs or first[k] == d
+
+    return {d: t and "\n".join(x for x in t.split("\n") if stays(d, host, x)) for d, host, t in docs}

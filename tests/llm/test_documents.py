@@ -118,6 +118,20 @@ def test_quality_rules(spark, documents):
     assert want[20_000][3] and not want[20_001][3]
 
 
+def test_quality_rules_clean_texts(spark, documents):
+    line = "All pages | Contact us"
+    words = " ".join(f"w{k}" for k in range(60))
+    rows = documents + [(10_000 + i, f"{words}\n \n{line}\nown {i}\n\n  {line.upper()}", "h") for i in range(9)]
+    rows += [(20_000 + i, f"{line}\n{words} {i}", "other") for i in range(3)] + [(30_000, line, "h"), (30_001, None, "h")]
+    want = brute.cleaned([(d, s, t) for d, t, s in rows], max_docs=5)
+    got = quality_rules.judge_documents(frame(spark, rows), ["doc_id"], max_docs=5, cleaned=True).collect()
+    assert {r.doc_id: r.cleaned for r in got} == want and len(got) == len(rows)
+    assert want[10_000] == rows[len(documents)][1] and want[10_001] == " \nown 1\n"
+    odd = [(None, line, "h")] * 3 + [(1, f"{line}\na", "h"), (1, f"{line}\nb", "h"), (2, f"{line}\na", "h"), (2, f"{line}\na", "h")]
+    got = quality_rules.judge_documents(frame(spark, odd), ["doc_id"], max_docs=1, cleaned=True).collect()
+    assert sorted((r.doc_id or 0, r.cleaned) for r in got) == [(0, "")] * 3 + [(1, f"{line}\na"), (1, f"{line}\nb"), (2, "a"), (2, "a")]
+
+
 def test_quality_rules_odd_rows(spark):
     rows = [(None, "a", None), (None, "a", None), (1, "a", "h"), (1, "b", "h"), (1, "a", "h")]
     got = quality_rules.judge_documents(frame(spark, rows), ["doc_id", "n", "key", "line"], max_docs=0)

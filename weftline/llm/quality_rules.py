@@ -5,7 +5,7 @@ each host the distinct documents that hold a line are counted, exact copies of a
 text once. A line that more than ``max_docs`` documents of a host share counts
 as removed from all of them but the one with the smallest id, so a text that is
 copied many times survives once. A document that keeps too few of its words is
-depleted and rejected.
+depleted and rejected; the others can be had without the lines that go.
 """
 
 from __future__ import annotations
@@ -32,9 +32,13 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BLANKS), lambda w: w != "")
 
 
+def has_word(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
+
+
 def lines_of(text: Column) -> Column:
     """The lines that hold a word."""
-    return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return F.filter(F.split(text, "\n"), has_word)
 
 
 def repeated_words(words: Column) -> Column:
@@ -100,12 +104,24 @@ def signals(text: Column) -> Column:
     )
 
 
-def removed_words(df: DataFrame, max_docs: int) -> DataFrame:
-    """(_id, _host, _copy, n_removed): words in lines that go, for rows that lose any."""
+def removed_lines(df: DataFrame, max_docs: int, places: bool) -> DataFrame:
+    """(_id, _host, _copy, n_removed): words in lines that go, for rows that lose any.
+
+    With ``places`` also ``_gone``, the places of these lines in the text.
+    """
     line = F.translate(F.btrim(F.col("line"), F.lit(BLANK)), UPPER, LOWER)
+    of_text = F.split("_text", "\n")
+    if places:
+        lines = df.select("_id", "_host", "_copy", F.posexplode(of_text).alias("at", "line"))
+        lines = lines.where(has_word(F.col("line")))
+        # Rows of one key, host and text are the same places over again.
+        found, lost = [F.collect_set("at").alias("at")], [F.flatten(F.collect_list("at")).alias("_gone")]
+        kept = ["at"]
+    else:
+        lines = df.select("_id", "_host", "_copy", F.explode(lines_of(F.col("_text"))).alias("line"))
+        found, lost, kept = [], [], []
     postings = staged(
-        df.select("_id", "_host", "_copy", F.explode(lines_of(F.col("_text"))).alias("line"))
-        .select(
+        lines.select(
             "_id",
             "_host",
             "_copy",
@@ -113,9 +129,10 @@ def removed_words(df: DataFrame, max_docs: int) -> DataFrame:
             F.xxhash64(line).alias("h"),
             F.hash(line).alias("g"),
             F.size(words_of(F.col("line"))).alias("n"),
+            *kept,
         )
         .groupBy("_id", "_host", "_copy", "h", "g")
-        .agg(F.sum("n").alias("n")),
+        .agg(F.sum("n").alias("n"), *found),
         "lines",
     )
     common = (
@@ -129,10 +146,20 @@ def removed_words(df: DataFrame, max_docs: int) -> DataFrame:
         postings.join(common, ["_host", "h", "g"])
         .where(~F.col("_id").eqNullSafe(F.col("_first")))
         .groupBy("_id", "_host", "_copy")
-        .agg(F.sum("n").alias("n_removed"))
+        .agg(F.sum("n").alias("n_removed"), *lost)
     )
 
 
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines at the places ``gone``; all of it if that is null."""
+
+    def left(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+
+    return F.when(gone.isNull(), text).otherwise(let(F.split(text, "\n"), left))
+
+
 def judge_documents(
     df: DataFrame,
     keep: list[str],
@@ -143,9 +170,13 @@ def judge_documents(
     min_left_pct: int = 30,
     min_words: int = 50,
     max_repeat_pct: int = 50,
+    cleaned: bool = False,
 ) -> DataFrame:
     """``keep`` columns, the signals, ``n_removed``, ``base_failed`` and ``kept``.
 
+    With ``cleaned`` there is also ``cleaned``, the text without the lines that
+    go. Its other lines, blank ones too, stay as they are and in their order.
+
     A row fails the base rules with fewer than ``min_words`` words or more than
     ``max_repeat_pct`` percent of them repeated; it is depleted when less than
     ``min_left_pct`` percent of its words are left. Null and empty texts have no
@@ -161,10 +192,10 @@ def judge_documents(
         *[F.col(f"`{k}`").alias(f"_kept_{k}") for k in keep],
     )
     kept = [f"`_kept_{k}`" for k in keep]
-    own = rows.select("_id", "_host", "_copy", *kept, signals(F.col("_text")).alias("_s"))
-    removed = removed_words(rows, max_docs).select(
-        F.col("_id").alias("_id2"), F.col("_host").alias("_host2"), F.col("_copy").alias("_copy2"), "n_removed"
-    )
+    texts = ["_text"] if cleaned else []
+    own = rows.select("_id", "_host", "_copy", *kept, *texts, signals(F.col("_text")).alias("_s"))
+    removed = removed_lines(rows, max_docs, cleaned)
+    removed = removed.withColumnsRenamed({"_id": "_id2", "_host": "_host2", "_copy": "_copy2"})
     joined = own.join(
         removed,
         F.col("_id").eqNullSafe(F.col("_id2"))
@@ -180,4 +211,5 @@ def judge_documents(
         gone.alias("n_removed"),
         failed.alias("base_failed"),
         (~failed & (100 * (n - gone) >= min_left_pct * n)).alias("kept"),
+        *[without_lines(F.col(t), F.col("_gone")).alias("cleaned") for t in texts],
     )
