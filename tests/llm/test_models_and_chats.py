@@ -59,6 +59,35 @@ def test_capacity_keeps_the_most_frequent(spark):
     assert {r.entry for r in got} == {"w11", "w10", "w9", "w8"}
 
 
+@pytest.mark.parametrize("at_hand", [0, 300])
+def test_language_does_not_depend_on_what_is_broadcast(spark, at_hand):
+    df = spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "text", "lang", "source")
+    odd = [(None, None, None, "row"), (-1, "", None, "n"), (-1, "² 12", None, "n"), (-2, "字字字 x é\U0001f600", None, "w"), (-3, "zzqqyyzz", None, "w")]
+    df = df.where("doc_id % 4 = 0").union(spark.createDataFrame(odd, df.schema)).withColumnRenamed("source", "row")
+    train = df.where("doc_id % 3 = 0")
+    every = language_id.learn(train, max_words=10**9, max_grams=10**9)
+    few = language_id.learn(train, max_words=at_hand, max_grams=at_hand)
+    assert every.whole and not few.whole and len(few.words) <= at_hand
+    want, got = (
+        sorted((r.doc_id or 0, r.row, r.lang_pred, round(r.score, 12)) for r in language_id.identify(df, ["doc_id", "row"], m).collect())
+        for m in (every, few)
+    )
+    assert got == want
+    assert {x[2] for x in want} > {"und"}
+
+
+def test_words_at_hand_have_their_counts_in_every_language(spark):
+    # Cut language by language, "both" stays in "a" alone, with no count in "b".
+    rows = [("both " * 5, "a")] + [("both " * 4 + "some " * 9 + "other " * 9, "b")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model = language_id.learn(df, max_words=2, max_grams=0)
+    every = language_id.Model(["a", "b"], {"a": 5, "b": 22}, {"both": {"a": 5, "b": 4}, "some": {"b": 9}, "other": {"b": 9}}, {}, {})
+    assert all(v == every.words[w] for w, v in model.words.items())
+    asked = spark.createDataFrame([("both", "x")], "text string, key string")
+    got = language_id.identify(asked, ["key"], model).first()
+    assert got.lang_pred == "a" and got.score == pytest.approx(every.predict("both")[1])
+
+
 def test_classifier_agrees_with_labels(spark):
     got = {r.doc_id: r for r in QUERIES["op10_quality_classifier"](spark, ROOT).collect()}
     assert len(got) == spark.read.parquet(f"{ROOT}/documents.parquet").count()

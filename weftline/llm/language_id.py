@@ -1,11 +1,13 @@
 """Language identification: known words first, then shorter and shorter n-grams.
 
-A word that the model knows scores by its log frequency in each language. An
-unseen word is looked up by its character n-grams: the longest order of which
-any is known decides. Word counts come from all training rows, combined inside
-tasks; n-gram counts from the distinct words. The model has a fixed capacity in
-entries, split evenly between the languages, so that it can be broadcast
-whatever the corpus: of each language the most frequent entries stay.
+A word that was learned scores by its log frequency in each language. An unseen
+word is looked up by its character n-grams: the longest order of which any is
+known decides. Word counts come from all training rows, combined inside tasks;
+n-gram counts from the distinct words. All counts are kept, in stored tables.
+The most frequent words over all languages together are broadcast too, each
+with its counts in every language: they are scored where the text is read, and
+the other words of the documents by joins with the tables. So the size of the
+broadcast part decides how many words are joined, and no result.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
 CALM = 20  # a text counts as so many words at most in the score
+FINE = 2.0**18  # log frequencies are whole multiples of 1 / FINE, so sums are exact in any order
 MOST_HELD = 200_000  # counters that a task holds before it gives them away
 
 
@@ -115,20 +119,44 @@ def most_frequent(counts: DataFrame, capacity: int, group: Column) -> DataFrame:
     return stepped.join(F.broadcast(cuts), ["lang", "group"]).where(F.col("step") >= F.col("cut"))
 
 
+def rounded(x: np.ndarray) -> np.ndarray:
+    return np.rint(x * FINE) / FINE
+
+
+def log_table(counts: DataFrame, languages: list[str], totals: dict[str, int]) -> DataFrame:
+    """(entry, n, v): the count over all languages, and the log frequency in each."""
+    entries = counts.groupBy("entry").agg(
+        F.sum("n").alias("n"),
+        *[F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(languages)],
+    )
+    # Every entry counts half once more; a whole number of halves is exact.
+    extra = 0.5 * entries.count()
+    logs = [F.log((F.col(f"n{i}") + 0.5) / (totals.get(x, 0) + extra)) for i, x in enumerate(languages)]
+    return entries.select("entry", "n", F.array(*[F.rint(x * FINE) / FINE for x in logs]).cast("array<float>").alias("v"))
+
+
 class Model:
-    """Log frequencies by language of the entries it has room for."""
+    """Log frequencies by language.
+
+    ``words`` and ``grams`` are those at hand. Where there are stored tables
+    (``word_table``, ``gram_table``), words that are not at hand are in these.
+    """
+
+    word_table: DataFrame | None = None
+    gram_table: DataFrame | None = None
 
     def __init__(self, languages, totals, words, gram_totals, gram_counts):
         self.languages = languages
         self.words = self._logs(words, totals)
         self.grams = self._logs(gram_counts, gram_totals)
         self.seen = Seen(self.unseen)
+        self.whole = True
 
     def __getstate__(self):
-        return self.languages, self.words, self.grams
+        return self.languages, self.words, self.grams, self.whole
 
     def __setstate__(self, state):
-        self.languages, self.words, self.grams = state
+        self.languages, self.words, self.grams, self.whole = state
         self.seen = Seen(self.unseen)
 
     def _logs(self, counts: dict[str, dict[str, int]], totals: dict[str, int]) -> dict[str, bytes]:
@@ -140,7 +168,7 @@ class Model:
             n = np.full(len(self.languages), 0.5)
             for lang, count in by_language.items():
                 n[place[lang]] += count
-            logs[entry] = np.log(n / all_of).astype(np.float32).tobytes()
+            logs[entry] = rounded(np.log(n / all_of)).astype(np.float32).tobytes()
         return logs
 
     def unseen(self, word: str) -> bytes:
@@ -151,19 +179,38 @@ class Model:
         for order in ORDERS:
             found = [self.grams[g] for g in grams(word, order) if g in self.grams]
             if found:
-                return self._rows(b"".join(found)).mean(0).astype(np.float32).tobytes()
+                total = self._rows(b"".join(found)).sum(0, dtype=float)
+                return rounded(total / len(found)).astype(np.float32).tobytes()
         return bytes(4 * len(self.languages))  # no character known: says nothing
 
     def _rows(self, data: bytes) -> np.ndarray:
         return np.frombuffer(data, np.float32).reshape(-1, len(self.languages))
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def scored(self, text: str | None) -> tuple[int, np.ndarray, Counter]:
+        """How many words there are, the sum of those at hand, and the others.
+
+        No word if the text has no letter or nothing was learned.
+        """
         words = letter_words(text or "")
         # The pattern also lets through a few numerals, such as superscripts.
         if not self.languages or not any(c.isalpha() for w in words for c in w):
+            return 0, np.zeros(len(self.languages)), Counter()
+        rest: Counter = Counter()
+        if self.whole:
+            found = list(map(self.seen.__getitem__, words))
+        else:
+            found = list(map(self.words.get, words))
+            if None in found:
+                rest.update(w for w, v in zip(words, found) if v is None)
+                found = [v for v in found if v is not None]
+        return len(words), self._rows(b"".join(found)).sum(0, dtype=float), rest
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        """Of a model that has all its entries at hand."""
+        n, logs, _ = self.scored(text)
+        if not n:
             return UNKNOWN, 0.0
-        logs = self._rows(b"".join(map(self.seen.__getitem__, words))).sum(0, dtype=float)
-        logs *= min(1.0, CALM / len(words))
+        logs *= min(1.0, CALM / n)
         likely = np.exp(logs - logs.max())
         best = int(likely.argmax())  # ties: the first in order of names
         return self.languages[best], float(likely[best] / likely.sum())
@@ -174,29 +221,61 @@ def learn(
 ) -> Model:
     """A model of all given rows that have a language and a text.
 
-    ``max_words`` and ``max_grams`` are the entries that come to the driver.
+    ``max_words`` and ``max_grams`` are the entries that come to the driver;
+    n-grams come only if all of them and all words do.
     """
     words = staged(count_words(df, lang, text), "words")
     totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = sorted(totals)
+    model = Model(languages, totals, {}, {}, {})
+    if not languages:
+        return model
     all_grams = staged(count_grams(words), "grams")
-    order = F.length("entry")
     gram_totals = {
         r["lang"]: r["n"] for r in all_grams.groupBy("lang").agg(F.sum("n").alias("n")).collect()
     }
-
-    def table(chosen: DataFrame) -> dict[str, dict[str, int]]:
-        found: dict[str, dict[str, int]] = {}
-        for r in chosen.select("lang", "entry", "n").collect():
-            found.setdefault(r["entry"], {})[r["lang"]] = r["n"]
-        return found
-
-    return Model(
-        sorted(totals),
-        totals,
-        table(most_frequent(words, max_words, F.lit(0))),
-        gram_totals,
-        table(most_frequent(all_grams, max_grams, order)),
-    )
+    model.word_table = staged(log_table(words, languages, totals), "word_logs")
+    model.gram_table = staged(log_table(all_grams, languages, gram_totals), "gram_logs")
+
+    def at_hand(entries: DataFrame) -> dict[str, bytes]:
+        return {r["entry"]: np.array(r["v"], np.float32).tobytes() for r in entries.select("entry", "v").collect()}
+
+    n_words, n_grams = model.word_table.count(), model.gram_table.count()
+    model.words = at_hand(most_frequent(model.word_table.withColumn("lang", F.lit("")), max_words, F.lit(0)))
+    model.whole = n_words <= max_words and n_grams <= max_grams
+    if model.whole:
+        model.grams = at_hand(model.gram_table)
+    return model
+
+
+def _grams_of(word: Column, order: int) -> Column:
+    padded = F.concat(F.lit("<"), word, F.lit(">"))
+    last = F.length(padded) - order + 1
+    places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.substring(padded, i, F.lit(order)))
+
+
+def word_vectors(vocabulary: DataFrame, model: Model) -> DataFrame:
+    """(w, v) of those words of which anything is known, from the stored tables."""
+    size = len(model.languages)
+    known = model.word_table.select(F.col("entry").alias("w"), "v")
+    found = vocabulary.join(known, "w")
+    left = staged(vocabulary.join(known, "w", "left_anti"), "unseen")
+    for order in ORDERS:
+        if not left.head(1):
+            break
+        table = model.gram_table.where(F.length("entry") == order).select("entry", "v")
+        sums = (
+            left.select("w", F.explode(_grams_of(F.col("w"), order)).alias("entry"))
+            .join(table, "entry")
+            .groupBy("w")
+            .agg(F.count("*").alias("n"), *[F.sum(F.get("v", F.lit(i)).cast("double")).alias(f"s{i}") for i in range(size)])
+        )
+        means = [F.rint(F.col(f"s{i}") / F.col("n") * FINE) / FINE for i in range(size)]
+        new = staged(sums.select("w", F.array(*means).cast("array<float>").alias("v")), "unseen_logs")
+        found = found.union(new)
+        left = staged(left.join(new.select("w"), "w", "left_anti"), "unseen")
+    return found
 
 
 def held_out(key: Column, folds: int = 5) -> Column:
@@ -212,17 +291,67 @@ def identify(df: DataFrame, keep: list[str], model: Model, text: str = "text") -
     Equal texts get equal answers.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
+    if model.whole:
+
+        def make():
+            predict = shared.value.predict
+
+            def work(columns):
+                found = [predict(t) for t in columns["text"].to_pylist()]
+                return [
+                    pa.array([x for x, _ in found], pa.string()),
+                    pa.array([s for _, s in found], pa.float64()),
+                ]
 
-    def make():
-        predict = shared.value.predict
+            return work
+
+        return add_columns(df, keep, {"text": F.col(f"`{text}`")}, "lang_pred string, score double", make)
+
+    def make_parts():
+        scored, row = shared.value.scored, TaskContext.get().partitionId() << 33
 
         def work(columns):
-            found = [predict(t) for t in columns["text"].to_pylist()]
+            nonlocal row
+            found = [scored(t) for t in columns["text"].to_pylist()]
+            row += len(found)
             return [
-                pa.array([x for x, _ in found], pa.string()),
-                pa.array([s for _, s in found], pa.float64()),
+                pa.array(range(row - len(found), row), pa.int64()),
+                pa.array([n for n, _, _ in found], pa.int64()),
+                pa.array([logs.tolist() for _, logs, _ in found], pa.list_(pa.float64())),
+                pa.array([list(rest) for _, _, rest in found], pa.list_(pa.string())),
+                pa.array([list(rest.values()) for _, _, rest in found], pa.list_(pa.int64())),
             ]
 
         return work
 
-    return add_columns(df, keep, {"text": F.col(f"`{text}`")}, "lang_pred string, score double", make)
+    # Names of their own, so that kept columns may be called anything.
+    plain = df.select(F.col(f"`{text}`").alias("t"), *[F.col(f"`{k}`").alias(f"kept{i}") for i, k in enumerate(keep)])
+    kept = [f"kept{i}" for i in range(len(keep))]
+    added = "row long, n long, logs array<double>, rest array<string>, times array<long>"
+    parts = staged(add_columns(plain, kept, {"text": F.col("t")}, added, make_parts), "parts")
+    rest = parts.select("row", F.inline(F.arrays_zip(F.col("rest").alias("w"), F.col("times").alias("k"))))
+    vectors = staged(word_vectors(staged(rest.select("w").distinct(), "vocabulary"), model), "vectors")
+    size = range(len(model.languages))
+    more = (
+        rest.join(vectors, "w")
+        .groupBy("row")
+        .agg(F.array(*[F.sum(F.col("k") * F.get("v", F.lit(i)).cast("double")) for i in size]).alias("more"))
+    )
+    calm = F.least(F.lit(1.0), F.lit(float(CALM)) / F.col("n"))
+    logs = F.array(*[(F.get("logs", F.lit(i)) + F.coalesce(F.get("more", F.lit(i)), F.lit(0.0))) * calm for i in size])
+    names = F.array(*[F.lit(x) for x in model.languages])
+    likely = F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("logs")))
+    some = F.col("n") > 0
+    return (
+        parts.select("row", "n", "logs", *kept)
+        .join(more, "row", "left")
+        .select(*kept, "n", F.when(some, logs).alias("logs"))
+        .select(
+            *[F.col(c).alias(k) for c, k in zip(kept, keep)],
+            # Ties: the first in order of names.
+            F.when(some, F.get(names, (F.array_position("logs", F.array_max("logs")) - 1).cast("int")))
+            .otherwise(UNKNOWN)
+            .alias("lang_pred"),
+            F.when(some, 1 / likely).otherwise(0.0).alias("score"),
+        )
+    )
