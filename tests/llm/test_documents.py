@@ -72,6 +72,29 @@ def test_salted_keys_find_the_same(spark, made, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+@pytest.mark.parametrize("block", [2, 256])
+def test_jaccard_links(spark, made, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    odd = [(None, "p q r s t u v w", "s"), (7, "p q r s t u v w", "s"), (7, "p q r s t u v w x", "s"), (7, "other words", "s")]
+    rows = made + odd
+    links, placed = jaccard_join.jaccard_links(frame(spark, rows))
+    links, placed = links.collect(), placed.collect()
+    assert len(placed) == len(rows)
+    sets = {frozenset(s) for _, t, _ in rows if (s := brute.shingles(t))}
+    linked = {x: set() for x in sets}
+    for x in sets:
+        for y in sets:
+            if x != y and 100 * len(x & y) >= 80 * len(x | y):
+                linked[x].add(y)
+    assert len(links) == len({(r.a, r.b) for r in links}) == sum(map(len, linked.values())) // 2 > 80
+    want = sorted((d or 0, len(linked.get(frozenset(brute.shingles(t)), ()))) for d, t, _ in rows)
+    assert sorted((r.doc_id or 0, r.n_links) for r in placed) == want
+    assert sum(r.set_id is None for r in placed) == sum(not brute.shingles(t) for _, t, _ in rows)
+    assert all(100 * r.n_shared >= 80 * (r.n_a + r.n_b - r.n_shared) for r in links)
+    none, nowhere = jaccard_join.jaccard_links(frame(spark, rows).limit(0))
+    assert none.collect() == [] == nowhere.collect()
+
+
 def test_jaccard_odd_rows(spark):
     text = "a b c d e f g h"
     rows = [(None, text, None), (4, text, None), (7, text, None), (7, text, None), (7, "other words", None), (None, "x", None)]

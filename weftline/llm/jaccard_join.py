@@ -16,9 +16,11 @@ Keys that two sets share are all the join works on from there. Whole groups of
 near copies share keys, so their pairs are not listed: each set of a key is
 first compared with the key's few heads, links are closed to components, and
 then only pairs in one key but in different components are compared. Any link
-between components is found this way, so the components are exact; which further
-links there are inside a component is not counted. Sets that are equal count as
-one throughout.
+between components is found this way, so the components are exact. Sets that are
+equal count as one throughout.
+
+The links themselves come from :func:`jaccard_links`, which compares every pair
+that can still be one, also inside a component.
 """
 
 from __future__ import annotations
@@ -48,6 +50,7 @@ LARGEST_LIGHT = 64  # pairs of larger sets are never enumerated
 COMPARE = 8  # cost of comparing two sets, in posted keys
 HEADS = 3
 MOST_ROUNDS = 3
+BLOCK = 256  # sets of one key that one row's pairs are made with at a time
 
 
 def _odd(seed: int) -> np.uint64:
@@ -423,6 +426,86 @@ def _close_groups(
     return tried, roots
 
 
+def _distinct_sets(documents: DataFrame, width: int) -> DataFrame:
+    """(v, n, h): every distinct set of shingles, named by its signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, posted = Shingler(width), Seen(lambda _: b"")
+        for batch in slices(batches):
+            signs, found = [], []
+            for h in map(shingles, batch.column(0).to_pylist()):
+                if not len(h) or (name := str(s1 := signature(h)[0])) in posted:
+                    continue
+                posted[name]
+                signs.append(s1)
+                found.append(h)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signs, pa.int64()), pa.array([len(h) for h in found], pa.int32()),
+                 list_array([h.view(np.int64) for h in found], pa.int64())],
+                names=["v", "n", "h"],
+            )
+
+    return documents.select("text").mapInArrow(run, "v long, n int, h array<long>").dropDuplicates(["v"])
+
+
+def candidates(meeting: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every two sets of (key, v, n) that can be a link, once, a < b.
+
+    The sets of a key are dealt to blocks, and every two blocks meet by
+    themselves, so a key with many sets is spread over many tasks.
+    """
+    keys = meeting.groupBy("v").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    blocks = meeting.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("m"))
+    rows = meeting.join(blocks, "key").join(keys, "v").withColumn("p", F.pmod(F.xxhash64("v", F.lit(1)), "m"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1))
+    left = rows.select("key", F.col("p"), every.alias("q"), F.col("v").alias("a"), F.col("n").alias("na"), F.col("keys").alias("ka"))
+    right = rows.select("key", every.alias("p"), F.col("p").alias("q"), F.col("v").alias("b"), F.col("n").alias("nb"), F.col("keys").alias("kb"))
+
+    def both(common: Column) -> Column:
+        often = F.size(common) >= _keys_needed(F.col("na"), F.col("nb"), percent)
+        return (F.array_min(common) == F.col("key")) & (often | F.exists(common, lambda k: _of_pair(k) > 0))
+
+    near = (F.col("a") < F.col("b")) & _comparable(F.col("na"), F.col("nb"), percent)
+    return left.join(right, ["key", "p", "q"]).where(near & let(F.array_intersect("ka", "kb"), both)).select("a", "b")
+
+
+def jaccard_links(
+    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
+) -> tuple[DataFrame, DataFrame]:
+    """All links between different sets, and the set of every row.
+
+    The links (a, b, n_a, n_b, n_shared) name two sets, a < b, each pair once;
+    the rows are ``doc_id``, ``set_id`` and ``n_links``, how many other sets
+    theirs is linked with. Rows with equal sets share a ``set_id`` and so all
+    links; a row without a word has a null one and no link. Nothing is asked of
+    the key: it may be null or repeated. 64 bits tell sets apart.
+    """
+    documents = df.select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    first = staged(profiles(documents, width), "profiles")
+    sketch = merged_sketch(first.where("block is not null").select("block", "counts"))
+    sizes = first.where("block is null").where(F.col("n").between(1, LARGEST_LIGHT)).groupBy("n").count().collect()
+    boundary = light_size({r["n"]: r["count"] for r in sizes}, sketch, percent)
+    posted = postings(documents, width, percent, levels_of(sketch), boundary)
+    sizes_of = first.where("n > 0").select(F.col("s1").alias("v"), "n").distinct()
+    meeting = staged(
+        shared_postings(posted).select("key", F.col("s1").alias("v")).distinct().join(sizes_of, "v"), "meeting"
+    )
+    pairs = staged(candidates(meeting.select("key", "v", "n"), percent), "candidates")
+    sets = staged(_distinct_sets(documents, width), "sets")
+    a, b = (sets.select(F.col("v").alias(x), F.col("n").alias(f"n_{x}"), F.col("h").alias(f"h{x}")) for x in "ab")
+    shared = F.size(F.array_intersect("ha", "hb"))
+    links = staged(
+        pairs.join(a, "a")
+        .join(b, "b")
+        .select("a", "b", "n_a", "n_b", shared.alias("n_shared"))
+        .where(100 * F.col("n_shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("n_shared"))),
+        "links",
+    )
+    degrees = links.select(F.explode(F.array("a", "b")).alias("set_id")).groupBy("set_id").agg(F.count("*").alias("n_links"))
+    rows = first.where("block is null").select("doc_id", F.when(F.col("n") > 0, F.col("s1")).alias("set_id"))
+    return links, rows.join(degrees, "set_id", "left").select("doc_id", "set_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def jaccard_components(
     df: DataFrame,
     key: str = "doc_id",
