@@ -3,8 +3,8 @@
 Everything here is DataFrame expressions. Lines are normalised and hashed; for
 each host the distinct documents that hold a line are counted, exact copies of a
 text once. A line that more than ``max_docs`` documents of a host share counts
-as removed from all of them but the one with the smallest id, so a text that is
-copied many times survives once. A document that keeps too few of its words is
+as removed from all of them but the one with the smallest id; copies of one text
+alone never pass the limit. A document that keeps too few of its words is
 depleted and rejected; the others can be had without the lines that go.
 """
 
