@@ -17,8 +17,10 @@ from weftline.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    spelling,
     token_counts,
     topk,
+    url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,3 +236,133 @@ def op9(spark: SparkSession, root: str) -> DataFrame:
 def op10(spark: SparkSession, root: str) -> DataFrame:
     """Label, fit and score all documents; SQL has no such model."""
     return quality_classifier.classify(table(spark, root, "documents"), ["doc_id"])
+
+
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def _labelled_sql() -> str:
+    rows = [(u, 1) for u in url_filters.BLOCKED] + [(u, 0) for u in url_filters.ALLOWED]
+    return ", ".join(f"('{u}', {y})" for u, y in rows)
+
+
+def _grams_sql(kind: str, text: str) -> str:
+    letters = f"['^'] || regexp_extract_all({text}, '(?s).') || ['$']"
+    each = " || ".join(
+        f"['{kind}' || array_to_string(({letters})[i : i + {n - 1}], '') "
+        f"FOR i IN range(1, len({letters}) - {n - 2})]"
+        for n in url_filters.ORDERS
+    )
+    return f"CASE WHEN {text} = '' THEN [] ELSE {each} END"
+
+
+@query(
+    "op12_url_filters",
+    rf"""
+    WITH RECURSIVE labelled(url, blocked) AS (VALUES {_labelled_sql()}),
+    urls AS (
+        SELECT page_id, coalesce(url, '') AS url, NULL::INTEGER AS blocked FROM pages
+        UNION ALL SELECT NULL, url, blocked FROM labelled),
+    rests AS (
+        SELECT row_number() OVER () AS i, *, CASE WHEN strpos(url, '://') > 0
+            THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM urls),
+    parts AS (
+        SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+    grams AS (
+        SELECT i, page_id, blocked, host, path,
+            list_distinct([('0x' || substr(md5(g), 1, 8))::BIGINT % {url_filters.BUCKETS} FOR g IN
+                ({_grams_sql('h', 'host')}) || ({_grams_sql('p', 'path')})]) AS buckets FROM parts),
+    features AS (
+        SELECT i, page_id, blocked, 1 / sqrt(len(buckets) + 1) AS scale,
+            unnest(buckets || [{url_filters.BUCKETS}]) AS bucket
+        FROM grams WHERE len(buckets) > 0),
+    trained AS (SELECT * FROM features WHERE blocked IS NOT NULL),
+    fit(r, bucket, w) AS (
+        SELECT DISTINCT 0, bucket, 0.0::DOUBLE FROM trained
+        UNION ALL
+        SELECT f.r + 1, f.bucket, f.w + {url_filters.RATE} * (g.slope - {url_filters.SHRINK} * f.w)
+        FROM fit f JOIN (
+            SELECT x.bucket, sum(e.miss) / (SELECT count(*) FROM labelled) AS slope
+            FROM trained x JOIN (
+                SELECT i, t.scale * (t.blocked - 1 / (1 + exp(-t.scale * sum(w)))) AS miss
+                FROM fit JOIN trained t USING (bucket) GROUP BY t.i, t.blocked, t.scale) e USING (i)
+            GROUP BY x.bucket) g USING (bucket)
+        WHERE f.r < {url_filters.ROUNDS}),
+    scores AS (
+        SELECT i, any_value(scale) * sum(coalesce(w, 0)) AS logit FROM features
+        LEFT JOIN (SELECT bucket, w FROM fit WHERE r = {url_filters.ROUNDS}) USING (bucket)
+        WHERE blocked IS NULL GROUP BY i),
+    rules(verdict, rule) AS (VALUES {", ".join(map(str, URL_RULES))}),
+    fitting AS (
+        SELECT i, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+        FROM parts JOIN rules ON (host = split_part(rule, '/', 1)
+                OR ends_with(host, '.' || split_part(rule, '/', 1)))
+            AND starts_with(path, substr(rule, strpos(rule, '/')))
+        GROUP BY i)
+    SELECT page_id, host, path, rule,
+        coalesce(verdict, CASE WHEN logit > 0 THEN 'block' ELSE 'allow' END) AS verdict
+    FROM grams LEFT JOIN fitting USING (i) LEFT JOIN scores USING (i) WHERE blocked IS NULL""",
+)
+def op12(spark: SparkSession, root: str) -> DataFrame:
+    judged = url_filters.judge_urls(table(spark, root, "pages"), ["page_id"], URL_RULES)
+    return judged.drop("score")
+
+
+# The CRC-32 of a run's bytes, by the rule of its table.
+CRC_SQL = """
+    step(i, k, c) AS (
+        SELECT range, 0, range FROM range(256)
+        UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+        FROM step WHERE k < 8),
+    crc(t) AS (SELECT list(c ORDER BY i) FROM step WHERE k = 8)"""
+
+
+@query(
+    "op13_spelling_variants",
+    rf"""
+    WITH RECURSIVE {CRC_SQL},
+    runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'),
+            '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
+    -- Equal runs of one document are hashed once.
+    own AS (SELECT doc_id, w, count(*) AS n FROM runs WHERE length(w) >= 6 GROUP BY ALL),
+    hashed AS (
+        SELECT w, n, xor(list_reduce(
+            [4294967295] || flatten([CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT]
+                ELSE [195, ord(c)::BIGINT - 64] END FOR c IN string_split(doc_id || ':' || w, '')]),
+            lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h
+        FROM own, crc),
+    words AS (
+        SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, (h % length(w))::BIGINT)
+            || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, sum(n)::BIGINT AS n
+        FROM hashed GROUP BY 1),
+    v AS (SELECT * FROM words WHERE length(word) >= 6 AND n >= 5),
+    cuts AS (
+        SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+        FROM v, unnest(range(1, length(word) + 1)) AS u(i)),
+    pairs AS (
+        SELECT p.word, q.word AS other, q.n AS m FROM cuts p JOIN cuts q
+            ON p.i = q.i AND p.a = q.a AND p.b = q.b AND p.word <> q.word
+        UNION SELECT c.word, v.word, v.n FROM cuts c JOIN v ON v.word = c.a || c.b
+        UNION SELECT v.word, c.word, c.n FROM cuts c JOIN v ON v.word = c.a || c.b),
+    best AS (
+        SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, (-m, other)) AS form
+        FROM pairs GROUP BY word),
+    forms AS (
+        SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN form END AS form,
+            CASE WHEN m >= 5 * n THEN m END AS form_n
+        FROM v LEFT JOIN best USING (word)),
+    walk(word, place, form) AS (
+        SELECT word, word, form FROM forms
+        UNION ALL SELECT w.word, w.form, f.form FROM walk w JOIN forms f ON f.word = w.form)
+    SELECT f.*, w.place AS root FROM forms f JOIN walk w ON w.word = f.word AND w.form IS NULL""",
+)
+def op13(spark: SparkSession, root: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.counted_words(table(spark, root, "documents")))
