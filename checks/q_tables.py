@@ -11,7 +11,7 @@ from weftline.functions.templates import alternates
 from weftline.operators import filters, profile, project, setops
 from weftline.params import TASK_COLUMNS
 from weftline.session import scratch_path
-from weftline.sources import readers, sinks, splits
+from weftline.sources import probe, readers, sinks, splits
 
 TEXT_MD5 = "md5(text) AS text_md5"
 CHAT_MD5 = f"md5({v.chat_sql('messages')}) AS chat_md5"
@@ -88,6 +88,50 @@ def sources_report(t: Tables):
     return report.join(counts, "source", "left").select("source", "loaded", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+_PARTS = 8
+
+
+def _damaged(t: Tables) -> dict[str, str]:
+    """Documents in parts of which one is no parquet, and a source with no sound file."""
+    path, lost = scratch_path(t.spark, "damaged"), scratch_path(t.spark, "lost")
+    docs = t.documents.withColumn("part", F.pmod("doc_id", F.lit(_PARTS)))
+    docs.where("part <> 3").write.partitionBy("part").parquet(path)
+    docs.where("part = 3").select("text").write.text(f"{path}/part=3")
+    t.benchmark.select("text").write.text(lost)
+    return {"documents": path, "benchmark": t.path("benchmark"), "lost": lost, "absent": f"{lost}-not"}
+
+
+@query(
+    "tolerant_files",
+    f"SELECT 'documents' AS origin, doc_id AS id, {TEXT_MD5} FROM documents "
+    f"WHERE doc_id % {_PARTS} <> 3 UNION ALL SELECT 'benchmark', item_id, {TEXT_MD5} FROM benchmark",
+)
+def tolerant_files(t: Tables):
+    """Every row but those of one broken part, which costs its source nothing else."""
+
+    def prepare(df, name):
+        key = "item_id" if name == "benchmark" else "doc_id"
+        return df.select(F.lit(name).alias("origin"), F.col(key).alias("id"), text_md5())
+
+    return readers.load_sources(t.spark, _damaged(t), prepare, by_file=True, deep=True).union()
+
+
+@query(
+    "probed_files",
+    f"""SELECT 'documents' AS source, doc_id % {_PARTS} AS part, doc_id % {_PARTS} <> 3 AS sound,
+    count(*) FILTER (doc_id % {_PARTS} <> 3) AS n FROM documents GROUP BY ALL
+  UNION ALL SELECT 'benchmark', NULL, true, count(*) FROM benchmark
+  UNION ALL SELECT 'lost', NULL, false, 0""",
+)
+def probed_files(t: Tables):
+    """The files of each source and part: can they be read, and how many rows they hold."""
+    found = probe.probe_files(t.spark, _damaged(t), deep=True)
+    part = F.regexp_extract("file", "/part=([0-9]+)/", 1)
+    part = F.when(part != "", part.cast("bigint"))
+    by = ["source", part.alias("part"), F.col("reason").isNull().alias("sound")]
+    return found.groupBy(*by).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
+
+
 @query(
     "keyed_documents",
     "SELECT doc_id, 1::BIGINT AS n FROM documents",

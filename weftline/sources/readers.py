@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from weftline.errors import SourceError
 from weftline.operators.setops import union_all
 from weftline.params import DataParams
+from weftline.sources.probe import probe_files, read_sound_files
 
 
 def read_dataset(
@@ -61,10 +62,14 @@ def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
 
 @dataclass
 class LoadedSources:
-    """What could be read, by source name, and why the rest could not."""
+    """What could be read, by source name, and why the rest could not.
+
+    ``probe`` says so for every file, where sources were read by file.
+    """
 
     frames: dict[str, DataFrame] = field(default_factory=dict)
     skipped: dict[str, str] = field(default_factory=dict)
+    probe: DataFrame | None = None
 
     def report(self, spark: SparkSession) -> DataFrame:
         """(source, loaded, reason), one row per source."""
@@ -72,6 +77,12 @@ class LoadedSources:
         rows += [(name, False, reason) for name, reason in self.skipped.items()]
         return spark.createDataFrame(rows, "source string, loaded boolean, reason string")
 
+    def rejects(self) -> DataFrame:
+        """(source, file, reason) of the files that were left out."""
+        if self.probe is None:
+            raise ValueError("only sources that are read by file have rejects")
+        return self.probe.where(F.col("reason").isNotNull()).select("source", "file", "reason")
+
     def union(self, strict: bool = True) -> DataFrame:
         return union_all(list(self.frames.values()), strict=strict)
 
@@ -80,17 +91,24 @@ def load_sources(
     spark: SparkSession,
     paths: dict[str, str],
     prepare: Callable[[DataFrame, str], DataFrame] | None = None,
+    by_file: bool = False,
+    deep: bool = False,
 ) -> LoadedSources:
     """Read every source that can be read; raise only if none can.
 
     A source fails here when its files or columns are missing: reading its
-    schema and planning ``prepare`` touch no rows. Other errors are faults of
-    the code, and are raised.
+    schema and planning ``prepare`` touch no rows. With ``by_file`` its files are
+    probed first, and those that cannot be read are left out alone, see
+    :func:`weftline.sources.probe.probe_files`; without, one broken file ends
+    the job that reads it. Other errors are faults of the code, and are raised.
     """
-    loaded = LoadedSources()
+    loaded = LoadedSources(probe=probe_files(spark, paths, deep) if by_file else None)
     for name, path in paths.items():
         try:
-            df = spark.read.parquet(path)
+            if loaded.probe is None:
+                df = spark.read.parquet(path)
+            else:
+                df = read_sound_files(spark, path, loaded.probe, name)
             if prepare is not None:
                 df = prepare(df, name)
             df.schema  # noqa: B018 - resolves the plan, so a bad source fails now
