@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import defaultdict
 
@@ -116,3 +117,11 @@ def cleaned(docs, max_docs):
         return not words(line) or len(copies[k]) <= max_docs or first[k] == d
 
     return {d: t and "\n".join(x for x in t.split("\n") if stays(d, host, x)) for d, host, t in docs}
+
+
+def md5(data: bytes) -> str:
+    return hashlib.md5(data).hexdigest()
+
+
+def latin_runs(text: str) -> list[str]:
+    return re.findall("[A-Za-z\u00c0-\u00ff]+", text)

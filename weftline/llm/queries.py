@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weftline.llm import (
     byte_bpe,
     chat_format,
+    hard_negatives,
     jaccard_join,
     language_id,
     line_dedup,
@@ -238,6 +239,35 @@ def op10(spark: SparkSession, root: str) -> DataFrame:
     return quality_classifier.classify(table(spark, root, "documents"), ["doc_id"])
 
 
+@query(
+    "op11_hard_negatives",
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND label IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+            list_inner_product(a.e, c.e)::BIGINT AS score
+        FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    negatives AS (
+        SELECT anchor_id, positive_id, n.vec_id AS negative_id, positive_score, n.score AS negative_score,
+            row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+        FROM positives p JOIN scored n USING (anchor_id)
+        WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND n.score <= positive_score)
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+    FROM negatives WHERE rank <= 5""",
+)
+def op11(spark: SparkSession, root: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    label = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine_negatives(table(spark, root, "embeddings"), vec_id % 100 == 0, label)
+
+
 URL_RULES = [
     ("allow", "com/"),
     ("block", "example.com/en/"),

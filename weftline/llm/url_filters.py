@@ -21,59 +21,91 @@ ROUNDS = 300
 RATE = 4.0
 SHRINK = 2e-4
 
-# The labelled table that is used where none is given: what the words of a host
-# or path tell, under top-level names that are reserved for examples.
+# The labelled table that is used where none is given: what the words of hosts and
+# paths tell. The top-level name is one that is reserved, and the same everywhere.
 BLOCKED = (
-    "https://www.casino-royal.test/play/slots",
-    "http://online-casino.test/bonus?ref=1",
-    "https://free-casino-games.invalid/en/1.html",
-    "http://win-big-now.test/lottery/",
-    "https://sports-bets.test/odds/today",
-    "http://www.best-bets.invalid/en/44",
-    "https://free-betting-tips.test/football",
-    "http://m.poker-win.test/table/9",
-    "https://cheap-pills.test/buy/1",
-    "http://www.pills-online.invalid/order?id=2",
-    "https://discount-pharmacy.test/pills/blue",
-    "http://cheap-watches-replica.test/shop",
-    "https://spam-mailer.test/list/3",
-    "http://link-farm.test/links.html",
-    "https://seo-spam-links.invalid/page/7",
-    "http://content-farm.test/articles/99",
-    "https://ads-server.test/banner?size=2",
-    "http://click-track.test/r/8",
-    "https://track.ad-clicks.invalid/pixel",
-    "http://popup-ads.test/show",
-    "https://adult-cams.test/live",
-    "http://xxx-videos.invalid/watch/5",
-    "https://payday-loans.test/apply/fast",
-    "http://free-prizes.test/win/phone",
+    "https://www.casino-royal.example/play/slots",
+    "http://online-casino.example/bonus?ref=1",
+    "https://blog.free-casino-games.example/en/1.html",
+    "http://m.casino-win.example/en/lottery/",
+    "https://win-big-now.example/lottery/",
+    "http://www.poker-win.example/table/9",
+    "https://m.poker-chips.example/fr/3",
+    "https://sports-bets.example/odds/today",
+    "http://www.best-bets.example/en/44",
+    "https://free-bets.example/de/football",
+    "http://blog.betting-tips.example/es/7",
+    "https://cheap-pills.example/buy/1",
+    "http://www.pills-online.example/order?id=2",
+    "https://diet-pills.example/en/5",
+    "https://m.discount-pharmacy.example/pills/blue",
+    "http://cheap-watches-replica.example/shop",
+    "https://www.replica-bags.example/cheap/2",
+    "https://spam-mailer.example/list/3",
+    "http://link-farm.example/links.html",
+    "https://blog.seo-spam-links.example/page/7",
+    "http://www.content-farm.example/articles/99",
+    "https://article-spam.example/en/12",
+    "https://ads-server.example/banner?size=2",
+    "http://m.ads-network.example/en/8",
+    "http://click-track.example/r/8",
+    "https://www.track-clicks.example/pixel",
+    "https://ad-tracker.example/de/4",
+    "http://popup-ads.example/show",
+    "https://adult-cams.example/live",
+    "http://www.adult-videos.example/en/6",
+    "https://blog.adult-dating.example/fr/2",
+    "http://xxx-videos.example/watch/5",
+    "https://m.xxx-pics.example/en/1",
+    "https://payday-loans.example/apply/fast",
+    "http://www.quick-loans.example/en/cash",
+    "https://free-prizes.example/win/phone",
+    "http://m.free-gift-cards.example/win/3",
+    "https://cheap-viagra.example/order",
+    "http://www.miracle-diet.example/buy/now",
+    "https://get-rich-now.example/en/money",
 )
 ALLOWED = (
-    "https://www.city-news.test/local/2021/05/mayor.html",
-    "http://news.invalid/en/world/12",
-    "https://blog.gardening.test/en/tomatoes",
-    "http://blog.travel-notes.invalid/italy/3/",
-    "https://www.university.test/physics/courses",
-    "http://library.invalid/catalogue?page=2",
-    "https://docs.software.test/guide/install.html",
-    "http://wiki.history.invalid/Roman_roads",
-    "https://recipes.test/en/soup/77",
-    "http://www.weather.invalid/forecast#today",
-    "https://museum.test/exhibitions/",
-    "http://m.radio-station.invalid/programme/8",
-    "https://www.science-journal.test/articles/451",
-    "http://forum.bicycles.invalid/thread/61?page=3",
-    "https://school.test/timetable.html",
-    "http://www.hiking-trails.invalid/alps/5",
-    "https://books.test/reviews/novels",
-    "http://theatre.invalid/tickets/12",
-    "https://www.health-advice.test/en/sleep",
-    "http://open-data.invalid/tables/rainfall",
-    "https://music-lessons.test/piano/1.html",
-    "http://www.football-club.invalid/en/players",
-    "https://kitchen.test/tools/9",
-    "http://birds.invalid/de/atlas/31/",
+    "https://www.city-news.example/local/mayor.html",
+    "http://news.example/en/world/12",
+    "https://m.evening-news.example/fr/4",
+    "https://blog.gardening.example/en/tomatoes",
+    "http://blog.travel-notes.example/italy/3/",
+    "https://travel-guide.example/es/8",
+    "https://www.university.example/physics/courses",
+    "http://library.example/catalogue?page=2",
+    "https://m.city-library.example/de/5",
+    "https://docs.software.example/guide/install.html",
+    "http://www.software-manual.example/en/2",
+    "http://wiki.history.example/roman_roads",
+    "https://local-history.example/fr/9",
+    "https://recipes.example/en/soup/77",
+    "http://www.family-recipes.example/bread",
+    "http://www.weather.example/forecast#today",
+    "https://m.weather-maps.example/en/3",
+    "https://museum.example/exhibitions/",
+    "http://blog.art-museum.example/de/1",
+    "http://m.radio-station.example/programme/8",
+    "https://www.science-journal.example/articles/451",
+    "http://science-teacher.example/en/6",
+    "http://forum.bicycles.example/thread/61?page=3",
+    "https://school.example/timetable.html",
+    "http://www.music-school.example/es/2",
+    "http://www.hiking-trails.example/alps/5",
+    "https://books.example/reviews/novels",
+    "http://m.book-reviews.example/en/7",
+    "http://theatre.example/tickets/12",
+    "https://www.health-advice.example/en/sleep",
+    "http://public-health.example/fr/4",
+    "http://open-data.example/tables/rainfall",
+    "https://music-lessons.example/piano/1.html",
+    "http://www.football-club.example/en/players",
+    "https://blog.kitchen-garden.example/tools/9",
+    "http://birds.example/de/atlas/31/",
+    "https://town-hall.example/en/council",
+    "http://www.railway.example/timetable/2",
+    "https://m.railway-station.example/de/8",
+    "http://language-course.example/es/lesson/1",
 )
 
 
