@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -78,24 +79,26 @@ def signals(text):
     return len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered)
 
 
-def judge(docs, max_docs, min_left=30):
-    """Rows of (doc_id, source, text) to doc_id: (signals, n_removed, base_failed, kept)."""
-    norm = lambda line: low(line.strip(BLANKS))
-    copies, first = defaultdict(set), {}
+def common_lines(docs, max_docs, min_docs=5, share=10):
+    """{(host, line): the document that keeps it}, of rows (doc_id, source, text)."""
+    holders, hosts = defaultdict(set), defaultdict(set)
     for d, host, t in docs:
+        hosts[host or ""].add(d)
         for line in (t or "").split("\n"):
             if words(line):
-                k = host or "", norm(line)
-                copies[k].add(t)
-                first[k] = min(first.get(k, d), d)
+                holders[host or "", low(line.strip(BLANKS))].add(d)
+    above = lambda n, host: n > max_docs or n >= min_docs and 100 * n > share * len(hosts[host])
+    return {k: min(ids) for k, ids in holders.items() if above(len(ids), k[0])}
+
+
+def judge(docs, max_docs, min_left=30):
+    """Rows of (doc_id, source, text) to doc_id: (signals, n_removed, base_failed, kept)."""
+    keeper = common_lines(docs, max_docs)
     out = {}
     for d, host, t in docs:
         s = signals(t)
-        gone = sum(
-            len(words(line))
-            for line in (t or "").split("\n")
-            if words(line) and len(copies[k := (host or "", norm(line))]) > max_docs and first[k] != d
-        )
+        lines = [x for x in (t or "").split("\n") if words(x)]
+        gone = sum(len(words(x)) for x in lines if keeper.get((host or "", low(x.strip(BLANKS))), d) != d)
         failed = s[0] < 50 or 100 * s[4] > 50 * s[0]
         out[d] = s, gone, failed, not failed and 100 * (s[0] - gone) >= min_left * s[0]
     return out
@@ -103,18 +106,10 @@ def judge(docs, max_docs, min_left=30):
 
 def cleaned(docs, max_docs):
     """Rows of (doc_id, source, text) to doc_id: the text without its host's common lines."""
-    copies, first = defaultdict(set), {}
-    key = lambda host, line: (host or "", low(line.strip(BLANKS)))
-    for d, host, t in docs:
-        for line in (t or "").split("\n"):
-            if words(line):
-                k = key(host, line)
-                copies[k].add(t)
-                first[k] = min(first.get(k, d), d)
+    keeper = common_lines(docs, max_docs)
 
     def stays(d, host, line):
-        k = key(host, line)
-        return not words(line) or len(copies[k]) <= max_docs or first[k] == d
+        return not words(line) or keeper.get((host or "", low(line.strip(BLANKS))), d) == d
 
     return {d: t and "\n".join(x for x in t.split("\n") if stays(d, host, x)) for d, host, t in docs}
 
@@ -125,3 +120,49 @@ def md5(data: bytes) -> str:
 
 def latin_runs(text: str) -> list[str]:
     return re.findall("[A-Za-z\u00c0-\u00ff]+", text)
+
+
+class Languages:
+    """Words by log frequency; unseen ones by their longest known n-grams."""
+
+    def __init__(self, rows):
+        """``rows`` of (lang, text)."""
+        words = defaultdict(Counter)
+        for lang, text in rows:
+            words[lang].update(self.words(text))
+        grams = {lang: Counter(g for w in seen for n in (5, 4, 3, 2, 1) for g in self.grams(w, n)) for lang, seen in words.items()}
+        self.names = sorted(words)
+        self.logs = [self.table(words), self.table(grams)]
+
+    @staticmethod
+    def words(text):
+        return re.findall(r"[^\W\d_]+", text.lower())
+
+    @staticmethod
+    def grams(word, n):
+        word = f"<{word}>"
+        return [word[i : i + n] for i in range(len(word) - n + 1)]
+
+    def table(self, counts):
+        entries = set().union(*counts.values()) if counts else set()
+        total = {x: counts[x].total() + len(entries) / 2 for x in self.names}
+        return {e: [math.log((counts[x][e] + 0.5) / total[x]) for x in self.names] for e in entries}
+
+    def of_word(self, word):
+        words, grams = self.logs
+        if word in words:
+            return words[word]
+        for n in (5, 4, 3, 2, 1):
+            found = [grams[g] for g in self.grams(word, n) if g in grams]
+            if found:
+                return [sum(x) / len(found) for x in zip(*found)]
+        return [0.0] * len(self.names)
+
+    def predict(self, text):
+        """(language, score)"""
+        words = self.words(text or "")
+        if not self.names or not any(c.isalpha() for w in words for c in w):
+            return "und", 0.0
+        logs = [sum(x) * min(1.0, 20 / len(words)) for x in zip(*map(self.of_word, words))]
+        best = max(range(len(logs)), key=lambda i: (logs[i], -i))
+        return self.names[best], 1 / sum(math.exp(x - logs[best]) for x in logs)

@@ -1,5 +1,6 @@
 """Byte-level BPE against the library whose ids it must give."""
 
+import base64
 import hashlib
 import random
 
@@ -7,7 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from weftline.llm.byte_bpe import ByteBpe, decode_documents, encode_documents
+from weftline.llm.byte_bpe import ByteBpe, decode_documents, encode_documents, round_trip_documents
 from weftline.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -43,11 +44,32 @@ def test_very_long_pre_tokens(bpe, wanted, text):
 
 
 def test_cache_overflow_changes_nothing(bpe, wanted, monkeypatch):
-    monkeypatch.setattr("weftline.llm.arrow.MOST_SEEN", 3)
+    monkeypatch.setattr("weftline.llm.byte_bpe.MOST_CHUNKS", 3)
     text = "one two three, four five six seven. One two three"
     assert ByteBpe(PATH, PATTERN).encode(text).tolist() == wanted.encode_ordinary(text)
 
 
+def test_any_number_of_ranks(bpe, tmp_path):
+    """The same vocabulary with ranks far apart merges alike."""
+    spread = {token: rank if rank < 256 else 256 + 5 * rank for token, rank in bpe.ranks.items()}
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in spread.items()))
+    wide = ByteBpe(str(path), PATTERN)
+    assert max(wide.ranks.values()) > 250_000
+    for text in ["many words, some of them long: internationalisation", "ab" * 500, "é漢字 1234 'll"]:
+        assert wide.encode(text).tolist() == [spread[bpe.table[i]] for i in bpe.encode(text).tolist()]
+        assert wide.decode(wide.encode(text).tolist()) == text.encode()
+
+
+def test_one_pass_equals_two(spark):
+    df = spark.createDataFrame([(1, "a b  c"), (None, None), (3, " \n x" * 50)], "doc_id long, text string")
+    both = round_trip_documents(df, ["doc_id"], PATH, PATTERN)
+    ids = encode_documents(df, ["doc_id"], PATH, PATTERN)
+    assert sorted(map(tuple, both.select("doc_id", "ids").collect()), key=str) == sorted(map(tuple, ids.collect()), key=str)
+    assert {(r.doc_id, bytes(r.decoded).decode()) for r in both.collect()} == {(1, "a b  c"), (None, ""), (3, " \n x" * 50)}
+    assert round_trip_documents(df.limit(0), ["doc_id"], PATH, PATTERN).collect() == []
+
+
 def test_nulls_repeats_and_clashing_names(spark, wanted):
     rows = [(1, None, "x"), (1, "", "x"), (None, "a b", None), (2, "a b", "x"), (2, "a b", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")

@@ -1,8 +1,10 @@
 """Jaccard join, line dedup, quality rules and packing against brute force."""
 
 import hashlib
+import json
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -152,7 +154,28 @@ def test_quality_rules_clean_texts(spark, documents):
     assert want[10_000] == rows[len(documents)][1] and want[10_001] == " \nown 1\n"
     odd = [(None, line, "h")] * 3 + [(1, f"{line}\na", "h"), (1, f"{line}\nb", "h"), (2, f"{line}\na", "h"), (2, f"{line}\na", "h")]
     got = quality_rules.judge_documents(frame(spark, odd), ["doc_id"], max_docs=1, cleaned=True).collect()
-    assert sorted((r.doc_id or 0, r.cleaned) for r in got) == [(0, "")] * 3 + [(1, f"{line}\na"), (1, f"{line}\nb"), (2, "a"), (2, "a")]
+    assert sorted((r.doc_id or 0, r.cleaned) for r in got) == [(0, "")] * 3 + [(1, f"{line}\na"), (1, f"{line}\nb"), (2, ""), (2, "")]
+
+
+def test_quality_rules_count_documents(spark):
+    """Copies are documents; a small host's share counts as a large host's number does."""
+    words = " ".join(f"w{k}" for k in range(60))
+    rows = [(i, f"{words}\nfoot", "copies") for i in range(7)] + [(100 + i, f"{words} {i}\nfoot line", "host") for i in range(5)]
+    rows += [(200 + i, f"{words} {i} of its own", "host") for i in range(50)] + [(300 + i, f"{words} x{i}\nfour", "host") for i in range(4)]
+    rows += [rows[0]]  # a repeated row is no further document
+    want = brute.judge([(d, s, t) for d, t, s in rows], max_docs=100)
+    got = quality_rules.judge_documents(frame(spark, rows), ["doc_id"], cleaned=True).collect()
+    assert {r.doc_id: (r.n_removed, r.kept) for r in got} == {d: (w[1], w[3]) for d, w in want.items()}
+    assert [want[i][3] for i in range(7)] == [True] + [False] * 6
+    assert [want[100 + i][1] for i in range(5)] == [0, 0, 0, 0, 0] and want[300][1] == 0
+    few = [(i, f"{words} {i}\nfoot line", "host") for i in range(5)]
+    got = quality_rules.judge_documents(frame(spark, few), ["doc_id"], cleaned=True).collect()
+    assert sorted((r.doc_id, r.n_removed, r.cleaned == f"{words} {r.doc_id}") for r in got) == [(0, 0, False)] + [(i, 2, True) for i in range(1, 5)]
+
+
+def test_quality_query_removes_lines(spark):
+    got = QUERIES["op5_quality_rules"](spark, "/root/testdata/sf0.01").collect()
+    assert sum(r.n_removed > 0 for r in got) > 20
 
 
 def test_quality_rules_odd_rows(spark):
@@ -199,10 +222,24 @@ def test_words_of_the_tokenizer():
     draw = random.Random(2)
     letters = " \t\n\x1c\x85\xa0 　aabbcZé漢字1２'st'll,.!!—😀éΣİJ̌ǰÀ́²ß"
     some = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 30))) for _ in range(3000)]
-    some += ["a <|endoftext|> b", "x" * 5000, "ab " * 3000]
-    mine = packing.WordTokenizer(WORDS)
-    for text, data, want in zip(some, mine.encode_all(some), mine.library.encode_batch(some, add_special_tokens=False)):
-        assert np.frombuffer(data, "<u4").tolist() == want.ids, text
+    some += ["one <|endoftext|> two", "<|startoftext|>", "<|ENDOFTEXT|> x", "a<|endoftext|><|startoftext|>b", "<|endof text|>"]
+    some += ["x" * 5000, "ab " * 3000, "0<|</w> </w>", "don't 'til 'S '' '''s l'l", "x1 1x x. .x x.y 1. .1 é, ß9"]
+    mine, library = packing.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    for _ in range(2):  # unseen, and then remembered
+        for text, data, want in zip(some, mine.encode_all(some), library.encode_batch(some, add_special_tokens=False)):
+            assert np.frombuffer(data, "<u4").tolist() == want.ids, text
+    assert library.encode("one <|endoftext|> two", add_special_tokens=False).ids == [637, 49407, 1237]
+
+
+def test_other_tokenizer_files_are_refused(tmp_path):
+    with pytest.raises(ValueError):
+        packing.WordTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    rules = json.loads(Path(WORDS).read_text())
+    added = [{**t, "normalized": True} for t in rules["added_tokens"]]
+    for change in ({"normalizer": None}, {"pre_tokenizer": None}, {"added_tokens": added}):
+        (tmp_path / "other.json").write_text(json.dumps(rules | change))
+        with pytest.raises(ValueError):
+            packing.WordTokenizer(str(tmp_path / "other.json"))
 
 
 def test_pack_documents(spark, documents):

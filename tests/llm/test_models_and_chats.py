@@ -10,7 +10,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.llm import chat_format, language_id, quality_classifier, token_counts, topk
+from tests.llm import brute
+from weftline.llm import byte_bpe, chat_format, language_id, quality_classifier, token_counts, topk
 from weftline.llm.queries import QUERIES, SAID
 from weftline.llm.templates import TemplateError, compile_template, escape, fold_all, parse, unescape
 
@@ -33,8 +34,8 @@ def test_language_odd_rows(spark):
     rows = [(1, "one word and one more", "en"), (2, "ein Wort und noch eins", "de"), (3, "12 34", None), (None, None, "en"), (5, "²", "fr"), (6, "ein", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("x"))
     model = language_id.learn(df)
-    got = [(r.doc_id, r.lang_pred, r.score) for r in language_id.identify(df, ["doc_id"], model).collect()]
-    assert [x[1] for x in got] == ["en", "de", "und", "und", "und", "de"]
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(df, ["doc_id"], model).collect()}
+    assert got == {1: "en", 2: "de", 3: "und", None: "und", 5: "und", 6: "de"}
     nothing = language_id.learn(df.limit(0))
     assert {r.lang_pred for r in language_id.identify(df, ["doc_id"], nothing).collect()} == {"und"}
     assert language_id.identify(df.limit(0), ["doc_id"], model).collect() == []
@@ -42,14 +43,42 @@ def test_language_odd_rows(spark):
     assert [r[0] for r in fold] == [d is None or zlib.crc32(str(d).encode()) % 5 == 0 for d, _, _ in rows]
 
 
-def test_unseen_words_back_off():
-    model = language_id.Model(
-        ["a", "b"], {"a": 10, "b": 10}, {"whole": {"a": 5}}, {"a": 9, "b": 9}, {"xyz": {"b": 4}, "q": {"a": 3}}
-    )
-    assert model.predict("whole")[0] == "a"
-    assert model.predict("xyzzz")[0] == "b"  # a longer n-gram decides before a shorter one
-    assert model.predict("q")[0] == "a"
-    assert model.predict("kkk") == ("a", 0.5)
+def predictions(spark, model, asked):
+    """What is told about each text, by the text."""
+    df = spark.createDataFrame([(t,) for t in asked], "text string")
+    return {r.text: (r.lang_pred, r.score) for r in language_id.identify(df, ["text"], model).collect()}
+
+
+def same_answers(got, want):
+    for text, (lang, score) in want.items():
+        assert got[text][1] == pytest.approx(score, abs=1e-3)
+        # Where two languages are as good as equal, rounding decides.
+        assert got[text][0] == lang or score < 0.501
+    assert len(got) == len(want)
+
+
+def test_unseen_words_back_off(spark):
+    rows = [("a", "whole whole quiet q"), ("b", "xyz xyzz ball"), ("c", "unter über")]
+    model = language_id.learn(spark.createDataFrame(rows, "lang string, text string"))
+    asked = ["whole", "xyzzz", "q", "kkk", "quietly xyz", "ÜBERALL", "字", "holes and balls", "", "12"]
+    want = {t: brute.Languages(rows).predict(t) for t in asked}
+    same_answers(predictions(spark, model, asked), want)
+    assert want["xyzzz"][0] == "b" and want["ÜBERALL"][0] == "c"
+
+
+@pytest.mark.parametrize("at_hand", [0, 500, 10**6])
+def test_language_query_against_brute_force(spark, at_hand):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    fold = language_id.held_out(F.col("doc_id"))
+    model = language_id.learn(documents.where(~fold), max_words=at_hand)
+    assert len(model.words) <= at_hand
+    rows = documents.collect()
+    held = {r.doc_id for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    plain = brute.Languages([(r.lang, r.text) for r in rows if r.doc_id not in held and r.lang and r.text])
+    want = {r.doc_id: plain.predict(r.text) for r in rows}
+    same_answers({r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(documents, ["doc_id"], model).collect()}, want)
+    if at_hand == 500:
+        same_answers({r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op4_language_id"](spark, "/root/testdata/sf0.001").collect()}, want)
 
 
 def test_capacity_keeps_the_most_frequent(spark):
@@ -65,9 +94,8 @@ def test_language_does_not_depend_on_what_is_broadcast(spark, at_hand):
     odd = [(None, None, None, "row"), (-1, "", None, "n"), (-1, "² 12", None, "n"), (-2, "字字字 x é\U0001f600", None, "w"), (-3, "zzqqyyzz", None, "w")]
     df = df.where("doc_id % 4 = 0").union(spark.createDataFrame(odd, df.schema)).withColumnRenamed("source", "row")
     train = df.where("doc_id % 3 = 0")
-    every = language_id.learn(train, max_words=10**9, max_grams=10**9)
-    few = language_id.learn(train, max_words=at_hand, max_grams=at_hand)
-    assert every.whole and not few.whole and len(few.words) <= at_hand
+    every, few = (language_id.learn(train, max_words=n) for n in (10**9, at_hand))
+    assert len(few.words) <= at_hand
     want, got = (
         sorted((r.doc_id or 0, r.row, r.lang_pred, round(r.score, 12)) for r in language_id.identify(df, ["doc_id", "row"], m).collect())
         for m in (every, few)
@@ -80,12 +108,10 @@ def test_words_at_hand_have_their_counts_in_every_language(spark):
     # Cut language by language, "both" stays in "a" alone, with no count in "b".
     rows = [("both " * 5, "a")] + [("both " * 4 + "some " * 9 + "other " * 9, "b")]
     df = spark.createDataFrame(rows, "text string, lang string")
-    model = language_id.learn(df, max_words=2, max_grams=0)
-    every = language_id.Model(["a", "b"], {"a": 5, "b": 22}, {"both": {"a": 5, "b": 4}, "some": {"b": 9}, "other": {"b": 9}}, {}, {})
-    assert all(v == every.words[w] for w, v in model.words.items())
-    asked = spark.createDataFrame([("both", "x")], "text string, key string")
-    got = language_id.identify(asked, ["key"], model).first()
-    assert got.lang_pred == "a" and got.score == pytest.approx(every.predict("both")[1])
+    model = language_id.learn(df, max_words=3)
+    assert len(model.words) == 3
+    plain = brute.Languages([(lang, text) for text, lang in rows])
+    same_answers(predictions(spark, model, ["both"]), {"both": plain.predict("both")})
 
 
 def test_classifier_agrees_with_labels(spark):
@@ -140,7 +166,7 @@ def exact(rows, k):
 
 @pytest.mark.parametrize("first", [1, 7, 256])
 def test_top_k(spark, monkeypatch, first):
-    monkeypatch.setattr(topk, "FIRST", first)
+    monkeypatch.setattr(topk, "STEP", first)
     draw = np.random.default_rng(first)
     rows = [(i, draw.normal(size=8).tolist()) for i in range(300)]
     rows += [(i, [0.25] * 8) for i in range(300, 340)]  # ties
@@ -184,6 +210,20 @@ def test_token_counts(spark):
     assert empty.collect() == []
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", " \n\u3000"])
+def test_token_counts_of_very_long_blanks(spark, blank):
+    """The library gives up on these; the ids are those of this subpackage's encoder."""
+    text = "word" + blank * 2_000_000 + "end"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = token_counts.count_tokens(df, ["doc_id"], ["text"], BYTES, public_tokenizers.PATTERN, divider="")
+    row = got.collect()[0]
+    own = byte_bpe.codec(BYTES, public_tokenizers.PATTERN)
+    assert row.n_tokens == row.n_document == len(own.encode(text)) and row.end == len(text)
+    encoding, _ = token_counts.codec(BYTES, public_tokenizers.PATTERN)
+    short = "word" + blank * 20_000 + "end"
+    assert own.encode(short).tolist() == encoding.encode_ordinary(short)
+
+
 def render(source, messages):
     return list(compile_template(source)(messages))
 

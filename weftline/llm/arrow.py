@@ -14,13 +14,20 @@ from pyspark.sql import types as T
 MOST_SEEN = 400_000
 LONGEST_SEEN = 64
 ROWS = 1000  # rows worked on at a time, so that a task holds few texts and results
+BYTES = 1 << 23  # and bytes, unless one row alone has more
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
-    """Cut batches into pieces of at most ``rows`` rows."""
+    """Cut batches into pieces of at most ``rows`` rows, and few bytes."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        todo = [batch.slice(start, rows) for start in range(0, batch.num_rows, rows)][::-1]
+        while todo:
+            part = todo.pop()
+            if part.num_rows > 1 and part.nbytes > BYTES:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
 
 
 def add_columns(

@@ -1,22 +1,23 @@
 """Byte-level BPE by rank files: a rank queue over a hierarchical bitmap.
 
 Merging always takes the lowest rank that is present, leftmost first. The queue
-keeps one bucket of linked-list positions per merge rank, and two levels of
-256-bit words that say which buckets hold something: find-first-set on each
-level gives the next rank in constant time, however long the pre-token. When a
+keeps one bucket of linked-list positions per merge rank, and two levels of bits
+that say which buckets hold something: words of 256 ranks, and one word over
+these. Find-first-set on each level gives the next rank, however long the
+pre-token. When a
 merge changes a pair, its old entry stays in its bucket and is skipped as stale
 once its bucket is drained; so a pre-token of n bytes costs at most 3 n entries.
 
 Many pre-tokens share one queue: they are laid out one after another with a gap
-between them that no merge crosses. Pre-tokens repeat, so each task keeps the
-ids of those it has seen, up to a fixed number, and queues only new ones.
+between them that no merge crosses. Pre-tokens repeat, and so do the chunks of
+text between spaces, so each task keeps the ids of those it has seen in one
+table of a fixed size, and queues only new ones.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -25,16 +26,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import Known, add_columns, int_lists, list_array, texts
+from weftline.llm.arrow import LONGEST_SEEN, Known, add_columns, int_lists, list_array, texts
 
 # White space as Unicode defines it, which is what the split pattern's \s means;
 # Python's own class also holds U+001C to U+001F.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 UNEVEN = re.compile(f"[{SPACE}][{SPACE}]|^ | $")
-WORD = 8  # a bitmap word has 256 bits, so 65,536 ranks take two levels
+WORD = 8  # a bitmap word has 256 bits
 LOW = (1 << WORD) - 1
-BIT = [1 << i for i in range(1 << WORD)]
+PLAIN = "\n"  # what marks a chunk that has no space before it
+MOST_CHUNKS = 1_000_000  # that a task remembers
 
 
 class ByteBpe:
@@ -49,28 +51,27 @@ class ByteBpe:
         self.split = regex.compile(pattern.replace(r"\s", f"[{SPACE}]").replace(
             rf"[^[{SPACE}]", f"[^{SPACE}").replace(r"(?!\S)", f"(?![^{SPACE}])"))
         self.longest = max(map(len, self.ranks))
-        if max(self.ranks.values()) >> 2 * WORD:
-            raise ValueError(f"{path}: a rank is over {(1 << 2 * WORD) - 1}")
+        # As many words as the ranks need, and as many bits over them.
+        self.n_words = (max(self.ranks.values()) >> WORD) + 1
+        self.bit = [1 << i for i in range(max(self.n_words, 1 << WORD))]
         self.table = {rank: token for token, rank in self.ranks.items()}
         two = range(256)
         self.of_two = np.array([self.ranks.get(bytes((a, b)), -1) for a in two for b in two])
-        self.pieces = Known(self.merge)
-        self.chunks = Known(self.split_all)
-        # Chunks by the word that follows a space, as most are.
-        self.spaced = Known(lambda words: self.split_all([" " + w for w in words]))
+        self.of_one = np.array([self.ranks[bytes((a,))] for a in two], np.int32)
+        # Ids of chunks: by the word after one space, as most are, or after PLAIN.
+        self.chunks = Known(self.encode_chunks, MOST_CHUNKS)
 
     def merge(self, pieces: list[str]) -> list[bytes]:
         """Ids of each pre-token, as bytes of 32-bit numbers."""
         data = [p.encode() for p in pieces]
         get, longest = self.ranks.get, self.longest
         done = [get(d) if len(d) <= longest else None for d in data]
-        open_data = [d for d, rank in zip(data, done) if rank is None]
-        merged = iter(self.merge_bytes(open_data) if open_data else ())
-        return [
-            array("i", next(merged) if rank is None else (rank,)).tobytes() for rank in done
-        ]
+        merged = iter(self.merge_bytes([d for d, rank in zip(data, done) if rank is None]))
+        return [next(merged) if rank is None else rank.to_bytes(4, "little") for rank in done]
 
-    def merge_bytes(self, pieces: list[bytes]) -> list[list[int]]:
+    def merge_bytes(self, pieces: list[bytes]) -> list[bytes]:
+        if not pieces:
+            return []
         get, longest = self.ranks.get, self.longest
         # Every pre-token is followed by a gap of one position.
         text = b"\0".join(pieces) + b"\0"
@@ -83,17 +84,22 @@ class ByteBpe:
         gap = np.zeros(n + 1, np.uint8)
         gap[ends] = gap[-1] = 1  # before[0] is -1, so the last is a gap as well
         gap = gap.tobytes()
-        # A part is named by where it begins; ``after`` is where it ends, and
-        # ``pair`` the rank of it with the next part, -1 if they do not merge.
+        # A part is named by where it begins; ``after`` is where it ends, ``pair``
+        # the rank of it with the next part, -1 if they do not merge, and ``name``
+        # its id, -1 once it is in the part before.
         pair, after, before = ranks.tolist(), list(range(1, n + 2)), list(range(-1, n))
+        name = self.of_one[codes]
+        name[ends] = -1
+        name = name.tolist()
         order = np.argsort(ranks, kind="stable")
         order = order[np.searchsorted(ranks[order], 0) :]
         present, begins = np.unique(ranks[order], return_index=True)
         buckets = dict(zip(present.tolist(), (x.tolist() for x in np.split(order, begins[1:]))))
-        words, top = [0] * (1 << WORD), 0
+        bucket_of = buckets.get
+        words, top, bit = [0] * self.n_words, 0, self.bit
         for rank in buckets:
-            words[rank >> WORD] |= BIT[rank & LOW]
-            top |= BIT[rank >> WORD]
+            words[rank >> WORD] |= bit[rank & LOW]
+            top |= bit[rank >> WORD]
         while top:
             # x & -x keeps the lowest set bit: first the word, then the rank.
             w = (top & -top).bit_length() - 1
@@ -102,7 +108,7 @@ class ByteBpe:
             rank = w << WORD | first.bit_length() - 1
             bits = words[w] = bits ^ first
             if not bits:
-                top ^= BIT[w]
+                top ^= bit[w]
             bucket = buckets.pop(rank)
             bucket.sort()  # leftmost first
             lower = False
@@ -112,19 +118,20 @@ class ByteBpe:
                 gone = after[i]
                 end = after[i] = after[gone]
                 before[end] = i
-                pair[gone] = -1
+                pair[gone] = name[gone] = -1
+                name[i] = rank
                 new = -1
                 if not gap[end]:
                     stop = after[end]
                     if stop - i <= longest:
                         new = get(text[i:stop], -1)
                         if new >= 0:
-                            if new in buckets:
-                                buckets[new].append(i)
+                            if (waiting := bucket_of(new)) is not None:
+                                waiting.append(i)
                             else:
                                 buckets[new] = [i]
-                                words[new >> WORD] |= BIT[new & LOW]
-                                top |= BIT[new >> WORD]
+                                words[new >> WORD] |= bit[new & LOW]
+                                top |= bit[new >> WORD]
                             lower = new < rank
                 pair[i] = new
                 at = before[i]
@@ -132,32 +139,47 @@ class ByteBpe:
                     new = get(text[at:end], -1) if end - at <= longest else -1
                     pair[at] = new
                     if new >= 0:
-                        if new in buckets:
-                            buckets[new].append(at)
+                        if (waiting := bucket_of(new)) is not None:
+                            waiting.append(at)
                         else:
                             buckets[new] = [at]
-                            words[new >> WORD] |= BIT[new & LOW]
-                            top |= BIT[new >> WORD]
+                            words[new >> WORD] |= bit[new & LOW]
+                            top |= bit[new >> WORD]
                         lower = lower or new < rank
                 if lower and k + 1 < len(bucket):
                     # A lower rank has appeared, so it is next; the rest waits.
                     buckets[rank] = bucket[k + 1 :]
                     words[w] |= first
-                    top |= BIT[w]
+                    top |= bit[w]
                     break
-        ids, begin = [], 0
-        of = self.ranks
-        for end in ends.tolist():
-            own = []
-            while begin < end:
-                own.append(of[text[begin : after[begin]]])
-                begin = after[begin]
-            ids.append(own)
-            begin += 1
-        return ids
-
-    def split_all(self, chunks: list[str]) -> list[bytes]:
-        return self.pieces.join([self.split.findall(c) for c in chunks])
+        name = np.array(name, np.int32)
+        stops = 4 * np.cumsum(name >= 0)[ends]
+        ids = name[name >= 0].tobytes()
+        return [ids[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist())]
+
+    def encode_chunks(self, keys: list[str]) -> list[bytes]:
+        """Ids of chunks, by their keys; a pre-token is a chunk as well."""
+        split = []
+        for key in keys:
+            if key.isalpha():  # a space and a word are one pre-token
+                split.append((key,))
+            elif key[:-1].isalpha() and not key[-1].isalpha():  # and one more sign another
+                split.append((key[:-1], PLAIN + key[-1]))
+            else:
+                chunk = key[1:] if key[:1] == PLAIN else " " + key
+                split.append([self.key_of(p) for p in self.split.findall(chunk)])
+        known = self.chunks
+        new = list(set().union(*split).difference(known))
+        made = dict(zip(new, self.merge([k[1:] if k[:1] == PLAIN else " " + k for k in new])))
+        for key, ids in made.items():
+            if len(key) <= LONGEST_SEEN:
+                known[key] = ids
+        return [b"".join([made[k] if k in made else known[k] for k in own]) for own in split]
+
+    @staticmethod
+    def key_of(chunk: str) -> str:
+        # No word begins with PLAIN, so the two kinds of keys differ.
+        return chunk[1:] if chunk[0] == " " and chunk[1:] and chunk[1] != PLAIN else PLAIN + chunk
 
     def encode_all(self, documents: list[str]) -> list[np.ndarray]:
         """Ids of whole texts.
@@ -166,17 +188,15 @@ class ByteBpe:
         falls into chunks of a space and a word, or of white space alone, that
         are split further each for itself.
         """
-        plain, spaced = [], []
+        rows = []
         for text in documents:
             if UNEVEN.search(text):
-                plain.append(CHUNK.findall(text))
-                spaced.append([])
+                rows.append([self.key_of(c) for c in CHUNK.findall(text)])
             else:  # single white space only: cutting at spaces gives whole chunks
-                first, *rest = text.split(" ")
-                plain.append([first])
-                spaced.append(rest)
-        both = zip(self.chunks.join(plain), self.spaced.join(spaced))
-        return [np.frombuffer(a + b, np.int32) for a, b in both]
+                row = text.split(" ")
+                row[0] = PLAIN + row[0]
+                rows.append(row)
+        return [np.frombuffer(ids, np.int32) for ids in self.chunks.join(rows)]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
@@ -200,10 +220,11 @@ def encode_documents(
 ) -> DataFrame:
     """``keep`` columns and ``ids array<int>``, the ids of the whole text.
 
-    Null and empty texts have no ids. Rows are independent: repeated rows and
-    null keys give one output row each, and other columns are ignored. ``path``
-    is a rank file every executor can open; strings of special tokens are
-    ordinary text.
+    Null and empty texts have no ids; very long ones are encoded whole, by the
+    same queue. Rows are independent: repeated rows and null keys give one output
+    row each, an empty table gives none, and other columns are ignored. ``path``
+    is a rank file every executor can open, of any number of ranks; strings of
+    special tokens are ordinary text.
     """
 
     def make():
@@ -217,6 +238,28 @@ def encode_documents(
     return add_columns(df, keep, {"text": F.col(f"`{text}`")}, "ids array<int>", make)
 
 
+def round_trip_documents(
+    df: DataFrame, keep: list[str], path: str, pattern: str, text: str = "text"
+) -> DataFrame:
+    """``keep`` columns, ``ids`` and ``decoded``: encoded, and decoded again from the ids.
+
+    As :func:`encode_documents` and then :func:`decode_documents`, in one pass
+    over the rows.
+    """
+
+    def make():
+        bpe = codec(path, pattern)
+
+        def work(columns):
+            rows = bpe.encode_all(texts(columns["text"]))
+            back = pa.array([bpe.decode(r.tolist()) for r in rows], pa.binary())
+            return [list_array(rows, pa.int32()), back]
+
+        return work
+
+    return add_columns(df, keep, {"text": F.col(f"`{text}`")}, "ids array<int>, decoded binary", make)
+
+
 def decode_documents(
     df: DataFrame, keep: list[str], path: str, pattern: str, ids: str = "ids"
 ) -> DataFrame:

@@ -18,11 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import Seen, add_columns
+from weftline.llm.arrow import add_columns
 from weftline.session import staged
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -86,7 +85,10 @@ def count_grams(words: DataFrame) -> DataFrame:
             for lang, word in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
         )
 
-    return words.mapInArrow(run, "lang string, entry string, n long").groupBy("lang", "entry").agg(F.sum("n").alias("n"))
+    # The stored words lie in few files; their n-grams are many times as many.
+    n_parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = words.repartition(n_parts, "entry")
+    return dealt.mapInArrow(run, "lang string, entry string, n long").groupBy("lang", "entry").agg(F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame, capacity: int, group: Column) -> DataFrame:
@@ -119,10 +121,6 @@ def most_frequent(counts: DataFrame, capacity: int, group: Column) -> DataFrame:
     return stepped.join(F.broadcast(cuts), ["lang", "group"]).where(F.col("step") >= F.col("cut"))
 
 
-def rounded(x: np.ndarray) -> np.ndarray:
-    return np.rint(x * FINE) / FINE
-
-
 def log_table(counts: DataFrame, languages: list[str], totals: dict[str, int]) -> DataFrame:
     """(entry, n, v): the count over all languages, and the log frequency in each."""
     entries = counts.groupBy("entry").agg(
@@ -138,50 +136,21 @@ def log_table(counts: DataFrame, languages: list[str], totals: dict[str, int]) -
 class Model:
     """Log frequencies by language.
 
-    ``words`` and ``grams`` are those at hand. Where there are stored tables
-    (``word_table``, ``gram_table``), words that are not at hand are in these.
+    The most frequent words are at hand, in ``words``; all words and n-grams are
+    in the stored tables ``word_table`` and ``gram_table``.
     """
 
     word_table: DataFrame | None = None
     gram_table: DataFrame | None = None
 
-    def __init__(self, languages, totals, words, gram_totals, gram_counts):
-        self.languages = languages
-        self.words = self._logs(words, totals)
-        self.grams = self._logs(gram_counts, gram_totals)
-        self.seen = Seen(self.unseen)
-        self.whole = True
+    def __init__(self, languages: list[str], words: dict[str, bytes]):
+        self.languages, self.words = languages, words
 
     def __getstate__(self):
-        return self.languages, self.words, self.grams, self.whole
+        return self.languages, self.words  # tasks have no use for tables
 
     def __setstate__(self, state):
-        self.languages, self.words, self.grams, self.whole = state
-        self.seen = Seen(self.unseen)
-
-    def _logs(self, counts: dict[str, dict[str, int]], totals: dict[str, int]) -> dict[str, bytes]:
-        """Entry to the bytes of its log frequency in every language."""
-        all_of = np.array([totals.get(x, 0) + 0.5 * len(counts) for x in self.languages])
-        place = {x: i for i, x in enumerate(self.languages)}
-        logs = {}
-        for entry, by_language in counts.items():
-            n = np.full(len(self.languages), 0.5)
-            for lang, count in by_language.items():
-                n[place[lang]] += count
-            logs[entry] = rounded(np.log(n / all_of)).astype(np.float32).tobytes()
-        return logs
-
-    def unseen(self, word: str) -> bytes:
-        """The vector of a word: its own, or its longest known n-grams' mean."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        for order in ORDERS:
-            found = [self.grams[g] for g in grams(word, order) if g in self.grams]
-            if found:
-                total = self._rows(b"".join(found)).sum(0, dtype=float)
-                return rounded(total / len(found)).astype(np.float32).tobytes()
-        return bytes(4 * len(self.languages))  # no character known: says nothing
+        self.languages, self.words = state
 
     def _rows(self, data: bytes) -> np.ndarray:
         return np.frombuffer(data, np.float32).reshape(-1, len(self.languages))
@@ -196,38 +165,24 @@ class Model:
         if not self.languages or not any(c.isalpha() for w in words for c in w):
             return 0, np.zeros(len(self.languages)), Counter()
         rest: Counter = Counter()
-        if self.whole:
-            found = list(map(self.seen.__getitem__, words))
-        else:
-            found = list(map(self.words.get, words))
-            if None in found:
-                rest.update(w for w, v in zip(words, found) if v is None)
-                found = [v for v in found if v is not None]
+        found = list(map(self.words.get, words))
+        if None in found:
+            rest.update(w for w, v in zip(words, found) if v is None)
+            found = [v for v in found if v is not None]
         return len(words), self._rows(b"".join(found)).sum(0, dtype=float), rest
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """Of a model that has all its entries at hand."""
-        n, logs, _ = self.scored(text)
-        if not n:
-            return UNKNOWN, 0.0
-        logs *= min(1.0, CALM / n)
-        likely = np.exp(logs - logs.max())
-        best = int(likely.argmax())  # ties: the first in order of names
-        return self.languages[best], float(likely[best] / likely.sum())
 
-
-def learn(
-    df: DataFrame, lang: str = "lang", text: str = "text", max_words: int = 120_000, max_grams: int = 160_000
-) -> Model:
+def learn(df: DataFrame, lang: str = "lang", text: str = "text", max_words: int = 120_000) -> Model:
     """A model of all given rows that have a language and a text.
 
-    ``max_words`` and ``max_grams`` are the entries that come to the driver;
-    n-grams come only if all of them and all words do.
+    ``max_words`` words are at hand at most, on the driver and in every task.
+    Languages are counted on the driver and are columns of the model, so they are
+    to be names, not free text. Without rows there are no languages.
     """
     words = staged(count_words(df, lang, text), "words")
     totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
-    model = Model(languages, totals, {}, {}, {})
+    model = Model(languages, {})
     if not languages:
         return model
     all_grams = staged(count_grams(words), "grams")
@@ -236,15 +191,8 @@ def learn(
     }
     model.word_table = staged(log_table(words, languages, totals), "word_logs")
     model.gram_table = staged(log_table(all_grams, languages, gram_totals), "gram_logs")
-
-    def at_hand(entries: DataFrame) -> dict[str, bytes]:
-        return {r["entry"]: np.array(r["v"], np.float32).tobytes() for r in entries.select("entry", "v").collect()}
-
-    n_words, n_grams = model.word_table.count(), model.gram_table.count()
-    model.words = at_hand(most_frequent(model.word_table.withColumn("lang", F.lit("")), max_words, F.lit(0)))
-    model.whole = n_words <= max_words and n_grams <= max_grams
-    if model.whole:
-        model.grams = at_hand(model.gram_table)
+    held = most_frequent(model.word_table.withColumn("lang", F.lit("")), max_words, F.lit(0))
+    model.words = {r["entry"]: np.array(r["v"], np.float32).tobytes() for r in held.select("entry", "v").collect()}
     return model
 
 
@@ -286,36 +234,18 @@ def held_out(key: Column, folds: int = 5) -> Column:
 def identify(df: DataFrame, keep: list[str], model: Model, text: str = "text") -> DataFrame:
     """``keep`` columns, ``lang_pred`` and ``score`` (0 to 1, how sure).
 
-    Only the text is looked at, all of it. A null text, or one without a letter,
-    is ``und`` with score 0, and so is every text if nothing could be learned.
-    Equal texts get equal answers.
+    Only the text is looked at, all of it, however long. A null text, or one
+    without a letter, is ``und`` with score 0, and so is every text if nothing
+    could be learned. Equal texts get equal answers; an empty table gives no rows.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    if model.whole:
-
-        def make():
-            predict = shared.value.predict
-
-            def work(columns):
-                found = [predict(t) for t in columns["text"].to_pylist()]
-                return [
-                    pa.array([x for x, _ in found], pa.string()),
-                    pa.array([s for _, s in found], pa.float64()),
-                ]
-
-            return work
-
-        return add_columns(df, keep, {"text": F.col(f"`{text}`")}, "lang_pred string, score double", make)
 
     def make_parts():
-        scored, row = shared.value.scored, TaskContext.get().partitionId() << 33
+        scored = shared.value.scored
 
         def work(columns):
-            nonlocal row
             found = [scored(t) for t in columns["text"].to_pylist()]
-            row += len(found)
             return [
-                pa.array(range(row - len(found), row), pa.int64()),
                 pa.array([n for n, _, _ in found], pa.int64()),
                 pa.array([logs.tolist() for _, logs, _ in found], pa.list_(pa.float64())),
                 pa.array([list(rest) for _, _, rest in found], pa.list_(pa.string())),
@@ -324,34 +254,42 @@ def identify(df: DataFrame, keep: list[str], model: Model, text: str = "text") -
 
         return work
 
-    # Names of their own, so that kept columns may be called anything.
-    plain = df.select(F.col(f"`{text}`").alias("t"), *[F.col(f"`{k}`").alias(f"kept{i}") for i, k in enumerate(keep)])
-    kept = [f"kept{i}" for i in range(len(keep))]
-    added = "row long, n long, logs array<double>, rest array<string>, times array<long>"
-    parts = staged(add_columns(plain, kept, {"text": F.col("t")}, added, make_parts), "parts")
-    rest = parts.select("row", F.inline(F.arrays_zip(F.col("rest").alias("w"), F.col("times").alias("k"))))
-    vectors = staged(word_vectors(staged(rest.select("w").distinct(), "vocabulary"), model), "vectors")
-    size = range(len(model.languages))
-    more = (
-        rest.join(vectors, "w")
-        .groupBy("row")
-        .agg(F.array(*[F.sum(F.col("k") * F.get("v", F.lit(i)).cast("double")) for i in size]).alias("more"))
+    # Rows are written with a number each, so that what is kept, texts maybe,
+    # need not pass through the workers. Names of their own: any may be kept.
+    plain = staged(
+        df.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(f"`{text}`").alias("t"),
+            *[F.col(f"`{k}`").alias(f"kept{i}") for i, k in enumerate(keep) if k != text],
+        ),
+        "rows",
     )
-    calm = F.least(F.lit(1.0), F.lit(float(CALM)) / F.col("n"))
-    logs = F.array(*[(F.get("logs", F.lit(i)) + F.coalesce(F.get("more", F.lit(i)), F.lit(0.0))) * calm for i in size])
-    names = F.array(*[F.lit(x) for x in model.languages])
+    kept = ["t" if k == text else f"kept{i}" for i, k in enumerate(keep)]
+    added = "n long, logs array<double>, rest array<string>, times array<long>"
+    parts = staged(add_columns(plain, ["row"], {"text": F.col("t")}, added, make_parts), "parts")
+    rest = parts.select("row", F.inline(F.arrays_zip(F.col("rest").alias("w"), F.col("times").alias("k"))))
+    names = F.array(*[F.lit(x) for x in model.languages]).cast("array<string>")
+    size, logs = range(len(model.languages)), F.col("logs")
+    if model.languages:
+        vectors = staged(word_vectors(staged(rest.select("w").distinct(), "vocabulary"), model), "vectors")
+        more = (
+            rest.join(vectors, "w")
+            .groupBy("row")
+            .agg(F.array(*[F.sum(F.col("k") * F.get("v", F.lit(i)).cast("double")) for i in size]).alias("more"))
+        )
+        parts = parts.join(more, "row", "left")
+        calm = F.least(F.lit(1.0), F.lit(float(CALM)) / F.col("n"))
+        logs = F.array(*[(F.get("logs", F.lit(i)) + F.coalesce(F.get("more", F.lit(i)), F.lit(0.0))) * calm for i in size])
     likely = F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("logs")))
     some = F.col("n") > 0
-    return (
-        parts.select("row", "n", "logs", *kept)
-        .join(more, "row", "left")
-        .select(*kept, "n", F.when(some, logs).alias("logs"))
-        .select(
-            *[F.col(c).alias(k) for c, k in zip(kept, keep)],
-            # Ties: the first in order of names.
-            F.when(some, F.get(names, (F.array_position("logs", F.array_max("logs")) - 1).cast("int")))
-            .otherwise(UNKNOWN)
-            .alias("lang_pred"),
-            F.when(some, 1 / likely).otherwise(0.0).alias("score"),
-        )
+    told = parts.select("row", "n", F.when(some, logs).alias("logs")).select(
+        F.col("row").alias("at"),
+        # Ties: the first in order of names.
+        F.when(some, F.get(names, (F.array_position("logs", F.array_max("logs")) - 1).cast("int")))
+        .otherwise(UNKNOWN)
+        .alias("lang_pred"),
+        F.when(some, 1 / likely).otherwise(0.0).alias("score"),
+    )
+    return plain.join(told, F.col("row") == F.col("at")).select(
+        *[F.col(c).alias(k) for c, k in zip(kept, keep)], "lang_pred", "score"
     )

@@ -72,10 +72,13 @@ def repeated_lines(
     postings = staged(
         lists.select("doc_id", F.explode("lines").alias("line")).distinct(), "suspects"
     )
-    repeated = (
+    # Written, so that the join knows its size, and a line that very many
+    # documents hold can be split among tasks: an aggregate under it prevents that.
+    repeated = staged(
         postings.groupBy("line")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
-        .where(F.col("n") >= min_docs)
+        .where(F.col("n") >= min_docs),
+        "repeated",
     )
     return (
         postings.join(repeated, "line")
@@ -101,7 +104,8 @@ def dedup_lines(
     lowered; shorter keys than ``min_chars`` code points are left alone. The
     keeper keeps every copy that it holds. A null text is one empty line. Rows
     with the same key count as one document; rows without a key are no document
-    and lose nothing. Dropping all lines leaves the empty text.
+    and lose nothing. Dropping all lines leaves the empty text; very long lines
+    and texts are treated as any other. An empty table gives no rows.
     """
     drops = repeated_lines(df, key, text, min_docs, min_chars, bits)
     plain = df.select(

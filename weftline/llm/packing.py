@@ -14,7 +14,9 @@ filled at most once for every length that still fits it.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -28,23 +30,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.arrow import Known, list_array, slices, texts
+from weftline.llm.arrow import LONGEST_SEEN, Known, list_array, slices, texts
 from weftline.operators.indexing import dense_index
 from weftline.session import staged
 
-# How the vocabulary file splits text, as it says itself, and the
-# characters that Python's split takes for white space but that pattern does not.
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-ODD_SPACE = regex.compile("[\x1c-\x1f\x85]")
-MOST_WORDS = 700_000  # that a task remembers
+# The steps of a vocabulary file that this module takes itself, as the
+# file says them, and the end of a piece that ends a part.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+PRE_TOKENIZER = [
+    {"type": "Split", "pattern": {"Regex": PARTS}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+PART_END = "</w>"
+
+SPLIT = regex.compile(PARTS)
+# What Python's split takes for white space but that pattern does not.
+ODD_SPACE = "\x1c-\x1f\x85"
+MOST_WORDS = 1_000_000  # that a task remembers
+AT_ONCE = 500  # parts that go through the library as one text
 PLAN = "length int, first long, last long, first_sequence long, offset long"
 
 
 class WordTokenizer:
     """Ids of a vocabulary file that never joins text across white space.
 
-    White-space separated words are encoded one by one and remembered, as are
-    the parts they fall into; everything unseen goes through the library.
+    White-space separated words are encoded and remembered, with their parts, in
+    one table of a fixed size. The library encodes many new parts as one text, in
+    which the ends of parts can be told from the pieces. Texts with a special token in them go through the library as they are.
     """
 
     def __init__(self, path: str):
@@ -52,31 +69,68 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings are ordinary text
-        self.parts = Known(self.encode_whole, MOST_WORDS)
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        steps = [rules[k] and rules[k].get(of) for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if steps != [NORMALIZER, PRE_TOKENIZER] or rules["model"].get("end_of_word_suffix") != PART_END:
+            raise ValueError(f"{path}: text is not cut as this module does it")
+        if any(t["normalized"] for t in rules["added_tokens"]):
+            raise ValueError(f"{path}: its special tokens are looked for in lowered text")
+        self.odd, self.added = re.compile(f"[{ODD_SPACE}]"), [t["content"] for t in rules["added_tokens"]]
+        vocabulary = self.library.get_vocab(True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(PART_END)]] = True
         self.words = Known(self.encode_words, MOST_WORDS)
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]
 
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of different parts, each what ``SPLIT`` finds."""
+        groups = [parts[at : at + AT_ONCE] for at in range(0, len(parts), AT_ONCE)]
+        texts = self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        found: list[bytes] = []
+        for group, text in zip(groups, texts):
+            ids = np.array(text.ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(group) and stops[-1] == len(ids):
+                data, stops = ids.tobytes(), (4 * stops).tolist()
+                found += [data[a:b] for a, b in zip([0, *stops[:-1]], stops)]
+            else:  # a part was cut otherwise next to others
+                found += self.encode_whole(group)
+        return found
+
     def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words; a part of a word is a word as well."""
         split = []
         for word in words:
             # The file's own steps: compose, then lower each character for itself.
             lower = word if word.isascii() else normalize("NFC", word).replace("Σ", "σ")
             lower = lower.lower()
-            if lower.isascii() or is_normalized("NFC", lower):
+            if not lower.isascii() and not is_normalized("NFC", lower):
+                split.append(None)  # the parts would be composed once more
+            elif lower.isalpha():
+                split.append((lower,))
+            elif lower[:-1].isalpha() and not lower[-1].isalpha():
+                split.append((lower[:-1], lower[-1]))
+            else:
                 split.append(SPLIT.findall(lower))
-            else:  # the parts would be composed once more
-                split.append(None)
-        joined = iter(self.parts.join([s for s in split if s is not None]))
+        known = self.words
+        new = list(set().union(*[s for s in split if s is not None]).difference(known))
+        made = dict(zip(new, self.encode_parts(new)))
+        for part, ids in made.items():
+            if len(part) <= LONGEST_SEEN:
+                known[part] = ids
         whole = iter(self.encode_whole([w for w, s in zip(words, split) if s is None]))
-        return [next(whole if s is None else joined) for s in split]
+        return [
+            next(whole) if s is None else b"".join([made[k] if k in made else known[k] for k in s])
+            for s in split
+        ]
 
     def encode_all(self, documents: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers (on the usual machines)."""
-        odd = [ODD_SPACE.search(t) is not None for t in documents]
+        odd = [self.odd.search(t) is not None or any(x in t for x in self.added) for t in documents]
         whole = iter(self.encode_whole([t for t, x in zip(documents, odd) if x]))
         joined = iter(self.words.join([t.split() for t, x in zip(documents, odd) if not x]))
         return [next(whole if x else joined) for x in odd]
@@ -100,8 +154,10 @@ def cut_documents(
 
     One row per piece: ``keep`` columns, ``piece`` from 0, ``start`` (ids before
     it), ``length``, ``ids_crc32`` and, if asked for, ``ids``. A document is its
-    ids and then ``end_id``, so null and empty texts give one piece of length 1.
-    Rows are independent of each other; repeated rows give repeated pieces.
+    ids and then ``end_id``, so null and empty texts give one piece of length 1;
+    a very long text gives many. Ids are the library's, which takes the strings
+    of the file's special tokens for these tokens. Rows are independent of each
+    other; repeated rows give repeated pieces, an empty table gives none.
     """
     both = df.select(*[F.col(f"`{k}`") for k in keep], F.col(f"`{text}`").alias("_text"))
     n_keep = len(keep)

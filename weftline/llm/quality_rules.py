@@ -1,11 +1,13 @@
 """Quality rules: signals of a text by itself, and lines that a whole host repeats.
 
 Everything here is DataFrame expressions. Lines are normalised and hashed; for
-each host the distinct documents that hold a line are counted, exact copies of a
-text once. A line that more than ``max_docs`` documents of a host share counts
-as removed from all of them but the one with the smallest id; copies of one text
-alone never pass the limit. A document that keeps too few of its words is
-depleted and rejected; the others can be had without the lines that go.
+each host the distinct documents that hold a line are counted. A line is above
+the limits if more than ``max_docs`` documents of the host hold it, or if at
+least ``min_docs`` do and these are more than ``max_share_pct`` percent of the
+host's documents, so that the rule holds for small hosts too. Such a line goes
+from all of them but the document with the smallest id. A document that keeps
+too few of its words is depleted and rejected, so of many copies on a host one
+stays; the others can be had without the lines that go.
 """
 
 from __future__ import annotations
@@ -104,7 +106,7 @@ def signals(text: Column) -> Column:
     )
 
 
-def removed_lines(df: DataFrame, max_docs: int, places: bool) -> DataFrame:
+def removed_lines(df: DataFrame, max_docs: int, min_docs: int, max_share_pct: int, places: bool) -> DataFrame:
     """(_id, _host, _copy, n_removed): words in lines that go, for rows that lose any.
 
     With ``places`` also ``_gone``, the places of these lines in the text.
@@ -135,13 +137,21 @@ def removed_lines(df: DataFrame, max_docs: int, places: bool) -> DataFrame:
         .agg(F.sum("n").alias("n"), *found),
         "lines",
     )
-    common = (
-        postings.groupBy("_host", "h", "g", "_copy")
-        .agg(F.min("_id").alias("_first"))
+    # Documents are keys: rows without one are not counted, and rows that share
+    # a key count once. Each step combines inside tasks before it is shuffled.
+    hosts = df.groupBy("_host").agg(F.count_distinct("_id").alias("n_host"))
+    frequent = (
+        postings.groupBy("_host", "h", "g", "_id")
+        .agg(F.lit(1))
         .groupBy("_host", "h", "g")
-        .agg(F.count("*").alias("n_docs"), F.min("_first").alias("_first"))
-        .where(F.col("n_docs") > max_docs)
+        .agg(F.count("_id").alias("n_docs"), F.min("_id").alias("_first"))
+        .where(F.col("n_docs") >= min(min_docs, max_docs + 1))
     )
+    n = F.col("n_docs")
+    above = (n > max_docs) | ((n >= min_docs) & (100 * n > max_share_pct * F.col("n_host")))
+    # Written, so that the join below knows its size, and a line that very many
+    # documents hold can be split among tasks.
+    common = staged(frequent.join(hosts, "_host").where(above).select("_host", "h", "g", "_first"), "common")
     return (
         postings.join(common, ["_host", "h", "g"])
         .where(~F.col("_id").eqNullSafe(F.col("_first")))
@@ -167,6 +177,8 @@ def judge_documents(
     host: str = "source",
     text: str = "text",
     max_docs: int = 100,
+    min_docs: int = 5,
+    max_share_pct: int = 10,
     min_left_pct: int = 30,
     min_words: int = 50,
     max_repeat_pct: int = 50,
@@ -180,9 +192,11 @@ def judge_documents(
     A row fails the base rules with fewer than ``min_words`` words or more than
     ``max_repeat_pct`` percent of them repeated; it is depleted when less than
     ``min_left_pct`` percent of its words are left. Null and empty texts have no
-    words and fail. Null hosts are one host. Rows with equal key, host and text
-    are judged alike; rows that share a key but not the text are judged each by
-    itself; rows without a key are never the one that keeps a line.
+    words and fail; very long ones are judged whole. Null hosts are one host. Rows
+    with equal key, host and text are judged alike; rows that share a key but not
+    the text are judged each by itself. Rows without a key are no document: they
+    are not counted, and never the one that keeps a line. An empty table gives no
+    rows.
     """
     rows = df.select(
         F.col(f"`{key}`").alias("_id"),
@@ -194,7 +208,7 @@ def judge_documents(
     kept = [f"`_kept_{k}`" for k in keep]
     texts = ["_text"] if cleaned else []
     own = rows.select("_id", "_host", "_copy", *kept, *texts, signals(F.col("_text")).alias("_s"))
-    removed = removed_lines(rows, max_docs, cleaned)
+    removed = removed_lines(rows, max_docs, min_docs, max_share_pct, cleaned)
     removed = removed.withColumnsRenamed({"_id": "_id2", "_host": "_host2", "_copy": "_copy2"})
     joined = own.join(
         removed,

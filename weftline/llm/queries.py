@@ -132,7 +132,7 @@ def op4(spark: SparkSession, root: str) -> DataFrame:
 
 RULES_SQL = r"""
     docs AS (
-        SELECT doc_id, coalesce(source, '') AS host, text AS copy, coalesce(text, '') AS t,
+        SELECT doc_id, coalesce(source, '') AS host, text, coalesce(text, '') AS t,
             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
     windows AS (
         SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS n FROM (
@@ -142,7 +142,9 @@ RULES_SQL = r"""
         SELECT doc_id, count(DISTINCT p) AS n_repeat_words
         FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n >= 2) GROUP BY doc_id),
     raw AS (
-        SELECT doc_id, host, copy, line FROM docs, unnest(string_split(t, chr(10))) AS u(line)
+        SELECT doc_id, host, i, line FROM (
+            SELECT doc_id, host, unnest(string_split(t, chr(10))) AS line,
+                generate_subscripts(string_split(t, chr(10)), 1) AS i FROM docs)
         WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
     dups AS (
         SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM raw GROUP BY doc_id),
@@ -150,21 +152,28 @@ RULES_SQL = r"""
         SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k,
             len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM raw),
+    hosts AS (SELECT host, count(DISTINCT doc_id) AS n_host FROM docs GROUP BY host),
     common AS (
-        SELECT host, k, min(doc_id) AS keeper FROM norm GROUP BY host, k
-        HAVING count(DISTINCT copy) > 100),
-    losses AS (
-        SELECT doc_id, sum(n)::BIGINT AS n_removed FROM norm JOIN common USING (host, k)
-        WHERE doc_id <> keeper GROUP BY doc_id),
+        SELECT host, k, min(doc_id) AS keeper FROM norm JOIN hosts USING (host) GROUP BY host, k, n_host
+        HAVING count(DISTINCT doc_id) > 100
+            OR (count(DISTINCT doc_id) >= 5 AND 100 * count(DISTINCT doc_id) > 10 * n_host)),
+    gone AS (SELECT doc_id, i, n FROM norm JOIN common USING (host, k) WHERE doc_id <> keeper),
+    losses AS (SELECT doc_id, sum(n)::BIGINT AS n_removed FROM gone GROUP BY doc_id),
+    cleaned AS (
+        SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS cleaned FROM (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)
+        ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
     judged AS (
         SELECT doc_id, len(w)::BIGINT AS n_words,
             length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
             coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-            coalesce(n_removed, 0)::BIGINT AS n_removed
+            coalesce(n_removed, 0)::BIGINT AS n_removed,
+            CASE WHEN text IS NOT NULL THEN sha256(coalesce(cleaned, '')) END AS cleaned_sha256
         FROM docs LEFT JOIN repeats USING (doc_id) LEFT JOIN dups USING (doc_id)
-        LEFT JOIN losses USING (doc_id)),
+        LEFT JOIN losses USING (doc_id) LEFT JOIN cleaned USING (doc_id)),
     rules AS (
         SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
             NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
@@ -173,7 +182,9 @@ RULES_SQL = r"""
 
 @query("op5_quality_rules", f"WITH {RULES_SQL} SELECT * FROM rules")
 def op5(spark: SparkSession, root: str) -> DataFrame:
-    return quality_rules.judge_documents(table(spark, root, "documents"), ["doc_id"])
+    judged = quality_rules.judge_documents(table(spark, root, "documents"), ["doc_id"], cleaned=True)
+    digest = F.sha2(F.col("cleaned").cast("binary"), 256).alias("cleaned_sha256")
+    return judged.select("*", digest).drop("cleaned")
 
 
 SAID = "</s>[INST] ok [/INST]"
@@ -216,8 +227,7 @@ def op7(spark: SparkSession, root: str) -> DataFrame:
 def op8(spark: SparkSession, root: str) -> DataFrame:
     """Encode every document, then decode its ids; SQL cannot merge byte pairs."""
     rules = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode_documents(table(spark, root, "documents"), ["doc_id"], *rules)
-    decoded = byte_bpe.decode_documents(encoded, ["doc_id", "ids"], *rules)
+    decoded = byte_bpe.round_trip_documents(table(spark, root, "documents"), ["doc_id"], *rules)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

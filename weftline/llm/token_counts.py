@@ -10,6 +10,7 @@ earliest such section; so section counts always add up to the document's.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,8 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.llm import byte_bpe
 from weftline.llm.arrow import slices
 
+# The library cannot cut very long runs of white space; this subpackage's encoder
+# gives the same ids.
+LONG_BLANK = re.compile(r"\s{50000}")
 ADDED = "field string, section int, start long, end long, n_tokens long, n_crossing long, n_document long"
 
 
@@ -88,8 +93,9 @@ def count_tokens(
     to it, how many of these crossed a boundary, and the document's tokens.
 
     Null fields are empty; an empty field is one empty section. Strings of
-    special tokens are ordinary text. Rows are independent, so repeated rows
-    give repeated sections.
+    special tokens are ordinary text. Very long texts, blank ones too, are encoded
+    whole. Rows are independent, so repeated rows give repeated sections, and an
+    empty table gives none.
     """
     both = df.select(
         *[F.col(f"`{k}`") for k in keep],
@@ -101,13 +107,19 @@ def count_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, size_of = codec(path, pattern)
+
+        def encode(text: str) -> np.ndarray:
+            if LONG_BLANK.search(text):
+                return byte_bpe.codec(path, pattern).encode(text).astype(np.int64)
+            return np.array(encoding.encode_ordinary(text), np.int64)
+
         for batch in slices(batches):
             columns = [batch.column(n_keep + i).to_pylist() for i in range(len(fields))]
             rows, field, number, lengths, counts, crossed, whole = [], [], [], [], [], [], []
             for row, values in enumerate(zip(*columns)):
                 parts = sections(values, joiner, divider)
                 texts = [text for _, _, text in parts]
-                ids = np.array(encoding.encode_ordinary("".join(texts)), np.int64)
+                ids = encode("".join(texts))
                 ends = np.cumsum([len(t.encode()) for t in texts])
                 own, over = allot(size_of[ids], ends)
                 rows.append(np.full(len(parts), row))
