@@ -20,11 +20,14 @@ from weftline.functions.templates import (
     template_for_model,
 )
 from weftline.functions.tokens import RegexTokenizer, stored_vocabulary
-from weftline.operators import examples, indexing, inspect, packing, profile
+from weftline.operators import examples, indexing, inspect, packing, profile, vocabulary
+from weftline.operators.lookup import HOT_BYTES
 from weftline.params import DataParams
 from weftline.plans import prepare
 from weftline.session import scratch_path, staged
 from weftline.sources.readers import chat_column
+from weftline.streaming import incremental
+from weftline.streaming import packing as stream_packing
 from weftline.plans.verify import verify_dataset as verify_plan
 
 SYSTEM = "You are a helpful tutor."
@@ -323,6 +326,16 @@ def decode_roundtrip(t: Tables):
     return _decoded(t.texts(), t.texts())
 
 
+@query(
+    "decode_split",
+    f"""SELECT doc_id, len(p) AS n_pieces, {_PIECES_MD5} AS pieces_md5
+  FROM (SELECT doc_id, {v.pieces("text")} AS p FROM documents)""",
+)
+def decode_split(t: Tables):
+    """With room for a few hundred frequent pieces: the others are looked up by a shuffle."""
+    return _decoded(t.texts(), t.texts(), most_bytes=1 << 14)
+
+
 @query(
     "decode_known",
     v.with_views(
@@ -342,10 +355,10 @@ def decode_known(t: Tables):
     return _decoded(v.blanked_docs(t), t.texts().where(F.col("doc_id") % 2 == 0))
 
 
-def _decoded(docs: DataFrame, source: DataFrame) -> DataFrame:
+def _decoded(docs: DataFrame, source: DataFrame, most_bytes: int = HOT_BYTES) -> DataFrame:
     vocab = staged(stored_vocabulary(source, F.col("text"), v.TOK), "vocabulary")
-    ids = inspect.encode_stored(docs, ["doc_id"], F.col("text"), v.TOK, vocab)
-    back = inspect.decode_ids(ids, ["doc_id"], "ids", vocab)
+    ids = inspect.encode_stored(docs, ["doc_id"], F.col("text"), v.TOK, vocab, most_bytes)
+    back = inspect.decode_ids(ids, ["doc_id"], "ids", vocab, most_bytes)
     return back.select(
         "doc_id",
         F.size("pieces").cast("bigint").alias("n_pieces"),
@@ -353,6 +366,61 @@ def _decoded(docs: DataFrame, source: DataFrame) -> DataFrame:
     )
 
 
+def _grown(t: Tables) -> DataFrame:
+    """A vocabulary after three deliveries of documents, the second with a new special token."""
+    vocab = vocabulary.no_vocabulary(t.spark)
+    for turn, specials in enumerate((v.TOK.specials, ["<|extra|>", v.TOK.specials[0]], [])):
+        docs = t.texts().where(F.pmod("doc_id", F.lit(3)) == turn)
+        vocab = staged(vocabulary.grow_vocabulary(vocab, docs, F.col("text"), specials), "grown")
+    return vocab
+
+
+_GROWN = {
+    "delivered": (
+        (),
+        f"""SELECT piece, doc_id % 3 AS turn, count(*) AS n
+  FROM (SELECT doc_id, unnest({v.pieces("text")}) AS piece FROM documents)
+  WHERE NOT list_contains({v.SPECIAL_LIST}, piece) GROUP BY ALL""",
+    ),
+    "numbered": (
+        ("delivered",),
+        f"""SELECT *, row_number() OVER (PARTITION BY version ORDER BY {v.key_sql('piece')}) AS place
+  FROM (SELECT piece, min(turn) AS version, arg_min(n, turn) AS n FROM delivered GROUP BY piece)""",
+    ),
+    "grown": (
+        ("numbered",),
+        f"""SELECT 255 + place + (SELECT count(*) FROM numbered b WHERE b.version < a.version) AS token_id,
+    piece, false AS special, version::INT AS version, n FROM numbered a
+  UNION ALL SELECT k - 1, ({v.SPECIAL_LIST} || ['<|extra|>'])[k], true,
+    CASE WHEN k > {len(v.TOK.specials)} THEN 1 ELSE 0 END, 0 FROM range(1, {len(v.TOK.specials) + 2}) AS r(k)""",
+    ),
+}
+
+
+@query("grow_vocabulary", v.with_views("SELECT * FROM grown", "grown", **_GROWN))
+def grow_vocabulary(t: Tables):
+    """Ids that stay as data and special tokens are added."""
+    return _grown(t)
+
+
+@query(
+    "encode_grown",
+    v.with_views(
+        f"""SELECT doc_id, len(ids) AS n_tokens, {v.digest_sql('ids')} AS ids_md5 FROM (
+    SELECT doc_id, coalesce(list(token_id ORDER BY i) FILTER (token_id IS NOT NULL), []) AS ids FROM (
+      SELECT doc_id, NULL AS piece, 0 AS i FROM documents UNION ALL
+      SELECT doc_id, unnest({v.pieces("text")}), generate_subscripts({v.pieces("text")}, 1) FROM documents)
+    LEFT JOIN grown USING (piece) GROUP BY doc_id)""",
+        "grown",
+        **_GROWN,
+    ),
+)
+def encode_grown(t: Tables):
+    """All documents by the grown vocabulary."""
+    ids = inspect.encode_stored(t.texts(), ["doc_id"], F.col("text"), v.TOK, _grown(t))
+    return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest(F.col("ids")).alias("ids_md5"))
+
+
 def _tagged_text(t: Tables) -> DataFrame:
     return v.tagged(t).select(
         "conv_id", segments_text(segments(F.col("messages"), "simple")).alias("text")
@@ -626,6 +694,30 @@ def pack_stats(t: Tables):
     return rounded(profile.pack_stats(packed, PACK_LENGTH), "ratio", "fill")
 
 
+@query(
+    "padding_waste",
+    v.with_views(
+        f"""SELECT layout, split, n_rows, n_batches, n_tokens, n_cells,
+    round(1 - n_tokens / n_cells, 6) AS waste FROM (
+      SELECT 'padded' AS layout, split, sum(n)::BIGINT AS n_rows, count(*) AS n_batches,
+        sum(k)::BIGINT AS n_tokens, sum(n * ceil(m / 64) * 64)::BIGINT AS n_cells
+      FROM (SELECT split, idx // 16 AS batch, count(*) AS n, sum(k) AS k, max(k) AS m
+        FROM (SELECT split, idx, least(len(ids), {PACK_LENGTH}) AS k FROM chunked) GROUP BY ALL)
+      GROUP BY split
+      UNION ALL SELECT 'packed', split, sum(n_rows)::BIGINT, count(*), sum(n_tokens)::BIGINT,
+        count(*) * {PACK_LENGTH} FROM packed GROUP BY split)""",
+        recursive=True,
+        **_DOC_PACK,
+    ),
+)
+def padding_waste(t: Tables):
+    """What padding costs in batches and in packed rows, from lengths alone."""
+    sized = _doc_sizes(t)
+    before = profile.padding_waste(sized, 16, PACK_LENGTH).select(F.lit("padded").alias("layout"), "*")
+    after = profile.packing_waste(packing.assign_bins(sized, PACK_LENGTH), PACK_LENGTH)
+    return rounded(before.unionByName(after.select(F.lit("packed").alias("layout"), "*")), "waste")
+
+
 @query(
     "packed_length_check",
     v.with_views(
@@ -669,6 +761,49 @@ def pad_batches(t: Tables):
     )
 
 
+def _arrivals(t: Tables) -> list[DataFrame]:
+    """All documents in four deliveries, in order of their ids."""
+    last = t.documents.agg(F.max("doc_id")).first()[0] or 0
+    part = F.floor(F.col("doc_id") * 4 / (last + 1))
+    return [t.texts().where(part == k) for k in range(4)]
+
+
+@query(
+    "pack_stream",
+    v.with_views(
+        f"""SELECT shard, bin, n_rows, n_tokens,
+    {v.digest_sql(f"ids || [{v.PAD_ID} FOR x IN range({PACK_LENGTH} - n_tokens)]")} AS ids_md5,
+    {v.digest_sql(f"ids || [-100 FOR x IN range({PACK_LENGTH} - n_tokens)]")} AS labels_md5,
+    n_tokens AS mask_sum FROM packed p
+  WHERE bin < (SELECT max(bin) FROM packed q WHERE q.shard = p.shard)""",
+        recursive=True,
+        chunked=(
+            ("doc_tokens",),
+            "SELECT 'train' AS split, doc_id % 4 AS shard, 0 AS chunk, doc_id AS idx, ids, ids AS labels FROM doc_tokens",
+        ),
+        **v.bins_ctes(PACK_LENGTH),
+    ),
+)
+def pack_stream(t: Tables):
+    """Bins of a stream that is stopped after each delivery; the last one of a shard is still open."""
+    source, out, state = (scratch_path(t.spark, n) for n in ("arrivals", "bins", "state"))
+    for docs in _arrivals(t):
+        docs.write.mode("append").parquet(source)
+        rows = incremental.read_new_files(t.spark, source, docs.schema)
+        rows = rows.select("doc_id", F.pmod("doc_id", F.lit(4)).alias("shard"), v.TOK.encode(F.col("text")).alias("input_ids"))
+        packed = stream_packing.pack_stream(rows, "shard", "doc_id", PACK_LENGTH, v.PAD_ID)
+        stream_packing.append_packed(packed, out, state).awaitTermination()
+    return t.spark.read.parquet(out).select(
+        "shard",
+        "bin",
+        "n_rows",
+        "n_tokens",
+        digest(F.col("input_ids")).alias("ids_md5"),
+        digest(F.col("labels")).alias("labels_md5"),
+        total(F.col("attention_mask")).alias("mask_sum"),
+    )
+
+
 # ---------------------------------------------------------- prepared datasets
 
 

@@ -10,6 +10,7 @@ from weftline.operators import profile
 from weftline.params import CONTEXT_LENGTHS, PERCENTILES
 from weftline.plans.report import length_report as full_report
 from weftline.plans.report import text_length_histogram
+from weftline.session import staged
 
 LENGTHS = ((), f"SELECT len({v.pieces('text')}) AS n FROM documents")
 
@@ -98,6 +99,33 @@ def length_report(t: Tables):
     return rounded(full_report(histogram(t)), "value")
 
 
+PRICE_SKETCH = 200
+
+
+@query(
+    "quantile_sketch",
+    "SELECT l_returnflag, p::DOUBLE AS percentile, count(*) AS n_rows, true AS within FROM lineitem, "
+    f"(SELECT unnest({list(PERCENTILES)}) AS p) GROUP BY ALL",
+)
+def quantile_sketch(t: Tables):
+    """Quantiles of prices from stored sketches of parts: is each one's rank within the error?
+
+    The error holds with 99 percent confidence; twice of it in practice always.
+    """
+    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    parts = profile.value_sketches(t.lineitem, price, ("l_returnflag", "l_linestatus"), PRICE_SKETCH)
+    stored = staged(parts, "sketches")
+    found = profile.sketch_percentiles(
+        profile.merge_sketches(stored, ("l_returnflag",), PRICE_SKETCH), ("l_returnflag",)
+    )
+    met = t.lineitem.select("l_returnflag", price.alias("price")).join(found, "l_returnflag")
+    below, upto = (F.count_if(c) / F.count("*") for c in (F.col("price") < F.col("value"), F.col("price") <= F.col("value")))
+    share, error = F.col("percentile") / 100, 2 * profile.rank_error(PRICE_SKETCH)
+    counted = met.groupBy("l_returnflag", "percentile").agg(F.count("*").alias("n_rows"), below.alias("lo"), upto.alias("hi"))
+    within = (share >= F.col("lo") - error) & (share <= F.col("hi") + error)
+    return counted.select("l_returnflag", "percentile", "n_rows", within.alias("within"))
+
+
 @query(
     "epoch_steps",
     "SELECT count(*) AS n_rows, 64::BIGINT AS effective_batch, ceil(count(*) / 64)::BIGINT AS steps "

@@ -8,10 +8,10 @@ from checks import views as v
 from checks.registry import Tables, chat_text, query
 from weftline.functions.text import preview
 from weftline.functions.templates import alternates
-from weftline.operators import filters, profile, project, setops
+from weftline.operators import filters, indexing, profile, project, setops
 from weftline.params import TASK_COLUMNS
-from weftline.session import scratch_path
-from weftline.sources import probe, readers, sinks, splits
+from weftline.session import scratch_path, staged
+from weftline.sources import positions, probe, readers, sinks, splits
 
 TEXT_MD5 = "md5(text) AS text_md5"
 CHAT_MD5 = f"md5({v.chat_sql('messages')}) AS chat_md5"
@@ -132,6 +132,28 @@ def probed_files(t: Tables):
     return found.groupBy(*by).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
 
 
+_DRAWN = "('0x' || substr(md5('7:' || k), 1, 15))::BIGINT % (SELECT count(*) FROM documents)"
+
+
+@query(
+    "rows_at_positions",
+    f"""SELECT position, doc_id, {TEXT_MD5}
+  FROM (SELECT {_DRAWN} AS position FROM range(100) AS r(k))
+  JOIN (SELECT *, row_number() OVER (ORDER BY doc_id % {_PARTS}, doc_id) - 1 AS position FROM documents)
+  USING (position)""",
+)
+def rows_at_positions(t: Tables):
+    """A hundred positions, some of them twice, of a table in eight files."""
+    path = scratch_path(t.spark, "files")
+    docs = t.documents.withColumn("part", F.pmod("doc_id", F.lit(_PARTS)))
+    dealt = docs.repartition(_PARTS, "part").sortWithinPartitions("part", "doc_id")
+    dealt.write.partitionBy("part").parquet(path)
+    index = staged(positions.positional_index(t.spark, path), "positions")
+    n = index.agg(F.sum("rows")).first()[0]
+    drawn = t.spark.range(100).select(indexing.hash_draw(7, F.lit(n), F.col("id")).alias("position"))
+    return positions.rows_at(t.spark, path, index, drawn).select("position", "doc_id", text_md5())
+
+
 @query(
     "keyed_documents",
     "SELECT doc_id, 1::BIGINT AS n FROM documents",

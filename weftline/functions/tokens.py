@@ -103,11 +103,13 @@ def vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) -> DataFr
 
 
 def stored_vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) -> DataFrame:
-    """(token_id, piece): an id of its own, from 0 on, for every piece that occurs.
+    """(token_id, piece, n): an id of its own, from 0 on, for every piece that occurs.
 
     Unlike hashed ids these never collide, so decoding by the vocabulary is
     exact; white space is no piece and does not come back. Write the table
-    before use: ids hold for the vocabulary that they came from.
+    before use: ids hold for the vocabulary that they came from. One that keeps
+    its ids as data comes is made by
+    :func:`weftline.operators.vocabulary.grow_vocabulary`.
     """
     pieces = (
         df.select(F.explode_outer(tokenizer.pieces(text)).alias("piece"))
@@ -115,4 +117,4 @@ def stored_vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) ->
         .groupBy("piece")
         .agg(F.count("*").alias("n"))
     )
-    return dense_index(pieces.select("piece"), ["piece"], out="token_id", digits=2)
+    return dense_index(pieces, ["piece"], out="token_id", digits=2).select("token_id", "piece", "n")

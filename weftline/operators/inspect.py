@@ -14,6 +14,7 @@ from weftline.functions.tokens import (
     RegexTokenizer,
     vocabulary,
 )
+from weftline.operators.lookup import HOT_BYTES, look_up
 
 
 def marker_positions(
@@ -105,39 +106,32 @@ def special_roundtrip(df: DataFrame, text: Column, tokenizer: RegexTokenizer) ->
     )
 
 
-def look_up(
-    df: DataFrame, keys: list[str], values: Column, table: DataFrame, unknown: Column, out: str
+def encode_stored(
+    df: DataFrame,
+    keys: list[str],
+    text: Column,
+    tokenizer: RegexTokenizer,
+    vocab: DataFrame,
+    most_bytes: int = HOT_BYTES,
 ) -> DataFrame:
-    """(keys, out): an array's items replaced through ``table`` (from, to).
+    """(keys, ids): texts by a stored vocabulary; ``UNKNOWN_ID`` for new pieces.
 
-    Items are combined to one row per distinct item and its positions before
-    anything is shuffled. Items that the table lacks become ``unknown``; rows
-    whose array is null or empty keep an empty one. ``keys`` tell rows apart.
+    ``most_bytes`` is what a worker may hold of it, see
+    :func:`weftline.operators.lookup.look_up`.
     """
-    items = df.select(*keys, F.posexplode_outer(values).alias("_at", "_item"))
-    distinct = items.groupBy(*keys, "_item").agg(F.collect_list("_at").alias("_at"))
-    found = distinct.join(
-        table.select(F.col("from").alias("_item"), F.col("to").alias("_to")), "_item", "left"
-    )
-    placed = F.transform(
-        "_at", lambda i: F.struct(i.alias("i"), F.coalesce("_to", unknown).alias("x"))
-    )
-    return (
-        found.groupBy(*keys)
-        .agg(F.sort_array(F.flatten(F.collect_list(placed))).alias("_placed"))
-        .select(*keys, F.transform("_placed", lambda p: p["x"]).alias(out))
-    )
+    table = _entries(vocab, "piece", "token_id")
+    pieces = df.select(*keys, tokenizer.pieces(text).alias("_pieces"))
+    return look_up(pieces, keys, "_pieces", table, UNKNOWN_ID, "ids", most_bytes)
 
 
-def encode_stored(
-    df: DataFrame, keys: list[str], text: Column, tokenizer: RegexTokenizer, vocab: DataFrame
+def decode_ids(
+    df: DataFrame, keys: list[str], ids: str, vocab: DataFrame, most_bytes: int = HOT_BYTES
 ) -> DataFrame:
-    """(keys, ids): texts by a stored vocabulary; ``UNKNOWN_ID`` for new pieces."""
-    table = vocab.select(F.col("piece").alias("from"), F.col("token_id").alias("to"))
-    return look_up(df, keys, tokenizer.pieces(text), table, F.lit(UNKNOWN_ID), "ids")
+    """(keys, pieces): ids back to pieces; ``UNKNOWN_PIECE`` for ids not in ``vocab``."""
+    table = _entries(vocab, "token_id", "piece")
+    return look_up(df, keys, ids, table, UNKNOWN_PIECE, "pieces", most_bytes)
 
 
-def decode_ids(df: DataFrame, keys: list[str], ids: str, vocab: DataFrame) -> DataFrame:
-    """(keys, pieces): ids back to pieces; ``UNKNOWN_PIECE`` for ids not in ``vocab``."""
-    table = vocab.select(F.col("token_id").alias("from"), F.col("piece").alias("to"))
-    return look_up(df, keys, F.col(ids), table, F.lit(UNKNOWN_PIECE), "pieces")
+def _entries(vocab: DataFrame, of: str, to: str) -> DataFrame:
+    counts = ["n"] if "n" in vocab.columns else []
+    return vocab.select(F.col(of).alias("from"), F.col(to).alias("to"), *counts)

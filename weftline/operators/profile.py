@@ -3,10 +3,18 @@
 Length statistics are taken from a histogram (length, rows). Building it is the
 only pass over the data; it combines inside each task, and it has one row per
 distinct length, so everything after it is small however many rows there are.
+
+Where values are not bounded as lengths are, so that a histogram could have as
+many rows as the data, quantiles come from sketches of a fixed size with a stated
+rank error. Sketches can be stored, and merged later.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,6 +126,56 @@ def length_recommend(
     return hist.agg(values.alias("v")).select(F.inline(rows))
 
 
+SKETCH_SIZE = 4096
+
+
+def rank_error(k: int = SKETCH_SIZE) -> float:
+    """How far the rank of a quantile from a sketch of size ``k`` can be off, as a
+    share of all rows, with 99 percent confidence. Up to ``k`` rows it is exact."""
+    return 2.296 / k**0.9021
+
+
+def value_sketches(
+    df: DataFrame, value: Column, groups: tuple[str, ...] = (), k: int = SKETCH_SIZE
+) -> DataFrame:
+    """(groups, sketch, rows): a summary of the whole numbers in ``value``.
+
+    Its size depends on ``k`` alone, however many values there are: each task
+    makes one per group, and these are merged. Nulls are left out; groups of
+    nulls only, and no rows at all, give a null sketch and no rows.
+    """
+    rows = df.select(*groups, value.cast("bigint").alias("_v"))
+    return _summed(rows.groupBy(*groups), F.kll_sketch_agg_bigint("_v", F.lit(k)), F.count("_v"))
+
+
+def merge_sketches(sketches: DataFrame, groups: tuple[str, ...] = (), k: int = SKETCH_SIZE) -> DataFrame:
+    """Sketches of parts, stored at any time, as sketches of ``groups``."""
+    full = sketches.where(F.col("rows") > 0)
+    return _summed(full.groupBy(*groups), F.kll_merge_agg_bigint("sketch", F.lit(k)), F.sum("rows"))
+
+
+def _summed(grouped, sketch: Column, rows: Column) -> DataFrame:
+    found = grouped.agg(sketch.alias("sketch"), F.coalesce(rows, F.lit(0)).alias("rows"))
+    return found.withColumn("sketch", F.when(F.col("rows") > 0, F.col("sketch")))
+
+
+def sketch_percentiles(
+    sketches: DataFrame, groups: tuple[str, ...] = (), percentiles: tuple[float, ...] = PERCENTILES
+) -> DataFrame:
+    """(groups, percentile, value): values whose rank is the percentile's, within
+    :func:`rank_error`; null without rows."""
+    cells = [
+        F.struct(
+            F.lit(float(p)).alias("percentile"),
+            F.when(
+                F.col("sketch").isNotNull(), F.kll_sketch_get_quantile_bigint("sketch", F.lit(p / 100.0))
+            ).alias("value"),
+        )
+        for p in percentiles
+    ]
+    return sketches.select(*groups, F.inline(F.array(*cells)))
+
+
 def label_stats(df: DataFrame, mask: Column) -> DataFrame:
     """Rows, trainable tokens, and rows without any trainable token."""
     trained = F.aggregate(mask, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
@@ -140,12 +198,32 @@ def epoch_steps(df: DataFrame, batch: int, accumulate: int = 1, workers: int = 1
 
 
 def vector_mean(df: DataFrame, column: str = "embedding") -> DataFrame:
-    """(pos, mean): mean of every vector component, combined inside each task."""
-    return (
-        df.select(F.posexplode(column).alias("pos", "x"))
-        .groupBy("pos")
-        .agg(F.avg(F.col("x").cast("double")).alias("mean"))
-    )
+    """(pos, mean): mean of every vector component that is not null.
+
+    Every task adds up its vectors and hands on one row per component.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, counts = np.zeros(0), np.zeros(0, np.int64)
+        for batch in batches:
+            offsets = batch.column(0).offsets.to_numpy()
+            values = batch.column(0).flatten()
+            sizes = np.where(batch.column(0).is_valid().to_numpy(zero_copy_only=False), np.diff(offsets), 0)
+            begins = np.cumsum(sizes) - sizes
+            at = np.arange(len(values)) - np.repeat(begins, sizes)
+            there = values.is_valid().to_numpy(zero_copy_only=False)
+            width = max(len(sums), int(sizes.max(initial=0)))
+            x = values.fill_null(0).to_numpy(zero_copy_only=False)
+            sums = np.pad(sums, (0, width - len(sums))) + np.bincount(at, x, width)
+            counts = np.pad(counts, (0, width - len(counts))) + np.bincount(at[there], minlength=width)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums), pa.array(counts)],
+            names=["pos", "s", "n"],
+        )
+
+    vectors = df.select(F.col(f"`{column}`").cast("array<double>").alias("v"))
+    parts = vectors.mapInArrow(run, "pos int, s double, n long")
+    return parts.groupBy("pos").agg(F.try_divide(F.sum("s"), F.sum("n")).alias("mean"))
 
 
 def new_vector(df: DataFrame, column: str = "embedding", scale: float = 0.01, seed: int = 42) -> DataFrame:
@@ -176,6 +254,48 @@ def marker_audit(
     )
 
 
+def padding_waste(
+    sized: DataFrame, batch_rows: int, max_length: int, multiple: int = 64
+) -> DataFrame:
+    """(split, n_rows, n_batches, n_tokens, n_cells, waste) of padded batches.
+
+    Takes (split, idx, n_tokens), rows numbered by split; no array is built, so
+    this tells what padding would cost before anything is padded or packed.
+    Rows are cut to ``max_length``, a batch is padded to its longest row, rounded
+    up to ``multiple``; ``waste`` is the share of cells that hold padding.
+    """
+    n = F.least(F.col("n_tokens"), F.lit(max_length)).cast("bigint")
+    batch = F.floor(F.col("idx") / batch_rows).cast("bigint")
+    batches = (
+        sized.groupBy("split", batch.alias("batch"))
+        .agg(F.count("*").alias("rows"), F.sum(n).alias("tokens"), F.max(n).alias("longest"))
+        .withColumn("cells", F.col("rows") * (F.ceil(F.col("longest") / multiple) * multiple).cast("bigint"))
+    )
+    return batches.groupBy("split").agg(
+        F.sum("rows").alias("n_rows"),
+        F.count("*").alias("n_batches"),
+        F.sum("tokens").alias("n_tokens"),
+        F.sum("cells").alias("n_cells"),
+    ).withColumn("waste", _waste())
+
+
+def packing_waste(bins: DataFrame, max_length: int) -> DataFrame:
+    """The same of packed rows, from where :func:`~weftline.operators.packing.assign_bins`
+    puts each row; a bin is a row of ``max_length`` cells."""
+    place = ["split", "shard", "chunk", "bin"]
+    sums = bins.groupBy(*place).agg(F.count("*").alias("rows"), F.sum("n_tokens").alias("tokens"))
+    return sums.groupBy("split").agg(
+        F.sum("rows").alias("n_rows"),
+        F.count("*").alias("n_batches"),
+        F.sum("tokens").alias("n_tokens"),
+        (F.count("*") * max_length).cast("bigint").alias("n_cells"),
+    ).withColumn("waste", _waste())
+
+
+def _waste() -> Column:
+    return F.when(F.col("n_cells") > 0, 1 - F.col("n_tokens") / F.col("n_cells"))
+
+
 def pack_stats(packed: DataFrame, max_length: int) -> DataFrame:
     """Rows in and out of packing, their ratio, and the share of real tokens."""
     return packed.agg(
