@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from checks.q_profile import rounded
 from checks.q_rows import CHUNK_ROWS, SHARDS
 from checks.registry import Tables, digest, query
 from weftline.functions.arrays import total
+from weftline.functions.template_text import compile_template
 from weftline.functions.templates import (
     RenderOptions,
+    Template,
     rich_messages,
     segments,
     segments_text,
@@ -25,7 +28,7 @@ from weftline.operators.lookup import HOT_BYTES
 from weftline.params import DataParams
 from weftline.plans import prepare
 from weftline.session import scratch_path, staged
-from weftline.sources.readers import chat_column
+from weftline.sources.readers import chat_column, spread
 from weftline.streaming import incremental
 from weftline.streaming import packing as stream_packing
 from weftline.plans.verify import verify_dataset as verify_plan
@@ -40,7 +43,7 @@ INSTRUCT = DataParams(max_seq_length=CHAT_LENGTH, num_shards=4, chunk_rows=25)
 # ------------------------------------------------------------------ templates
 
 
-def _rendered(df: DataFrame, template: str, **options) -> DataFrame:
+def _rendered(df: DataFrame, template: str | Template, **options) -> DataFrame:
     shown = examples.rendered(df, template, options=RenderOptions(**options))
     trained = F.aggregate(
         F.filter("segments", lambda s: s["trainable"]),
@@ -94,6 +97,50 @@ def render_spans(t: Tables):
     return _rendered(v.chats(t), "marked")
 
 
+# The built-in plain templates as a file would give them.
+TEMPLATE_TEXTS = {
+    "simple": """
+{%- for message in messages -%}
+    {%- if message.role == 'user' -%}
+        {{ bos_token if_first }}[INST]{{ message.content }}[/INST]
+    {%- elif message['role'] == "assistant" -%}
+        {% generation %}{{ message['content'] + eos_token }}{% endgeneration %}
+    {%- endif -%}
+{%- endfor -%}""".replace("{{ bos_token if_first }}", "{% if loop.index0 == 0 %}{{ bos_token }}{% endif %}"),
+    "role_tags": """
+{%- for message in messages %}
+    {% if message.role == 'system' and message.content | trim %}
+{{ '<|system|>\\n' }}{{ message.content | trim }}{{ "<|end|>\\n" -}}
+    {% elif message.role == 'user' %}
+{{ '<|user|>\\n' + (message.content | trim) ~ '<|end|>\\n' -}}
+    {% elif message.role == 'assistant' %}
+<|assistant|>
+{% generation %}{{ message.content | trim }}<|end|>
+{% endgeneration %}
+    {%- endif %}
+{% endfor -%}
+{% if add_generation_prompt %}{{ '<|assistant|>\\n' }}{% else %}{% generation %}{{ eos_token }}{% endgeneration %}{% endif %}""",
+    "marked": """{# a system prompt, then turns #}{{ bos_token }}
+{%- if messages[0].role == 'system' -%}
+    [SYSTEM_PROMPT]{{ messages[0]['content'] }}[/SYSTEM_PROMPT]
+{%- elif default_system -%}
+    [SYSTEM_PROMPT]{{ default_system }}[/SYSTEM_PROMPT]
+{%- endif %}
+{% for message in messages %}
+{% if message.role == 'user' %}[INST]{{ message.content }}[/INST]
+{%- elif not (message.role != 'assistant') %}{% generation %}{{ message.content }}{{ eos_token }}{% endgeneration %}{% endif %}
+{% endfor %}""",
+    "v3_no_bos_in_loop": """{{- bos_token -}}
+{%- for message in messages -%}
+    {%- if message.role == 'user' -%}
+        [INST]{{ message.content }}[/INST]
+    {%- elif message.role == 'assistant' -%}
+        {%- generation -%}{{ message.content }}{%- endgeneration -%}{{ eos_token }}
+    {%- endif -%}
+{%- endfor -%}""",
+}
+
+
 def _variant_sql(variant: str, bos_head: bool, bos_user: str, eos_inside: bool) -> str:
     head = (
         "UNION ALL SELECT conv_id, -1, '<s>', false FROM conversations GROUP BY conv_id"
@@ -271,7 +318,7 @@ def template_rejects(t: Tables):
     ),
 )
 def tokenize_regex(t: Tables):
-    docs = t.texts().select("doc_id", v.TOK.encode(F.col("text")).alias("ids"))
+    docs = spread(t.texts()).select("doc_id", v.TOK.encode(F.col("text")).alias("ids"))
     return docs.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest(F.col("ids")).alias("ids_md5")
     )
@@ -356,8 +403,8 @@ def decode_known(t: Tables):
 
 
 def _decoded(docs: DataFrame, source: DataFrame, most_bytes: int = HOT_BYTES) -> DataFrame:
-    vocab = staged(stored_vocabulary(source, F.col("text"), v.TOK), "vocabulary")
-    ids = inspect.encode_stored(docs, ["doc_id"], F.col("text"), v.TOK, vocab, most_bytes)
+    vocab = staged(stored_vocabulary(spread(source), F.col("text"), v.TOK), "vocabulary")
+    ids = inspect.encode_stored(spread(docs), ["doc_id"], F.col("text"), v.TOK, vocab, most_bytes)
     back = inspect.decode_ids(ids, ["doc_id"], "ids", vocab, most_bytes)
     return back.select(
         "doc_id",
@@ -421,6 +468,45 @@ def encode_grown(t: Tables):
     return ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest(F.col("ids")).alias("ids_md5"))
 
 
+@query(
+    "render_from_text",
+    v.with_views(
+        f"""SELECT 'simple' AS variant, * FROM ({_rendered_sql('simple_segments')})
+  UNION ALL SELECT 'role_tags', * FROM ({_rendered_sql('role_tag_segments')})
+  UNION ALL SELECT 'marked', * FROM ({_rendered_sql('marked_segments')})
+  UNION ALL {_variant_sql('v3_no_bos_in_loop', True, '', False)}""",
+        "simple_segments",
+        "role_tag_segments",
+        "marked_segments",
+    ),
+)
+def render_from_text(t: Tables):
+    """The four plain templates, compiled from text."""
+    frames = [
+        _rendered(v.chats(t), compile_template(text)).withColumn("variant", F.lit(name))
+        for name, text in TEMPLATE_TEXTS.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query(
+    "mask_labels_from_text",
+    v.with_views(
+        f"""SELECT conv_id, {v.digest_sql(f'ids[1:{CHAT_LENGTH}]')} AS ids_md5,
+    {v.digest_sql(f'labels[1:{CHAT_LENGTH}]')} AS labels_md5 FROM simple_tokens""",
+        "simple_tokens",
+    ),
+)
+def mask_labels_from_text(t: Tables):
+    """Ids and labels of chats under a template that was given as text."""
+    rows = examples.encode_chats(
+        v.chats(t), ["conv_id"], v.TOK, CHAT_LENGTH, compile_template(TEMPLATE_TEXTS["simple"])
+    )
+    return rows.select(
+        "conv_id", digest(F.col("input_ids")).alias("ids_md5"), digest(F.col("labels")).alias("labels_md5")
+    )
+
+
 def _tagged_text(t: Tables) -> DataFrame:
     return v.tagged(t).select(
         "conv_id", segments_text(segments(F.col("messages"), "simple")).alias("text")
@@ -639,7 +725,7 @@ def _doc_rows(t: Tables) -> DataFrame:
 def _doc_sizes(t: Tables) -> DataFrame:
     """Lengths and places of the documents; no array of tokens moves."""
     size = F.least(v.TOK.count(F.col("text")), F.lit(PACK_LENGTH))
-    rows = _doc_rows(t).select("doc_id", "split", size.alias("n_tokens"))
+    rows = spread(_doc_rows(t)).select("doc_id", "split", size.alias("n_tokens"))
     indexed = indexing.dense_index(rows, ["doc_id"], groups=("split",), total="total")
     return indexing.assign_chunks(indexed, SHARDS, CHUNK_ROWS)
 
@@ -746,7 +832,7 @@ def packed_length_check(t: Tables):
 )
 def pad_batches(t: Tables):
     rows = examples.text_examples(
-        t.texts().withColumn("split", F.lit("train")), ["doc_id", "split"], v.TOK, PACK_LENGTH
+        spread(t.texts()).withColumn("split", F.lit("train")), ["doc_id", "split"], v.TOK, PACK_LENGTH
     )
     lean = rows.drop("attention_mask", "labels")  # made again from the ids
     indexed = indexing.dense_index(lean, ["doc_id"], groups=("split",))

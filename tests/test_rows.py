@@ -488,3 +488,17 @@ def test_shared_folder_is_asked_for(monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_rows_are_spread_where_files_keep_cores_idle(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    spark.range(1000).repartition(cores).write.parquet(many)
+    df = spark.read.parquet(one)
+    dealt = readers.spread(df.where("id >= 0"))
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == cores and sum(sizes) == 1000
+    for whole in (spark.read.parquet(many), spark.range(5), spark.createDataFrame([(1,)], "id long")):
+        assert readers.spread(whole) is whole
+    assert readers.spread(df.limit(0)).collect() == []

@@ -328,6 +328,11 @@ TEMPLATES = {
 }
 
 
+def template_of(template: str | Template) -> Template:
+    """A built-in template by its name; one that was compiled is taken as it is."""
+    return template if isinstance(template, Template) else TEMPLATES[template]
+
+
 def template_for_model(model: str, otherwise: str = "full") -> str:
     """Template of a model family, from its name."""
     name = model.lower()
@@ -338,11 +343,11 @@ def template_for_model(model: str, otherwise: str = "full") -> str:
     return otherwise
 
 
-def segments(messages: Column, template: str = "simple", options: RenderOptions | None = None,
+def segments(messages: Column, template: str | Template = "simple", options: RenderOptions | None = None,
              **changes) -> Column:
     """Segments of a chat, in order."""
     o = replace(options or RenderOptions(), **changes)
-    t = TEMPLATES[template]
+    t = template_of(template)
     body = F.flatten(F.transform(messages, lambda m, i: t.message(m, i, o)))
     return F.concat(t.head(messages, o), body, t.tail(o))
 
@@ -351,12 +356,12 @@ def segments_text(segs: Column) -> Column:
     return F.array_join(F.transform(segs, lambda s: s["text"]), "")
 
 
-def render_error(messages: Column, template: str = "simple") -> Column:
+def render_error(messages: Column, template: str | Template = "simple") -> Column:
     """Null, or the code of the first rule the chat breaks."""
-    return TEMPLATES[template].error(messages)
+    return template_of(template).error(messages)
 
 
-def render(messages: Column, template: str = "simple", options: RenderOptions | None = None,
+def render(messages: Column, template: str | Template = "simple", options: RenderOptions | None = None,
            **changes) -> Column:
     """``struct<text, error>``: exactly one of the two is set."""
     error = render_error(messages, template)

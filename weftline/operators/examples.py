@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from weftline.functions.arrays import ones_like, truncate
 from weftline.functions.templates import (
     RenderOptions,
-    TEMPLATES,
+    Template,
     render_error,
     rich_messages,
     segments,
+    template_of,
 )
 from weftline.functions.text import is_nonblank
 from weftline.functions.tokens import RegexTokenizer
@@ -26,13 +27,13 @@ from weftline.params import IGNORE_INDEX
 Tokenizer = RegexTokenizer
 
 
-def _template_input(df: DataFrame, template: str, column: str) -> Column:
-    return rich_messages(df, column) if TEMPLATES[template].rich else F.col(column)
+def _template_input(df: DataFrame, template: str | Template, column: str) -> Column:
+    return rich_messages(df, column) if template_of(template).rich else F.col(column)
 
 
 def rendered(
     df: DataFrame,
-    template: str = "simple",
+    template: str | Template = "simple",
     column: str = "messages",
     options: RenderOptions | None = None,
 ) -> DataFrame:
@@ -48,7 +49,7 @@ def rendered(
 def template_rejects(
     df: DataFrame,
     keys: list[str],
-    template: str = "full",
+    template: str | Template = "full",
     column: str = "messages",
     options: RenderOptions | None = None,
 ) -> DataFrame:
@@ -98,7 +99,7 @@ def joined_mask(encoded: Column) -> Column:
 def usable_chats(
     df: DataFrame,
     tokenizer: Tokenizer,
-    template: str = "simple",
+    template: str | Template = "simple",
     column: str = "messages",
     options: RenderOptions | None = None,
 ) -> DataFrame:
@@ -118,7 +119,7 @@ def encode_chats(
     keep: list[str],
     tokenizer: Tokenizer,
     max_length: int,
-    template: str = "simple",
+    template: str | Template = "simple",
     column: str = "messages",
     options: RenderOptions | None = None,
     add_bos: bool = False,
@@ -160,7 +161,7 @@ def instruction_examples(
     keys: list[str],
     tokenizer: Tokenizer,
     max_length: int,
-    template: str = "simple",
+    template: str | Template = "simple",
     column: str = "messages",
     options: RenderOptions | None = None,
 ) -> DataFrame:
@@ -178,7 +179,7 @@ def assistant_masks(
     df: DataFrame,
     keys: list[str],
     tokenizer: Tokenizer,
-    template: str = "marked",
+    template: str | Template = "marked",
     column: str = "messages",
     options: RenderOptions | None = None,
 ) -> DataFrame:
@@ -230,7 +231,7 @@ def examples_from_log(
     log: DataFrame,
     tokenizer: Tokenizer,
     max_length: int,
-    template: str = "simple",
+    template: str | Template = "simple",
     options: RenderOptions | None = None,
     fan_in: int = 4096,
     add_bos: bool = False,
@@ -246,7 +247,7 @@ def examples_from_log(
     turns need one. For templates that look at one message at a time.
     """
     o = options or RenderOptions()
-    t = TEMPLATES[template]
+    t = template_of(template)
     if t.rich:
         raise ValueError(f"template {template!r} checks whole chats")
     last_turn = log.agg(F.max("turn")).first()[0] or 0

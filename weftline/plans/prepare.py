@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.functions.templates import RenderOptions, template_for_model
+from weftline.functions.templates import RenderOptions, Template, template_for_model
 from weftline.operators.examples import (
     Tokenizer,
     encode_chats,
@@ -60,7 +60,7 @@ def prepare_instruction(
     keys: list[str],
     tokenizer: Tokenizer,
     params: DataParams,
-    template: str = "simple",
+    template: str | Template = "simple",
     options: RenderOptions | None = None,
 ) -> DataFrame:
     """Split, render, encode, label and pack (or pad) chats."""
@@ -82,7 +82,7 @@ def prepare_instruction_log(
     log: DataFrame,
     tokenizer: Tokenizer,
     params: DataParams,
-    template: str = "simple",
+    template: str | Template = "simple",
     options: RenderOptions | None = None,
 ) -> DataFrame:
     """:func:`prepare_instruction` from a message log, never gathering a whole

@@ -13,6 +13,7 @@ from weftline.operators.profile import (
     length_stats,
 )
 from weftline.operators.sampling import take_exact
+from weftline.sources.readers import spread
 
 
 def text_length_histogram(
@@ -21,7 +22,7 @@ def text_length_histogram(
 ) -> DataFrame:
     """Token-length histogram of all rows, or of an exact sample of them."""
     rows = texts if sample is None else take_exact(texts, keys, sample, seed)
-    return length_histogram(rows, tokenizer.count(F.col(column)))
+    return length_histogram(spread(rows.select(column)), tokenizer.count(F.col(column)))
 
 
 def length_report(hist: DataFrame) -> DataFrame:

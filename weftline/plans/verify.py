@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from weftline.functions.arrays import positions_of
 from weftline.functions.tokens import RegexTokenizer
 from weftline.operators.examples import encode_segments, joined_ids, joined_mask, rendered
-from weftline.functions.templates import segments_text
+from weftline.functions.templates import Template, segments_text
 from weftline.sources.readers import chat_column
 
 
 def verify_dataset(
     df: DataFrame,
     tokenizer: RegexTokenizer,
-    template: str = "full",
+    template: str | Template = "full",
     text_marker: str = "[INST]",
     id_marker: str = "[/INST]",
 ) -> DataFrame:

@@ -60,6 +60,24 @@ def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
     return df.select("*", F.concat_ws("#", *place).alias(name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, its rows dealt out anew if its files keep most cores idle.
+
+    A scan has no more busy tasks than its files have row groups, and costly
+    work on the rows, such as encoding, follows the scan. Only where there are
+    fewer files than cores are their footers read to see how many parts hold
+    rows; larger tables are left as they are, and so are frames that do not come
+    from parquet files.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= cores or not all(f.endswith(".parquet") for f in files):
+        return df
+    parts = spark.read.parquet(*files).select("_metadata.file_path", "_metadata.file_block_start")
+    return df if parts.distinct().count() >= cores else df.repartition(cores)
+
+
 @dataclass
 class LoadedSources:
     """What could be read, by source name, and why the rest could not.

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from weftline.functions.templates import Template
 from weftline.operators.examples import Tokenizer, instruction_examples, text_examples
 from weftline.params import DataParams
 
@@ -27,7 +28,7 @@ def encode_new_rows(
     keys: list[str],
     tokenizer: Tokenizer,
     params: DataParams,
-    template: str = "simple",
+    template: str | Template = "simple",
 ) -> DataFrame:
     """Training examples of the rows of a stream, chats or raw text."""
     if params.is_continue_pretrain:
