@@ -123,6 +123,93 @@ def test_classifier_agrees_with_labels(spark):
     assert np.mean(good) > 0.97 and np.mean(bad) > 0.9
 
 
+def plain_votes(text, frequent):
+    """The labellers, one by one."""
+    words = text.split()
+    n = len(words)
+    if not n:
+        return (0,) * 9
+    three = lambda x, bad, good: 0 if x > bad else 2 if x < good else 1
+    again = sum(a == b for a, b in zip(words, words[1:])) / n
+    most = max(words.count(w) for w in set(words)) / n
+    return (
+        0 if n < 20 else 2 if n >= 60 else 1,
+        three(again, 0.1, 0.03),
+        three(sum(w.isupper() for w in words) / n, 0.5, 0.2),
+        three(sum(c in "#*$%&|<>" for c in text) / len(text), 0.03, 0.005),
+        three(text.count("!") / n, 0.3, 0.05),
+        three(abs(sum(len(w) for w in words) / n - 6), 4, 2),
+        2 if sum(w.lower() in frequent for w in words) / n >= 0.08 else 1,
+        three(most, 0.3, 0.15),
+        0 if n >= 40 and len(set(words)) / n < 0.3 and again > 0.05 else 1,
+    )
+
+
+def plain_posteriors(found, rounds=100):
+    """Expectation-maximisation over documents, one at a time."""
+    good = [0.1 if 0 in v else 0.5 if set(v) == {1} else 0.9 for v in found]
+    for _ in range(rounds):
+        share, logs = sum(good) / len(good), []
+        for side in (0, 1):
+            weigh = [g if side else 1 - g for g in good]
+            table = []
+            for k in range(len(found[0])):
+                count = [0.1, 0.1, 0.1]
+                for v, w in zip(found, weigh):
+                    count[v[k]] += w
+                table.append([math.log(c / sum(count)) for c in count])
+            prior = math.log(max(share if side else 1 - share, 1e-6))
+            logs.append([prior + sum(t[x] for t, x in zip(table, v)) for v in found])
+        new = [1 / (1 + math.exp(max(-50, min(50, a - b)))) for a, b in zip(*logs)]
+        done, good = max(abs(a - b) for a, b in zip(new, good)) < 1e-6, new
+        if done:
+            break
+    return good
+
+
+def test_classifier_query_against_brute_force(spark):
+    root = "/root/testdata/sf0.001"
+    rows = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{root}/documents.parquet").collect()}
+    found = {}
+    for t in rows.values():
+        for w in {w for w in t.lower().split() if len(w) <= 5 and w.isalpha()}:
+            found[w] = found.get(w, 0) + 1
+    least = math.ceil(len(rows) * 2 / 100)
+    frequent = set(sorted((w for w, n in found.items() if n >= least), key=lambda w: (-found[w], w))[:500])
+    labels = dict(zip(rows, plain_posteriors([plain_votes(t, frequent) for t in rows.values()])))
+    # All documents are in the sample; the fit is done on a dense matrix.
+    features, x = quality_classifier.Features(), np.zeros((len(rows), quality_classifier.BUCKETS))
+    for row, t in zip(x, rows.values()):
+        np.add.at(row, features(t), 1)
+        row /= row.sum()
+    used = x.any(0)
+    x, y = np.hstack([x[:, used], np.ones((len(rows), 1))]), np.array(list(labels.values()))
+    w, total = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    for _ in range(150):
+        step = x.T @ (1 / (1 + np.exp(-x @ w)) - y) / len(y)
+        total += step * step
+        w -= step / np.sqrt(total + 1e-12)
+    scores = dict(zip(rows, 1 / (1 + np.exp(-x @ w))))
+    got = {r.doc_id: r for r in QUERIES["op10_quality_classifier"](spark, root).collect()}
+    assert len(got) == len(rows)
+    for i, r in got.items():
+        assert r.weak_label == pytest.approx(labels[i], abs=1e-4)
+        assert r.score == pytest.approx(scores[i], abs=1e-3)
+        assert r.kept == (r.score >= 0.5)
+
+
+def test_a_rare_language_is_not_bad(spark):
+    """Clean texts in a language that one document in fifty has get no bad vote for it."""
+    draw = random.Random(3)
+    usual, rare = (["".join(draw.choice(letters) for _ in range(draw.randint(2, 8))) for _ in range(300)] for letters in ("abcdeft", "wzkyjow"))
+    texts = [" ".join(draw.choice(rare if i % 60 == 0 else usual) for _ in range(120)) for i in range(600)]
+    texts += ["!!! $$$ *** ### " * 30 + str(i) for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in quality_classifier.classify(df, ["doc_id"]).collect()}
+    assert all(got[i].kept and got[i].weak_label > 0.9 for i in range(600))
+    assert not any(got[i].kept for i in range(600, 640))
+
+
 def test_labeller_accuracies_from_votes_alone():
     draw, counts = random.Random(4), {}
     truths = {}

@@ -21,26 +21,61 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import Seen, add_columns, texts
+from weftline.llm.arrow import MOST_SEEN, Seen, add_columns, let_go, texts
 
 GOOD, BAD, NOTHING = 2, 0, 1
 BUCKETS = 1 << 16
 SYMBOLS = frozenset("#*$%&|<>")
-# Frequent short words of the languages in the corpus.
-COMMON = frozenset(
-    "the of and to in that is was for with as it on be at by this from or an are "
-    "der die und das den von zu mit ist im auf für des dem ein eine nicht sich auch es "
-    "le la les de des et un une du en que qui dans est pour par sur au il "
-    "el los las y del se por con una para su al lo como más o".split()
-)
+SHORT = 5  # letters of a word that can be a common one
 
 
 def _between(value: float, bad_above: float, good_below: float) -> int:
     return BAD if value > bad_above else GOOD if value < good_below else NOTHING
 
 
-def votes(text: str) -> tuple[int, ...]:
-    """What each labeller says; a text without words is bad to all that look at words."""
+def short_words(text: str) -> set[str]:
+    """The different short words of letters, in small letters."""
+    return {w for w in text.lower().split() if len(w) <= SHORT and w.isalpha()}
+
+
+def common_words(
+    df: DataFrame, text: str, least_pct: int = 2, most_words: int = 500
+) -> frozenset[str]:
+    """Short words that stand in ``least_pct`` percent of all documents, in any language.
+
+    The most frequent come first, ties in order of text; at most ``most_words``
+    come to the driver. Documents that repeat count again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        counts: Counter = Counter()
+
+        def give() -> pa.RecordBatch:
+            columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
+
+        for batch in batches:
+            for t in texts(batch.column(0)):
+                counts.update(short_words(t))
+                if len(counts) > MOST_SEEN:
+                    yield give()
+        yield give()
+
+    found = df.select(F.col(f"`{text}`").cast("string")).mapInArrow(run, "word string, n long")
+    found = found.groupBy("word").agg(F.sum("n").alias("n"))
+    least = max(1, -(-df.count() * least_pct // 100))
+    top = found.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most_words)
+    return frozenset(r["word"] for r in top.collect())
+
+
+def votes(text: str, frequent: frozenset[str] = frozenset()) -> tuple[int, ...]:
+    """What each labeller says; a text without words is bad to all that look at words.
+
+    A text without ``frequent`` words may be of a rare language, so their lack
+    says nothing.
+    """
     words = text.split()
     n = len(words)
     if not n:
@@ -51,7 +86,7 @@ def votes(text: str) -> tuple[int, ...]:
     marks = sum(map(text.count, SYMBOLS)) / len(text)
     shouts = text.count("!") / n
     length = sum(map(len, words)) / n
-    common = sum(c for w, c in counts.items() if w.lower() in COMMON) / n
+    common = sum(c for w, c in counts.items() if w.lower() in frequent) / n
     top = counts.most_common(1)[0][1] / n
     return (
         BAD if n < 20 else GOOD if n >= 60 else NOTHING,
@@ -60,7 +95,7 @@ def votes(text: str) -> tuple[int, ...]:
         _between(marks, 0.03, 0.005),
         _between(shouts, 0.3, 0.05),
         _between(abs(length - 6), 4.0, 2.0),
-        GOOD if common >= 0.08 else BAD if common < 0.02 else NOTHING,
+        GOOD if common >= 0.08 else NOTHING,
         _between(top, 0.3, 0.15),
         BAD if n >= 40 and len(counts) / n < 0.3 and again > 0.05 else NOTHING,
     )
@@ -72,8 +107,9 @@ LABELLERS = ("long", "stutter", "capitals", "symbols", "shouting", "word_length"
 def fit_labellers(patterns: dict[tuple[int, ...], int], rounds: int = 100) -> dict[tuple[int, ...], float]:
     """The probability that a document with these votes is good, by pattern.
 
-    Two classes; given the class, votes are independent. It starts from the
-    share of good votes. With no document there is no pattern.
+    Two classes; given the class, votes are independent. It starts at 0.1 where
+    any labeller says bad, at 0.5 where none says anything, and else at 0.9. With
+    no document there is no pattern.
     """
     if not patterns:
         return {}
@@ -135,14 +171,18 @@ def bucket(feature: str) -> int:
 
 
 def train(rows: list[np.ndarray], goal: np.ndarray, rounds: int = 150, rate: float = 1.0) -> np.ndarray:
-    """Weights by bucket, and the bias last, of a logistic fit to soft labels."""
+    """Weights by bucket, and the bias last, of a logistic fit to soft labels.
+
+    A row's score is the mean weight of its features. Features that a row repeats
+    are folded to one entry with their share, once, before the rounds.
+    """
     weights = np.zeros(BUCKETS + 1)
     if not rows:
         return weights
-    at = np.concatenate(rows)
-    sizes = np.array([len(r) for r in rows])
-    row = np.repeat(np.arange(len(rows)), sizes)
-    share = np.repeat(1 / sizes, sizes)
+    folded = [np.unique(r, return_counts=True) for r in rows]
+    at = np.concatenate([buckets for buckets, _ in folded])
+    share = np.concatenate([n / n.sum() for _, n in folded])
+    row = np.repeat(np.arange(len(rows)), [len(n) for _, n in folded])
     total = np.zeros(BUCKETS + 1)
     for _ in range(rounds):
         score = np.bincount(row, weights[at] * share, len(rows)) + weights[-1]
@@ -160,14 +200,18 @@ def classify(
     """``keep`` columns, ``weak_label`` (posterior of the votes), ``score`` and ``kept``.
 
     All rows are voted on and scored, over whole texts; only the scorer is fitted
-    on a sample. Null and empty texts get bad votes and a score like any other;
+    on a sample. One labeller knows the corpus's own frequent short words, see
+    :func:`common_words`. Null and empty texts get bad votes and a score like any
+    other, very long ones are judged whole;
     rows are judged by text alone, so repeated rows fare alike, and rows without
     a key are judged but never sampled. An empty table gives no rows.
     """
 
+    frequent = common_words(df, text)
+
     def judge():
         def work(columns):
-            found = [votes(t) for t in texts(columns["text"])]
+            found = [votes(t, frequent) for t in texts(columns["text"])]
             return [pa.array(["".join(map(str, v)) for v in found])]
 
         return work
@@ -190,7 +234,7 @@ def classify(
         for batch in batches:
             for t in texts(batch.column(0)):
                 rows.append(features(t))
-                goal.append(good[votes(t)])
+                goal.append(good[votes(t, frequent)])
         weights = train(rows, np.array(goal)).astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()])], names=["weights"])
 
@@ -206,7 +250,7 @@ def classify(
             all_texts = texts(columns["text"])
             raw = np.array([weights[features(t)].mean() + weights[-1] for t in all_texts])
             raw = 1 / (1 + np.exp(-np.clip(raw, -50, 50)))
-            label = [labels[votes(t)] for t in all_texts]
+            label = [labels[votes(t, frequent)] for t in all_texts]
             return [pa.array(label, pa.float64()), pa.array(raw, pa.float64()), pa.array(raw >= threshold)]
 
         return work
