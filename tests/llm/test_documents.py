@@ -59,6 +59,19 @@ def test_jaccard_components(spark, made):
     assert any(c != d for d, (_, c) in want.items())
 
 
+def test_tallies_bound_the_intersection():
+    draw = np.random.default_rng(8)
+    for n, m, shared in ((1, 1, 1), (5, 6, 5), (300, 350, 20), (300, 300, 299), (900, 1200, 100), (5000, 700, 600)):
+        common = draw.integers(0, 2**63, shared, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([common, draw.integers(0, 2**63, k - shared, dtype=np.uint64)])) for k in (n, m))
+        most = jaccard_join.most_shared(jaccard_join.tally(a), jaccard_join.tally(b))
+        assert len(np.intersect1d(a, b)) <= most <= min(n, m)
+    few, many = (draw.integers(0, 2**63, 300, dtype=np.uint64) for _ in range(2))
+    assert jaccard_join.most_shared(jaccard_join.tally(few), jaccard_join.tally(many)) < 250
+    same_bin = np.arange(300, dtype=np.uint64) << np.uint64(40)
+    assert jaccard_join.tally(same_bin) == b"" and jaccard_join.most_shared(b"", jaccard_join.tally(few)) is None
+
+
 @pytest.mark.parametrize("boundary", [0, 8, 64])
 def test_any_boundary_finds_the_same(spark, made, boundary, monkeypatch):
     monkeypatch.setattr(jaccard_join, "light_size", lambda *a: boundary)

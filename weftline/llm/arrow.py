@@ -17,6 +17,26 @@ ROWS = 1000  # rows worked on at a time, so that a task holds few texts and resu
 BYTES = 1 << 23  # and bytes, unless one row alone has more
 
 
+_held: dict[tuple, object] = {}
+
+
+def held(name: tuple, make: Callable[[], object]) -> object:
+    """The one large object that a worker keeps from task to task.
+
+    Workers outlive jobs, so what they kept for one operator would stay in memory
+    while they work for the next.
+    """
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def let_go() -> None:
+    """For tasks that keep nothing: free what an earlier operator has kept."""
+    _held.clear()
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """Cut batches into pieces of at most ``rows`` rows, and few bytes."""
     for batch in batches:

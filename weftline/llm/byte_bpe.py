@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import LONGEST_SEEN, Known, add_columns, int_lists, list_array, texts
+from weftline.llm.arrow import LONGEST_SEEN, Known, add_columns, held, int_lists, list_array, texts
 
 # White space as Unicode defines it, which is what the split pattern's \s means;
 # Python's own class also holds U+001C to U+001F.
@@ -209,10 +208,9 @@ class ByteBpe:
             return b"".join([self.table.get(i, b"\xef\xbf\xbd") for i in ids])
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> ByteBpe:
-    """One codec per Python worker and vocabulary."""
-    return ByteBpe(path, pattern)
+    """One codec per Python worker, as long as it works with the same vocabulary."""
+    return held((ByteBpe, path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def encode_documents(

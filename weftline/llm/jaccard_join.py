@@ -19,6 +19,10 @@ then only pairs in one key but in different components are compared. Any link
 between components is found this way, so the components are exact. Sets that are
 equal count as one throughout.
 
+Before two sets are fetched to be compared, their tallies are: how many of their
+shingles fall into each of some bins. The sum of the lesser counts bounds the
+intersection, so sets that merely share a passage are let go for a few bytes.
+
 The links themselves come from :func:`jaccard_links`, which compares every pair
 that can still be one, also inside a component.
 """
@@ -34,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import Seen, list_array, slices
+from weftline.llm.arrow import Seen, let_go, list_array, slices
 from weftline.llm.components import components
 from weftline.llm.filters import seen_filters
 from weftline.llm.quality_rules import let
@@ -70,6 +74,7 @@ class Shingler:
     """Sorted hashes of the distinct word shingles of a text."""
 
     def __init__(self, width: int):
+        let_go()
         self.width = width
         self.words = Seen(lambda w: xxhash.xxh64_digest(w))
 
@@ -92,42 +97,62 @@ def signature(h: np.ndarray) -> tuple[int, int]:
     return tuple(int(mixed(h, seed).sum().astype(np.int64)) for seed in (41, 42))
 
 
+def tally(h: np.ndarray) -> bytes:
+    """Counts of a set's hashes by bin, a byte each, eight hashes to a bin or less.
+
+    Nothing, where a count does not fit a byte: then the tally says nothing.
+    """
+    size = max(64, 1 << max(0, -(-len(h) // 8) - 1).bit_length())
+    counts = np.bincount((h >> np.uint64(8) & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def most_shared(a: bytes, b: bytes) -> int | None:
+    """The most that two sets can have in common, None if a tally says nothing."""
+    if not a or not b:
+        return None
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) != len(y):
+        # The bins of the smaller one are those of the larger one, several at a time.
+        x, y = (v.reshape(-1, min(len(x), len(y))).sum(0) for v in (x, y))
+    return int(np.minimum(x, y).sum())
+
+
 def least_overlap(n: int, percent: int) -> int:
     """The least intersection with which a set of ``n`` can be linked."""
     return -(-percent * n // 100)
 
 
 def profiles(documents: DataFrame, width: int) -> DataFrame:
-    """Per row: doc_id, n, s1, s2; and per task: the sketch of its shingles' counts."""
+    """Per row: doc_id, n, s1, s2, tally; and per task: the sketch of its shingles' counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts = Shingler(width), np.zeros(1 << BINS, np.int64)
         for batch in slices(batches):
-            sizes, signs = [], []
+            sizes, signs, tallies = [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingles(text)
                 np.add.at(counts, h >> np.uint64(64 - BINS), 1)
                 sizes.append(len(h))
                 signs.append(signature(h))
-            yield rows(
-                batch.column(0), sizes, [a for a, _ in signs], [b for _, b in signs],
-                [None] * len(sizes), [None] * len(sizes),
-            )
+                tallies.append(tally(h))
+            none = [None] * len(sizes)
+            yield rows(batch.column(0), sizes, [a for a, _ in signs], [b for _, b in signs], tallies, none, none)
         for k in range(0, 1 << BINS, SKETCH_BLOCK):
             block = counts[k : k + SKETCH_BLOCK]
             if block.any():
                 data = block.astype(np.uint32).tobytes()
-                yield rows(pa.array([None], pa.int64()), [None], [None], [None], [k], [data])
+                yield rows(pa.array([None], pa.int64()), [None], [None], [None], [None], [k], [data])
 
-    def rows(ids, n, s1, s2, block, data):
+    def rows(ids, n, s1, s2, tallies, block, data):
         return pa.RecordBatch.from_arrays(
             [ids, pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-             pa.array(block, pa.int32()), pa.array(data, pa.binary())],
-            names=["doc_id", "n", "s1", "s2", "block", "counts"],
+             pa.array(tallies, pa.binary()), pa.array(block, pa.int32()), pa.array(data, pa.binary())],
+            names=["doc_id", "n", "s1", "s2", "tally", "block", "counts"],
         )
 
     return documents.mapInArrow(
-        run, "doc_id long, n int, s1 long, s2 long, block int, counts binary"
+        run, "doc_id long, n int, s1 long, s2 long, tally binary, block int, counts binary"
     )
 
 
@@ -295,8 +320,33 @@ def sets_of(documents: DataFrame, vertices: DataFrame, width: int, bits: int) ->
     return documents.where("doc_id is not null").mapInArrow(run, "v long, n int, h array<long>")
 
 
-def linked(pairs: DataFrame, documents: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
+def close_pairs(pairs: DataFrame, tallies: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose tallies (v, n, tally) allow a link."""
+
+    def side(name: str) -> DataFrame:
+        return tallies.select(
+            F.col("v").alias(name), F.col("n").alias(f"n{name}"), F.col("tally").alias(f"t{name}")
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = []
+            for row, (n, m, x, y) in enumerate(zip(*[c.to_pylist() for c in batch.columns[2:]])):
+                both = most_shared(x, y)
+                if both is None or 100 * both >= percent * (n + m - both):
+                    rows.append(row)
+            found = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(found.columns[:2], names=["a", "b"])
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ta", "tb")
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def linked(
+    pairs: DataFrame, tallies: DataFrame, documents: DataFrame, width: int, percent: int, bits: int
+) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
+    pairs = staged(close_pairs(pairs, tallies, percent), "close")
     vertices = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
     sets = staged(sets_of(documents, vertices, width, bits), "sets")
 
@@ -356,7 +406,8 @@ def still_apart(open_rows: DataFrame, percent: int) -> DataFrame:
     both have, and only if it meets often enough (see :func:`likely`).
     """
     keys = open_rows.groupBy("x").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    rows = open_rows.join(keys, "x")
+    # Both sides have the same columns in the same order, so one shuffle serves both.
+    rows = open_rows.join(keys, "x").select("key", "x", "c", "keys")
     others = rows.select("key", *[F.col(n).alias(f"{n}2") for n in ("x", "c", "keys")])
 
     def both(common: Column) -> Column:
@@ -383,7 +434,7 @@ def _open_rows(meeting: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _close_groups(
-    meeting: DataFrame, documents: DataFrame, width: int, percent: int, bits: int
+    meeting: DataFrame, tallies: DataFrame, documents: DataFrame, width: int, percent: int, bits: int
 ) -> tuple[DataFrame, DataFrame]:
     """Compare sets with the heads of their keys: (pairs compared, components).
 
@@ -408,7 +459,7 @@ def _close_groups(
         if tried is not None:
             new = new.join(tried, ["a", "b"], "left_anti")
         new = staged(new, "tried")
-        found = staged(linked(new, documents, width, percent, bits), "found")
+        found = staged(linked(new, tallies, documents, width, percent, bits), "found")
         tried = new if tried is None else tried.union(new)
         links = found if links is None else links.union(found)
         if not found.head(1):
@@ -538,11 +589,12 @@ def jaccard_components(
         shared_postings(posted).join(copies.where("v is not null"), "s1").select("key", "v", "n").distinct(),
         "meeting",
     )
-    tried, roots = _close_groups(meeting, documents, width, percent, bits)
+    tallies = first.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("v"), "n", "tally")
+    tried, roots = _close_groups(meeting, tallies, documents, width, percent, bits)
 
     open_rows = _open_rows(meeting, roots)
     rest = staged(still_apart(open_rows, percent).join(tried, ["a", "b"], "left_anti"), "rest")
-    bridges = linked(rest, documents, width, percent, bits)
+    bridges = linked(rest, tallies, documents, width, percent, bits)
     # Links between components, by the components' names.
     for side in ("a", "b"):
         named = roots.select(F.col("v").alias(side), F.col("component").alias("_c"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import add_columns
+from weftline.llm.arrow import add_columns, let_go
 from weftline.session import staged
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -43,11 +43,12 @@ def grams(word: str, order: int) -> list[str]:
 
 def _counted(items: Iterator[tuple[str, list[str]]]) -> Iterator[pa.RecordBatch]:
     """(lang, entry, n) of what ``items`` lists, given away in parts."""
-    held: dict[str, Counter] = {}
+    let_go()
+    counted: dict[str, Counter] = {}
 
     def give() -> pa.RecordBatch:
-        rows = [(lang, e, n) for lang, c in held.items() for e, n in c.items()]
-        held.clear()
+        rows = [(lang, e, n) for lang, c in counted.items() for e, n in c.items()]
+        counted.clear()
         columns = list(zip(*rows)) or [(), (), ()]
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())],
@@ -55,8 +56,8 @@ def _counted(items: Iterator[tuple[str, list[str]]]) -> Iterator[pa.RecordBatch]
         )
 
     for lang, entries in items:
-        held.setdefault(lang, Counter()).update(entries)
-        if sum(map(len, held.values())) > MOST_HELD:
+        counted.setdefault(lang, Counter()).update(entries)
+        if sum(map(len, counted.values())) > MOST_HELD:
             yield give()
     yield give()
 
@@ -241,6 +242,7 @@ def identify(df: DataFrame, keep: list[str], model: Model, text: str = "text") -
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def make_parts():
+        let_go()
         scored = shared.value.scored
 
         def work(columns):

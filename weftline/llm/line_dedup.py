@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.arrow import add_columns, texts
+from weftline.llm.arrow import add_columns, let_go, texts
 from weftline.llm.filters import seen_filters
 from weftline.session import staged
 
@@ -56,6 +56,8 @@ def repeated_lines(
     _, suspected = seen_filters(documents.select("text"), hashes, bits)
 
     def suspects():
+        let_go()
+
         def work(columns):
             rows = []
             for t in texts(columns["text"]):

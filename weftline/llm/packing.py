@@ -20,7 +20,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from unicodedata import is_normalized, normalize
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.arrow import LONGEST_SEEN, Known, list_array, slices, texts
+from weftline.llm.arrow import LONGEST_SEEN, Known, held, list_array, slices, texts
 from weftline.operators.indexing import dense_index
 from weftline.session import staged
 
@@ -136,9 +135,9 @@ class WordTokenizer:
         return [next(whole if x else joined) for x in odd]
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    """One per Python worker, as long as it works with the same file."""
+    return held((WordTokenizer, path), lambda: WordTokenizer(path))
 
 
 def cut_documents(
