@@ -256,19 +256,20 @@ def identify(df: DataFrame, keep: list[str], model: Model, text: str = "text") -
 
         return work
 
-    # Rows are written with a number each, so that what is kept, texts maybe,
-    # need not pass through the workers. Names of their own: any may be kept.
-    plain = staged(
-        df.select(
-            F.monotonically_increasing_id().alias("row"),
-            F.col(f"`{text}`").alias("t"),
-            *[F.col(f"`{k}`").alias(f"kept{i}") for i, k in enumerate(keep) if k != text],
-        ),
-        "rows",
-    )
+    # Names of their own, so that kept columns may be called anything.
     kept = ["t" if k == text else f"kept{i}" for i, k in enumerate(keep)]
+    plain = df.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(f"`{text}`").alias("t"),
+        *[F.col(f"`{k}`").alias(c) for c, k in zip(kept, keep) if c != "t"],
+    )
+    # Where texts are kept, rows are written with their numbers, so that texts
+    # need not come back through the workers.
+    texts_kept = "t" in kept
+    plain = staged(plain, "rows") if texts_kept else plain
+    through = ["row"] if texts_kept else ["row", *kept]
     added = "n long, logs array<double>, rest array<string>, times array<long>"
-    parts = staged(add_columns(plain, ["row"], {"text": F.col("t")}, added, make_parts), "parts")
+    parts = staged(add_columns(plain, through, {"text": F.col("t")}, added, make_parts), "parts")
     rest = parts.select("row", F.inline(F.arrays_zip(F.col("rest").alias("w"), F.col("times").alias("k"))))
     names = F.array(*[F.lit(x) for x in model.languages]).cast("array<string>")
     size, logs = range(len(model.languages)), F.col("logs")
@@ -284,14 +285,14 @@ def identify(df: DataFrame, keep: list[str], model: Model, text: str = "text") -
         logs = F.array(*[(F.get("logs", F.lit(i)) + F.coalesce(F.get("more", F.lit(i)), F.lit(0.0))) * calm for i in size])
     likely = F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.array_max("logs")))
     some = F.col("n") > 0
-    told = parts.select("row", "n", F.when(some, logs).alias("logs")).select(
-        F.col("row").alias("at"),
+    told = parts.select(*through, "n", F.when(some, logs).alias("logs")).select(
+        *through,
         # Ties: the first in order of names.
         F.when(some, F.get(names, (F.array_position("logs", F.array_max("logs")) - 1).cast("int")))
         .otherwise(UNKNOWN)
         .alias("lang_pred"),
         F.when(some, 1 / likely).otherwise(0.0).alias("score"),
     )
-    return plain.join(told, F.col("row") == F.col("at")).select(
-        *[F.col(c).alias(k) for c, k in zip(kept, keep)], "lang_pred", "score"
-    )
+    if texts_kept:
+        told = plain.join(told, "row")
+    return told.select(*[F.col(c).alias(k) for c, k in zip(kept, keep)], "lang_pred", "score")
