@@ -1,6 +1,7 @@
 """Jaccard join, line dedup, quality rules and packing against brute force."""
 
 import hashlib
+import itertools
 import json
 import random
 import zlib
@@ -110,6 +111,28 @@ def test_jaccard_links(spark, made, block, monkeypatch):
     assert none.collect() == [] == nowhere.collect()
 
 
+@pytest.mark.parametrize("paired", [False, True])
+def test_sets_that_are_still_apart(spark, paired):
+    """Every pair that meets often enough comes out, and rows do not carry their sets' keys."""
+    draw = random.Random(7 + paired)
+    odd = jaccard_join.KEY_BITS
+    sets = {v: (draw.randrange(8, 30), draw.randrange(6), set(draw.sample(range(60), draw.randrange(1, 25)))) for v in range(60)}
+    rows = [(k | (paired and k % 15 == 0) << odd, (v, n), c) for v, (n, c, keys) in sets.items() for k in keys]
+    df = spark.createDataFrame(rows, "key long, x struct<v:long,n:int>, c long").repartition(5)
+    apart = jaccard_join.still_apart(df, 80)
+    want = set()
+    for a, b in itertools.combinations(sets, 2):
+        (n, c, x), (m, d, y) = sets[a], sets[b]
+        needed = -(-80 * (n + m) // 180) - -(-80 * max(n, m) // 100) + 1
+        both = x & y
+        often = len([k for k in both if not (paired and k % 15 == 0)]) >= needed
+        if c != d and 100 * min(n, m) >= 80 * max(n, m) and (often or paired and any(k % 15 == 0 for k in both)):
+            want.add((a, b))
+    got = [tuple(r) for r in apart.collect()]
+    assert want and sorted(got) == sorted(want)
+    assert "collect_list" not in apart._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_jaccard_odd_rows(spark):
     text = "a b c d e f g h"
     rows = [(None, text, None), (4, text, None), (7, text, None), (7, text, None), (7, "other words", None), (None, "x", None)]

@@ -35,7 +35,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.arrow import Seen, let_go, list_array, slices
@@ -402,25 +402,23 @@ def _keys_needed(n: Column, m: Column, percent: int) -> Column:
 def still_apart(open_rows: DataFrame, percent: int) -> DataFrame:
     """(a, b): sets in different components that can still be links.
 
-    Sets carry all their keys, so a pair comes out once, at the least key that
-    both have, and only if it meets often enough (see :func:`likely`).
+    A row carries the key's place among its set's keys and how many follow, not
+    the keys: two sets share no more keys before a place, and after it, than the
+    lesser of the two has there. Meetings that this does not rule out are counted
+    (see :func:`likely`).
     """
-    keys = open_rows.groupBy("x").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    whole = Window.partitionBy("x")
+    rows = open_rows.select("key", "x", "c").withColumns(
+        {"before": F.row_number().over(whole.orderBy("key")) - 1, "k": F.count("*").over(whole).cast("int")}
+    )
+    rows = rows.withColumn("after", F.col("k") - F.col("before") - 1).drop("k")
     # Both sides have the same columns in the same order, so one shuffle serves both.
-    rows = open_rows.join(keys, "x").select("key", "x", "c", "keys")
-    others = rows.select("key", *[F.col(n).alias(f"{n}2") for n in ("x", "c", "keys")])
-
-    def both(common: Column) -> Column:
-        often = F.size(common) >= _keys_needed(F.col("x.n"), F.col("x2.n"), percent)
-        return (F.array_min(common) == F.col("key")) & (often | F.exists(common, lambda k: _of_pair(k) > 0))
-
+    others = rows.select("key", *[F.col(n).alias(f"{n}2") for n in ("x", "c", "before", "after")])
+    most = F.least("before", "before2") + 1 + F.least("after", "after2")
+    often = most >= _keys_needed(F.col("x.n"), F.col("x2.n"), percent)
     apart = (F.col("x.v") < F.col("x2.v")) & (F.col("c") != F.col("c2"))
-    apart &= _comparable(F.col("x.n"), F.col("x2.n"), percent)
-    return (
-        rows.join(others, "key")
-        .where(apart & let(F.array_intersect("keys", "keys2"), both))
-        .select(F.col("x.v").alias("a"), F.col("x2.v").alias("b"))
-    )
+    apart &= _comparable(F.col("x.n"), F.col("x2.n"), percent) & (often | (_of_pair(F.col("key")) > 0))
+    return likely(rows.join(others, "key").where(apart).select("key", "x", F.col("x2").alias("y")), percent)
 
 
 def _open_rows(meeting: DataFrame, roots: DataFrame | None) -> DataFrame:
