@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from weftline.params import IGNORE_INDEX
@@ -54,3 +57,32 @@ def test_shards_are_even_and_repeat(spark):
     df = spark.range(2000)
     shards = df.select(stream_packing.shard_of(df.id, 5).alias("s")).groupBy("s").count().collect()
     assert sorted(r.s for r in shards) == list(range(5)) and min(r["count"] for r in shards) > 300
+
+
+def test_a_task_does_not_hold_its_shard():
+    """48 MB of ids in random order, of which a few are in memory at a time."""
+    draw, n_frames, rows, size = np.random.default_rng(3), 120, 100, 1000
+    seqs = draw.permutation(n_frames * rows).reshape(n_frames, rows)
+
+    class State:
+        exists = False
+
+        def update(self, value):
+            self.value = value
+
+    def frames():
+        for s in seqs:
+            yield pd.DataFrame({"seq": s, "ids": [np.full(size, x, np.int32).tobytes() for x in s]})
+
+    state, found = State(), []
+    tracemalloc.start()
+    for part in stream_packing._pack(2 * size + 1)((5,), frames(), state):
+        for number, n, data in zip(part["bin"], part["n_rows"], part["ids"]):
+            ids = np.frombuffer(data, np.int32)
+            found.append((number, n, int(ids[0]), int(ids[-1])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    last = n_frames * rows // 2 - 1
+    assert found == [(k, 2, 2 * k, 2 * k + 1) for k in range(last)]
+    assert state.value[:2] == (last, 2) and len(state.value[2]) == 2 * size
+    assert peak < 24 << 20
