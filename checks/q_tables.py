@@ -143,10 +143,11 @@ _DRAWN = "('0x' || substr(md5('7:' || k), 1, 15))::BIGINT % (SELECT count(*) FRO
   USING (position)""",
 )
 def rows_at_positions(t: Tables):
-    """A hundred positions, some of them twice, of a table in eight files."""
+    """A hundred positions, some of them twice, of a table in eight parts of one or more files."""
     path = scratch_path(t.spark, "files")
     docs = t.documents.withColumn("part", F.pmod("doc_id", F.lit(_PARTS)))
-    dealt = docs.repartition(_PARTS, "part").sortWithinPartitions("part", "doc_id")
+    # Files are named by the number of their range, so a part's files are in order.
+    dealt = docs.repartitionByRange("part", "doc_id").sortWithinPartitions("part", "doc_id")
     dealt.write.partitionBy("part").parquet(path)
     index = staged(positions.positional_index(t.spark, path), "positions")
     n = index.agg(F.sum("rows")).first()[0]

@@ -53,3 +53,33 @@ def test_other_files_are_not_opened(spark, tmp_path):
     (broken.parent / f".{broken.name}.crc").unlink()
     df = spark.createDataFrame([(3,), (27,)], "position long")
     assert sorted(r.id for r in positions.rows_at(spark, str(tmp_path / "t"), kept, df).collect()) == [3, 27]
+
+
+def test_few_positions_do_not_move_the_table(spark, table):
+    path, n = table
+    asked = spark.createDataFrame([(3,), (n - 1,)], "position long")
+    rows = positions.rows_at(spark, path, positions.positional_index(spark, path), asked)
+    assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in rows.collect()) == [3, n - 1]
+
+
+def test_a_part_is_dealt_to_several_tasks(spark, tmp_path, monkeypatch):
+    """No file, and so no task that wrote it, holds a whole part where a part is large."""
+    from checks import q_tables
+    from checks.registry import QUERIES
+
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.md5(F.col("id").cast("string")).alias("text"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(q_tables, "scratch_path", lambda *_: str(tmp_path / "files"))
+    adaptive = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(adaptive, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = QUERIES["rows_at_positions"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset(adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    order = sorted(range(4000), key=lambda d: (d % 8, d))
+    assert len(got) == 100 and all(order[r.position] == r.doc_id for r in got)
+    index = positions.positional_index(spark, str(tmp_path / "files")).collect()
+    assert len(index) >= 40 and max(r.rows for r in index) < 400

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weftline.session import staged
+
 FILE, PLACE = "_metadata.file_path", "_metadata.row_index"
 BLOCK = 1 << 20  # positions and files meet by blocks of so many positions
 
@@ -50,7 +52,8 @@ def rows_at(
     The names of the files that are needed, no more than there are files, become
     a filter on the file's own path, which prunes the others from the listing.
     """
-    found = locate(index, positions.select(F.col(f"`{position}`").cast("bigint").alias(position)), position)
+    # Written: read twice, and by its size the planner knows whether the table must move.
+    found = staged(locate(index, positions.select(F.col(f"`{position}`").cast("bigint").alias(position)), position), "located")
     needed = [r["file"] for r in found.select("file").distinct().collect()]
     table = spark.read.parquet(path)
     rows = table.where(F.col(FILE).isin(needed)).select(
