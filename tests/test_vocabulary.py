@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.functions.tokens import RegexTokenizer
+from weftline.functions.tokens import RegexTokenizer, stored_vocabulary
 from weftline.operators import inspect, vocabulary
 from weftline.operators.lookup import hot_entries, look_up
 from weftline.session import staged
@@ -99,3 +99,11 @@ def test_empty_tables(spark):
     df = spark.createDataFrame([(1, ["a", None])], "k int, v array<string>")
     assert look_up(df, ["k"], "v", none, -1, "w").collect()[0].w == [-1, -1]
     assert look_up(df.limit(0), ["k"], "v", none, -1, "w").collect() == []
+
+
+def test_a_vocabulary_cuts_each_text_once(spark):
+    df = texts(spark, "a b a", "<s> c", None, "").repartition(3)
+    vocab = stored_vocabulary(df, F.col("t"), RegexTokenizer())
+    assert "regexp_extract_all" not in vocab._jdf.queryExecution().optimizedPlan().toString()
+    rows = vocab.collect()
+    assert {r.piece: r.n for r in rows} == {"a": 2, "b": 1, "<s>": 1, "c": 1} and sorted(r.token_id for r in rows) == [0, 1, 2, 3]

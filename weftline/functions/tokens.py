@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from weftline.operators.indexing import dense_index
 from weftline.params import SPECIALS, SpecialTokens
+from weftline.session import staged
 
 WORDS = r"\p{L}+|\p{N}+"
 OTHER = r"[^ \t\n\x0B\f\r\p{L}\p{N}]"  # one visible character
@@ -117,4 +118,7 @@ def stored_vocabulary(df: DataFrame, text: Column, tokenizer: RegexTokenizer) ->
         .groupBy("piece")
         .agg(F.count("*").alias("n"))
     )
-    return dense_index(pieces, ["piece"], out="token_id", digits=2).select("token_id", "piece", "n")
+    # Written, since numbering counts the pieces before it moves them: else every
+    # text is cut into pieces twice.
+    counted = staged(pieces, "pieces")
+    return dense_index(counted, ["piece"], out="token_id", digits=2).select("token_id", "piece", "n")
