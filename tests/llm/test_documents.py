@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
@@ -133,6 +134,59 @@ def test_sets_that_are_still_apart(spark, paired):
     assert "collect_list" not in apart._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("paired", [False, True])
+def test_first_meetings_miss_no_pair(spark, paired):
+    """Every two sets that share as many keys as links do come out, those of a component do not."""
+    draw = random.Random(11 + paired)
+    high = paired << jaccard_join.KEY_BITS
+    sets = {v: (draw.randrange(8, 30), draw.randrange(6), {k * k // 60 for k in draw.sample(range(60), draw.randrange(1, 40))}) for v in range(60)}
+    rows = [(k | high, v, n) for v, (n, _, keys) in sets.items() for k in keys]
+    placed = jaccard_join.placed_keys(spark.createDataFrame(rows, "key long, v long, n int").repartition(5))
+    assert {(r.key, r.x.v): r.sets for r in placed.collect()} == {(k | high, v): sum(k in x for _, _, x in sets.values()) for v, (_, _, keys) in sets.items() for k in keys}
+    of = spark.createDataFrame([(v, c) for v, (_, c, _) in sets.items()], "v long, c long")
+    rows = placed.withColumn("v", F.col("x.v")).join(of, "v").select("key", "x", "after", "c").localCheckpoint()
+    got = [tuple(r) for r in jaccard_join.first_meetings(rows, 80).collect()]
+    want, shared = set(), set()
+    for a, b in itertools.combinations(sets, 2):
+        (n, c, x), (m, d, y) = sets[a], sets[b]
+        if c != d and 100 * min(n, m) >= 80 * max(n, m) and x & y:
+            shared.add((a, b))
+            needed = -(-80 * (n + m) // 180) - -(-80 * max(n, m) // 100) + 1
+            if len(x & y) >= (needed * (needed + 1) // 2 if paired else needed):
+                want.add((a, b))
+    assert len(got) == len(set(got)) and want and want <= set(got) < shared
+    if not paired:
+        assert {tuple(r) for r in jaccard_join.still_apart(rows, 80).collect()} == want
+
+
+def test_rounds_see_keys_of_many_sets_only(spark, made, monkeypatch):
+    """Keys of a few sets are compared at once and do not come back in each round."""
+    seen, staged = {}, jaccard_join.staged
+
+    def kept(df, name="stage"):
+        seen.setdefault(name, []).append(df := staged(df, name))
+        return df
+
+    monkeypatch.setattr(jaccard_join, "staged", kept)
+    # Without levels the order of shingles is random, so unlike sets meet, too.
+    monkeypatch.setattr(jaccard_join, "levels_of", lambda sketch: np.zeros(len(sketch), np.uint64))
+    got = jaccard_join.jaccard_components(frame(spark, made)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components([(d, t) for d, t, _ in made])
+    sets = {r["key"]: r["count"] for r in seen["meeting"][0].groupBy("key").count().collect()}
+    left = {r["key"] for df in seen["open"] for r in df.select("key").collect()}
+    assert min(sets.values()) == 2 and left and min(sets[k] for k in left) > 8
+
+
+def test_shared_postings_once(spark):
+    rows = [(5, 1), (5, 2), (5, 2), (5, 2), (5, 3), (6, 1), (6, 1), (7, 4), (8, 1), (8, 2)] * 2
+    posted = spark.createDataFrame(rows, "key long, s1 long").withColumn("salt", F.lit(0))
+    for size in (1, 3, 10_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        got = jaccard_join.shared_postings(posted).collect()
+        assert sorted(map(tuple, got)) == [(5, 1), (5, 2), (5, 3), (8, 1), (8, 2)]
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_jaccard_odd_rows(spark):
     text = "a b c d e f g h"
     rows = [(None, text, None), (4, text, None), (7, text, None), (7, text, None), (7, "other words", None), (None, "x", None)]

@@ -12,12 +12,15 @@ the least overlap that a set of ``n`` shingles can link with.
 
 The size that divides them has the least estimated cost over all sets.
 
-Keys that two sets share are all the join works on from there. Whole groups of
-near copies share keys, so their pairs are not listed: each set of a key is
-first compared with the key's few heads, links are closed to components, and
-then only pairs in one key but in different components are compared. Any link
-between components is found this way, so the components are exact. Sets that are
-equal count as one throughout.
+Keys that two sets share are all the join works on from there, in one order: those
+of few sets first. Two sets that can be a link share so many keys that the first
+one has enough of each set's keys after it; they meet only in keys that have.
+
+Whole groups of near copies share keys, so their pairs are not listed: only keys of
+a few sets compare every two. In the others each set is first compared with the
+key's few heads, links are closed to components, and then only pairs in one key but
+in different components are compared. Any link between components is found this
+way, so the components are exact. Sets that are equal count as one throughout.
 
 Before two sets are fetched to be compared, their tallies are: how many of their
 shingles fall into each of some bins. The sum of the lesser counts bounds the
@@ -29,7 +32,7 @@ that can still be one, also inside a component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -52,6 +55,7 @@ PAIR = np.uint64(1 << KEY_BITS)
 HOT_LEVEL = STEPS * 17  # bins with more than 2**17 sets have their keys salted
 LARGEST_LIGHT = 64  # pairs of larger sets are never enumerated
 COMPARE = 8  # cost of comparing two sets, in posted keys
+FEW = 8  # sets of a key, up to which every two are compared at once
 HEADS = 3
 MOST_ROUNDS = 3
 BLOCK = 256  # sets of one key that one row's pairs are made with at a time
@@ -261,7 +265,7 @@ def postings(
 
 
 def shared_postings(posted: DataFrame) -> DataFrame:
-    """(key, s1) where a second set has the key; of salted keys, all."""
+    """(key, s1), each once, where a second set has the key; of salted keys, all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last row waits for the next batch, with whether it is to be kept.
@@ -270,11 +274,16 @@ def shared_postings(posted: DataFrame) -> DataFrame:
         for batch in batches:
             new = [batch.column(i).to_numpy() for i in range(3)]
             key, sign, salt = (np.concatenate(x) for x in zip((key, sign, salt), new))
+            if not len(key):
+                continue
+            same = (key[1:] == key[:-1]) & (salt[1:] == salt[:-1])
+            # A set that several tasks have posted is one.
+            first = np.concatenate(([True], ~(same & (sign[1:] == sign[:-1]))))
+            key, sign, salt = key[first], sign[first], salt[first]
             same = (key[1:] == key[:-1]) & (salt[1:] == salt[:-1])
-            other = sign[1:] != sign[:-1]
             keep = salt > 0
-            keep[1:] |= same & other
-            keep[:-1] |= same & other
+            keep[1:] |= same
+            keep[:-1] |= same
             keep[0] |= keep_first
             out = np.flatnonzero(keep[:-1])
             yield pa.RecordBatch.from_arrays(
@@ -289,11 +298,11 @@ def shared_postings(posted: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("key", "salt", "s1").mapInArrow(run, "key long, s1 long")
 
 
-def sets_of(documents: DataFrame, vertices: DataFrame, width: int, bits: int) -> DataFrame:
-    """(v, n, h array<long>): the shingles of the vertices' texts.
+def rows_of(pairs: DataFrame, bits: int) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """Cuts batches down to rows whose first column is in one of the pairs (a, b).
 
-    A filter of the vertices, of a fixed size, spares other texts the work; the
-    few that it lets through are joined by nothing.
+    By a filter of a fixed size, so other rows need not be moved; the few that it
+    lets through are joined by nothing.
     """
 
     def id_hashes(ids: np.ndarray) -> np.ndarray:
@@ -303,13 +312,18 @@ def sets_of(documents: DataFrame, vertices: DataFrame, width: int, bits: int) ->
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield id_hashes(batch.column(0).to_numpy())
 
+    vertices = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
     wanted, _ = seen_filters(vertices, hashes, bits)
+    return lambda batch: batch.take(pa.array(np.flatnonzero(wanted.has(id_hashes(batch.column(0).to_numpy())))))
+
+
+def sets_of(documents: DataFrame, pairs: DataFrame, width: int, bits: int) -> DataFrame:
+    """(v, n, h array<long>): the shingles of the texts in the pairs (a, b), and of a few others."""
+    cut = rows_of(pairs, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(width)
-        for batch in slices(batches):
-            rows = np.flatnonzero(wanted.has(id_hashes(batch.column(0).to_numpy())))
-            batch = batch.take(pa.array(rows))
+        for batch in map(cut, slices(batches)):
             found = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(h) for h in found], pa.int32()),
@@ -320,11 +334,13 @@ def sets_of(documents: DataFrame, vertices: DataFrame, width: int, bits: int) ->
     return documents.where("doc_id is not null").mapInArrow(run, "v long, n int, h array<long>")
 
 
-def close_pairs(pairs: DataFrame, tallies: DataFrame, percent: int) -> DataFrame:
+def close_pairs(pairs: DataFrame, tallies: DataFrame, percent: int, bits: int) -> DataFrame:
     """The pairs (a, b) whose tallies (v, n, tally) allow a link."""
+    cut = rows_of(pairs, bits)
+    few = tallies.mapInArrow(lambda batches: map(cut, batches), tallies.schema)
 
     def side(name: str) -> DataFrame:
-        return tallies.select(
+        return few.select(
             F.col("v").alias(name), F.col("n").alias(f"n{name}"), F.col("tally").alias(f"t{name}")
         )
 
@@ -346,9 +362,8 @@ def linked(
     pairs: DataFrame, tallies: DataFrame, documents: DataFrame, width: int, percent: int, bits: int
 ) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
-    pairs = staged(close_pairs(pairs, tallies, percent), "close")
-    vertices = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
-    sets = staged(sets_of(documents, vertices, width, bits), "sets")
+    pairs = staged(close_pairs(pairs, tallies, percent, bits), "close")
+    sets = staged(sets_of(documents, pairs, width, bits), "sets")
 
     def side(name: str) -> DataFrame:
         return sets.select(
@@ -400,9 +415,10 @@ def _keys_needed(n: Column, m: Column, percent: int) -> Column:
 
 
 def still_apart(open_rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): sets in different components that can still be links.
+    """(a, b): sets in different components that can still be links, by all their meetings.
 
-    A row carries the key's place among its set's keys and how many follow, not
+    The join takes :func:`first_meetings`, which needs one meeting of two sets and
+    finds all of these pairs; tests hold it against this. A row carries the key's place among its set's keys and how many follow, not
     the keys: two sets share no more keys before a place, and after it, than the
     lesser of the two has there. Meetings that this does not rule out are counted
     (see :func:`likely`).
@@ -421,58 +437,106 @@ def still_apart(open_rows: DataFrame, percent: int) -> DataFrame:
     return likely(rows.join(others, "key").where(apart).select("key", "x", F.col("x2").alias("y")), percent)
 
 
-def _open_rows(meeting: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(key, x, c): the sets, with components, of keys that join several of these."""
-    placed = meeting.select("key", "v", F.struct("v", "n").alias("x"))
+def placed_keys(meeting: DataFrame) -> DataFrame:
+    """(key, x, sets, after): how many sets have the key, and where it stands in its set.
+
+    The keys of a set have one order, those of few sets first; ``after`` counts the
+    set's keys of the same kind that follow. Sets that share an id count as one,
+    which only lets more pairs meet.
+    """
+    sets = meeting.groupBy("key").agg(F.count("*").alias("sets"))
+    backwards = Window.partitionBy("v", "pair").orderBy(F.desc("sets"), F.desc("key"))
+    return (
+        meeting.join(sets, "key")
+        .withColumn("pair", _of_pair(F.col("key")))
+        .select("key", F.struct("v", "n").alias("x"), "sets", (F.row_number().over(backwards) - 1).alias("after"))
+    )
+
+
+def _first_shared(x: Column, y: Column, percent: int) -> Column:
+    """Whether ``key`` can be the first one that the linked sets ``x`` and ``y`` share.
+
+    Both are (v, n, after). All keys that they share besides are after it in both.
+    How many they share at least is told by :func:`_keys_needed`; sets that post
+    pairs of shingles share one shingle more there, and all its pairs.
+    """
+    asked = _keys_needed(x["n"], y["n"], percent)
+    asked = F.when(_of_pair(F.col("key")) > 0, asked * (asked + 1) / 2).otherwise(asked)
+    return _comparable(x["n"], y["n"], percent) & (F.least(x["after"], y["after"]) + 1 >= asked)
+
+
+def first_meetings(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets of (key, x, after, c), in different components, that can be links by their first key."""
+    rows = rows.select("key", F.struct("x.v", "x.n", "after").alias("x"), "c")
+    # Both sides have the same columns in the same order, so one shuffle serves both.
+    others = rows.select("key", F.col("x").alias("y"), F.col("c").alias("d"))
+    x, y = F.col("x"), F.col("y")
+    apart = (x["v"] < y["v"]) & (F.col("c") != F.col("d")) & _first_shared(x, y, percent)
+    return rows.join(others, "key").where(apart).select(F.col("x.v").alias("a"), F.col("y.v").alias("b")).distinct()
+
+
+def _head_meetings(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(a, b): sets of (key, x, after, c) and the heads of their keys, where these can be links."""
+    rows = rows.select("key", F.struct("x.v", "x.n", "after").alias("x"), "c")
+    seeds = range(turn * HEADS, (turn + 1) * HEADS)
+    heads = rows.groupBy("key").agg(
+        *[F.min(F.struct(F.xxhash64("x.v", F.lit(k)), "x", "c")).alias(f"head{k}") for k in seeds]
+    )
+    chosen = F.array_distinct(F.array(*[F.struct(f"head{k}.x", f"head{k}.c") for k in seeds]))
+    # Those that a set cannot link with are dropped before there is a row for each.
+    can = F.filter(chosen, lambda h: (F.col("c") != h["c"]) & _first_shared(F.col("x"), h["x"], percent))
+    met = rows.join(heads, "key").select("x", F.explode(can).alias("head"))
+    v, w = F.col("x.v"), F.col("head.x.v")
+    return met.select(F.least(v, w).alias("a"), F.greatest(v, w).alias("b")).distinct()
+
+
+def _open_rows(placed: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(key, x, after, c): the sets, with components, of keys that join several of these."""
+    rows = placed.select("key", "x", "after", F.col("x.v").alias("v"))
     if roots is None:
-        return placed.select("key", "x", F.col("v").alias("c"))
-    placed = placed.join(roots, "v", "left").select("key", "x", F.coalesce("component", "v").alias("c"))
-    several = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-    return placed.join(several.select("key"), "key")
+        return rows.withColumnRenamed("v", "c")
+    rows = rows.join(roots, "v", "left").select("key", "x", "after", F.coalesce("component", "v").alias("c"))
+    several = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    return rows.join(several.select("key"), "key")
 
 
 def _close_groups(
-    meeting: DataFrame, tallies: DataFrame, documents: DataFrame, width: int, percent: int, bits: int
-) -> tuple[DataFrame, DataFrame]:
-    """Compare sets with the heads of their keys: (pairs compared, components).
-
-    A key's heads are its sets with the smallest hashes, others in each round.
-    Only sets outside a head's component meet it, so a round costs a few pairs
-    per posting, and a group of near copies falls into few components after a
-    few rounds. They end when the pairs that are still apart are no more than
-    the postings, or a round links nothing new.
+    placed: DataFrame, tallies: DataFrame, documents: DataFrame, width: int, percent: int, bits: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Compare the sets of keys that few have, and those of others with the heads.
+
+    Returns the pairs compared, the components, and the rows of :func:`_open_rows`
+    that are left. A key's heads are its sets with the smallest hashes, others in
+    each round. Only sets outside a head's component meet it, so a round costs a
+    few pairs per posting, and a group of near copies falls into few components
+    after a few rounds. They end when the pairs that are still apart are no more
+    than the postings, or a round links nothing new.
     """
-    tried = links = roots = None
-    rows, size = _open_rows(meeting, None), meeting.count()
+    tried = links = None
+    common = placed.where(F.col("sets") > FEW)
+    rows, size = _open_rows(common, None), placed.count()
     for turn in range(MOST_ROUNDS):
-        seeds = range(turn * HEADS, (turn + 1) * HEADS)
-        heads = rows.groupBy("key").agg(
-            *[F.min(F.struct(F.xxhash64("x.v", F.lit(k)), "x", "c")).alias(f"head{k}") for k in seeds]
-        )
-        chosen = F.array_distinct(F.array(*[F.struct(f"head{k}.x", f"head{k}.c") for k in seeds]))
-        # Two heads of one key meet twice; then they are followed up the sooner.
-        met = rows.join(heads, "key").select("key", "x", "c", F.explode(chosen).alias("head"))
-        met = met.where(F.col("c") != F.col("head.c")).select("key", "x", F.col("head.x").alias("y"))
-        new = likely(met, percent)
-        if tried is not None:
+        new = _head_meetings(rows, turn, percent)
+        if tried is None:
+            every = _open_rows(placed.where(F.col("sets") <= FEW), None)
+            new = new.union(first_meetings(every, percent)).distinct()
+        else:
             new = new.join(tried, ["a", "b"], "left_anti")
         new = staged(new, "tried")
         found = staged(linked(new, tallies, documents, width, percent, bits), "found")
         tried = new if tried is None else tried.union(new)
         links = found if links is None else links.union(found)
-        if not found.head(1):
+        if turn and not found.head(1):
             break
         roots = staged(components(links), "components")
-        rows = staged(_open_rows(meeting, roots), "open")
+        rows = staged(_open_rows(common, roots), "open")
         # Pairs apart in a key: all pairs without those inside a component.
         inside = rows.groupBy("key", "c").count()
         n = F.col("count").cast("double")
         apart = inside.groupBy("key").agg((F.sum("count") ** 2 - F.sum(n * n)).alias("p"))
         if (apart.agg(F.sum("p")).first()[0] or 0) / 2 <= size:
             break
-    if roots is None:
-        roots = staged(components(links), "components")
-    return tried, roots
+    return tried, roots, rows
 
 
 def _distinct_sets(documents: DataFrame, width: int) -> DataFrame:
@@ -582,16 +646,13 @@ def jaccard_components(
 
     copies = rows.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("v"))
     posted = postings(documents, width, percent, levels_of(sketch), boundary)
-    # (key, v, n): the keys that different sets share.
-    meeting = staged(
-        shared_postings(posted).join(copies.where("v is not null"), "s1").select("key", "v", "n").distinct(),
-        "meeting",
-    )
+    # The keys that different sets share.
+    meeting = shared_postings(posted).join(copies.where("v is not null"), "s1").select("key", "v", "n")
+    placed = staged(placed_keys(staged(meeting, "meeting")), "placed")
     tallies = first.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("v"), "n", "tally")
-    tried, roots = _close_groups(meeting, tallies, documents, width, percent, bits)
+    tried, roots, rows_left = _close_groups(placed, tallies, documents, width, percent, bits)
 
-    open_rows = _open_rows(meeting, roots)
-    rest = staged(still_apart(open_rows, percent).join(tried, ["a", "b"], "left_anti"), "rest")
+    rest = staged(first_meetings(rows_left, percent).join(tried, ["a", "b"], "left_anti"), "rest")
     bridges = linked(rest, tallies, documents, width, percent, bits)
     # Links between components, by the components' names.
     for side in ("a", "b"):
