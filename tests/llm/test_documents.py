@@ -177,6 +177,26 @@ def test_rounds_see_keys_of_many_sets_only(spark, made, monkeypatch):
     assert min(sets.values()) == 2 and left and min(sets[k] for k in left) > 8
 
 
+def test_marks_part_a_group_below_the_threshold(spark):
+    """Of copies that all differ a little too much only those that link are taken for pairs."""
+    draw = np.random.default_rng(4)
+    base = draw.integers(0, 2**63, 130, dtype=np.uint64)
+    sets = []
+    for k in range(60):
+        own = draw.integers(0, 2**63, 20 + k % 2, dtype=np.uint64)  # 110 of 130 and 20 others each
+        sets.append(np.unique(np.concatenate([draw.permutation(base)[:110], own])))
+    sets += [np.unique(np.concatenate([sets[0][:120], draw.integers(0, 2**63, 10, dtype=np.uint64)]))]
+    want = {(a, b) for (a, x), (b, y) in itertools.combinations(enumerate(sets), 2) if 180 * len(np.intersect1d(x, y)) >= 80 * (len(x) + len(y))}
+    for x, y in itertools.combinations(sets, 2):
+        marks = zip(jaccard_join.mark(x), jaccard_join.mark(y))
+        assert sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in marks) <= len(np.setxor1d(x, y))
+    rows = [(1, (v, len(h)), 99, v, jaccard_join.mark(h)) for v, h in enumerate(sets)]
+    df = spark.createDataFrame(rows, "key long, x struct<v:long,n:int>, after int, c long, mark array<long>")
+    all_pairs = jaccard_join.first_meetings(df.drop("mark"), 80).count()
+    got = {tuple(r) for r in jaccard_join.first_meetings(df, 80).collect()}
+    assert want and want <= got and all_pairs == 61 * 60 // 2 and len(got) < all_pairs // 10
+
+
 def test_shared_postings_once(spark):
     rows = [(5, 1), (5, 2), (5, 2), (5, 2), (5, 3), (6, 1), (6, 1), (7, 4), (8, 1), (8, 2)] * 2
     posted = spark.createDataFrame(rows, "key long, s1 long").withColumn("salt", F.lit(0))

@@ -22,6 +22,10 @@ key's few heads, links are closed to components, and then only pairs in one key
 in different components are compared. Any link between components is found this
 way, so the components are exact. Sets that are equal count as one throughout.
 
+Rows of common keys carry a mark of their set, 256 bits that tell for each of as many
+bins whether the set has an odd number of shingles there. Where two marks differ, so
+do the sets, so most pairs of a group that is not quite alike never meet.
+
 Before two sets are fetched to be compared, their tallies are: how many of their
 shingles fall into each of some bins. The sum of the lesser counts bounds the
 intersection, so sets that merely share a passage are let go for a few bytes.
@@ -55,6 +59,7 @@ PAIR = np.uint64(1 << KEY_BITS)
 HOT_LEVEL = STEPS * 17  # bins with more than 2**17 sets have their keys salted
 LARGEST_LIGHT = 64  # pairs of larger sets are never enumerated
 COMPARE = 8  # cost of comparing two sets, in posted keys
+MARKS = 4  # words of a set's mark
 FEW = 8  # sets of a key, up to which every two are compared at once
 HEADS = 3
 MOST_ROUNDS = 3
@@ -111,6 +116,15 @@ def tally(h: np.ndarray) -> bytes:
     return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
 
 
+def mark(h: np.ndarray) -> list[int]:
+    """By bin whether it has an odd number of the hashes: ``MARKS`` signed words of 64 bins.
+
+    Two marks differ in no more bins than their sets have shingles of their own.
+    """
+    odd = np.bincount((h >> np.uint64(24) & np.uint64(64 * MARKS - 1)).astype(np.int64), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def most_shared(a: bytes, b: bytes) -> int | None:
     """The most that two sets can have in common, None if a tally says nothing."""
     if not a or not b:
@@ -128,35 +142,37 @@ def least_overlap(n: int, percent: int) -> int:
 
 
 def profiles(documents: DataFrame, width: int) -> DataFrame:
-    """Per row: doc_id, n, s1, s2, tally; and per task: the sketch of its shingles' counts."""
+    """Per row: doc_id, n, s1, s2, tally, mark; and per task: the sketch of its shingles' counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, counts = Shingler(width), np.zeros(1 << BINS, np.int64)
         for batch in slices(batches):
-            sizes, signs, tallies = [], [], []
+            sizes, signs, tallies, marks = [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingles(text)
                 np.add.at(counts, h >> np.uint64(64 - BINS), 1)
                 sizes.append(len(h))
                 signs.append(signature(h))
                 tallies.append(tally(h))
+                marks.append(mark(h))
             none = [None] * len(sizes)
-            yield rows(batch.column(0), sizes, [a for a, _ in signs], [b for _, b in signs], tallies, none, none)
+            yield rows(batch.column(0), sizes, [a for a, _ in signs], [b for _, b in signs], tallies, marks, none, none)
         for k in range(0, 1 << BINS, SKETCH_BLOCK):
             block = counts[k : k + SKETCH_BLOCK]
             if block.any():
                 data = block.astype(np.uint32).tobytes()
-                yield rows(pa.array([None], pa.int64()), [None], [None], [None], [None], [k], [data])
+                yield rows(pa.array([None], pa.int64()), [None], [None], [None], [None], [None], [k], [data])
 
-    def rows(ids, n, s1, s2, tallies, block, data):
+    def rows(ids, n, s1, s2, tallies, marks, block, data):
         return pa.RecordBatch.from_arrays(
             [ids, pa.array(n, pa.int32()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-             pa.array(tallies, pa.binary()), pa.array(block, pa.int32()), pa.array(data, pa.binary())],
-            names=["doc_id", "n", "s1", "s2", "tally", "block", "counts"],
+             pa.array(tallies, pa.binary()), pa.array(marks, pa.list_(pa.int64())),
+             pa.array(block, pa.int32()), pa.array(data, pa.binary())],
+            names=["doc_id", "n", "s1", "s2", "tally", "mark", "block", "counts"],
         )
 
     return documents.mapInArrow(
-        run, "doc_id long, n int, s1 long, s2 long, tally binary, block int, counts binary"
+        run, "doc_id long, n int, s1 long, s2 long, tally binary, mark array<long>, block int, counts binary"
     )
 
 
@@ -337,6 +353,7 @@ def sets_of(documents: DataFrame, pairs: DataFrame, width: int, bits: int) -> Da
 def close_pairs(pairs: DataFrame, tallies: DataFrame, percent: int, bits: int) -> DataFrame:
     """The pairs (a, b) whose tallies (v, n, tally) allow a link."""
     cut = rows_of(pairs, bits)
+    tallies = tallies.select("v", "n", "tally")
     few = tallies.mapInArrow(lambda batches: map(cut, batches), tallies.schema)
 
     def side(name: str) -> DataFrame:
@@ -453,49 +470,61 @@ def placed_keys(meeting: DataFrame) -> DataFrame:
     )
 
 
-def _first_shared(x: Column, y: Column, percent: int) -> Column:
+def _first_shared(x: Column, y: Column, percent: int, marked: bool) -> Column:
     """Whether ``key`` can be the first one that the linked sets ``x`` and ``y`` share.
 
-    Both are (v, n, after). All keys that they share besides are after it in both.
-    How many they share at least is told by :func:`_keys_needed`; sets that post
-    pairs of shingles share one shingle more there, and all its pairs.
+    Both are (v, n, after[, mark]). All keys that they share besides are after it
+    in both. How many they share at least is told by :func:`_keys_needed`; sets
+    that post pairs of shingles share one shingle more there, and all its pairs.
     """
     asked = _keys_needed(x["n"], y["n"], percent)
     asked = F.when(_of_pair(F.col("key")) > 0, asked * (asked + 1) / 2).otherwise(asked)
-    return _comparable(x["n"], y["n"], percent) & (F.least(x["after"], y["after"]) + 1 >= asked)
+    can = _comparable(x["n"], y["n"], percent) & (F.least(x["after"], y["after"]) + 1 >= asked)
+    if not marked:
+        return can
+    apart = [F.bit_count(x["mark"][k].bitwiseXOR(y["mark"][k])) for k in range(MARKS)]
+    # Of n + m shingles, an intersection of a share of their union leaves so many out.
+    return can & ((100 + percent) * sum(apart[1:], apart[0]) <= (100 - percent) * (x["n"] + y["n"]))
+
+
+def _met(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """(key, x, c) with all that a meeting looks at in ``x``; whether that has marks."""
+    marks = [c for c in ("mark",) if c in rows.columns]
+    return rows.select("key", F.struct("x.v", "x.n", "after", *marks).alias("x"), "c"), bool(marks)
 
 
 def first_meetings(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): sets of (key, x, after, c), in different components, that can be links by their first key."""
-    rows = rows.select("key", F.struct("x.v", "x.n", "after").alias("x"), "c")
+    """(a, b): sets of (key, x, after, c[, mark]), in different components, that can be links by their first key."""
+    rows, marked = _met(rows)
     # Both sides have the same columns in the same order, so one shuffle serves both.
     others = rows.select("key", F.col("x").alias("y"), F.col("c").alias("d"))
     x, y = F.col("x"), F.col("y")
-    apart = (x["v"] < y["v"]) & (F.col("c") != F.col("d")) & _first_shared(x, y, percent)
+    apart = (x["v"] < y["v"]) & (F.col("c") != F.col("d")) & _first_shared(x, y, percent, marked)
     return rows.join(others, "key").where(apart).select(F.col("x.v").alias("a"), F.col("y.v").alias("b")).distinct()
 
 
 def _head_meetings(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(a, b): sets of (key, x, after, c) and the heads of their keys, where these can be links."""
-    rows = rows.select("key", F.struct("x.v", "x.n", "after").alias("x"), "c")
+    """(a, b): sets of (key, x, after, c[, mark]) and the heads of their keys, where these can be links."""
+    rows, marked = _met(rows)
     seeds = range(turn * HEADS, (turn + 1) * HEADS)
     heads = rows.groupBy("key").agg(
         *[F.min(F.struct(F.xxhash64("x.v", F.lit(k)), "x", "c")).alias(f"head{k}") for k in seeds]
     )
     chosen = F.array_distinct(F.array(*[F.struct(f"head{k}.x", f"head{k}.c") for k in seeds]))
     # Those that a set cannot link with are dropped before there is a row for each.
-    can = F.filter(chosen, lambda h: (F.col("c") != h["c"]) & _first_shared(F.col("x"), h["x"], percent))
+    can = F.filter(chosen, lambda h: (F.col("c") != h["c"]) & _first_shared(F.col("x"), h["x"], percent, marked))
     met = rows.join(heads, "key").select("x", F.explode(can).alias("head"))
     v, w = F.col("x.v"), F.col("head.x.v")
     return met.select(F.least(v, w).alias("a"), F.greatest(v, w).alias("b")).distinct()
 
 
 def _open_rows(placed: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(key, x, after, c): the sets, with components, of keys that join several of these."""
-    rows = placed.select("key", "x", "after", F.col("x.v").alias("v"))
+    """(key, x, after, c[, mark]): the sets, with components, of keys that join several of these."""
+    columns = [c for c in placed.columns if c != "sets"]
+    rows = placed.select(*columns, F.col("x.v").alias("v"))
     if roots is None:
         return rows.withColumnRenamed("v", "c")
-    rows = rows.join(roots, "v", "left").select("key", "x", "after", F.coalesce("component", "v").alias("c"))
+    rows = rows.join(roots, "v", "left").select(*columns, F.coalesce("component", "v").alias("c"))
     several = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     return rows.join(several.select("key"), "key")
 
@@ -513,7 +542,9 @@ def _close_groups(
     than the postings, or a round links nothing new.
     """
     tried = links = None
-    common = placed.where(F.col("sets") > FEW)
+    # Sets that share an id and a size have a row each; then either may meet.
+    marks = tallies.select(F.struct("v", "n").alias("x"), "mark").distinct()
+    common = staged(placed.where(F.col("sets") > FEW).join(marks, "x"), "common")
     rows, size = _open_rows(common, None), placed.count()
     for turn in range(MOST_ROUNDS):
         new = _head_meetings(rows, turn, percent)
@@ -649,7 +680,7 @@ def jaccard_components(
     # The keys that different sets share.
     meeting = shared_postings(posted).join(copies.where("v is not null"), "s1").select("key", "v", "n")
     placed = staged(placed_keys(staged(meeting, "meeting")), "placed")
-    tallies = first.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("v"), "n", "tally")
+    tallies = first.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("v"), "n", "tally", "mark")
     tried, roots, rows_left = _close_groups(placed, tallies, documents, width, percent, bits)
 
     rest = staged(first_meetings(rows_left, percent).join(tried, ["a", "b"], "left_anti"), "rest")
