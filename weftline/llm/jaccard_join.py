@@ -354,7 +354,8 @@ def close_pairs(pairs: DataFrame, tallies: DataFrame, percent: int, bits: int) -
     """The pairs (a, b) whose tallies (v, n, tally) allow a link."""
     cut = rows_of(pairs, bits)
     tallies = tallies.select("v", "n", "tally")
-    few = tallies.mapInArrow(lambda batches: map(cut, batches), tallies.schema)
+    # Written, so that no task has a Python worker for this and one for what follows.
+    few = staged(tallies.mapInArrow(lambda batches: map(cut, batches), tallies.schema), "tallies")
 
     def side(name: str) -> DataFrame:
         return few.select(
