@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
-from weftline.llm import jaccard_join, line_dedup, packing, quality_rules
+from weftline.llm import components, jaccard_join, line_dedup, packing, quality_rules
 from weftline.llm.queries import QUERIES
 
 ROOT = "/root/testdata/sf0.001"
@@ -177,6 +177,47 @@ def test_rounds_see_keys_of_many_sets_only(spark, made, monkeypatch):
     assert min(sets.values()) == 2 and left and min(sets[k] for k in left) > 8
 
 
+def test_a_round_joins_rows_with_components_once(spark, monkeypatch):
+    """Also of texts that share a passage, and so stay apart."""
+    draw = random.Random(9)
+    words = lambda n: " ".join("".join(draw.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    passage, rows = words(60), []
+    for _ in range(60):
+        text = f"{passage} {words(40)}"
+        rows += [text, text + " end"]  # linked with each other alone
+    rows, joins, staged = [(i, t, "s") for i, t in enumerate(rows)], [], jaccard_join.staged
+
+    def counted(df, name="stage"):
+        joins.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")))
+        return staged(df, name)
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    monkeypatch.setattr(jaccard_join, "FEW", 1)
+    monkeypatch.setattr(jaccard_join, "light_size", lambda *a: 0)
+    monkeypatch.setattr(jaccard_join, "levels_of", lambda sketch: np.zeros(len(sketch), np.uint64))
+    got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _, _ in rows}
+    opened = [name for name, _ in joins].count("open")
+    assert opened == sum(n for name, n in joins if name in ("located", "several", "open")) > 0
+
+
+@pytest.mark.parametrize("part", [7, 1 << 17])
+def test_components_of_a_long_chain(spark, part, monkeypatch):
+    """Vertices in a random order along chains; one part of links needs no rounds."""
+    draw, seen, staged = random.Random(3), [], components.staged
+    names = draw.sample(range(-500, 5000), 600)
+    chains = [names[:400], names[400:401], names[401:]]
+    links = [(a, b) for c in chains for a, b in zip(c, c[1:])] * 2 + [(names[0], names[0])]
+    monkeypatch.setattr(components, "PART", part)
+    monkeypatch.setattr(components, "staged", lambda df, name="stage": seen.append(name) or staged(df, name))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(tuple, got)) == sorted((v, min(c)) for c in chains if len(c) > 1 for v in c)
+    assert len(seen) == 2 if part > len(links) else len(seen) > 2
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_marks_part_a_group_below_the_threshold(spark):
     """Of copies that all differ a little too much only those that link are taken for pairs."""
     draw = np.random.default_rng(4)

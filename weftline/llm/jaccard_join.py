@@ -328,7 +328,8 @@ def rows_of(pairs: DataFrame, bits: int) -> Callable[[pa.RecordBatch], pa.Record
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield id_hashes(batch.column(0).to_numpy())
 
-    vertices = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
+    # A filter asks for nothing once, so vertices of several pairs need not be told from others.
+    vertices = pairs.select(F.explode(F.array("a", "b")).alias("v"))
     wanted, _ = seen_filters(vertices, hashes, bits)
     return lambda batch: batch.take(pa.array(np.flatnonzero(wanted.has(id_hashes(batch.column(0).to_numpy())))))
 
@@ -519,15 +520,23 @@ def _head_meetings(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     return met.select(F.least(v, w).alias("a"), F.greatest(v, w).alias("b")).distinct()
 
 
-def _open_rows(placed: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(key, x, after, c[, mark]): the sets, with components, of keys that join several of these."""
-    columns = [c for c in placed.columns if c != "sets"]
-    rows = placed.select(*columns, F.col("x.v").alias("v"))
+def _rows_with(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(key, x, after, c[, mark]): rows (key, x, after[, mark]) with the components of their sets."""
+    columns = [c for c in ("key", "x", "after", "mark") if c in rows.columns]
+    rows = rows.select(*columns, F.col("x.v").alias("v"))
     if roots is None:
         return rows.withColumnRenamed("v", "c")
-    rows = rows.join(roots, "v", "left").select(*columns, F.coalesce("component", "v").alias("c"))
-    several = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-    return rows.join(several.select("key"), "key")
+    return rows.join(roots, "v", "left").select(*columns, F.coalesce("component", "v").alias("c"))
+
+
+def _pairs_apart(rows: DataFrame) -> DataFrame:
+    """(key, pairs): keys whose rows (key, c) are of several components, and their pairs apart.
+
+    These are all pairs without those inside a component.
+    """
+    n = F.col("count").cast("double")
+    inside = rows.groupBy("key", "c").count()
+    return inside.groupBy("key").agg(((F.sum(n) ** 2 - F.sum(n * n)) / 2).alias("pairs")).where("pairs > 0")
 
 
 def _close_groups(
@@ -535,22 +544,23 @@ def _close_groups(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Compare the sets of keys that few have, and those of others with the heads.
 
-    Returns the pairs compared, the components, and the rows of :func:`_open_rows`
-    that are left. A key's heads are its sets with the smallest hashes, others in
+    Returns the pairs compared, the components, and the rows of :func:`_rows_with`
+    whose keys join several of them. A key's heads are its sets with the smallest hashes, others in
     each round. Only sets outside a head's component meet it, so a round costs a
     few pairs per posting, and a group of near copies falls into few components
     after a few rounds. They end when the pairs that are still apart are no more
-    than the postings, or a round links nothing new.
+    than the postings, or a later round has linked nothing new or has closed less
+    than a quarter of those pairs: texts that only share a passage stay apart.
     """
     tried = links = None
     # Sets that share an id and a size have a row each; then either may meet.
     marks = tallies.select(F.struct("v", "n").alias("x"), "mark").distinct()
     common = staged(placed.where(F.col("sets") > FEW).join(marks, "x"), "common")
-    rows, size = _open_rows(common, None), placed.count()
+    rows, size, before = _rows_with(common, None), placed.count(), None
     for turn in range(MOST_ROUNDS):
         new = _head_meetings(rows, turn, percent)
         if tried is None:
-            every = _open_rows(placed.where(F.col("sets") <= FEW), None)
+            every = _rows_with(placed.where(F.col("sets") <= FEW), None)
             new = new.union(first_meetings(every, percent)).distinct()
         else:
             new = new.join(tried, ["a", "b"], "left_anti")
@@ -561,13 +571,14 @@ def _close_groups(
         if turn and not found.head(1):
             break
         roots = staged(components(links), "components")
-        rows = staged(_open_rows(common, roots), "open")
-        # Pairs apart in a key: all pairs without those inside a component.
-        inside = rows.groupBy("key", "c").count()
-        n = F.col("count").cast("double")
-        apart = inside.groupBy("key").agg((F.sum("count") ** 2 - F.sum(n * n)).alias("p"))
-        if (apart.agg(F.sum("p")).first()[0] or 0) / 2 <= size:
+        # Written before they are looked at twice; a closed key stays closed.
+        located = staged(_rows_with(rows, roots), "located")
+        several = staged(_pairs_apart(located), "several")
+        rows = staged(located.join(several.select("key"), "key"), "open")
+        apart = several.agg(F.sum("pairs")).first()[0] or 0
+        if apart <= size or before is not None and 4 * apart > 3 * before:
             break
+        before = apart
     return tried, roots, rows
 
 
