@@ -86,6 +86,27 @@ def test_any_room_for_hot_entries_gives_the_same(spark, room):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
+def test_found_and_moved_items_are_merged_outside_the_plan(spark):
+    """Ids are not made into a struct each and sorted, and a null entry is unknown in either part."""
+    entries = spark.createDataFrame([("hot", None, 99), ("a", 1, 98), ("cold", None, 1), ("b", 2, 1)], "from string, to long, n long")
+    df = spark.createDataFrame([(1, ["b", "hot", "a", "cold", "no"]), (2, ["hot", "a"]), (3, None)], "k int, v array<string>")
+    found = look_up(df, ["k"], "v", entries, -1, "w", 50)
+    assert "sort_array" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.k: r.w for r in found.collect()} == {1: [2, -1, 1, -1, -1], 2: [-1, 1], 3: []}
+
+
+def test_atoms_that_start_alike_are_tried_once(spark):
+    """The pattern that texts are cut by finds what the plain one finds."""
+    specials = ("<s>", "</s>", "<s", "<", "[A]", "[AB]", "<|x-1|>", "\u00a7", "\U0001f600b")
+    draw = random.Random(2)
+    rows = ["".join(draw.choice([*specials, " ", "\n", "s", "A", "]", ">", "|", "7", "é", "\U0001f600"]) for _ in range(30)) for _ in range(300)]
+    df = texts(spark, *rows, "", None)
+    for tok in (RegexTokenizer(specials), RegexTokenizer((*specials, "s>", "7é")), RegexTokenizer(), RegexTokenizer(())):
+        plain = F.regexp_extract_all("t", F.lit(tok.pattern), F.lit(0))
+        assert df.where(~tok.pieces(F.col("t")).eqNullSafe(plain)).count() == 0
+        assert not tok.specials or tok.fast_pattern.count("<") < tok.pattern.count("<")
+
+
 def test_no_shuffle_where_the_table_fits(spark):
     entries = spark.createDataFrame([(i, str(i)) for i in range(1000)], "from long, to string")
     df = spark.range(50).select("id", F.array("id", F.lit(7), F.lit(-5)).alias("v"))

@@ -58,10 +58,14 @@ def hot_entries(table: DataFrame, most_bytes: int = HOT_BYTES) -> Hot:
     return Hot(*(c.combine_chunks() for c in found.columns), whole=cut == steps[-1]["step"])
 
 
+def _offsets(column: pa.ListArray) -> np.ndarray:
+    """Where the items of each row begin among all, null rows being empty."""
+    return np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())))
+
+
 def _replaced(column: pa.ListArray, hot: Hot) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]:
     """Values by item (null if not hot), row offsets, the items, and where the cold ones are."""
-    offsets = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())))
-    items = column.flatten()
+    offsets, items = _offsets(column), column.flatten()
     at = pc.index_in(items, value_set=hot.items)
     return hot.values.take(at), offsets, items, np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
 
@@ -122,22 +126,19 @@ def look_up(
     # An item can be frequent and yet not in the table; the adaptive planner
     # splits what such an item makes of the left side.
     met = cold.join(entries, "item", "left").select("_row", F.struct("at", "_to").alias("x"))
-    back = met.groupBy("_row").agg(F.sort_array(F.collect_list("x")).alias("_back"))
-    joined = first.join(back, "_row", "left")
-    # The cold items in order of place, each for one gap.
-    gap = F.lit(unknown).cast(to_type)
-    merged = F.when(F.col("_back").isNull(), F.col(f"`{out}`")).otherwise(
-        F.transform(
-            F.sort_array(
-                F.concat(
-                    F.filter(
-                        F.transform(f"`{out}`", lambda x, i: F.struct(i.alias("at"), x.alias("_to"))),
-                        lambda e: e["_to"].isNotNull(),
-                    ),
-                    F.transform("_back", lambda e: F.struct(e["at"].alias("at"), F.coalesce(e["_to"], gap).alias("_to"))),
-                )
-            ),
-            lambda e: e["_to"],
-        )
-    )
-    return joined.select(*[F.col(f"`{c}`") for c in keep], merged.alias(out))
+    back = met.groupBy("_row").agg(F.collect_list("x").alias("_back"))
+    joined = first.join(back, "_row", "left").select(*[F.col(f"`{c}`") for c in [*keep, out]], "_back")
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column, cold = batch.column(k), batch.column(k + 1)
+            offsets, found = _offsets(column), column.flatten()
+            entries = cold.flatten()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(_offsets(cold)))
+            at = np.arange(len(found))
+            at[offsets[row] + entries.field("at").to_numpy()] = len(found) + np.arange(len(entries))
+            every = pa.concat_arrays([found, entries.field("_to")]).take(pa.array(at))
+            filled = pc.fill_null(every, pa.scalar(unknown, every.type))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:k], _lists(filled, offsets)], names=[*keep, out])
+
+    return joined.mapInArrow(fill, T.StructType([*kept, result]))
