@@ -90,7 +90,8 @@ def test_found_and_moved_items_are_merged_outside_the_plan(spark):
     """Ids are not made into a struct each and sorted, and a null entry is unknown in either part."""
     entries = spark.createDataFrame([("hot", None, 99), ("a", 1, 98), ("cold", None, 1), ("b", 2, 1)], "from string, to long, n long")
     df = spark.createDataFrame([(1, ["b", "hot", "a", "cold", "no"]), (2, ["hot", "a"]), (3, None)], "k int, v array<string>")
-    found = look_up(df, ["k"], "v", entries, -1, "w", 50)
+    found = look_up(df, ["k"], "v", entries, -1, "w", 30)
+    assert "_codes" in found._jdf.queryExecution().optimizedPlan().toString()
     assert "sort_array" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert {r.k: r.w for r in found.collect()} == {1: [2, -1, 1, -1, -1], 2: [-1, 1], 3: []}
 

@@ -63,11 +63,10 @@ def _offsets(column: pa.ListArray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())))
 
 
-def _replaced(column: pa.ListArray, hot: Hot) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]:
-    """Values by item (null if not hot), row offsets, the items, and where the cold ones are."""
-    offsets, items = _offsets(column), column.flatten()
-    at = pc.index_in(items, value_set=hot.items)
-    return hot.values.take(at), offsets, items, np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+def _hot_places(column: pa.ListArray, hot: Hot) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """Places in the dictionary by item (null if not hot), row offsets, and the items."""
+    items = column.flatten()
+    return pc.index_in(items, value_set=hot.items), _offsets(column), items
 
 
 def _lists(values: pa.Array, offsets: np.ndarray) -> pa.ListArray:
@@ -100,7 +99,8 @@ def look_up(
 
         def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found, offsets, _, _ = _replaced(batch.column(k), hot.value)
+                at, offsets, _ = _hot_places(batch.column(k), hot.value)
+                found = hot.value.values.take(at)
                 filled = pc.fill_null(found, pa.scalar(unknown, found.type))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:k], _lists(filled, offsets)], names=[*keep, out])
 
@@ -108,17 +108,23 @@ def look_up(
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, offsets, items, cold = _replaced(batch.column(k), hot.value)
+            at, offsets, items = _hot_places(batch.column(k), hot.value)
+            codes = at.fill_null(-1).to_numpy().astype(np.int32, copy=False)
             # Cold items with their places, row by row.
+            cold = np.flatnonzero(codes < 0)
             row = np.searchsorted(offsets, cold, "right") - 1
             bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
             places = pa.array(cold - offsets[row], pa.int32())
             entries = pa.StructArray.from_arrays([places, items.take(pa.array(cold))], names=["at", "item"])
-            columns = [*batch.columns[:k], _lists(found, offsets), _lists(entries, bounds)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, out, "_cold"])
+            ends = pa.array(4 * offsets, pa.int32()).buffers()[1]
+            packed = pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, ends, pa.py_buffer(codes.tobytes())])
+            columns = [*batch.columns[:k], packed, _lists(entries, bounds)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "_codes", "_cold"])
 
     cold_type = T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("item", table.schema["from"].dataType)]))
-    parted = rows.mapInArrow(part, T.StructType([*kept, result, T.StructField("_cold", cold_type)]))
+    # Places in the dictionary, four bytes each, stand for its values until the end.
+    codes = T.StructField("_codes", T.BinaryType())
+    parted = rows.mapInArrow(part, T.StructType([*kept, codes, T.StructField("_cold", cold_type)]))
     # Written, so that a row keeps the number by which its items find back to it.
     first = staged(parted.withColumn("_row", F.monotonically_increasing_id()), "looked_up")
     cold = first.select("_row", F.inline("_cold"))
@@ -127,18 +133,19 @@ def look_up(
     # splits what such an item makes of the left side.
     met = cold.join(entries, "item", "left").select("_row", F.struct("at", "_to").alias("x"))
     back = met.groupBy("_row").agg(F.collect_list("x").alias("_back"))
-    joined = first.join(back, "_row", "left").select(*[F.col(f"`{c}`") for c in [*keep, out]], "_back")
+    joined = first.join(back, "_row", "left").select(*[F.col(f"`{c}`") for c in keep], "_codes", "_back")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column, cold = batch.column(k), batch.column(k + 1)
-            offsets, found = _offsets(column), column.flatten()
+            packed, cold = batch.column(k), batch.column(k + 1)
+            offsets = np.concatenate(([0], np.cumsum(pc.binary_length(packed).to_numpy() // 4)))
+            at = np.frombuffer(b"".join(packed.to_pylist()), np.int32).astype(np.int64)
             entries = cold.flatten()
             row = np.repeat(np.arange(batch.num_rows), np.diff(_offsets(cold)))
-            at = np.arange(len(found))
-            at[offsets[row] + entries.field("at").to_numpy()] = len(found) + np.arange(len(entries))
-            every = pa.concat_arrays([found, entries.field("_to")]).take(pa.array(at))
-            filled = pc.fill_null(every, pa.scalar(unknown, every.type))
+            # The values that were moved follow those of the dictionary.
+            at[offsets[row] + entries.field("at").to_numpy()] = len(hot.value.values) + np.arange(len(entries))
+            found = pa.concat_arrays([hot.value.values, entries.field("_to")]).take(pa.array(at))
+            filled = pc.fill_null(found, pa.scalar(unknown, found.type))
             yield pa.RecordBatch.from_arrays([*batch.columns[:k], _lists(filled, offsets)], names=[*keep, out])
 
     return joined.mapInArrow(fill, T.StructType([*kept, result]))
